@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 
 from vigil.operators import anomaly, clustering, evaluation, features, online, parsing
 from vigil.operators.clustering import Centers
+from vigil.session import shared_dir
 from vigil.sources import records
+from vigil.streaming import StreamingKMeans, stage_slice, stream_table, stream_word_count
+from vigil.streaming.sources import run_available
 
 # Fixed values shared with the oracle SQL.
 CENTRES_K = 5
@@ -226,6 +229,90 @@ def q_online_score(spark, sf_dir):
     return online.online_score(emb, state).select(_r6("score").alias("score"))
 
 
+# --- streaming ---------------------------------------------------------------------
+
+_STREAM_RUNS: dict[tuple[str, str], str] = {}
+
+
+def stream_slice_of(max_id: int):
+    """Arrival order of the replayed stream: contiguous ``vec_id`` ranges."""
+    return F.floor(F.col("vec_id") * STREAM_BATCHES / F.lit(max_id + 1)).cast("int")
+
+
+def run_stream_kmeans(spark, sf_dir) -> str:
+    """Replay ``embeddings`` as STREAM_BATCHES micro-batches through the
+    streaming k-means (C5 start, weight 0, decay 1); returns the output folder.
+
+    Each slice is appended to a watched folder and picked up by one
+    ``availableNow`` run of the same checkpointed query, so batch N is exactly
+    slice N. Runs once per session and sf_dir.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _STREAM_RUNS:
+        return _STREAM_RUNS[key]
+    emb = _embeddings(spark, sf_dir)
+    c5 = _c5(emb)
+    initial = online.streaming_kmeans_init(CENTRES_K, c5.dim, weight=0.0, decay=1.0,
+                                           centers=c5.values)
+    root = shared_dir(spark, "stream-kmeans")
+    incoming, out, checkpoint = f"{root}/incoming", f"{root}/out", f"{root}/checkpoint"
+    max_id = emb.agg(F.max("vec_id")).first()[0]
+    slice_of = stream_slice_of(max_id)
+    model = StreamingKMeans(initial, out)
+    for b in range(STREAM_BATCHES):
+        stage_slice(emb.filter(slice_of == b), incoming)
+        run_available(model.writer(stream_table(spark, incoming, emb.schema)), checkpoint)
+    _STREAM_RUNS[key] = out
+    return out
+
+
+def q_stream_kmeans(spark, sf_dir):
+    out = run_stream_kmeans(spark, sf_dir)
+    centres = spark.read.parquet(f"{out}/centers").filter(F.col("phase") == "after")
+    return centres.select(F.col("batch_id").cast("int").alias("batch_id"), "cluster", "dim",
+                          _r6("value").alias("value"))
+
+
+def q_stream_cluster_label_counts(spark, sf_dir):
+    out = run_stream_kmeans(spark, sf_dir)
+    counts = spark.read.parquet(f"{out}/counts")
+    return counts.select(F.col("batch_id").cast("int").alias("batch_id"), "cluster", "label",
+                         "cnt")
+
+
+def q_stream_mean_distance(spark, sf_dir):
+    out = run_stream_kmeans(spark, sf_dir)
+    means = spark.read.parquet(f"{out}/mean_distance")
+    return means.select(F.col("batch_id").cast("int").alias("batch_id"),
+                        _r6("mean_distance").alias("mean_distance"))
+
+
+def q_stream_predict(spark, sf_dir):
+    """Stateless prediction on a stream of the embeddings file (C5 model)."""
+    emb = _embeddings(spark, sf_dir)
+    centers = _c5(emb)
+    raw = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    stream = stream_table(spark, sf_dir, raw.schema, glob="embeddings.parquet")
+    stream = stream.select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
+    root = shared_dir(spark, "stream-predict")
+    predicted = clustering.assign_clusters(stream, centers).select("vec_id", "cluster")
+    run_available(predicted.writeStream.format("parquet").option("path", f"{root}/out"),
+                  f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_stream_word_count(spark, sf_dir):
+    """Per-batch word counts over a stream of ``documents.text``, summed over
+    batches (equal to the batch answer)."""
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stream = stream_table(spark, sf_dir, raw.schema, glob="documents.parquet")
+    root = shared_dir(spark, "stream-words")
+    run_available(stream_word_count(stream.select("text"), f"{root}/out", "text"),
+                  f"{root}/checkpoint")
+    per_batch = spark.read.parquet(f"{root}/out")
+    return per_batch.groupBy("word").agg(F.sum("cnt").alias("cnt"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "label_histogram": q_label_histogram,
     "parse_numeric": q_parse_numeric,
@@ -249,4 +336,9 @@ QUERIES: dict[str, QueryFn] = {
     "online_update": q_online_update,
     "online_update_points": q_online_update_points,
     "online_score": q_online_score,
+    "stream_kmeans": q_stream_kmeans,
+    "stream_cluster_label_counts": q_stream_cluster_label_counts,
+    "stream_mean_distance": q_stream_mean_distance,
+    "stream_predict": q_stream_predict,
+    "stream_word_count": q_stream_word_count,
 }

@@ -270,6 +270,62 @@ ONLINE_SCORE = _with(
 ) + "SELECT round(avg(distance), 6) AS score FROM a2"
 
 
+# --- streaming -----------------------------------------------------------------------
+
+def _stream_ctes() -> list[str]:
+    ctes = [
+        _centres_c5(),
+        f"""eb AS (SELECT e.*, CAST(floor(vec_id * {STREAM_BATCHES}
+                 / ((SELECT max(vec_id) FROM e) + 1)) AS INTEGER) AS b FROM e)""",
+        """st0 AS (SELECT cluster, f, CAST(0.0 AS DOUBLE) AS w FROM c5)""",
+    ]
+    for b in range(STREAM_BATCHES):
+        ctes += [
+            f"""ab{b} AS (
+  SELECT eb.vec_id, CAST(arg_min(c.cluster, list_distance(eb.f, c.f)) AS INTEGER) AS cluster
+  FROM eb, st{b} c WHERE eb.b = {b} GROUP BY eb.vec_id)""",
+            f"""sb{b} AS (SELECT a.cluster, u.dim, sum(u.x) AS s, CAST(count(*) AS DOUBLE) AS m
+  FROM ab{b} a JOIN u USING (vec_id) GROUP BY a.cluster, u.dim)""",
+            f"""ub{b} AS (
+  SELECT cu.cluster, cu.dim, cu.w + coalesce(s.m, 0) AS w,
+         CASE WHEN coalesce(s.m, 0) > 0
+              THEN (1 - s.m / greatest(cu.w + s.m, 1e-16)) * cu.c
+                   + (s.m / greatest(cu.w + s.m, 1e-16)) / s.m * s.s
+              ELSE cu.c END AS v
+  FROM (SELECT cluster, w, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS c FROM st{b}) cu
+  LEFT JOIN sb{b} s USING (cluster, dim))""",
+            f"""st{b + 1} AS (SELECT cluster, list(v ORDER BY dim) AS f, any_value(w) AS w
+  FROM ub{b} GROUP BY cluster)""",
+            f"""pb{b} AS (
+  SELECT eb.vec_id, any_value(eb.label) AS label,
+         CAST(arg_min(c.cluster, list_distance(eb.f, c.f)) AS INTEGER) AS cluster,
+         min(list_distance(eb.f, c.f)) AS distance
+  FROM eb, st{b + 1} c WHERE eb.b = {b} GROUP BY eb.vec_id)""",
+        ]
+    return ctes
+
+
+def _union(template: str) -> str:
+    return "\nUNION ALL\n".join(template.format(b=b) for b in range(STREAM_BATCHES))
+
+
+STREAM_KMEANS = _with(E, *_stream_ctes()) + _union(
+    "SELECT {b} AS batch_id, CAST(cluster AS INTEGER) AS cluster, CAST(dim AS INTEGER) AS dim, "
+    "round(v, 6) AS value FROM ub{b}")
+
+STREAM_CLUSTER_LABEL_COUNTS = _with(E, *_stream_ctes()) + _union(
+    "SELECT {b} AS batch_id, cluster, label, count(*) AS cnt FROM pb{b} GROUP BY cluster, label")
+
+STREAM_MEAN_DISTANCE = _with(E, *_stream_ctes()) + _union(
+    "SELECT {b} AS batch_id, round(avg(distance), 6) AS mean_distance FROM pb{b}")
+
+STREAM_PREDICT = ASSIGN_CLUSTERS
+
+STREAM_WORD_COUNT = """
+SELECT word, count(*) AS cnt
+FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "label_histogram": LABEL_HISTOGRAM,
     "parse_numeric": PARSE_NUMERIC,
@@ -293,4 +349,9 @@ ORACLE_SQL: dict[str, str] = {
     "online_update": ONLINE_UPDATE,
     "online_update_points": ONLINE_UPDATE_POINTS,
     "online_score": ONLINE_SCORE,
+    "stream_kmeans": STREAM_KMEANS,
+    "stream_cluster_label_counts": STREAM_CLUSTER_LABEL_COUNTS,
+    "stream_mean_distance": STREAM_MEAN_DISTANCE,
+    "stream_predict": STREAM_PREDICT,
+    "stream_word_count": STREAM_WORD_COUNT,
 }
