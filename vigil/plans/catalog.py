@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators import anomaly, clustering, evaluation, features, online, parsing
+from vigil.operators import anomaly, clustering, evaluation, features, modeling, online, parsing
 from vigil.operators.clustering import Centers
 from vigil.session import shared_dir
 from vigil.sources import records
@@ -33,6 +33,15 @@ ONLINE_WEIGHT = 10.0
 ONLINE_DECAY_BATCHES = 0.5
 ONLINE_DECAY_POINTS = 0.999
 STREAM_BATCHES = 3
+# Seeded pyspark.ml fits (rows-only checks): the production model of the
+# original jobs is k=150 with epsilon 1e-6; best of BUILD_RUNS seeds here.
+FIT_K = 10
+FIT_RUNS = 3
+BUILD_K = 150
+BUILD_RUNS = 3
+FIT_TOL = 1e-6
+SAMPLE_FRACTION = 0.05
+SEED = 1
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -229,6 +238,54 @@ def q_online_score(spark, sf_dir):
     return online.online_score(emb, state).select(_r6("score").alias("score"))
 
 
+# --- seeded pyspark.ml fits, model store, export (rows-only checks) ---------------
+
+_SAVED_MODELS: dict[tuple[str, str], str] = {}
+
+
+def q_kmeans_fit(spark, sf_dir):
+    emb = _embeddings(spark, sf_dir)
+    fit = clustering.kmeans_fit(emb, k=FIT_K, runs=FIT_RUNS, tol=FIT_TOL, seed=SEED)
+    return modeling.cluster_sizes(clustering.assign_clusters(emb, fit.centers))
+
+
+def saved_model_path(spark, sf_dir) -> str:
+    """Train-and-publish on the records once per session; the bundle path."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SAVED_MODELS:
+        path = shared_dir(spark, "model")
+        modeling.build_model(records.record_lines(spark, sf_dir), k=BUILD_K, runs=BUILD_RUNS,
+                             tol=FIT_TOL, seed=SEED, path=path)
+        _SAVED_MODELS[key] = path
+    return _SAVED_MODELS[key]
+
+
+def q_build_model(spark, sf_dir):
+    lines = records.record_lines(spark, sf_dir)
+    bundle, _score = modeling.build_model(lines, k=BUILD_K, runs=BUILD_RUNS, tol=FIT_TOL,
+                                          seed=SEED)
+    tagged = clustering.assign_clusters(modeling.encode(lines, bundle), bundle.centers)
+    return modeling.cluster_sizes(tagged)
+
+
+def q_apply_saved_model(spark, sf_dir):
+    lines = records.record_lines(spark, sf_dir)
+    tagged = modeling.apply_saved_model(lines, saved_model_path(spark, sf_dir))
+    return modeling.cluster_sizes(tagged)
+
+
+def q_profile_clusters(spark, sf_dir):
+    emb = _embeddings(spark, sf_dir)
+    return modeling.profile_clusters(emb, k=2, seed=SEED, parsed=True)["crosstab"]
+
+
+def q_sample_assignments(spark, sf_dir):
+    emb = _embeddings(spark, sf_dir)
+    fit = clustering.kmeans_fit(emb, k=FIT_K, runs=1, tol=FIT_TOL, seed=SEED)
+    return modeling.sample_assignments(emb, fit.centers, SAMPLE_FRACTION, SEED,
+                                       path=shared_dir(spark, "sample"))
+
+
 # --- streaming ---------------------------------------------------------------------
 
 _STREAM_RUNS: dict[tuple[str, str], str] = {}
@@ -341,4 +398,9 @@ QUERIES: dict[str, QueryFn] = {
     "stream_mean_distance": q_stream_mean_distance,
     "stream_predict": q_stream_predict,
     "stream_word_count": q_stream_word_count,
+    "kmeans_fit": q_kmeans_fit,
+    "build_model": q_build_model,
+    "apply_saved_model": q_apply_saved_model,
+    "profile_clusters": q_profile_clusters,
+    "sample_assignments": q_sample_assignments,
 }
