@@ -23,7 +23,10 @@ def jvm_split(text, sep: str = ",") -> Column:
     """``text.split(sep)`` as the JVM does it, as ARRAY<STRING>."""
     text = _col(text)
     pattern = re.escape(sep)
-    stripped = F.regexp_replace(text, f"(?:{pattern})+$", "")
+    if len(sep) == 1:
+        stripped = F.rtrim(text, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(text, f"(?:{pattern})+$", "")
     return (
         F.when((text != F.lit("")) & (stripped == F.lit("")),
                F.array().cast(T.ArrayType(T.StringType())))

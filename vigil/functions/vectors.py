@@ -56,21 +56,42 @@ def dot(a, b) -> Column:
 def nearest_center(features, centers: Column) -> Column:
     """STRUCT(sq: DOUBLE, cluster: INT) of the nearest centre.
 
-    ``centers`` is an ARRAY<ARRAY<DOUBLE>> column (usually a literal).
-    ``array_min`` over (squared distance, index) structs breaks ties by the
-    lower index, like ``KMeansModel.predict``.
+    ``centers`` is an ARRAY<ARRAY<DOUBLE>> column (usually a literal). The
+    search is one ``aggregate`` over the centres whose start value carries
+    the feature vector, so the (possibly computed) features are evaluated
+    once per row rather than once per centre; each centre's distance is
+    computed once and ``array_min`` over (squared distance, index) keeps the
+    lower index on ties, like ``KMeansModel.predict``.
     """
     feats = _col(features)
-    return F.array_min(
-        F.transform(
-            centers,
-            lambda c, i: F.struct(squared_distance(feats, c).alias("sq"),
-                                  i.alias("cluster")),
-        )
-    )
+    best_type = T.StructType([T.StructField("sq", T.DoubleType()),
+                              T.StructField("cluster", T.IntegerType())])
+    start = F.struct(feats.alias("x"), F.lit(None).cast(best_type).alias("best"),
+                     F.lit(0).alias("i"))
+
+    def step(acc, c):
+        candidate = F.struct(squared_distance(acc["x"], c).alias("sq"),
+                             acc["i"].alias("cluster"))
+        return F.struct(acc["x"].alias("x"),
+                        F.array_min(F.array(acc["best"], candidate)).alias("best"),
+                        (acc["i"] + 1).alias("i"))
+
+    return F.aggregate(centers, start, step, lambda acc: acc["best"])
 
 
 def project(features, matrix_columns: Column) -> Column:
     """Row-vector × matrix: one dot product per matrix column."""
     feats = _col(features)
     return F.transform(matrix_columns, lambda col: dot(feats, col))
+
+
+def explode_dims(features, dim: str = "dim", value: str = "x") -> Column:
+    """(dim, value) generator columns for ``select``: one row per element.
+
+    ``posexplode_outer`` rather than ``posexplode``: the inner form makes the
+    optimizer infer a ``size(features) > 0`` filter and push it, with the
+    whole feature expression inlined, below the projection (evaluating the
+    features twice). Rows of empty/NULL arrays give a NULL ``dim``, which
+    callers filter out.
+    """
+    return F.posexplode_outer(_col(features)).alias(dim, value)

@@ -19,7 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.functions.vectors import distance, nearest_center, squared_distance, vector_literal
+from vigil.functions.vectors import (
+    distance,
+    explode_dims,
+    nearest_center,
+    squared_distance,
+    vector_literal,
+)
 
 # Upper bound of k × d for centres held on the driver and shipped as literals.
 MAX_CENTER_VALUES = 4_000_000
@@ -88,7 +94,7 @@ class Centers:
         Per-(group, dim) partial aggregates; the groups × d result is
         size-checked before it is collected.
         """
-        sums = (df.select(*by, F.posexplode(features).alias("dim", "x"))
+        sums = (df.select(*by, explode_dims(features)).filter(F.col("dim").isNotNull())
                 .groupBy(*by, "dim").agg(F.avg("x").alias("mean")))
         n = sums.count()
         if n > MAX_CENTER_VALUES:
@@ -179,11 +185,12 @@ def clustering_score(df: DataFrame, centers: Centers, features: str = "features"
 def cluster_sums(df: DataFrame, centers: Centers, features: str = "features") -> DataFrame:
     """(cluster, dim, s = Σ x, m = rows) for the nearest-centre partition.
 
-    ``posexplode`` runs inside the map-side stage and the hash aggregate's
+    The explode runs inside the map-side stage and the hash aggregate's
     partial step collapses it to ≤ k × d rows per task before the shuffle.
     """
     assigned = assign_clusters(df.select(features), centers, features)
-    exploded = assigned.select("cluster", F.posexplode(features).alias("dim", "x"))
+    exploded = (assigned.select("cluster", explode_dims(features))
+                .filter(F.col("dim").isNotNull()))
     return exploded.groupBy("cluster", "dim").agg(
         F.sum("x").alias("s"), F.count(F.lit(1)).alias("m"))
 

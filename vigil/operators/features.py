@@ -16,15 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.functions.vectors import vector_literal
+from vigil.functions.vectors import explode_dims, vector_literal
 from vigil.operators.parsing import (
     DEFAULT_CATEGORICAL,
+    FIELDS,
     _to_double,
     fields_of,
     numeric_segments,
+    with_fields,
 )
 
-# Largest dictionary (categories per field) and dimension count that may be
+# Largest dictionary (categories over all fields) and dimension count that may be
 # turned into driver-side literals.
 MAX_CATEGORIES = 100_000
 MAX_DIMENSIONS = 100_000
@@ -43,11 +45,11 @@ def category_dictionary(lines: DataFrame, value: str = "value",
     with a partial (map-side) aggregate, so only distinct pairs shuffle; the
     index is a dense rank inside each field's (small) category set.
     """
-    fields = fields_of(value, sep)
+    fields = F.col(FIELDS)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(int(p)).alias("field"), fields[int(p)].alias("category"))
         for p in categorical]))
-    distinct = lines.select(pairs.alias("p")).select("p.*").distinct()
+    distinct = with_fields(lines, value, sep).select(pairs.alias("p")).select("p.*").distinct()
     w = Window.partitionBy("field").orderBy("category")
     return distinct.select(
         "field", "category", (F.dense_rank().over(w) - 1).cast("int").alias("idx"))
@@ -67,13 +69,15 @@ class Dictionary:
 
     @classmethod
     def from_table(cls, table: DataFrame) -> "Dictionary":
-        sizes = table.groupBy("field").count().collect()
-        too_big = [r["field"] for r in sizes if r["count"] > MAX_CATEGORIES]
-        if too_big:
-            raise ValueError(f"fields {too_big} have over {MAX_CATEGORIES} categories; "
+        """Collect a (field, category, idx) table; at most MAX_CATEGORIES rows
+        are fetched, so an over-large dictionary fails instead of flooding
+        the driver."""
+        rows = table.limit(MAX_CATEGORIES + 1).collect()
+        if len(rows) > MAX_CATEGORIES:
+            raise ValueError(f"over {MAX_CATEGORIES} categories in total; "
                              "one-hot encoding them is not supported")
         cats: dict[int, list[tuple[int, str]]] = {}
-        for r in table.collect():
+        for r in rows:
             cats.setdefault(int(r["field"]), []).append((int(r["idx"]), r["category"]))
         return cls({f: tuple(c for _, c in sorted(v)) for f, v in sorted(cats.items())})
 
@@ -117,7 +121,8 @@ def one_hot_features(lines: DataFrame, dictionary: Dictionary | None = None,
     """
     if dictionary is None:
         dictionary = Dictionary.fit(lines, value, sep=sep)
-    fields = fields_of(value, sep)
+    lines = with_fields(lines, value, sep)
+    fields = F.col(FIELDS)
     to_double = _to_double(mode)
     parts = []
     for kind, item in numeric_segments(fields, list(dictionary.categories), to_double):
@@ -144,11 +149,11 @@ def one_hot_features(lines: DataFrame, dictionary: Dictionary | None = None,
 def column_stats(df: DataFrame, features: str = "features") -> DataFrame:
     """(dim INT, n BIGINT, mean DOUBLE, sd_pop DOUBLE) per vector dimension.
 
-    One pass: ``posexplode`` feeds a hash aggregate keyed by dimension, whose
+    One pass: the per-element explode feeds a hash aggregate keyed by dimension, whose
     partial (map-side) step leaves one row per dimension per task before the
     shuffle. ``stddev_pop`` is the numerically stable population sd.
     """
-    exploded = df.select(F.posexplode(features).alias("dim", "x"))
+    exploded = df.select(explode_dims(features)).filter(F.col("dim").isNotNull())
     return exploded.groupBy("dim").agg(
         F.count("x").alias("n"),
         F.avg("x").alias("mean"),
@@ -181,12 +186,17 @@ class Stats:
 
 
 def zscore_column(features: str | Column, stats: Stats) -> Column:
-    """(x − mean)/sd per dimension; a dimension with sd ≤ 0 is only centred."""
+    """(x − mean)/sd per dimension; a dimension with sd ≤ 0 is only centred.
+
+    The dimension is known once the statistics are fitted, so the result is
+    one plain arithmetic expression per element (code-generated, no lambda).
+    """
     feats = F.col(features) if isinstance(features, str) else features
-    means = vector_literal(stats.mean)
-    sds = vector_literal(stats.sd)
-    return F.transform(feats, lambda x, i: F.when(
-        sds[i] <= 0, x - means[i]).otherwise((x - means[i]) / sds[i]))
+    parts = []
+    for i, (m, sd) in enumerate(zip(stats.mean, stats.sd)):
+        x = feats[i]
+        parts.append(x - F.lit(m) if sd <= 0 else (x - F.lit(m)) / F.lit(sd))
+    return F.array(*parts).cast(T.ArrayType(T.DoubleType()))
 
 
 def zscore(df: DataFrame, stats: Stats | None = None, features: str = "features",
@@ -239,10 +249,11 @@ def random_projection(df: DataFrame, matrix: np.ndarray, features: str = "featur
     """Project every row onto the matrix columns (one dot product each)."""
     if matrix.shape[0] * matrix.shape[1] > MAX_DIMENSIONS * 3:
         raise ValueError("projection matrix too large for a literal")
-    cols = vector_literal(matrix.T.tolist())
-    projected = F.transform(cols, lambda c: F.aggregate(
-        F.zip_with(F.col(features), c, lambda a, b: a * b), F.lit(0.0),
-        lambda acc, v: acc + v))
+    feats = F.col(features)
+    projected = F.array(*[
+        sum((feats[i] * F.lit(float(matrix[i, j])) for i in range(1, matrix.shape[0])),
+            feats[0] * F.lit(float(matrix[0, j])))
+        for j in range(matrix.shape[1])])
     tmp = "__proj"
     out = df.withColumn(tmp, projected)
     return out.select(*[c for c in df.columns if c != features],

@@ -56,6 +56,15 @@ def numeric_segments(fields: Column, categorical: Sequence[int], to_double) -> l
     return segments
 
 
+FIELDS = "__fields"
+
+
+def with_fields(lines: DataFrame, value: str = "value", sep: str = ",") -> DataFrame:
+    """Add the split fields as a column, so that the split runs once per line
+    however many expressions read the fields."""
+    return lines.withColumn(FIELDS, fields_of(value, sep))
+
+
 def parse_numeric(lines: DataFrame, value: str = "value",
                   categorical: Sequence[int] = DEFAULT_CATEGORICAL,
                   mode: str = "strict", keep_line: bool = False,
@@ -65,7 +74,8 @@ def parse_numeric(lines: DataFrame, value: str = "value",
     ``mode="strict"`` fails on a non-numeric field (ANSI cast);
     ``"permissive"`` turns it into NULL.
     """
-    fields = fields_of(value, sep)
+    lines = with_fields(lines, value, sep)
+    fields = F.col(FIELDS)
     to_double = _to_double(mode)
     parts = [c for kind, c in numeric_segments(fields, categorical, to_double)
              if kind == "num"]

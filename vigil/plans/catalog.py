@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.functions.vectors import explode_dims
 from vigil.operators import anomaly, clustering, evaluation, features, modeling, online, parsing
 from vigil.operators.clustering import Centers
 from vigil.session import shared_dir
@@ -75,7 +76,7 @@ def q_category_dictionary(spark, sf_dir):
 
 def q_one_hot_features(spark, sf_dir):
     encoded = features.one_hot_features(records.record_lines(spark, sf_dir))
-    cells = encoded.select("label", F.posexplode("features").alias("dim", "x"))
+    cells = encoded.select("label", explode_dims("features")).filter(F.col("dim").isNotNull())
     return cells.groupBy("label", F.col("dim").cast("int").alias("dim")).agg(
         F.round(F.sum("x"), 2).alias("total"))
 
