@@ -250,26 +250,33 @@ def q_kmeans_fit(spark, sf_dir):
     return modeling.cluster_sizes(clustering.assign_clusters(emb, fit.centers))
 
 
+def publish_model(spark, sf_dir):
+    """Train-and-publish on the records (saved to the shared folder)."""
+    path = shared_dir(spark, "model")
+    bundle, score = modeling.build_model(records.record_lines(spark, sf_dir), k=BUILD_K,
+                                         runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED, path=path)
+    _SAVED_MODELS[(spark.sparkContext.applicationId, sf_dir)] = path
+    return bundle, score
+
+
 def saved_model_path(spark, sf_dir) -> str:
-    """Train-and-publish on the records once per session; the bundle path."""
+    """The published model of this session, trained first if there is none."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SAVED_MODELS:
-        path = shared_dir(spark, "model")
-        modeling.build_model(records.record_lines(spark, sf_dir), k=BUILD_K, runs=BUILD_RUNS,
-                             tol=FIT_TOL, seed=SEED, path=path)
-        _SAVED_MODELS[key] = path
+        publish_model(spark, sf_dir)
     return _SAVED_MODELS[key]
 
 
 def q_build_model(spark, sf_dir):
+    """Cluster sizes of the training records under the published model."""
+    bundle, _score = publish_model(spark, sf_dir)
     lines = records.record_lines(spark, sf_dir)
-    bundle, _score = modeling.build_model(lines, k=BUILD_K, runs=BUILD_RUNS, tol=FIT_TOL,
-                                          seed=SEED)
     tagged = clustering.assign_clusters(modeling.encode(lines, bundle), bundle.centers)
     return modeling.cluster_sizes(tagged)
 
 
 def q_apply_saved_model(spark, sf_dir):
+    """Load the published model and tag every record line with it."""
     lines = records.record_lines(spark, sf_dir)
     tagged = modeling.apply_saved_model(lines, saved_model_path(spark, sf_dir))
     return modeling.cluster_sizes(tagged)

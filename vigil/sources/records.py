@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.vectors import as_double_array
+from vigil.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One test table; spread over the cores when it arrives in fewer splits."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per text line: ``value STRING`` (``sc.textFile``)."""
-    return spark.read.text(path)
+    return spread(spark.read.text(path))
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
