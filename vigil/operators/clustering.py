@@ -27,8 +27,9 @@ from vigil.functions.vectors import (
     vector_literal,
 )
 
-# Upper bound of k × d for centres held on the driver and shipped as literals.
-MAX_CENTER_VALUES = 4_000_000
+# Upper bound of k × d for centres held on the driver (8 MB of doubles); they
+# reach the tasks as a plan literal (small k × d) or a broadcast variable.
+MAX_CENTER_VALUES = 1_000_000
 # Up to this many element operations per row (k × d) the nearest-centre search
 # is a built-in higher-order-function expression. Those are interpreted (not
 # whole-stage code-generated), so above the limit an Arrow-batched numpy kernel
@@ -118,31 +119,37 @@ class Centers:
         return spark.createDataFrame(rows, schema)
 
 
-def _numpy_nearest(centers: np.ndarray):
-    """Arrow-batched nearest-centre kernel (used for large k × d only)."""
-    cn2 = (centers * centers).sum(axis=1)
+def _numpy_nearest(spark: SparkSession, centers: np.ndarray):
+    """Arrow-batched nearest-centre kernel (used for large k × d only).
+
+    The centres travel once per executor as a broadcast variable; each
+    Arrow batch is one matrix product against them.
+    """
+    shared = spark.sparkContext.broadcast(centers)
 
     @F.pandas_udf("struct<sq:double,cluster:int>")
     def nearest(feats: pd.Series) -> pd.DataFrame:
+        c = shared.value
         if len(feats) == 0:
             return pd.DataFrame({"sq": pd.Series([], dtype=float),
                                  "cluster": pd.Series([], dtype="int32")})
         x = np.stack(feats.to_numpy()).astype(float)
-        approx = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ centers.T) + cn2[None, :]
+        approx = ((x * x).sum(axis=1)[:, None] - 2.0 * (x @ c.T)
+                  + (c * c).sum(axis=1)[None, :])
         best = approx.argmin(axis=1)
-        diff = x - centers[best]
+        diff = x - c[best]
         return pd.DataFrame({"sq": (diff * diff).sum(axis=1),
                              "cluster": best.astype("int32")})
 
     return nearest
 
 
-def nearest_struct(features: str | Column, centers: Centers) -> Column:
+def nearest_struct(spark: SparkSession, features: str | Column, centers: Centers) -> Column:
     """STRUCT(sq, cluster) for the nearest centre of each row."""
     feats = F.col(features) if isinstance(features, str) else features
     if centers.k * centers.dim <= EXPRESSION_LIMIT:
         return nearest_center(feats, centers.literal())
-    return _numpy_nearest(centers.values)(feats)
+    return _numpy_nearest(spark, centers.values)(feats)
 
 
 def assign_clusters(df: DataFrame, centers: Centers, features: str = "features",
@@ -152,7 +159,7 @@ def assign_clusters(df: DataFrame, centers: Centers, features: str = "features",
     A narrow projection: no shuffle, no row blow-up.
     """
     tmp = "__nearest"
-    out = df.withColumn(tmp, nearest_struct(features, centers))
+    out = df.withColumn(tmp, nearest_struct(df.sparkSession, features, centers))
     out = out.withColumn(prediction, F.col(f"{tmp}.cluster"))
     if distance_col:
         out = out.withColumn(distance_col, F.sqrt(F.col(f"{tmp}.sq")))

@@ -28,7 +28,7 @@ from vigil.operators.parsing import (
 
 # Largest dictionary (categories over all fields) and dimension count that may be
 # turned into driver-side literals.
-MAX_CATEGORIES = 100_000
+MAX_CATEGORIES = 10_000
 MAX_DIMENSIONS = 100_000
 
 
@@ -36,20 +36,38 @@ MAX_DIMENSIONS = 100_000
 # Category dictionaries and one-hot encoding
 # ----------------------------------------------------------------------------
 
-def category_dictionary(lines: DataFrame, value: str = "value",
+def distinct_categories(lines: DataFrame, value: str = "value",
                         categorical: Sequence[int] = DEFAULT_CATEGORICAL,
                         sep: str = ",") -> DataFrame:
-    """(field INT, category STRING, idx INT): categories indexed alphabetically.
-
-    One pass over the lines: the (field, category) pairs are de-duplicated
-    with a partial (map-side) aggregate, so only distinct pairs shuffle; the
-    index is a dense rank inside each field's (small) category set.
-    """
+    """Distinct (field INT, category STRING) pairs, de-duplicated with a
+    partial (map-side) aggregate so only distinct pairs shuffle."""
     fields = F.col(FIELDS)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(int(p)).alias("field"), fields[int(p)].alias("category"))
         for p in categorical]))
-    distinct = with_fields(lines, value, sep).select(pairs.alias("p")).select("p.*").distinct()
+    return with_fields(lines, value, sep).select(pairs.alias("p")).select("p.*").distinct()
+
+
+def category_dictionary(lines: DataFrame, value: str = "value",
+                        categorical: Sequence[int] = DEFAULT_CATEGORICAL,
+                        sep: str = ",") -> DataFrame:
+    """(field INT, category STRING, idx INT): categories indexed alphabetically.
+
+    The index is a dense rank inside each field's category set; the set
+    sizes are checked (at most MAX_CATEGORIES) before the per-field window
+    runs, so no task ranks an unbounded group.
+    """
+    distinct = distinct_categories(lines, value, categorical, sep).persist()
+    try:
+        sizes = distinct.groupBy("field").count().collect()
+    except Exception:
+        distinct.unpersist()
+        raise
+    too_big = [r["field"] for r in sizes if r["count"] > MAX_CATEGORIES]
+    if too_big:
+        distinct.unpersist()
+        raise ValueError(f"fields {too_big} have over {MAX_CATEGORIES} categories; "
+                         "one-hot encoding them is not supported")
     w = Window.partitionBy("field").orderBy("category")
     return distinct.select(
         "field", "category", (F.dense_rank().over(w) - 1).cast("int").alias("idx"))
@@ -64,8 +82,17 @@ class Dictionary:
     @classmethod
     def fit(cls, lines: DataFrame, value: str = "value",
             categorical: Sequence[int] = DEFAULT_CATEGORICAL, sep: str = ",") -> "Dictionary":
-        table = category_dictionary(lines, value, categorical, sep)
-        return cls.from_table(table)
+        """One job: the distinct pairs (at most MAX_CATEGORIES are fetched),
+        indexed alphabetically per field on the driver."""
+        rows = distinct_categories(lines, value, categorical, sep).limit(
+            MAX_CATEGORIES + 1).collect()
+        if len(rows) > MAX_CATEGORIES:
+            raise ValueError(f"over {MAX_CATEGORIES} categories in total; "
+                             "one-hot encoding them is not supported")
+        cats: dict[int, list[str]] = {}
+        for r in rows:
+            cats.setdefault(int(r["field"]), []).append(r["category"])
+        return cls({f: tuple(sorted(c)) for f, c in sorted(cats.items())})
 
     @classmethod
     def from_table(cls, table: DataFrame) -> "Dictionary":
