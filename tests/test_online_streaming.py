@@ -163,3 +163,25 @@ def test_sample_assignments_subset(spark, scratch):
     rows = sample.collect()
     assert 0 < len(rows) < 500
     assert all(full[tuple(r["features"])] == r["cluster"] for r in rows)
+
+
+def test_stream_predict_with_saved_model(spark, scratch):
+    from vigil.operators import modeling
+    from vigil.streaming import stream_predict
+
+    rows = [f"{i % 5},{'tcp' if i % 2 else 'udp'},http,SF,{i % 3},{'n' if i % 4 else 'a'}"
+            for i in range(120)]
+    lines = spark.createDataFrame([(r,) for r in rows], "value STRING")
+    modeling.build_model(lines, k=3, runs=1, path=f"{scratch}/m")
+    src = f"{scratch}/in"
+    os.makedirs(src)
+    with open(f"{src}/part-0.txt", "w") as fh:
+        fh.write("\n".join(rows) + "\n")
+    predicted = stream_predict(stream_lines(spark, src), f"{scratch}/m", distance=True)
+    run_available(predicted.select("value", "cluster", "distance").writeStream
+                  .format("parquet").option("path", f"{scratch}/out"), f"{scratch}/ckpt")
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/out").collect())
+    batch = modeling.apply_saved_model(lines, f"{scratch}/m").select("label", "cluster", "distance")
+    assert len(got) == 120
+    assert sorted((r[1], round(r[2], 9)) for r in got) == sorted(
+        (r[1], round(r[2], 9)) for r in batch.collect())

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.session import spread
 from vigil.functions.vectors import (
     distance,
     explode_dims,
@@ -97,10 +98,9 @@ class Centers:
         """
         sums = (df.select(*by, explode_dims(features)).filter(F.col("dim").isNotNull())
                 .groupBy(*by, "dim").agg(F.avg("x").alias("mean")))
-        n = sums.count()
-        if n > MAX_CENTER_VALUES:
-            raise ValueError(f"{n} centre values exceed {MAX_CENTER_VALUES}")
-        rows = sums.orderBy(*by, "dim").collect()
+        rows = sums.orderBy(*by, "dim").limit(MAX_CENTER_VALUES + 1).collect()
+        if len(rows) > MAX_CENTER_VALUES:
+            raise ValueError(f"over {MAX_CENTER_VALUES} centre values")
         groups: dict[tuple, list[float]] = {}
         for r in rows:
             groups.setdefault(tuple(r[c] for c in by), []).append(float(r["mean"]))
@@ -227,7 +227,7 @@ def lloyd(df: DataFrame, centers: Centers, iterations: int, features: str = "fea
 
     The input is persisted for the loop and released afterwards.
     """
-    data = df.select(features).persist()
+    data = spread(df.select(features)).persist()
     try:
         for _ in range(iterations):
             new = lloyd_step(data, centers, features)
@@ -259,7 +259,7 @@ def kmeans_fit(df: DataFrame, k: int = 2, runs: int = 1, tol: float = 1e-4,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    vec = df.select(array_to_vector(features).alias("__v")).persist()
+    vec = spread(df.select(array_to_vector(features).alias("__v"))).persist()
     try:
         best: FitResult | None = None
         for r in range(runs):

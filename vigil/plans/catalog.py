@@ -22,7 +22,13 @@ from vigil.operators import anomaly, clustering, evaluation, features, modeling,
 from vigil.operators.clustering import Centers
 from vigil.session import shared_dir
 from vigil.sources import records
-from vigil.streaming import StreamingKMeans, stage_slice, stream_table, stream_word_count
+from vigil.streaming import (
+    StreamingKMeans,
+    stage_slice,
+    stream_predict,
+    stream_table,
+    stream_word_count,
+)
 from vigil.streaming.sources import run_available
 
 # Fixed values shared with the oracle SQL.
@@ -186,19 +192,18 @@ def q_random_projection(spark, sf_dir):
 
 # --- anomalies on the records ------------------------------------------------------
 
+def group_mean_centres(normalized: DataFrame) -> Centers:
+    """One centre per (returnflag, linestatus): the mean normalised vector."""
+    fields = parsing.fields_of("value")
+    keyed = normalized.select(fields[1].alias("rf"), fields[2].alias("ls"), "features")
+    return Centers.from_group_means(keyed, ["rf", "ls"])
+
+
 def anomaly_detector(spark, sf_dir, lines: DataFrame | None = None):
     """Detector over one-hot + z-scored records with one centre per
     (returnflag, linestatus) group (deterministic stand-in for the k-means fit)."""
     lines = lines if lines is not None else records.record_lines(spark, sf_dir)
-    fields = parsing.fields_of("value")
-    dictionary = features.Dictionary.fit(lines)
-    encoded = features.one_hot_features(lines, dictionary, keep_line=True)
-    stats = features.Stats.fit(encoded)
-    z = encoded.select(fields[1].alias("rf"), fields[2].alias("ls"),
-                       features.zscore_column("features", stats).alias("features"))
-    centers = Centers.from_group_means(z, ["rf", "ls"])
-    return anomaly.fit_anomaly_detector(lines, rank=ANOMALY_RANK, centers=centers,
-                                        dictionary=dictionary, stats=stats)
+    return anomaly.fit_anomaly_detector(lines, rank=ANOMALY_RANK, centers=group_mean_centres)
 
 
 def q_detect_anomalies(spark, sf_dir):
@@ -338,6 +343,14 @@ def q_stream_kmeans(spark, sf_dir):
                           _r6("value").alias("value"))
 
 
+def q_stream_centers(spark, sf_dir):
+    """Centres before and after each micro-batch's update."""
+    out = run_stream_kmeans(spark, sf_dir)
+    centres = spark.read.parquet(f"{out}/centers")
+    return centres.select(F.col("batch_id").cast("int").alias("batch_id"), "phase", "cluster",
+                          "dim", _r6("value").alias("value"), _r6("weight").alias("weight"))
+
+
 def q_stream_cluster_label_counts(spark, sf_dir):
     out = run_stream_kmeans(spark, sf_dir)
     counts = spark.read.parquet(f"{out}/counts")
@@ -360,7 +373,7 @@ def q_stream_predict(spark, sf_dir):
     stream = stream_table(spark, sf_dir, raw.schema, glob="embeddings.parquet")
     stream = stream.select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
     root = shared_dir(spark, "stream-predict")
-    predicted = clustering.assign_clusters(stream, centers).select("vec_id", "cluster")
+    predicted = stream_predict(stream, centers).select("vec_id", "cluster")
     run_available(predicted.writeStream.format("parquet").option("path", f"{root}/out"),
                   f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
@@ -402,6 +415,7 @@ QUERIES: dict[str, QueryFn] = {
     "online_update_points": q_online_update_points,
     "online_score": q_online_score,
     "stream_kmeans": q_stream_kmeans,
+    "stream_centers": q_stream_centers,
     "stream_cluster_label_counts": q_stream_cluster_label_counts,
     "stream_mean_distance": q_stream_mean_distance,
     "stream_predict": q_stream_predict,

@@ -313,6 +313,13 @@ STREAM_KMEANS = _with(E, *_stream_ctes()) + _union(
     "SELECT {b} AS batch_id, CAST(cluster AS INTEGER) AS cluster, CAST(dim AS INTEGER) AS dim, "
     "round(v, 6) AS value FROM ub{b}")
 
+STREAM_CENTERS = _with(E, *_stream_ctes()) + _union(
+    "SELECT {b} AS batch_id, 'before' AS phase, CAST(cluster AS INTEGER) AS cluster, "
+    "CAST(generate_subscripts(f, 1) - 1 AS INTEGER) AS dim, round(unnest(f), 6) AS value, "
+    "round(w, 6) AS weight FROM st{b} "
+    "UNION ALL SELECT {b}, 'after', CAST(cluster AS INTEGER), CAST(dim AS INTEGER), "
+    "round(v, 6), round(w, 6) FROM ub{b}")
+
 STREAM_CLUSTER_LABEL_COUNTS = _with(E, *_stream_ctes()) + _union(
     "SELECT {b} AS batch_id, cluster, label, count(*) AS cnt FROM pb{b} GROUP BY cluster, label")
 
@@ -350,6 +357,7 @@ ORACLE_SQL: dict[str, str] = {
     "online_update_points": ONLINE_UPDATE_POINTS,
     "online_score": ONLINE_SCORE,
     "stream_kmeans": STREAM_KMEANS,
+    "stream_centers": STREAM_CENTERS,
     "stream_cluster_label_counts": STREAM_CLUSTER_LABEL_COUNTS,
     "stream_mean_distance": STREAM_MEAN_DISTANCE,
     "stream_predict": STREAM_PREDICT,

@@ -11,8 +11,7 @@ from vigil.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table; spread over the cores when it arrives in fewer splits."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -30,14 +29,16 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The join is an ordinary equi-join on the order key; Catalyst prunes
     both scans to the eight columns used and AQE picks the join strategy
-    from runtime sizes (sort-merge at scale, no unchecked broadcast).
+    from runtime sizes (sort-merge at scale, no unchecked broadcast). The
+    joined lines are spread over the cores when they come out of fewer
+    partitions than that (small inputs only).
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_linenumber",
         "l_extendedprice", "l_discount", "l_tax")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
-    return joined.select(
+    return spread(joined.select(
         F.concat_ws(
             ",",
             F.col("l_quantity").cast("string"),
@@ -49,15 +50,15 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_tax").cast("string"),
             "o_orderstatus",
         ).alias("value")
-    )
+    ))
 
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` as (vec_id, label, features ARRAY<DOUBLE>)."""
-    return table(spark, sf_dir, "embeddings").select(
+    return spread(table(spark, sf_dir, "embeddings").select(
         "vec_id", "label",
         as_double_array("embedding").alias("features"),
-    )
+    ))
 
 
 def write_assignments(df: DataFrame, path: str, cluster: str = "cluster",

@@ -1,12 +1,14 @@
 """Structured Streaming: sources, per-batch sinks, word count, online k-means."""
 
 from vigil.streaming.kmeans import StreamingKMeans
+from vigil.streaming.predict import stream_predict
 from vigil.streaming.sources import stage_slice, stream_lines, stream_table
 from vigil.streaming.wordcount import stream_word_count, word_counts
 
 __all__ = [
     "StreamingKMeans",
     "stage_slice",
+    "stream_predict",
     "stream_lines",
     "stream_table",
     "stream_word_count",

@@ -20,6 +20,7 @@ from pyspark.sql.utils import AnalysisException
 from vigil.operators.clustering import assign_clusters
 from vigil.operators.evaluation import cluster_label_counts
 from vigil.operators.online import OnlineState, online_update, state_table
+from vigil.session import spread
 from vigil.streaming.sources import write_batch
 
 
@@ -52,7 +53,7 @@ class StreamingKMeans:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cols = [self.features] + ([self.label] if self.label else [])
-        data = batch.select(*cols).persist()
+        data = spread(batch.select(*cols)).persist()
         try:
             before = self.state_before(batch, batch_id)
             after = online_update(data, before, self.features)

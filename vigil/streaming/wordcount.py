@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import words
+from vigil.session import spread
 from vigil.streaming.sources import write_batch
 
 
@@ -29,7 +30,7 @@ def stream_word_count(stream: DataFrame, out: str, text: str = "value",
     """
     if mode == "batch":
         def each(batch: DataFrame, batch_id: int) -> None:
-            write_batch(word_counts(batch, text), out, batch_id)
+            write_batch(word_counts(spread(batch), text), out, batch_id)
 
         return stream.writeStream.foreachBatch(each)
     if mode == "complete":
