@@ -185,3 +185,17 @@ def test_stream_predict_with_saved_model(spark, scratch):
     assert len(got) == 120
     assert sorted((r[1], round(r[2], 9)) for r in got) == sorted(
         (r[1], round(r[2], 9)) for r in batch.collect())
+
+
+def test_echo_and_cluster_count(spark, scratch, capsys):
+    from vigil.operators.evaluation import cluster_count
+
+    src = f"{scratch}/text"
+    os.makedirs(src)
+    with open(f"{src}/p.txt", "w") as fh:
+        fh.write("a b a\n")
+    run_available(stream_word_count(stream_lines(spark, src), f"{scratch}/out", echo_rows=10),
+                  f"{scratch}/ckpt")
+    assert "batch 0" in capsys.readouterr().out
+    df = spark.createDataFrame([(0,), (2,), (2,)], "cluster INT")
+    assert cluster_count(df).first()[0] == 2

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.session import spread
+from vigil.session import cached, spread
 from vigil.functions.vectors import (
     distance,
     explode_dims,
@@ -189,6 +189,11 @@ def clustering_score(df: DataFrame, centers: Centers, features: str = "features"
 # Lloyd iterations with given centres (deterministic)
 # ----------------------------------------------------------------------------
 
+def _is_cached(df: DataFrame) -> bool:
+    level = df.storageLevel
+    return level.useMemory or level.useDisk
+
+
 def cluster_sums(df: DataFrame, centers: Centers, features: str = "features") -> DataFrame:
     """(cluster, dim, s = Σ x, m = rows) for the nearest-centre partition.
 
@@ -225,19 +230,18 @@ def lloyd(df: DataFrame, centers: Centers, iterations: int, features: str = "fea
           tol: float = 0.0) -> Centers:
     """``iterations`` Lloyd steps (stops early once no centre moves more than ``tol``).
 
-    The input is persisted for the loop and released afterwards.
+    The input is persisted for the loop (unless the caller already did) and
+    released afterwards.
     """
-    data = spread(df.select(features)).persist()
-    try:
+    source = df if _is_cached(df) else spread(df.select(features))
+    with cached(source) as data:
         for _ in range(iterations):
             new = lloyd_step(data, centers, features)
             moved = np.sqrt(((new.values - centers.values) ** 2).sum(axis=1)).max()
             centers = new
             if tol > 0 and moved <= tol:
                 break
-        return centers
-    finally:
-        data.unpersist()
+    return centers
 
 
 # ----------------------------------------------------------------------------
@@ -288,8 +292,7 @@ def sweep_k(df: DataFrame, ks: Iterable[int],
     fits are submitted as concurrent Spark jobs.
     """
     spark = df.sparkSession
-    data = df.persist()
-    try:
+    with cached(df) as data:
         def one(k: int) -> tuple[int, float]:
             return int(k), float(score(data, fit(data, k)))
 
@@ -299,8 +302,6 @@ def sweep_k(df: DataFrame, ks: Iterable[int],
                 results = list(pool.map(one, ks))
         else:
             results = [one(k) for k in ks]
-    finally:
-        data.unpersist()
     return spark.createDataFrame(results, "k INT, score DOUBLE")
 
 

@@ -30,6 +30,11 @@ def cluster_label_counts(assigned: DataFrame, cluster: str = "cluster",
             .orderBy(cluster, label))
 
 
+def cluster_count(assigned: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """One row ``n_clusters``: distinct clusters present."""
+    return assigned.agg(F.countDistinct(cluster).alias("n_clusters"))
+
+
 def entropy_of_counts(counts: list[int]) -> float:
     """Shannon entropy (natural log) of positive counts (driver helper)."""
     values = [c for c in counts if c > 0]

@@ -79,3 +79,28 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+class cached:
+    """Context manager: persist a DataFrame for a multi-pass step unless it is
+    already persisted, and release it afterwards only if it was persisted here.
+
+        with cached(df) as data:
+            ... several actions on data ...
+    """
+
+    def __init__(self, df):
+        self.df = df
+        self.owned = False
+
+    def __enter__(self):
+        level = self.df.storageLevel
+        if not (level.useMemory or level.useDisk):
+            self.df = self.df.persist()
+            self.owned = True
+        return self.df
+
+    def __exit__(self, *exc):
+        if self.owned:
+            self.df.unpersist()
+        return False

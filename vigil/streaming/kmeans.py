@@ -21,7 +21,7 @@ from vigil.operators.clustering import assign_clusters
 from vigil.operators.evaluation import cluster_label_counts
 from vigil.operators.online import OnlineState, online_update, state_table
 from vigil.session import spread
-from vigil.streaming.sources import write_batch
+from vigil.streaming.sources import echo, write_batch
 
 
 @dataclass
@@ -30,6 +30,7 @@ class StreamingKMeans:
     out: str
     features: str = "features"
     label: str | None = "label"
+    echo_rows: int | None = None  # print this many result rows a batch (console)
     _memo: tuple[int, OnlineState] | None = field(default=None, repr=False)
 
     @property
@@ -63,8 +64,10 @@ class StreamingKMeans:
             write_batch(centres, f"{self.out}/centers", batch_id)
             scored = assign_clusters(data, after.model, self.features, distance_col="distance")
             if self.label:
-                write_batch(cluster_label_counts(scored, "cluster", self.label),
-                            f"{self.out}/counts", batch_id)
+                counts = cluster_label_counts(scored, "cluster", self.label)
+                write_batch(counts, f"{self.out}/counts", batch_id)
+                if self.echo_rows:
+                    echo(counts, batch_id, self.echo_rows)
             write_batch(scored.agg(F.avg("distance").alias("mean_distance")),
                         f"{self.out}/mean_distance", batch_id)
             self._memo = (batch_id, after)

@@ -55,3 +55,16 @@ def run_available(writer, checkpoint: str) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def start_stream(writer, checkpoint: str, interval: str = "10 seconds"):
+    """Start a long-running stream with a fixed micro-batch cadence
+    (``trigger(processingTime=…)``); returns the StreamingQuery."""
+    return (writer.option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval).start())
+
+
+def echo(df: DataFrame, batch_id: int, rows: int = 10) -> None:
+    """Print the first ``rows`` rows of a batch result (console sink)."""
+    print(f"-------- batch {batch_id} --------")
+    df.show(rows, truncate=False)

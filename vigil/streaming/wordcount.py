@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.text import words
 from vigil.session import spread
-from vigil.streaming.sources import write_batch
+from vigil.streaming.sources import echo, write_batch
 
 
 def word_counts(df: DataFrame, text: str = "value") -> DataFrame:
@@ -21,16 +21,20 @@ def word_counts(df: DataFrame, text: str = "value") -> DataFrame:
 
 
 def stream_word_count(stream: DataFrame, out: str, text: str = "value",
-                      mode: str = "batch"):
+                      mode: str = "batch", echo_rows: int | None = None):
     """A stream writer (not started) for word counts.
 
     ``mode="batch"``: each micro-batch's own counts go to ``out/batch_id=N``.
     ``mode="complete"``: Spark keeps the running total in its state store and
     every batch rewrites ``out/batch_id=N`` with the full table.
+    ``echo_rows`` also prints that many rows of each batch's result.
     """
     if mode == "batch":
         def each(batch: DataFrame, batch_id: int) -> None:
-            write_batch(word_counts(spread(batch), text), out, batch_id)
+            counts = word_counts(spread(batch), text)
+            write_batch(counts, out, batch_id)
+            if echo_rows:
+                echo(counts, batch_id, echo_rows)
 
         return stream.writeStream.foreachBatch(each)
     if mode == "complete":
@@ -38,6 +42,8 @@ def stream_word_count(stream: DataFrame, out: str, text: str = "value",
 
         def each_total(batch: DataFrame, batch_id: int) -> None:
             write_batch(batch, out, batch_id)
+            if echo_rows:
+                echo(batch, batch_id, echo_rows)
 
         return totals.writeStream.outputMode("complete").foreachBatch(each_total)
     raise ValueError("mode must be 'batch' or 'complete'")
