@@ -199,3 +199,24 @@ def test_echo_and_cluster_count(spark, scratch, capsys):
     assert "batch 0" in capsys.readouterr().out
     df = spark.createDataFrame([(0,), (2,), (2,)], "cluster INT")
     assert cluster_count(df).first()[0] == 2
+
+
+def test_streaming_kmeans_random_init_on_text_lines(spark, scratch):
+    from conftest import SF0001 as sf
+    from vigil.operators import parsing
+    from vigil.sources.records import record_lines
+
+    lines = record_lines(spark, sf)
+    lines.filter(F.substring("value", 1, 1) < "3").write.text(f"{scratch}/in")
+    vectors = parsing.parse_numeric(stream_lines(spark, f"{scratch}/in"))
+    init = online.streaming_kmeans_init(k=10, dim=4, weight=0.0, decay=1.0, seed=1)
+    skm = StreamingKMeans(init, out=f"{scratch}/online")
+    run_available(skm.writer(vectors), f"{scratch}/ckpt")
+    lines.filter(F.substring("value", 1, 1) >= "3").write.mode("append").text(f"{scratch}/in")
+    run_available(skm.writer(vectors), f"{scratch}/ckpt")
+    state = spark.read.parquet(f"{scratch}/online/state")
+    assert sorted(r[0] for r in state.select("batch_id").distinct().collect()) == [0, 1]
+    weights = [r[0] for r in state.filter("batch_id = 1").select("weight").collect()]
+    assert len(weights) == 10 and all(w >= 0 for w in weights)
+    counts = spark.read.parquet(f"{scratch}/online/counts")
+    assert counts.agg(F.sum("cnt")).first()[0] == lines.count()
