@@ -123,3 +123,23 @@ def test_assignment_export_round_trip(spark, scratch):
     back = sorted(tuple((r[0], tuple(r[1]))) for r in read_assignments(spark, f"{scratch}/out").collect())
     assert back == [(0, (0.25, -3.0)), (1, (1.5, 1e7))]
     assert F is not None
+
+
+def test_spread_runs_no_job(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF0001
+    from vigil.session import spread
+
+    li = spark.read.parquet(f"{SF0001}/lineitem.parquet")
+    emb = spark.read.parquet(f"{SF0001}/embeddings.parquet")
+    txt = spark.read.text(f"{SF0001}/lineitem.parquet")
+    sc = spark.sparkContext
+    sc.setJobGroup("spread-probe", "spread must not run jobs")
+    try:
+        spread(li.select("l_orderkey", "l_quantity"))
+        spread(emb.select("vec_id", F.col("embedding").cast("array<double>")))
+        spread(txt)
+        assert sc.statusTracker().getJobIdsForGroup("spread-probe") == []
+    finally:
+        sc.setJobGroup("", "")

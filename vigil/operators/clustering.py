@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.session import cached, spread
+from vigil.session import cached
 from vigil.functions.vectors import (
     distance,
     explode_dims,
@@ -233,7 +233,7 @@ def lloyd(df: DataFrame, centers: Centers, iterations: int, features: str = "fea
     The input is persisted for the loop (unless the caller already did) and
     released afterwards.
     """
-    source = df if _is_cached(df) else spread(df.select(features))
+    source = df if _is_cached(df) else df.select(features)
     with cached(source) as data:
         for _ in range(iterations):
             new = lloyd_step(data, centers, features)
@@ -263,7 +263,7 @@ def kmeans_fit(df: DataFrame, k: int = 2, runs: int = 1, tol: float = 1e-4,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    vec = spread(df.select(array_to_vector(features).alias("__v"))).persist()
+    vec = df.select(array_to_vector(features).alias("__v")).persist()
     try:
         best: FitResult | None = None
         for r in range(runs):

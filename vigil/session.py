@@ -66,14 +66,17 @@ def local_path(path: str) -> str:
 
 
 def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition a DataFrame that has fewer partitions than the
-    cluster can run at once (e.g. a single-row-group Parquet file or a
-    gzipped text file); otherwise return it unchanged.
-
-    On large inputs (many more splits than cores) this is a no-op, so it
-    never adds a shuffle of big data; on small or unsplittable inputs the
-    one cheap shuffle lets every core work on the per-row parsing and the
-    iterative fits that follow.
+    """Round-robin repartition a *source* DataFrame that has fewer partitions
+    than the cluster can run at once (e.g. a single-row-group Parquet file or
+    a gzipped text file); otherwise return it unchanged.
+
+    Apply it to scans (plus projections/filters) only: their partition count
+    is file metadata, so asking for it runs nothing. On a plan with an
+    exchange, adaptive execution would have to run the shuffle or broadcast
+    stages just to report a count. On large inputs (many more splits than
+    cores) this is a no-op, so it never adds a shuffle of big data; on small
+    or unsplittable inputs the one cheap shuffle lets every core work on the
+    per-row parsing and the iterative fits that follow.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

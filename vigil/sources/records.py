@@ -30,15 +30,15 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     The join is an ordinary equi-join on the order key; Catalyst prunes
     both scans to the eight columns used and AQE picks the join strategy
     from runtime sizes (sort-merge at scale, no unchecked broadcast). The
-    joined lines are spread over the cores when they come out of fewer
-    partitions than that (small inputs only).
+    line-item scan is spread over the cores when its file gives fewer splits
+    than that (small inputs only).
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "l_linenumber",
-        "l_extendedprice", "l_discount", "l_tax")
+        "l_extendedprice", "l_discount", "l_tax"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
-    return spread(joined.select(
+    return joined.select(
         F.concat_ws(
             ",",
             F.col("l_quantity").cast("string"),
@@ -50,7 +50,7 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_tax").cast("string"),
             "o_orderstatus",
         ).alias("value")
-    ))
+    )
 
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
