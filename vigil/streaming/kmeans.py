@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from vigil.operators.clustering import assign_clusters
-from vigil.operators.evaluation import cluster_label_counts
 from vigil.operators.online import OnlineState, online_update, state_table
 from vigil.session import spread
 from vigil.streaming.sources import echo, write_batch
@@ -63,13 +62,21 @@ class StreamingKMeans:
                        .unionByName(state_table(spark, after).withColumn("phase", F.lit("after"))))
             write_batch(centres, f"{self.out}/centers", batch_id)
             scored = assign_clusters(data, after.model, self.features, distance_col="distance")
-            if self.label:
-                counts = cluster_label_counts(scored, "cluster", self.label)
-                write_batch(counts, f"{self.out}/counts", batch_id)
-                if self.echo_rows:
-                    echo(counts, batch_id, self.echo_rows)
-            write_batch(scored.agg(F.avg("distance").alias("mean_distance")),
-                        f"{self.out}/mean_distance", batch_id)
+            # One pass over the batch: per (cluster, label) counts and distance
+            # sums; the batch mean distance is derived from that small table.
+            keys = ["cluster"] + ([self.label] if self.label else [])
+            per = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"),
+                                            F.sum("distance").alias("dsum")).persist()
+            try:
+                if self.label:
+                    counts = per.select("cluster", self.label, "cnt").orderBy("cluster", self.label)
+                    write_batch(counts, f"{self.out}/counts", batch_id)
+                    if self.echo_rows:
+                        echo(counts, batch_id, self.echo_rows)
+                write_batch(per.agg((F.sum("dsum") / F.sum("cnt")).alias("mean_distance")),
+                            f"{self.out}/mean_distance", batch_id)
+            finally:
+                per.unpersist()
             self._memo = (batch_id, after)
         finally:
             data.unpersist()
