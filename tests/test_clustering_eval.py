@@ -135,3 +135,18 @@ def test_anomaly_detector_flags_at_most_rank_minus_one(spark):
     assert all(r["distance"] > det.threshold for r in flagged)
     top = anomaly.detect_anomalies(lines, det, top_n=2).collect()
     assert len(top) == min(2, len(flagged))
+
+
+def test_lloyd_step_matches_mllib(spark):
+    from pyspark.mllib.clustering import KMeans as MLlibKMeans
+    from pyspark.mllib.clustering import KMeansModel as MLlibModel
+    from pyspark.mllib.linalg import Vectors
+
+    emb = embedding_vectors(spark, SF0001)
+    start = Centers.from_rows(emb, "vec_id", k=5)
+    ours = clustering.lloyd_step(emb, start).values
+    rdd = emb.select("features").rdd.map(lambda r: Vectors.dense(r[0]))
+    model = MLlibKMeans.train(rdd, 5, maxIterations=1,
+                              initialModel=MLlibModel([Vectors.dense(c) for c in start.values]))
+    theirs = np.array([np.asarray(c) for c in model.centers])
+    assert np.abs(ours - theirs).max() < 1e-12
