@@ -7,6 +7,8 @@ updates) are unrolled into CTE chains generated here.
 
 from __future__ import annotations
 
+import re
+
 from vigil.plans.catalog import (
     ANOMALY_RANK,
     CENTRES_K,
@@ -333,6 +335,12 @@ SELECT word, count(*) AS cnt
 FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word"""
 
 
+def _positive_zero(sql: str) -> str:
+    """Add +0.0 to every rounded value: DuckDB's round can return -0.0 for a
+    tiny negative, Spark's never does, and -0.0 + 0.0 is +0.0."""
+    return re.sub(r"\bround\(", "CAST(0 AS DOUBLE) + round(", sql)
+
+
 ORACLE_SQL: dict[str, str] = {
     "label_histogram": LABEL_HISTOGRAM,
     "parse_numeric": PARSE_NUMERIC,
@@ -363,3 +371,4 @@ ORACLE_SQL: dict[str, str] = {
     "stream_predict": STREAM_PREDICT,
     "stream_word_count": STREAM_WORD_COUNT,
 }
+ORACLE_SQL = {name: _positive_zero(sql) for name, sql in ORACLE_SQL.items()}
