@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.operators.parsing import label_of
+from vigil.session import cached
 
 
 def label_histogram(lines: DataFrame, value: str = "value", sep: str = ",") -> DataFrame:
@@ -69,47 +70,56 @@ def precision_by_threshold(df: DataFrame, score: str = "score",
     """(threshold, precision): for every distinct score t, descending,
     precision = positives with score ≥ t / rows with score ≥ t.
 
-    Scalable running sum: the distinct scores are range-bucketed by
-    approximate quantiles; each bucket's scores get a windowed running sum
-    inside their own task, and the bucket totals (at most ``max_buckets``
-    rows, broadcast) give each bucket's offset. No window spans all rows.
+    Scalable running sum, with no window over all rows: the distinct scores
+    are range-bucketed by approximate quantiles; each bucket's scores get a
+    windowed running sum inside their own task, plus the bucket's offset
+    (totals of all higher buckets). The offsets are computed in a pre-pass
+    over the cached per-score table (at most ``max_buckets`` rows reach the
+    driver) and joined back as a small broadcast table; with one bucket
+    (at most ``rows_per_bucket`` distinct scores) one task runs the window
+    and there is nothing to join.
     """
     by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.col(positive).cast("long")).alias("tp"),
         F.count(F.lit(1)).alias("n"))
-    # Two small actions size the buckets; the cache only serves them.
-    cached = by_score.persist()
-    try:
-        distinct = cached.count()
+    splits: list[float] = []
+    offsets: list[tuple[int, int, int]] = []
+    with cached(by_score) as table:
+        distinct = table.count()
         buckets = max(1, min(max_buckets, math.ceil(distinct / rows_per_bucket)))
-        splits: list[float] = []
         if buckets > 1:
             probs = [i / buckets for i in range(1, buckets)]
-            cuts = cached.approxQuantile("threshold", probs, 1.0 / (4 * buckets))
+            cuts = table.approxQuantile("threshold", probs, 1.0 / (4 * buckets))
             splits = sorted(set(float(c) for c in cuts))
-    finally:
-        cached.unpersist()
-    if splits:
-        bucketed = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol="threshold",
-                              outputCol="bucket", handleInvalid="keep").transform(by_score)
-    else:
-        bucketed = by_score.withColumn("bucket", F.lit(0.0))
-    totals = bucketed.groupBy("bucket").agg(F.sum("tp").alias("btp"),
-                                            F.sum("n").alias("bn"))
-    # Offsets: everything in higher buckets (scores are descending). The
-    # totals table has one row per bucket (bounded by max_buckets).
-    later = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "bucket",
-        F.coalesce(F.sum("btp").over(later), F.lit(0)).alias("otp"),
-        F.coalesce(F.sum("bn").over(later), F.lit(0)).alias("on"))
+        if splits:
+            totals = (_bucketize(table, splits).groupBy("bucket")
+                      .agg(F.sum("tp").alias("btp"), F.sum("n").alias("bn"))
+                      .orderBy(F.desc("bucket")).limit(max_buckets + 1).collect())
+            otp = on = 0
+            for r in totals:  # highest scores first
+                offsets.append((int(r["bucket"]), otp, on))
+                otp += int(r["btp"])
+                on += int(r["bn"])
     inside = Window.partitionBy("bucket").orderBy(F.desc("threshold")).rowsBetween(
         Window.unboundedPreceding, 0)
+    bucketed = _bucketize(by_score, splits) if splits else by_score.withColumn("bucket", F.lit(0))
     running = bucketed.select(
         "bucket", "threshold",
         F.sum("tp").over(inside).alias("rtp"), F.sum("n").over(inside).alias("rn"))
-    joined = running.join(F.broadcast(offsets), "bucket")
-    return joined.select(
-        "threshold",
-        ((F.col("otp") + F.col("rtp")) / (F.col("on") + F.col("rn"))).alias("precision"),
-    ).orderBy(F.desc("threshold"))
+    if offsets:
+        table = df.sparkSession.createDataFrame(offsets, "bucket INT, otp BIGINT, on BIGINT")
+        # Left join: every bucket has an offset row, and an inner join would
+        # make the optimizer infer ``bucket IS NOT NULL`` and push it, with the
+        # score expression inlined, below the aggregate.
+        running = running.join(F.broadcast(table), "bucket", "left")
+        tp, n = F.col("otp") + F.col("rtp"), F.col("on") + F.col("rn")
+    else:
+        tp, n = F.col("rtp"), F.col("rn")
+    return running.select("threshold", (tp / n).alias("precision")).orderBy(F.desc("threshold"))
+
+
+def _bucketize(df: DataFrame, splits: list[float]) -> DataFrame:
+    """Bucket index (INT) of ``threshold`` by the sorted ``splits``."""
+    out = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol="threshold",
+                     outputCol="__bucket", handleInvalid="keep").transform(df)
+    return out.withColumn("bucket", F.col("__bucket").cast("int")).drop("__bucket")
