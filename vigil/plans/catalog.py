@@ -35,6 +35,7 @@ from vigil.streaming.sources import run_available
 CENTRES_K = 5
 LLOYD_ITERATIONS = 3
 SWEEP_KS = (2, 4, 6, 8)
+SWEEP_PARALLELISM = 4  # fits of different k run as concurrent Spark jobs
 ANOMALY_RANK = 100
 ONLINE_WEIGHT = 10.0
 ONLINE_DECAY_BATCHES = 0.5
@@ -150,7 +151,7 @@ def _sweep(spark, sf_dir, score):
     def fit(df, k):
         return clustering.lloyd(df, Centers.from_rows(df, "vec_id", k=k), LLOYD_ITERATIONS)
 
-    out = clustering.sweep_k(emb, SWEEP_KS, fit, score)
+    out = clustering.sweep_k(emb, SWEEP_KS, fit, score, parallelism=SWEEP_PARALLELISM)
     return out.select("k", _r6("score").alias("score"))
 
 
