@@ -143,3 +143,9 @@ def test_spread_runs_no_job(spark):
         assert sc.statusTracker().getJobIdsForGroup("spread-probe") == []
     finally:
         sc.setJobGroup("", "")
+
+
+def test_valid_rows_after_permissive_parse(spark):
+    df = lines(spark, "x,tcp,http,SF,2,a", "1,tcp,http,SF,2,b")
+    parsed = parsing.valid_rows(parsing.parse_numeric(df, mode="permissive"))
+    assert [r["label"] for r in parsed.collect()] == ["b"]

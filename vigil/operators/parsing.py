@@ -90,3 +90,13 @@ def parse_vectors(lines: DataFrame, value: str = "value",
                   mode: str = "strict", sep: str = ",") -> DataFrame:
     """Features only (label dropped too)."""
     return parse_numeric(lines, value, categorical, mode, sep=sep).select("features")
+
+
+def valid_rows(df: DataFrame, features: str = "features") -> DataFrame:
+    """Rows whose feature vector is present and holds no NULL.
+
+    Use after ``mode="permissive"`` parsing and before clustering: distances
+    are undefined for missing values.
+    """
+    return df.filter(F.col(features).isNotNull()
+                     & ~F.exists(features, lambda x: x.isNull()))
