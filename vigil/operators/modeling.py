@@ -30,8 +30,8 @@ def encode(lines: DataFrame, bundle: ModelBundle, value: str = "value",
 
 
 def build_model(lines: DataFrame, k: int = 150, runs: int = 10, tol: float = 1e-6,
-                seed: int = 1, value: str = "value", path: str | None = None
-                ) -> tuple[ModelBundle, float]:
+                seed: int = 1, value: str = "value", path: str | None = None,
+                parallelism: int = 1) -> tuple[ModelBundle, float]:
     """Parse + one-hot + z-score + k-means + mean-distance score (+ save).
 
     Returns the bundle and its clustering score on the training data.
@@ -41,7 +41,8 @@ def build_model(lines: DataFrame, k: int = 150, runs: int = 10, tol: float = 1e-
     stats = Stats.fit(feats)
     normalized = feats.select(zscore_column("features", stats).alias("features")).persist()
     try:
-        fit: FitResult = kmeans_fit(normalized, k=k, runs=runs, tol=tol, seed=seed)
+        fit: FitResult = kmeans_fit(normalized, k=k, runs=runs, tol=tol, seed=seed,
+                                    parallelism=parallelism)
         score = clustering_score(normalized, fit.centers).first()["score"]
     finally:
         normalized.unpersist()

@@ -47,6 +47,7 @@ FIT_K = 10
 FIT_RUNS = 3
 BUILD_K = 150
 BUILD_RUNS = 3
+FIT_PARALLELISM = 3  # seeds fitted as concurrent Spark jobs
 FIT_TOL = 1e-6
 SAMPLE_FRACTION = 0.05
 SEED = 1
@@ -252,7 +253,8 @@ _SAVED_MODELS: dict[tuple[str, str], str] = {}
 
 def q_kmeans_fit(spark, sf_dir):
     emb = _embeddings(spark, sf_dir)
-    fit = clustering.kmeans_fit(emb, k=FIT_K, runs=FIT_RUNS, tol=FIT_TOL, seed=SEED)
+    fit = clustering.kmeans_fit(emb, k=FIT_K, runs=FIT_RUNS, tol=FIT_TOL, seed=SEED,
+                                parallelism=FIT_PARALLELISM)
     return modeling.cluster_sizes(clustering.assign_clusters(emb, fit.centers))
 
 
@@ -260,7 +262,8 @@ def publish_model(spark, sf_dir):
     """Train-and-publish on the records (saved to the shared folder)."""
     path = shared_dir(spark, "model")
     bundle, score = modeling.build_model(records.record_lines(spark, sf_dir), k=BUILD_K,
-                                         runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED, path=path)
+                                         runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED, path=path,
+                                         parallelism=FIT_PARALLELISM)
     _SAVED_MODELS[(spark.sparkContext.applicationId, sf_dir)] = path
     return bundle, score
 
