@@ -150,3 +150,15 @@ def test_lloyd_step_matches_mllib(spark):
                               initialModel=MLlibModel([Vectors.dense(c) for c in start.values]))
     theirs = np.array([np.asarray(c) for c in model.centers])
     assert np.abs(ours - theirs).max() < 1e-12
+
+
+def test_fit_sizes_sum_and_seeded_matrix(spark):
+    from vigil.operators import features
+
+    emb = embedding_vectors(spark, SF0001)
+    fit = clustering.kmeans_fit(emb, k=6, runs=2, seed=11, parallelism=2)
+    sizes = clustering.assign_clusters(emb, fit.centers).groupBy("cluster").count()
+    assert sizes.agg(F.sum("count")).first()[0] == emb.count()
+    a = features.projection_matrix(64, 3, seed=5)
+    assert np.array_equal(a, features.projection_matrix(64, 3, seed=5))
+    assert not np.array_equal(a, features.projection_matrix(64, 3, seed=6))

@@ -220,3 +220,18 @@ def test_streaming_kmeans_random_init_on_text_lines(spark, scratch):
     assert len(weights) == 10 and all(w >= 0 for w in weights)
     counts = spark.read.parquet(f"{scratch}/online/counts")
     assert counts.agg(F.sum("cnt")).first()[0] == lines.count()
+
+
+def test_word_count_stream_sums_to_batch_answer(spark, scratch):
+    from conftest import SF0001 as sf
+    from vigil.sources.records import table
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    for part in range(3):  # three arrivals, three micro-batches
+        stage_slice(docs.filter(F.col("doc_id") % 3 == part), f"{scratch}/in")
+        stream = stream_table(spark, f"{scratch}/in", docs.schema)
+        run_available(stream_word_count(stream, f"{scratch}/out", "text"), f"{scratch}/ckpt")
+    per_batch = spark.read.parquet(f"{scratch}/out")
+    assert per_batch.select("batch_id").distinct().count() == 3
+    summed = dict(per_batch.groupBy("word").agg(F.sum("cnt")).collect())
+    assert summed == dict(word_counts(docs, "text").collect())
