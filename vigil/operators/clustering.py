@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.defaults import DEFAULT_EPSILON, DEFAULT_INIT_STEPS, DEFAULT_K, DEFAULT_MAX_ITER
 from vigil.functions.vectors import (
     distance,
     explode_dims,
@@ -254,9 +255,9 @@ class FitResult:
     model: object  # pyspark.ml.clustering.KMeansModel
 
 
-def kmeans_fit(df: DataFrame, k: int = 2, runs: int = 1, tol: float = 1e-4,
-               max_iter: int = 20, seed: int = 1, features: str = "features",
-               init_steps: int = 2, solver: str = "auto",
+def kmeans_fit(df: DataFrame, k: int = DEFAULT_K, runs: int = 1, tol: float = DEFAULT_EPSILON,
+               max_iter: int = DEFAULT_MAX_ITER, seed: int = 1, features: str = "features",
+               init_steps: int = DEFAULT_INIT_STEPS, solver: str = "auto",
                parallelism: int = 1) -> FitResult:
     """Fit ``pyspark.ml`` k-means ``runs`` times (seeds seed..seed+runs-1) and
     keep the lowest training cost (ties: the lower seed). May return fewer

@@ -6,6 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.defaults import (
+    DEFAULT_K,
+    PRODUCTION_EPSILON,
+    PRODUCTION_K,
+    PRODUCTION_RUNS,
+    SAMPLE_FRACTION,
+)
 from vigil.operators.clustering import (
     FitResult,
     assign_clusters,
@@ -29,7 +36,8 @@ def encode(lines: DataFrame, bundle: ModelBundle, value: str = "value",
     return feats
 
 
-def build_model(lines: DataFrame, k: int = 150, runs: int = 10, tol: float = 1e-6,
+def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_RUNS,
+                tol: float = PRODUCTION_EPSILON,
                 seed: int = 1, value: str = "value", path: str | None = None,
                 parallelism: int = 1) -> tuple[ModelBundle, float]:
     """Parse + one-hot + z-score + k-means + mean-distance score (+ save).
@@ -59,7 +67,7 @@ def apply_saved_model(lines: DataFrame, path: str, value: str = "value") -> Data
                            distance_col="distance").drop("features")
 
 
-def profile_clusters(lines_or_vectors: DataFrame, k: int = 2, seed: int = 1,
+def profile_clusters(lines_or_vectors: DataFrame, k: int = DEFAULT_K, seed: int = 1,
                      parsed: bool = False) -> dict[str, DataFrame]:
     """The "take 0" profile: label histogram, a default k-means fit, its
     centres and the cluster × label crosstab."""
@@ -74,7 +82,7 @@ def profile_clusters(lines_or_vectors: DataFrame, k: int = 2, seed: int = 1,
     return out
 
 
-def sample_assignments(vectors: DataFrame, centers, fraction: float = 0.05,
+def sample_assignments(vectors: DataFrame, centers, fraction: float = SAMPLE_FRACTION,
                        seed: int = 1, path: str | None = None) -> DataFrame:
     """Tag rows with their cluster, keep a Bernoulli sample, optionally export
     it as ``cluster,f0,f1,…`` text and read it back."""

@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.defaults import ONLINE_DECAY, ONLINE_RANDOM_WEIGHT
 from vigil.operators.clustering import Centers, assign_clusters, cluster_sums, collect_sums
 
 BATCHES = "batches"
@@ -55,8 +56,8 @@ class OnlineState:
                    np.array([r[1] for r in rows], dtype=float), decay, time_unit)
 
 
-def streaming_kmeans_init(k: int, dim: int, weight: float = 0.0, seed: int = 0,
-                          decay: float = 1.0, time_unit: str = BATCHES,
+def streaming_kmeans_init(k: int, dim: int, weight: float = ONLINE_RANDOM_WEIGHT, seed: int = 0,
+                          decay: float = ONLINE_DECAY, time_unit: str = BATCHES,
                           centers=None, weights=None) -> OnlineState:
     """Random N(0, 1) centres with a constant weight, or given centres/weights."""
     if centers is None:

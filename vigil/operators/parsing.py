@@ -12,10 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigil.defaults import CATEGORICAL_POSITIONS as DEFAULT_CATEGORICAL
 from vigil.functions.text import jvm_split
 
-DEFAULT_CATEGORICAL = (1, 2, 3)
-
 
 def _to_double(mode: str):
     if mode == "strict":

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from vigil.defaults import ECHO_ROWS, KMEANS_BATCH_INTERVAL
+
 
 def stream_lines(spark: SparkSession, path: str | None = None, fmt: str = "text",
                  **options) -> DataFrame:
@@ -57,14 +59,14 @@ def run_available(writer, checkpoint: str) -> None:
         raise query.exception()
 
 
-def start_stream(writer, checkpoint: str, interval: str = "10 seconds"):
+def start_stream(writer, checkpoint: str, interval: str = KMEANS_BATCH_INTERVAL):
     """Start a long-running stream with a fixed micro-batch cadence
     (``trigger(processingTime=…)``); returns the StreamingQuery."""
     return (writer.option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval).start())
 
 
-def echo(df: DataFrame, batch_id: int, rows: int = 10) -> None:
+def echo(df: DataFrame, batch_id: int, rows: int = ECHO_ROWS) -> None:
     """Print the first ``rows`` rows of a batch result (console sink)."""
     print(f"-------- batch {batch_id} --------")
     df.show(rows, truncate=False)
