@@ -215,6 +215,18 @@ def q_detect_anomalies(spark, sf_dir):
     return out.select("value", _r6("distance").alias("distance"))
 
 
+def q_anomalies_kmeans(spark, sf_dir):
+    """The full detector of the original jobs: one-hot + z-score, k=150
+    k-means (best of BUILD_RUNS seeds, ε=1e-6), threshold = 100th largest
+    training distance; flagged lines with their distance (rows-only check)."""
+    lines = records.record_lines(spark, sf_dir)
+    detector = anomaly.fit_anomaly_detector(lines, k=BUILD_K, rank=ANOMALY_RANK,
+                                            runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED,
+                                            parallelism=FIT_PARALLELISM)
+    out = anomaly.detect_anomalies(lines, detector)
+    return out.select("value", _r6("distance").alias("distance"))
+
+
 # --- online k-means on a static table ------------------------------------------------
 
 def _online(spark, sf_dir, decay, unit):
@@ -415,6 +427,7 @@ QUERIES: dict[str, QueryFn] = {
     "precision_by_threshold": q_precision_by_threshold,
     "random_projection": q_random_projection,
     "detect_anomalies": q_detect_anomalies,
+    "anomalies_kmeans": q_anomalies_kmeans,
     "online_update": q_online_update,
     "online_update_points": q_online_update_points,
     "online_score": q_online_score,
