@@ -235,3 +235,26 @@ def test_word_count_stream_sums_to_batch_answer(spark, scratch):
     assert per_batch.select("batch_id").distinct().count() == 3
     summed = dict(per_batch.groupBy("word").agg(F.sum("cnt")).collect())
     assert summed == dict(word_counts(docs, "text").collect())
+
+
+def test_start_stream_processing_time(spark, scratch):
+    from vigil.streaming.sources import start_stream
+
+    src = f"{scratch}/text"
+    os.makedirs(src)
+    with open(f"{src}/p.txt", "w") as fh:
+        fh.write("x y x\n")
+    query = start_stream(stream_word_count(stream_lines(spark, src), f"{scratch}/out"),
+                         f"{scratch}/ckpt", "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = dict(spark.read.parquet(f"{scratch}/out").select("word", "cnt").collect())
+    assert got == {"x": 2, "y": 1}
+
+
+def test_socket_source_is_a_text_stream(spark):
+    # Building the reader opens nothing; no query is started here.
+    df = stream_lines(spark, fmt="socket", host="localhost", port=9999)
+    assert df.isStreaming and df.columns == ["value"]
