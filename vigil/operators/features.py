@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,24 +52,13 @@ def category_dictionary(lines: DataFrame, value: str = "value",
                         sep: str = ",") -> DataFrame:
     """(field INT, category STRING, idx INT): categories indexed alphabetically.
 
-    The index is a dense rank inside each field's category set; the set
-    sizes are checked (at most MAX_CATEGORIES) before the per-field window
-    runs, so no task ranks an unbounded group.
+    One job: the distinct (field, category) pairs are collected with a bound
+    (at most MAX_CATEGORIES) and indexed per field, as ``Dictionary.fit``
+    does; the bounded result is returned as a small table.
     """
-    distinct = distinct_categories(lines, value, categorical, sep).persist()
-    try:
-        sizes = distinct.groupBy("field").count().collect()
-    except Exception:
-        distinct.unpersist()
-        raise
-    too_big = [r["field"] for r in sizes if r["count"] > MAX_CATEGORIES]
-    if too_big:
-        distinct.unpersist()
-        raise ValueError(f"fields {too_big} have over {MAX_CATEGORIES} categories; "
-                         "one-hot encoding them is not supported")
-    w = Window.partitionBy("field").orderBy("category")
-    return distinct.select(
-        "field", "category", (F.dense_rank().over(w) - 1).cast("int").alias("idx"))
+    dictionary = Dictionary.fit(lines, value, categorical, sep)
+    return lines.sparkSession.createDataFrame(dictionary.to_rows(),
+                                              "field INT, category STRING, idx INT")
 
 
 @dataclass(frozen=True)
