@@ -149,3 +149,14 @@ def test_valid_rows_after_permissive_parse(spark):
     df = lines(spark, "x,tcp,http,SF,2,a", "1,tcp,http,SF,2,b")
     parsed = parsing.valid_rows(parsing.parse_numeric(df, mode="permissive"))
     assert [r["label"] for r in parsed.collect()] == ["b"]
+
+
+def test_custom_positions_and_separator(spark):
+    df = lines(spark, "7|8|red|9|yes||", "1|2|blue|3|no")
+    parsed = parsing.parse_numeric(df, categorical=(2,), sep="|").collect()
+    assert [(r["label"], r["features"]) for r in parsed] == [("yes", [7.0, 8.0, 9.0]),
+                                                              ("no", [1.0, 2.0, 3.0])]
+    d = features.Dictionary.fit(df, categorical=(2,), sep="|")
+    assert d.categories == {2: ("blue", "red")}
+    enc = features.one_hot_features(df, d, sep="|").collect()
+    assert [r["features"] for r in enc] == [[7, 8, 0, 1, 9], [1, 2, 1, 0, 3]]
