@@ -160,3 +160,19 @@ def test_custom_positions_and_separator(spark):
     assert d.categories == {2: ("blue", "red")}
     enc = features.one_hot_features(df, d, sep="|").collect()
     assert [r["features"] for r in enc] == [[7, 8, 0, 1, 9], [1, 2, 1, 0, 3]]
+
+
+def test_size_guards(spark, monkeypatch):
+    import numpy as np
+
+    from vigil.operators import clustering
+
+    monkeypatch.setattr(clustering, "MAX_CENTER_VALUES", 10)
+    with pytest.raises(ValueError):
+        clustering.Centers(np.zeros((3, 4)))
+    monkeypatch.setattr(features, "MAX_CATEGORIES", 2)
+    df = lines(spark, "1,a,x,p,l", "1,b,y,q,l")
+    with pytest.raises(ValueError):
+        features.Dictionary.fit(df)
+    with pytest.raises(ValueError):
+        features.category_dictionary(df)
