@@ -280,6 +280,7 @@ def kmeans_fit(df: DataFrame, k: int = DEFAULT_K, runs: int = 1, tol: float = DE
             return float(model.summary.trainingCost), r, model
 
         if parallelism > 1 and runs > 1:
+            vec.count()  # fill the cache once; the concurrent fits then only read it
             with ThreadPoolExecutor(min(parallelism, runs)) as pool:
                 fits = list(pool.map(one, range(runs)))
         else:

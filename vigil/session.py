@@ -58,7 +58,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 
-def spread(df, min_partitions: int | None = None):
+def spread(df, min_partitions: int | None = None, force: bool = False):
     """Round-robin repartition a *source* DataFrame that has fewer partitions
     than the cluster can run at once (e.g. a single-row-group Parquet file or
     a gzipped text file); otherwise return it unchanged.
@@ -69,10 +69,12 @@ def spread(df, min_partitions: int | None = None):
     stages just to report a count. On large inputs (many more splits than
     cores) this is a no-op, so it never adds a shuffle of big data; on small
     or unsplittable inputs the one cheap shuffle lets every core work on the
-    per-row parsing and the iterative fits that follow.
+    per-row parsing and the iterative fits that follow. ``force=True``
+    repartitions regardless, for a source where one unsplittable file (e.g.
+    gzipped text) holds a large share of the rows among many small ones.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if not force and df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
 
