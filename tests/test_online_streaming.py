@@ -258,3 +258,18 @@ def test_socket_source_is_a_text_stream(spark):
     # Building the reader opens nothing; no query is started here.
     df = stream_lines(spark, fmt="socket", host="localhost", port=9999)
     assert df.isStreaming and df.columns == ["value"]
+
+
+def test_restart_resumes_from_stored_state(spark, scratch):
+    emb = embedding_vectors(spark, SF0001)
+    c5 = Centers.from_rows(emb, "vec_id", k=5)
+    init = online.streaming_kmeans_init(5, c5.dim, weight=1.0, decay=0.8, centers=c5.values)
+    first, second = emb.filter(F.col("vec_id") < 300), emb.filter(F.col("vec_id") >= 300)
+    _staged_stream_run(spark, scratch, StreamingKMeans(init, f"{scratch}/out"), emb, [first])
+    # "Restarted driver": a new object whose own initial model is wrong on purpose.
+    wrong = online.streaming_kmeans_init(5, c5.dim, weight=0.0, decay=0.8, seed=9)
+    _staged_stream_run(spark, scratch, StreamingKMeans(wrong, f"{scratch}/out"), emb, [second])
+    expected = online.online_update(second, online.online_update(first, init))
+    after = (spark.read.parquet(f"{scratch}/out/centers")
+             .filter((F.col("phase") == "after") & (F.col("batch_id") == 1)))
+    assert np.allclose(Centers.from_table(after).values, expected.centers, atol=1e-12)
