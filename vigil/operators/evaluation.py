@@ -1,8 +1,9 @@
 """Cluster quality and detection metrics as grouped aggregates.
 
-Every metric here is a partial-then-final hash aggregate: a hot label or
-cluster holding a third of all rows is reduced to one row per task before
-any shuffle, so skew never reaches a single task.
+Counts, crosstabs and entropies are partial-then-final hash aggregates: a
+hot label or cluster holding a third of all rows is reduced to one row per
+task before any shuffle, so skew never reaches a single task. Precision by
+threshold adds a running sum, windowed per range bucket of distinct scores.
 """
 
 from __future__ import annotations
