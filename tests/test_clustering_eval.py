@@ -21,13 +21,13 @@ def test_lloyd_step_sizes(spark):
     assert sums.filter(F.col("dim") == 0).agg(F.sum("m")).first()[0] == 500
 
 
-@pytest.mark.parametrize("k", [5, 40])
+@pytest.mark.parametrize("k", [2, 4])
 def test_numpy_kernel_matches_expression(spark, k):
-    emb = embedding_vectors(spark, SF0001)
+    emb = embedding_vectors(spark, SF0001).withColumn("features", F.slice("features", 1, 16))
     centers = Centers.from_rows(emb, "vec_id", k=k)
     old = clustering.EXPRESSION_LIMIT
     try:
-        clustering.EXPRESSION_LIMIT = 10 ** 9
+        clustering.EXPRESSION_LIMIT = 64
         a = {r[0]: (r[1], r[2]) for r in clustering.distance_to_centroid(emb, centers)
              .select("vec_id", "cluster", "distance").collect()}
         clustering.EXPRESSION_LIMIT = 0

@@ -53,30 +53,24 @@ def dot(a, b) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def nearest_center(features, centers: Column) -> Column:
-    """STRUCT(sq: DOUBLE, cluster: INT) of the nearest centre.
-
-    ``centers`` is an ARRAY<ARRAY<DOUBLE>> column (usually a literal). The
-    search is one ``aggregate`` over the centres whose start value carries
-    the feature vector, so the (possibly computed) features are evaluated
-    once per row rather than once per centre; each centre's distance is
-    computed once and ``array_min`` over (squared distance, index) keeps the
-    lower index on ties, like ``KMeansModel.predict``.
+def nearest_center(features, centers: Sequence[Sequence[float]]) -> Column:
+    """STRUCT(sq: DOUBLE, cluster: INT) of the nearest of a few fixed centres.
+
+    Unrolled into plain arithmetic on the vector's elements, which
+    whole-stage codegen compiles: one squared distance per centre, then
+    ``array_min`` over (squared distance, index) structs, which keeps the
+    lower index on ties like ``KMeansModel.predict``. Meant for small
+    k × d only (the generated code grows with it).
     """
     feats = _col(features)
-    best_type = T.StructType([T.StructField("sq", T.DoubleType()),
-                              T.StructField("cluster", T.IntegerType())])
-    start = F.struct(feats.alias("x"), F.lit(None).cast(best_type).alias("best"),
-                     F.lit(0).alias("i"))
-
-    def step(acc, c):
-        candidate = F.struct(squared_distance(acc["x"], c).alias("sq"),
-                             acc["i"].alias("cluster"))
-        return F.struct(acc["x"].alias("x"),
-                        F.array_min(F.array(acc["best"], candidate)).alias("best"),
-                        (acc["i"] + 1).alias("i"))
-
-    return F.aggregate(centers, start, step, lambda acc: acc["best"])
+    terms = []
+    for j, centre in enumerate(centers):
+        sq = None
+        for i, v in enumerate(centre):
+            diff = feats[i] - F.lit(float(v))
+            sq = diff * diff if sq is None else sq + diff * diff
+        terms.append(F.struct(sq.alias("sq"), F.lit(j).alias("cluster")))
+    return F.array_min(F.array(*terms))
 
 
 def project(features, matrix_columns: Column) -> Column:

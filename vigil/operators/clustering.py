@@ -32,12 +32,13 @@ from vigil.session import cached
 # reach the tasks as a plan literal (small k × d) or a broadcast variable.
 MAX_CENTER_VALUES = 1_000_000
 # Up to this many element operations per row (k × d) the nearest-centre search
-# is a built-in higher-order-function expression. Those are interpreted (not
-# whole-stage code-generated), so above the limit an Arrow-batched numpy kernel
-# (one matrix product per batch) is used instead. Measured on local[8], 200k
-# rows, d=16: k=5 0.9 s (expression); k=20 1.6 s vs 0.3 s; k=150 5.9 s vs
-# 0.2 s; k=150, d=120: 51 s vs 2.4 s.
-EXPRESSION_LIMIT = 256
+# is unrolled into plain arithmetic that whole-stage codegen compiles; above it
+# the generated code outgrows the compiler's method limits, so an Arrow-batched
+# numpy kernel (one matrix product per batch) is used. Measured on local[8],
+# 600k rows, warm: k=4, d=16: 0.16 s unrolled, 0.25 s numpy, 0.85 s as an
+# interpreted higher-order function; k=8, d=16: 2.6 s unrolled, 0.3 s numpy;
+# k=150, d=16: 0.24 s numpy (200k rows: 5.9 s as a higher-order function).
+EXPRESSION_LIMIT = 64
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,7 @@ def nearest_struct(spark: SparkSession, features: str | Column, centers: Centers
     """STRUCT(sq, cluster) for the nearest centre of each row."""
     feats = F.col(features) if isinstance(features, str) else features
     if centers.k * centers.dim <= EXPRESSION_LIMIT:
-        return nearest_center(feats, centers.literal())
+        return nearest_center(feats, centers.values.tolist())
     return _numpy_nearest(spark, centers.values)(feats)
 
 

@@ -201,17 +201,19 @@ def group_mean_centres(normalized: DataFrame) -> Centers:
     return Centers.from_group_means(keyed, ["rf", "ls"])
 
 
-def anomaly_detector(spark, sf_dir, lines: DataFrame | None = None):
+def anomaly_detector(spark, sf_dir, lines: DataFrame | None = None, flag_training=False):
     """Detector over one-hot + z-scored records with one centre per
     (returnflag, linestatus) group (deterministic stand-in for the k-means fit)."""
     lines = lines if lines is not None else records.record_lines(spark, sf_dir)
-    return anomaly.fit_anomaly_detector(lines, rank=ANOMALY_RANK, centers=group_mean_centres)
+    return anomaly.fit_anomaly_detector(lines, rank=ANOMALY_RANK, centers=group_mean_centres,
+                                        flag_training=flag_training)
 
 
 def q_detect_anomalies(spark, sf_dir):
+    """Fit on the records and flag the records themselves; the flagged lines
+    (at most ANOMALY_RANK - 1) come from the fit's cache."""
     lines = records.record_lines(spark, sf_dir)
-    detector = anomaly_detector(spark, sf_dir, lines)
-    out = anomaly.detect_anomalies(lines, detector)
+    _, out = anomaly.training_anomalies(lines, rank=ANOMALY_RANK, centers=group_mean_centres)
     return out.select("value", _r6("distance").alias("distance"))
 
 
@@ -220,10 +222,8 @@ def q_anomalies_kmeans(spark, sf_dir):
     k-means (best of BUILD_RUNS seeds, ε=1e-6), threshold = 100th largest
     training distance; flagged lines with their distance (rows-only check)."""
     lines = records.record_lines(spark, sf_dir)
-    detector = anomaly.fit_anomaly_detector(lines, k=BUILD_K, rank=ANOMALY_RANK,
-                                            runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED,
-                                            parallelism=FIT_PARALLELISM)
-    out = anomaly.detect_anomalies(lines, detector)
+    _, out = anomaly.training_anomalies(lines, k=BUILD_K, rank=ANOMALY_RANK, runs=BUILD_RUNS,
+                                        tol=FIT_TOL, seed=SEED, parallelism=FIT_PARALLELISM)
     return out.select("value", _r6("distance").alias("distance"))
 
 
