@@ -45,3 +45,10 @@ def test_detector_matches_brute_force(spark):
     want = Counter(v for v, dist in zip(raw, d) if dist > threshold)
     got = Counter(r["value"] for r in anomaly.detect_anomalies(lines, det).collect())
     assert got == want and 0 < sum(got.values()) <= 99
+
+
+def test_build_sizes_equal_applied_sizes(spark):
+    built = {r["cluster"]: r["cnt"] for r in catalog.q_build_model(spark, SF0001).collect()}
+    applied = {r["cluster"]: r["cnt"] for r in catalog.q_apply_saved_model(spark, SF0001).collect()}
+    assert built == applied
+    assert sum(built.values()) == record_lines(spark, SF0001).count()

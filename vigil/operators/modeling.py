@@ -17,7 +17,7 @@ from vigil.operators.clustering import (
     FitResult,
     assign_clusters,
     centers_table,
-    clustering_score,
+    distance_to_centroid,
     kmeans_fit,
 )
 from vigil.operators.evaluation import cluster_label_counts, label_histogram
@@ -51,10 +51,16 @@ def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_
     try:
         fit: FitResult = kmeans_fit(normalized, k=k, runs=runs, tol=tol, seed=seed,
                                     parallelism=parallelism)
-        score = clustering_score(normalized, fit.centers).first()["score"]
+        # One pass over the cached rows gives both the score and the cluster
+        # sizes: per-cluster count and distance sum (at most k rows).
+        per = (distance_to_centroid(normalized, fit.centers).groupBy("cluster")
+               .agg(F.count(F.lit(1)).alias("cnt"), F.sum("distance").alias("dsum"))
+               .collect())
     finally:
         normalized.unpersist()
-    bundle = ModelBundle(fit.centers, dictionary, stats, fit.model)
+    sizes = {int(r["cluster"]): int(r["cnt"]) for r in per}
+    score = sum(float(r["dsum"]) for r in per) / max(sum(sizes.values()), 1)
+    bundle = ModelBundle(fit.centers, dictionary, stats, fit.model, sizes)
     if path is not None:
         save_bundle(lines.sparkSession, bundle, path)
     return bundle, float(score)

@@ -289,11 +289,10 @@ def saved_model_path(spark, sf_dir) -> str:
 
 
 def q_build_model(spark, sf_dir):
-    """Cluster sizes of the training records under the published model."""
+    """Cluster sizes of the training records under the published model
+    (counted in the fit's scoring pass: at most k rows)."""
     bundle, _score = publish_model(spark, sf_dir)
-    lines = records.record_lines(spark, sf_dir)
-    tagged = clustering.assign_clusters(modeling.encode(lines, bundle), bundle.centers)
-    return modeling.cluster_sizes(tagged)
+    return spark.createDataFrame(sorted(bundle.cluster_sizes.items()), "cluster INT, cnt BIGINT")
 
 
 def q_apply_saved_model(spark, sf_dir):

@@ -36,6 +36,7 @@ class ModelBundle:
     dictionary: Dictionary | None = None
     stats: Stats | None = None
     kmeans: object | None = None  # pyspark.ml KMeansModel
+    cluster_sizes: dict[int, int] | None = None  # training rows per cluster (not saved)
 
 
 def save_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> None:
