@@ -162,3 +162,11 @@ def test_fit_sizes_sum_and_seeded_matrix(spark):
     a = features.projection_matrix(64, 3, seed=5)
     assert np.array_equal(a, features.projection_matrix(64, 3, seed=5))
     assert not np.array_equal(a, features.projection_matrix(64, 3, seed=6))
+
+
+def test_precision_ignores_null_scores(spark):
+    df = spark.createDataFrame([(0.9, 1), (None, 1), (0.5, 0)], "score DOUBLE, positive INT")
+    for rows_per_bucket in (2_000_000, 1):
+        got = [tuple(r) for r in evaluation.precision_by_threshold(
+            df, rows_per_bucket=rows_per_bucket).collect()]
+        assert got == [(0.9, 1.0), (0.5, 0.5)]

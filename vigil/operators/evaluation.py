@@ -80,7 +80,9 @@ def precision_by_threshold(df: DataFrame, score: str = "score",
     (at most ``rows_per_bucket`` distinct scores) one task runs the window
     and there is nothing to join.
     """
-    by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    # Rows without a score have no threshold (MLlib's metric needs them too).
+    scored = df.filter(F.col(score).isNotNull())
+    by_score = scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.col(positive).cast("long")).alias("tp"),
         F.count(F.lit(1)).alias("n"))
     splits: list[float] = []
