@@ -170,3 +170,11 @@ def test_precision_ignores_null_scores(spark):
         got = [tuple(r) for r in evaluation.precision_by_threshold(
             df, rows_per_bucket=rows_per_bucket).collect()]
         assert got == [(0.9, 1.0), (0.5, 0.5)]
+
+
+def test_lloyd_empty_cluster_keeps_centre(spark):
+    df = spark.createDataFrame([([0.0, 0.0],), ([2.0, 0.0],)], "features ARRAY<DOUBLE>")
+    start = Centers(np.array([[1.0, 1.0], [100.0, 100.0]]))
+    step = clustering.lloyd_step(df, start).values
+    assert step[0].tolist() == [1.0, 0.0]
+    assert step[1].tolist() == [100.0, 100.0]

@@ -273,3 +273,10 @@ def test_restart_resumes_from_stored_state(spark, scratch):
     after = (spark.read.parquet(f"{scratch}/out/centers")
              .filter((F.col("phase") == "after") & (F.col("batch_id") == 1)))
     assert np.allclose(Centers.from_table(after).values, expected.centers, atol=1e-12)
+
+
+def test_empty_batch_only_decays(spark):
+    empty = spark.createDataFrame([], "features ARRAY<DOUBLE>")
+    s = online.online_update(empty, state([0, 10], [4, 2], 0.5))
+    assert s.centers[:, 0].tolist() == [0.0, 10.0]
+    assert s.weights.tolist() == [2.0, 1.0]
