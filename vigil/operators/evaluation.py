@@ -80,9 +80,7 @@ def precision_by_threshold(df: DataFrame, score: str = "score",
     (at most ``rows_per_bucket`` distinct scores) one task runs the window
     and there is nothing to join.
     """
-    # Rows without a score have no threshold (MLlib's metric needs them too).
-    scored = df.filter(F.col(score).isNotNull())
-    by_score = scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.col(positive).cast("long")).alias("tp"),
         F.count(F.lit(1)).alias("n"))
     splits: list[float] = []
@@ -99,7 +97,9 @@ def precision_by_threshold(df: DataFrame, score: str = "score",
                       .agg(F.sum("tp").alias("btp"), F.sum("n").alias("bn"))
                       .orderBy(F.desc("bucket")).limit(max_buckets + 1).collect())
             otp = on = 0
-            for r in totals:  # highest scores first
+            for r in totals:  # highest scores first; the NULL-score row has no bucket
+                if r["bucket"] is None:
+                    continue
                 offsets.append((int(r["bucket"]), otp, on))
                 otp += int(r["btp"])
                 on += int(r["bn"])
@@ -118,7 +118,11 @@ def precision_by_threshold(df: DataFrame, score: str = "score",
         tp, n = F.col("otp") + F.col("rtp"), F.col("on") + F.col("rn")
     else:
         tp, n = F.col("rtp"), F.col("rn")
-    return running.select("threshold", (tp / n).alias("precision")).orderBy(F.desc("threshold"))
+    # Rows without a score have no threshold. Dropping them here, above the
+    # window, keeps the predicate from being pushed below the aggregate (where
+    # it would evaluate the score expression a second time).
+    return (running.select("threshold", (tp / n).alias("precision"))
+            .filter(F.col("threshold").isNotNull()).orderBy(F.desc("threshold")))
 
 
 def _bucketize(df: DataFrame, splits: list[float]) -> DataFrame:
