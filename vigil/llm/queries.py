@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vigil.llm.lines import drop_repeated_lines
 from vigil.llm.minhash import near_duplicates
+from vigil.llm.packing import pack, token_lengths
+from vigil.llm.token_files import read_token_files, write_token_files
+from vigil.session import shared_dir
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -21,3 +26,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), n=2)
+
+
+@_query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = drop_repeated_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return done.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op2_line_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT k.doc_id, count(*)::BIGINT AS n_lines, count(o.key)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (o.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN often o ON k.key = o.key GROUP BY k.r, k.doc_id
+"""
+
+
+@_query
+def op4_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(token_lengths(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = shared_dir(spark, "tokens")
+    manifest = write_token_files(table(spark, sf_dir, "documents"), folder,
+                                 vocabulary=str(public_tokenizers.path("word_bpe_49k.json")), vocabulary_size=49_408, end_id=2)
+    return read_token_files(spark, manifest, folder)
