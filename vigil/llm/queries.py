@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.llm.common import fold_of
+from vigil.llm.decontaminate import mark_contaminated
 from vigil.llm.lines import drop_repeated_lines
 from vigil.llm.minhash import near_duplicates
 from vigil.llm.packing import pack, token_lengths
 from vigil.llm.token_files import read_token_files, write_token_files
+from vigil.llm.toxicity import score_toxicity, train
 from vigil.session import shared_dir
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -60,3 +63,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(table(spark, sf_dir, "documents"), folder,
                                  vocabulary=str(public_tokenizers.path("word_bpe_49k.json")), vocabulary_size=49_408, end_id=2)
     return read_token_files(spark, manifest, folder)
+
+
+@_query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
