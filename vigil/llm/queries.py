@@ -10,6 +10,8 @@ from vigil.llm.decontaminate import mark_contaminated
 from vigil.llm.lines import drop_repeated_lines
 from vigil.llm.minhash import near_duplicates
 from vigil.llm.packing import pack, token_lengths
+from vigil.llm.pii import KINDS, find_personal_data, span_list
+from vigil.llm.secrets import scan
 from vigil.llm.token_files import read_token_files, write_token_files
 from vigil.llm.toxicity import score_toxicity, train
 from vigil.session import shared_dir
@@ -76,3 +78,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_list(KINDS).cast("binary"), 256).alias("base_sha256"),
+                        span_list((*KINDS, "term")).alias("spans"))
