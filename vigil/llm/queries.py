@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.llm import ngram_lm
 from vigil.llm.common import fold_of
 from vigil.llm.decontaminate import mark_contaminated
 from vigil.llm.lines import drop_repeated_lines
@@ -91,3 +92,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(span_list(KINDS).cast("binary"), 256).alias("base_sha256"),
                         span_list((*KINDS, "term")).alias("spans"))
+
+
+@_query
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_of(F.col("doc_id")) == 1
+    model = ngram_lm.train(docs.filter(~F.coalesce(held_out, F.lit(False))))
+    return ngram_lm.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                                              F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
