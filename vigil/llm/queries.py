@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm import ngram_lm
 from vigil.llm.common import fold_of
+from vigil.llm.covertree import near_vectors
 from vigil.llm.decontaminate import mark_contaminated
 from vigil.llm.lines import drop_repeated_lines
 from vigil.llm.minhash import near_duplicates
@@ -101,3 +102,8 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = ngram_lm.train(docs.filter(~F.coalesce(held_out, F.lit(False))))
     return ngram_lm.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
                                               F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@_query
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
