@@ -1,0 +1,61 @@
+import hashlib
+import random
+import re
+
+from vigil.llm.secrets import CANDIDATE, PRIVATE_KEY, scan
+from vigil.llm.spans import matches, whole
+from pyspark.sql import functions as F
+
+TOKEN = re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9]|[A-Z0-9]{16})[A-Za-z0-9_+/-]{12,}={0,2}")
+
+
+def secret(rng):
+    return rng.choice(["AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)),
+                       "password=" + "".join(rng.choice("0123456789abcdef") for _ in range(18)),
+                       'token = "' + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + '"'])
+
+
+def harmless(rng):
+    return rng.choice(["4111111111111111", "2024-01-05/report/file12", "sometimes1234567", "number1 thing", "EXAMPLE_KEY_12345678",
+                       "see " + "".join(rng.choice("0123456789abcdef") for _ in range(40))])
+
+
+def documents():
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        pick = secret if i % 3 == 0 else harmless
+        rows.append((i, f"sometimes number thing report file é\U0001f600 {pick(rng)} words follow here"))
+    return rows + [(900, None), (901, ""), (None, "password=da90f32ccfa9408d1c"), (902, "x1" * 50_000 + " end"), (903, "a" * 5000)]
+
+
+def test_candidates_against_plain_pattern(spark, frame):
+    rows = documents()
+    got = frame(rows).select("doc_id", F.transform(matches(whole(F.col("text")), f"{PRIVATE_KEY}|{CANDIDATE}"), lambda m: F.struct(
+        m["start"].alias("start"), m["end"].alias("end"))).alias("m")).collect()
+    want = dict(rows)
+    for r in got:
+        assert [(m.start, m.end) for m in r.m] == [m.span() for m in TOKEN.finditer(want[r.doc_id] or "")]
+
+
+def test_forest_tells_secrets_from_the_rest(spark, frame):
+    rows = documents()
+    got = scan(frame(rows)).collect()
+    assert len(got) == sum(len(TOKEN.findall(t or "")) for _, t in rows)
+    found = {r.doc_id for r in got if r.is_secret}
+    assert None in found
+    wrong = {i for i in range(400) if (i % 3 == 0) != (i in found)}
+    assert len(wrong) < 12, sorted(wrong)[:20]
+    for r in got[:20]:
+        text = dict(rows)[r.doc_id]
+        assert r.value_sha256 == hashlib.sha256(text[r.start:r.end].encode()).hexdigest()
+
+
+def test_given_findings_and_empty_table(spark, frame):
+    rows = [(i, f"id ref{i:012d} ok" if i % 2 else f"key zq{i:012d} ok") for i in range(60)]
+    labels = [(hashlib.sha256(t.split()[1].encode()).hexdigest(), i % 2) for i, t in rows]
+    got = scan(frame(rows), spark.createDataFrame(labels, "value_sha256 string, label int")).collect()
+    assert len(got) == 60
+    one = spark.createDataFrame([(labels[0][0], 1)], "value_sha256 string, label int")
+    assert {r.score for r in scan(frame(rows), one).collect()} == {1.0}
+    assert scan(frame([])).count() == 0
