@@ -3,10 +3,13 @@
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.errors import AnalysisException
 
 from conftest import SF0001
-from vigil.plans import catalog
-from vigil.sources.models import load_bundle
+from vigil.operators import modeling
+from vigil.operators.clustering import Centers
+from vigil.sources.models import Layout, ModelBundle, load_bundle, save_bundle
 from vigil.sources.records import record_lines
 
 
@@ -22,13 +25,21 @@ def _encode(line: str, bundle) -> np.ndarray:
     return np.where(sd <= 0, x - mean, (x - mean) / np.where(sd <= 0, 1.0, sd))
 
 
-def test_apply_saved_model_matches_brute_force(spark):
-    sizes = {r["cluster"]: r["cnt"] for r in catalog.q_apply_saved_model(spark, SF0001).collect()}
-    bundle = load_bundle(spark, catalog.saved_model_path(spark, SF0001))
-    x = np.stack([_encode(r[0], bundle) for r in record_lines(spark, SF0001).collect()])
+def _published(spark, path):
+    lines = record_lines(spark, SF0001)
+    bundle, _ = modeling.build_model(lines, k=20, runs=1, seed=3, path=path)
+    return lines, bundle
+
+
+def test_apply_saved_model_matches_brute_force(spark, scratch):
+    lines, built = _published(spark, f"{scratch}/m")
+    tagged = modeling.apply_saved_model(lines, f"{scratch}/m")
+    sizes = {r["cluster"]: r["cnt"] for r in modeling.cluster_sizes(tagged).collect()}
+    bundle = load_bundle(spark, f"{scratch}/m")
+    x = np.stack([_encode(r[0], bundle) for r in lines.collect()])
     c = bundle.centers.values
     nearest = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
-    assert dict(Counter(int(i) for i in nearest)) == sizes
+    assert dict(Counter(int(i) for i in nearest)) == sizes == built.cluster_sizes
     assert sum(sizes.values()) == len(x)
 
 
@@ -47,8 +58,20 @@ def test_detector_matches_brute_force(spark):
     assert got == want and 0 < sum(got.values()) <= 99
 
 
-def test_build_sizes_equal_applied_sizes(spark):
-    built = {r["cluster"]: r["cnt"] for r in catalog.q_build_model(spark, SF0001).collect()}
-    applied = {r["cluster"]: r["cnt"] for r in catalog.q_apply_saved_model(spark, SF0001).collect()}
-    assert built == applied
-    assert sum(built.values()) == record_lines(spark, SF0001).count()
+def test_saves_do_not_mix_and_missing_parts_fail(spark, scratch):
+    import shutil
+
+    path = f"{scratch}/m"
+    _published(spark, path)
+    layout = Layout((0,), "|", "permissive")
+    save_bundle(spark, ModelBundle(Centers(np.array([[1.0, 2.0]])), layout=layout), path)
+    loaded = load_bundle(spark, path)
+    assert loaded.centers.k == 1 and loaded.dictionary is None and loaded.stats is None and loaded.layout == layout
+    tagged = modeling.apply_saved_model(spark.createDataFrame([("a|1|2|l",)], "value STRING"), path).collect()
+    assert [(r["label"], r["cluster"], r["distance"]) for r in tagged] == [("l", 0, 0.0)]
+    whole = f"{scratch}/n"
+    _published(spark, whole)
+    folder = spark.read.parquet(f"{whole}/manifest").first()["folder"]
+    shutil.move(f"{whole}/{folder}/dictionary", f"{scratch}/away")
+    with pytest.raises(AnalysisException):
+        load_bundle(spark, whole)

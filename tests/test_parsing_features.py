@@ -162,17 +162,23 @@ def test_custom_positions_and_separator(spark):
     assert [r["features"] for r in enc] == [[7, 8, 0, 1, 9], [1, 2, 1, 0, 3]]
 
 
-def test_size_guards(spark, monkeypatch):
-    import numpy as np
+def test_no_caps_and_length_checks(spark):
+    df = lines(spark, *[f"1,c{i},x,p,2,l" for i in range(12_000)])
+    assert features.category_dictionary(df).filter("field = 1").count() == 12_000
+    assert len(features.Dictionary.fit(df).categories[1]) == 12_000
+    wide = vec(spark, [float(i) for i in range(5000)], [float(i + 1) for i in range(5000)])
+    stats = features.Stats.fit(wide)
+    assert [sorted({round(x, 6) for x in r[0]}) for r in features.zscore(wide, stats).collect()] == [[-1.0], [1.0]]
+    projected = features.random_projection(wide, features.projection_matrix(5000, 3, seed=1))
+    assert projected.columns == ["x", "y", "z"] and projected.count() == 2
+    with pytest.raises(ValueError):
+        features.Stats.fit(vec(spark, [1, 2], [1, 2, 3, 4]))
+    with pytest.raises(PySparkException):
+        features.zscore(vec(spark, [1, 2, 3]), features.Stats((0.0, 0.0), (1.0, 1.0), 1)).collect()
 
-    from vigil.operators import clustering
 
-    monkeypatch.setattr(clustering, "MAX_CENTER_VALUES", 10)
-    with pytest.raises(ValueError):
-        clustering.Centers(np.zeros((3, 4)))
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 2)
-    df = lines(spark, "1,a,x,p,l", "1,b,y,q,l")
-    with pytest.raises(ValueError):
-        features.Dictionary.fit(df)
-    with pytest.raises(ValueError):
-        features.category_dictionary(df)
+def test_field_count(spark):
+    for short in ("1,tcp", "1,a,b,c"):
+        with pytest.raises(PySparkException):
+            parsing.parse_numeric(lines(spark, short)).collect()
+    assert parsing.parse_numeric(lines(spark, ",,,,"), mode="permissive").first()["label"] is None

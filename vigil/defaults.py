@@ -5,7 +5,7 @@ Fixed values (taken as-is from the original jobs' settings):
 - field separator ",", word separator " "
 - production k-means: k = 150, runs = 10, epsilon = 1e-6
 - anomaly threshold: the 100th largest training distance
-- default k-means: k = 2, 20 iterations, epsilon = 1e-4, k-means|| with 2 steps
+- default k-means: k = 2, 20 iterations, epsilon = 1e-4; k-means|| with today's 2 steps
 - online k-means: decay factor 1.0, random centres with weight 0.0, time unit "batches"
 - micro-batch interval: 10 seconds (k-means), 20 seconds (word count)
 - exported sample: fraction 0.05, without replacement

@@ -5,7 +5,6 @@ from vigil.functions.vectors import (
     as_double_array,
     distance,
     nearest_center,
-    project,
     squared_distance,
     vector_literal,
 )
@@ -15,7 +14,6 @@ __all__ = [
     "distance",
     "jvm_split",
     "nearest_center",
-    "project",
     "squared_distance",
     "vector_literal",
     "words",

@@ -48,11 +48,6 @@ def distance(a, b) -> Column:
     return F.sqrt(squared_distance(a, b))
 
 
-def dot(a, b) -> Column:
-    return F.aggregate(F.zip_with(_col(a), _col(b), lambda x, y: x * y),
-                       F.lit(0.0), lambda acc, v: acc + v)
-
-
 def nearest_center(features, centers: Sequence[Sequence[float]]) -> Column:
     """STRUCT(sq: DOUBLE, cluster: INT) of the nearest of a few fixed centres.
 
@@ -60,9 +55,12 @@ def nearest_center(features, centers: Sequence[Sequence[float]]) -> Column:
     whole-stage codegen compiles: one squared distance per centre, then
     ``array_min`` over (squared distance, index) structs, which keeps the
     lower index on ties like ``KMeansModel.predict``. Meant for small
-    k × d only (the generated code grows with it).
+    k × d only (the generated code grows with it). A vector that is missing
+    or holds a NULL or NaN has no nearest centre (NULL); one of another length
+    is an error.
     """
     feats = _col(features)
+    dim = len(centers[0])
     terms = []
     for j, centre in enumerate(centers):
         sq = None
@@ -70,13 +68,11 @@ def nearest_center(features, centers: Sequence[Sequence[float]]) -> Column:
             diff = feats[i] - F.lit(float(v))
             sq = diff * diff if sq is None else sq + diff * diff
         terms.append(F.struct(sq.alias("sq"), F.lit(j).alias("cluster")))
-    return F.array_min(F.array(*terms))
-
-
-def project(features, matrix_columns: Column) -> Column:
-    """Row-vector × matrix: one dot product per matrix column."""
-    feats = _col(features)
-    return F.transform(matrix_columns, lambda col: dot(feats, col))
+    whole = F.size(feats) == dim
+    known = ~F.exists(feats, lambda v: v.isNull() | F.isnan(v))
+    wrong = F.raise_error(F.lit(f"a vector's length is not the centres' {dim}"))
+    return (F.when(feats.isNull(), F.lit(None)).when(~whole, wrong.cast("struct<sq:double,cluster:int>"))
+            .when(known, F.array_min(F.array(*terms))))
 
 
 def explode_dims(features, dim: str = "dim", value: str = "x") -> Column:

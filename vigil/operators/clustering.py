@@ -1,8 +1,7 @@
 """k-means: nearest-centre assignment, distances, Lloyd steps, fits and sweeps.
 
-A clustering model is its centres: ``k × d`` doubles, bounded by
-``MAX_CENTER_VALUES`` and checked before the centres are collected. Rows
-never leave their partition for assignment; a Lloyd step is one pass with a
+A clustering model is its centres: ``k × d`` doubles, whose size the caller
+chooses with k; it does not grow with the rows. Rows never leave their partition for assignment; a Lloyd step is one pass with a
 per-(cluster, dim) partial aggregate, so at most ``tasks × k × d`` small rows
 shuffle regardless of how skewed the cluster sizes are.
 """
@@ -20,17 +19,13 @@ from pyspark.sql import functions as F
 
 from vigil.defaults import DEFAULT_EPSILON, DEFAULT_INIT_STEPS, DEFAULT_K, DEFAULT_MAX_ITER
 from vigil.functions.vectors import (
-    distance,
     explode_dims,
     nearest_center,
     squared_distance,
     vector_literal,
 )
-from vigil.session import cached
+from vigil.session import cached, shared_cache
 
-# Upper bound of k × d for centres held on the driver (8 MB of doubles); they
-# reach the tasks as a plan literal (small k × d) or a broadcast variable.
-MAX_CENTER_VALUES = 1_000_000
 # Up to this many element operations per row (k × d) the nearest-centre search
 # is unrolled into plain arithmetic that whole-stage codegen compiles; above it
 # the generated code outgrows the compiler's method limits, so an Arrow-batched
@@ -51,8 +46,6 @@ class Centers:
         arr = np.asarray(self.values, dtype=float)
         if arr.ndim != 2:
             raise ValueError("centres must be a 2-d array")
-        if arr.size > MAX_CENTER_VALUES:
-            raise ValueError(f"k*d={arr.size} exceeds {MAX_CENTER_VALUES}")
         object.__setattr__(self, "values", arr)
 
     @property
@@ -70,17 +63,14 @@ class Centers:
     def from_rows(cls, df: DataFrame, order_by: str | Sequence[str],
                   features: str = "features", k: int | None = None) -> "Centers":
         """The first ``k`` rows of ``df`` in ``order_by`` order as centres."""
-        limit = k if k is not None else MAX_CENTER_VALUES
-        rows = df.orderBy(order_by).select(features).limit(limit).collect()
+        rows = df.orderBy(order_by).select(features)
+        rows = (rows if k is None else rows.limit(k)).collect()
         return cls(np.array([r[0] for r in rows], dtype=float))
 
     @classmethod
     def from_table(cls, table: DataFrame, cluster: str = "cluster", dim: str = "dim",
                    value: str = "value") -> "Centers":
         """From long rows (cluster, dim, value)."""
-        n = table.count()
-        if n > MAX_CENTER_VALUES:
-            raise ValueError(f"{n} centre values exceed {MAX_CENTER_VALUES}")
         rows = table.select(cluster, dim, value).collect()
         k = max(r[0] for r in rows) + 1
         d = max(r[1] for r in rows) + 1
@@ -94,14 +84,12 @@ class Centers:
                          features: str = "features") -> "Centers":
         """One centre per group: the mean vector, groups in ``by`` order.
 
-        Per-(group, dim) partial aggregates; the groups × d result is
-        size-checked before it is collected.
+        Per-(group, dim) partial aggregates; only the groups × d result is
+        collected.
         """
         sums = (df.select(*by, explode_dims(features)).filter(F.col("dim").isNotNull())
                 .groupBy(*by, "dim").agg(F.avg("x").alias("mean")))
-        rows = sums.orderBy(*by, "dim").limit(MAX_CENTER_VALUES + 1).collect()
-        if len(rows) > MAX_CENTER_VALUES:
-            raise ValueError(f"over {MAX_CENTER_VALUES} centre values")
+        rows = sums.orderBy(*by, "dim").collect()
         groups: dict[tuple, list[float]] = {}
         for r in rows:
             groups.setdefault(tuple(r[c] for c in by), []).append(float(r["mean"]))
@@ -120,27 +108,57 @@ class Centers:
         return spark.createDataFrame(rows, schema)
 
 
-def _numpy_nearest(spark: SparkSession, centers: np.ndarray):
-    """Arrow-batched nearest-centre kernel (used for large k × d only).
+def _exact_squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Σ (x_i − c_i)² of rows paired with centres, summed left to right."""
+    total = np.zeros(np.broadcast_shapes(x.shape[:-1], centers.shape[:-1]))
+    for i in range(centers.shape[-1]):
+        diff = x[..., i] - centers[..., i]
+        total += diff * diff
+    return total
 
-    The centres travel once per executor as a broadcast variable; each
-    Arrow batch is one matrix product against them.
+
+def nearest_rows(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(squared distance, index) of the nearest centre of each row; ties go to the
+    lower index.
+
+    The matrix product x² − 2xc + c² is taken about the centres' mean and only
+    narrows the choice: rows for which its rounding error could hide another
+    centre are decided by exact differences, as is every returned distance.
     """
-    shared = spark.sparkContext.broadcast(centers)
+    middle = centers.mean(axis=0)
+    xs, cs = x - middle, centers - middle
+    x2, c2 = (xs * xs).sum(axis=1), (cs * cs).sum(axis=1)
+    approx = x2[:, None] - 2.0 * (xs @ cs.T) + c2[None, :]
+    best = approx.argmin(axis=1)
+    # the shift itself rounds by the size of the unshifted values
+    size = np.sqrt(x2) + np.sqrt(c2.max())
+    shift = np.finfo(float).eps * (np.abs(x).max(axis=1) + np.abs(centers).max()) * np.sqrt(x.shape[1])
+    error = 8 * np.finfo(float).eps * (x.shape[1] + 4) * size * size + 8 * shift * size
+    close = approx <= (approx.min(axis=1) + 2 * error)[:, None]
+    for part in np.array_split(rows := np.flatnonzero(close.sum(axis=1) > 1), max(1, len(rows) // 256)):
+        best[part] = _exact_squares(x[part][:, None, :], centers[None, :, :]).argmin(axis=1)
+    return _exact_squares(x, centers[best]), best
+
+
+def _numpy_nearest(centers: np.ndarray):
+    """Arrow-batched nearest-centre kernel (used for large k × d only); the
+    centres travel with the function. A vector that is missing or holds a NULL
+    or NaN has no nearest centre."""
+    dim = centers.shape[1]
 
     @F.pandas_udf("struct<sq:double,cluster:int>")
     def nearest(feats: pd.Series) -> pd.DataFrame:
-        c = shared.value
-        if len(feats) == 0:
-            return pd.DataFrame({"sq": pd.Series([], dtype=float),
-                                 "cluster": pd.Series([], dtype="int32")})
-        x = np.stack(feats.to_numpy()).astype(float)
-        approx = ((x * x).sum(axis=1)[:, None] - 2.0 * (x @ c.T)
-                  + (c * c).sum(axis=1)[None, :])
-        best = approx.argmin(axis=1)
-        diff = x - c[best]
-        return pd.DataFrame({"sq": (diff * diff).sum(axis=1),
-                             "cluster": best.astype("int32")})
+        there = np.array([v is not None for v in feats], dtype=bool)
+        if any(len(v) != dim for v in feats[there]):
+            raise ValueError(f"a vector's length is not the centres' {dim}")
+        x = np.array([v for v in feats[there]], dtype=float).reshape(-1, dim)
+        whole = ~np.isnan(x).any(axis=1)
+        there[there] = whole
+        sq, cluster = np.full(len(feats), np.nan), np.full(len(feats), -1)
+        if there.any():
+            sq[there], cluster[there] = nearest_rows(x[whole], centers)
+        return pd.DataFrame({"sq": pd.Series(sq).astype("Float64").mask(~there),
+                             "cluster": pd.Series(cluster).astype("Int32").mask(~there)})
 
     return nearest
 
@@ -150,7 +168,7 @@ def nearest_struct(spark: SparkSession, features: str | Column, centers: Centers
     feats = F.col(features) if isinstance(features, str) else features
     if centers.k * centers.dim <= EXPRESSION_LIMIT:
         return nearest_center(feats, centers.values.tolist())
-    return _numpy_nearest(spark, centers.values)(feats)
+    return _numpy_nearest(centers.values)(feats)
 
 
 def assign_clusters(df: DataFrame, centers: Centers, features: str = "features",
@@ -173,13 +191,6 @@ def distance_to_centroid(df: DataFrame, centers: Centers, features: str = "featu
     return assign_clusters(df, centers, features, prediction, output)
 
 
-def distance_to_assigned(df: DataFrame, centers: Centers, features: str = "features",
-                         cluster: str = "cluster", output: str = "distance") -> DataFrame:
-    """Distance to a centre chosen elsewhere (e.g. by ``KMeansModel.transform``)."""
-    centre = F.element_at(centers.literal(), F.col(cluster) + 1)
-    return df.withColumn(output, distance(features, centre))
-
-
 def clustering_score(df: DataFrame, centers: Centers, features: str = "features") -> DataFrame:
     """One row: ``score`` = mean distance to the nearest centre."""
     scored = distance_to_centroid(df, centers, features)
@@ -273,8 +284,8 @@ def kmeans_fit(df: DataFrame, k: int = DEFAULT_K, runs: int = 1, tol: float = DE
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    vec = df.select(array_to_vector(features).alias("__v")).persist()
-    try:
+    vec = df.select(array_to_vector(features).alias("__v"))
+    with shared_cache(vec):
         def one(r: int) -> tuple[float, int, object]:
             model = KMeans(k=k, tol=tol, maxIter=max_iter, seed=seed + r,
                            initSteps=init_steps, solver=solver, featuresCol="__v").fit(vec)
@@ -288,13 +299,6 @@ def kmeans_fit(df: DataFrame, k: int = DEFAULT_K, runs: int = 1, tol: float = DE
             fits = [one(r) for r in range(runs)]
         cost, _, model = min(fits, key=lambda f: (f[0], f[1]))
         return FitResult(Centers.from_model(model), cost, model)
-    finally:
-        vec.unpersist()
-
-
-def first_rows_init(order_by: str) -> Callable[[DataFrame, int], Centers]:
-    """Initialiser: the first k rows in ``order_by`` order."""
-    return lambda df, k: Centers.from_rows(df, order_by, k=k)
 
 
 def sweep_k(df: DataFrame, ks: Iterable[int],
@@ -331,7 +335,6 @@ def centers_table(spark: SparkSession, centers: Centers) -> DataFrame:
 
 __all__ = [
     "Centers", "FitResult", "assign_clusters", "centers_table", "cluster_sums",
-    "clustering_score", "distance_to_assigned", "distance_to_centroid", "first_rows_init",
-    "kmeans_fit", "lloyd", "lloyd_step", "mean_distance_score", "nearest_struct",
+    "clustering_score", "distance_to_centroid", "kmeans_fit", "lloyd", "lloyd_step", "mean_distance_score", "nearest_struct",
     "squared_distance", "sweep_k",
 ]

@@ -1,8 +1,8 @@
 """Feature building: category dictionaries, one-hot splice, statistics, scaling.
 
 Fitted state (a dictionary, per-dimension statistics, a projection matrix)
-is small and bounded by the number of categories or dimensions; its size is
-checked before it is brought to the driver and turned into literals.
+is as large as the number of categories or dimensions, whatever the number of
+rows; it is brought to the driver and turned into literals.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.functions.vectors import explode_dims
+from vigil.functions.vectors import explode_dims, vector_literal
 from vigil.operators.parsing import (
     DEFAULT_CATEGORICAL,
     FIELDS,
@@ -25,11 +25,6 @@ from vigil.operators.parsing import (
     with_fields,
 )
 
-# Largest dictionary (categories over all fields) and dimension count that may be
-# turned into driver-side literals.
-MAX_CATEGORIES = 10_000
-MAX_DIMENSIONS = 100_000
-
 
 # ----------------------------------------------------------------------------
 # Category dictionaries and one-hot encoding
@@ -42,7 +37,7 @@ def distinct_categories(lines: DataFrame, value: str = "value",
     partial (map-side) aggregate so only distinct pairs shuffle."""
     fields = F.col(FIELDS)
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(int(p)).alias("field"), fields[int(p)].alias("category"))
+        F.struct(F.lit(int(p)).alias("field"), F.get(fields, F.lit(int(p))).alias("category"))
         for p in categorical]))
     return with_fields(lines, value, sep).select(pairs.alias("p")).select("p.*").distinct()
 
@@ -52,13 +47,12 @@ def category_dictionary(lines: DataFrame, value: str = "value",
                         sep: str = ",") -> DataFrame:
     """(field INT, category STRING, idx INT): categories indexed alphabetically.
 
-    One job: the distinct (field, category) pairs are collected with a bound
-    (at most MAX_CATEGORIES) and indexed per field, as ``Dictionary.fit``
-    does; the bounded result is returned as a small table.
+    A lazy table over the distinct pairs, numbered per field in Spark; a NULL
+    category is left out.
     """
-    dictionary = Dictionary.fit(lines, value, categorical, sep)
-    return lines.sparkSession.createDataFrame(dictionary.to_rows(),
-                                              "field INT, category STRING, idx INT")
+    pairs = distinct_categories(lines, value, categorical, sep).filter(F.col("category").isNotNull())
+    order = Window.partitionBy("field").orderBy("category")
+    return pairs.select("field", "category", (F.row_number().over(order) - 1).alias("idx"))
 
 
 @dataclass(frozen=True)
@@ -70,27 +64,19 @@ class Dictionary:
     @classmethod
     def fit(cls, lines: DataFrame, value: str = "value",
             categorical: Sequence[int] = DEFAULT_CATEGORICAL, sep: str = ",") -> "Dictionary":
-        """One job: the distinct pairs (at most MAX_CATEGORIES are fetched),
-        indexed alphabetically per field on the driver."""
-        rows = distinct_categories(lines, value, categorical, sep).limit(
-            MAX_CATEGORIES + 1).collect()
-        if len(rows) > MAX_CATEGORIES:
-            raise ValueError(f"over {MAX_CATEGORIES} categories in total; "
-                             "one-hot encoding them is not supported")
-        cats: dict[int, list[str]] = {}
-        for r in rows:
-            cats.setdefault(int(r["field"]), []).append(r["category"])
+        """One job: the distinct pairs, indexed alphabetically per field. They
+        are model state like the centres: as many as the one-hot vectors have
+        dimensions."""
+        cats: dict[int, list[str]] = {int(p): [] for p in categorical}
+        for r in distinct_categories(lines, value, categorical, sep).collect():
+            if r["category"] is not None:
+                cats[int(r["field"])].append(r["category"])
         return cls({f: tuple(sorted(c)) for f, c in sorted(cats.items())})
 
     @classmethod
     def from_table(cls, table: DataFrame) -> "Dictionary":
-        """Collect a (field, category, idx) table; at most MAX_CATEGORIES rows
-        are fetched, so an over-large dictionary fails instead of flooding
-        the driver."""
-        rows = table.limit(MAX_CATEGORIES + 1).collect()
-        if len(rows) > MAX_CATEGORIES:
-            raise ValueError(f"over {MAX_CATEGORIES} categories in total; "
-                             "one-hot encoding them is not supported")
+        """Collect a (field, category, idx) table."""
+        rows = table.collect()
         cats: dict[int, list[tuple[int, str]]] = {}
         for r in rows:
             cats.setdefault(int(r["field"]), []).append((int(r["idx"]), r["category"]))
@@ -136,7 +122,7 @@ def one_hot_features(lines: DataFrame, dictionary: Dictionary | None = None,
     """
     if dictionary is None:
         dictionary = Dictionary.fit(lines, value, sep=sep)
-    lines = with_fields(lines, value, sep)
+    lines = with_fields(lines, value, sep, list(dictionary.categories), mode)
     fields = F.col(FIELDS)
     to_double = _to_double(mode)
     parts = []
@@ -144,14 +130,14 @@ def one_hot_features(lines: DataFrame, dictionary: Dictionary | None = None,
         if kind == "num":
             parts.append(item)
         else:
-            parts.append(one_hot(fields[item], dictionary.categories[item],
+            parts.append(one_hot(F.get(fields, F.lit(item)), dictionary.categories[item],
                                  handle_invalid, item))
     out = lines
     if handle_invalid == "skip":
         for p, cats in dictionary.categories.items():
             out = out.filter(F.array_contains(
-                F.lit(list(cats)).cast(T.ArrayType(T.StringType())), fields[p]))
-    cols = [F.element_at(fields, -1).alias("label"), F.concat(*parts).alias("features")]
+                F.lit(list(cats)).cast(T.ArrayType(T.StringType())), F.get(fields, F.lit(p))))
+    cols = [F.try_element_at(fields, F.lit(-1)).alias("label"), F.concat(*parts).alias("features")]
     if keep_line:
         cols.insert(0, F.col(value))
     return out.select(*cols)
@@ -192,11 +178,9 @@ class Stats:
 
     @classmethod
     def from_table(cls, stats: DataFrame) -> "Stats":
-        rows = stats.orderBy("dim").limit(MAX_DIMENSIONS + 1).collect()
-        if len(rows) > MAX_DIMENSIONS:
-            raise ValueError(f"more than {MAX_DIMENSIONS} dimensions")
-        if [r["dim"] for r in rows] != list(range(len(rows))):
-            raise ValueError("rows have different lengths")
+        rows = stats.orderBy("dim").collect()
+        if [r["dim"] for r in rows] != list(range(len(rows))) or len({r["n"] for r in rows}) > 1:
+            raise ValueError("rows have different lengths or missing values")
         return cls(tuple(float(r["mean"]) for r in rows),
                    tuple(float(r["sd_pop"]) for r in rows),
                    int(rows[0]["n"]) if rows else 0)
@@ -205,15 +189,16 @@ class Stats:
 def zscore_column(features: str | Column, stats: Stats) -> Column:
     """(x − mean)/sd per dimension; a dimension with sd ≤ 0 is only centred.
 
-    The dimension is known once the statistics are fitted, so the result is
-    one plain arithmetic expression per element (code-generated, no lambda).
+    One expression whatever the dimension; a vector of another length than the
+    fitted one is an error, a missing one stays missing.
     """
     feats = F.col(features) if isinstance(features, str) else features
-    parts = []
-    for i, (m, sd) in enumerate(zip(stats.mean, stats.sd)):
-        x = feats[i]
-        parts.append(x - F.lit(m) if sd <= 0 else (x - F.lit(m)) / F.lit(sd))
-    return F.array(*parts).cast(T.ArrayType(T.DoubleType()))
+    means = vector_literal(stats.mean)
+    scales = vector_literal([sd if sd > 0 else 1.0 for sd in stats.sd])
+    scaled = F.zip_with(F.zip_with(feats, means, lambda x, m: x - m), scales, lambda x, s: x / s)
+    wrong = F.raise_error(F.lit(f"a vector's length is not the fitted {len(stats.mean)}"))
+    return F.when(feats.isNull() | (F.size(feats) == len(stats.mean)), scaled).otherwise(
+        wrong.cast(T.ArrayType(T.DoubleType())))
 
 
 def zscore(df: DataFrame, stats: Stats | None = None, features: str = "features",
@@ -263,14 +248,14 @@ def projection_matrix(dim: int, out_dim: int = 3, seed: int | None = 0,
 
 def random_projection(df: DataFrame, matrix: np.ndarray, features: str = "features",
                       names: Sequence[str] = ("x", "y", "z")) -> DataFrame:
-    """Project every row onto the matrix columns (one dot product each)."""
-    if matrix.shape[0] * matrix.shape[1] > MAX_DIMENSIONS * 3:
-        raise ValueError("projection matrix too large for a literal")
+    """Project every row onto the matrix columns (one dot product each, summed left
+    to right); a vector of another length than the matrix is an error."""
     feats = F.col(features)
-    projected = F.array(*[
-        sum((feats[i] * F.lit(float(matrix[i, j])) for i in range(1, matrix.shape[0])),
-            feats[0] * F.lit(float(matrix[0, j])))
-        for j in range(matrix.shape[1])])
+    wrong = F.raise_error(F.lit(f"a vector's length is not the matrix's {matrix.shape[0]}"))
+    dots = [F.aggregate(F.zip_with(feats, vector_literal(matrix[:, j].tolist()), lambda x, w: x * w),
+                        F.lit(0.0), lambda acc, v: acc + v) for j in range(matrix.shape[1])]
+    projected = F.when(feats.isNull() | (F.size(feats) == matrix.shape[0]), F.array(*dots)).otherwise(
+        wrong.cast(T.ArrayType(T.DoubleType())))
     tmp = "__proj"
     out = df.withColumn(tmp, projected)
     return out.select(*[c for c in df.columns if c != features],

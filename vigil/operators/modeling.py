@@ -3,7 +3,7 @@ cluster profiling and the sampled assignment export."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.defaults import (
@@ -23,14 +23,20 @@ from vigil.operators.clustering import (
 from vigil.operators.evaluation import cluster_label_counts, label_histogram
 from vigil.operators.features import Dictionary, Stats, one_hot_features, zscore_column
 from vigil.operators.parsing import parse_numeric
-from vigil.sources.models import ModelBundle, load_bundle, save_bundle
+from vigil.sources.models import Layout, ModelBundle, load_bundle, save_bundle
 from vigil.sources.records import read_assignments, write_assignments
 
 
 def encode(lines: DataFrame, bundle: ModelBundle, value: str = "value",
            keep_line: bool = False) -> DataFrame:
-    """Raw lines → (label, features) with the bundle's dictionary and stats."""
-    feats = one_hot_features(lines, bundle.dictionary, value, keep_line=keep_line)
+    """Raw lines → (label, features) with the bundle's layout, dictionary and
+    statistics. Nothing is fitted here: a bundle without a dictionary takes the
+    numeric fields alone."""
+    layout = bundle.layout
+    if bundle.dictionary is None:
+        feats = parse_numeric(lines, value, layout.categorical, layout.mode, keep_line, layout.sep)
+    else:
+        feats = one_hot_features(lines, bundle.dictionary, value, layout.mode, keep_line=keep_line, sep=layout.sep)
     if bundle.stats is not None:
         feats = feats.withColumn("features", zscore_column("features", bundle.stats))
     return feats
@@ -39,13 +45,13 @@ def encode(lines: DataFrame, bundle: ModelBundle, value: str = "value",
 def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_RUNS,
                 tol: float = PRODUCTION_EPSILON,
                 seed: int = 1, value: str = "value", path: str | None = None,
-                parallelism: int = 1) -> tuple[ModelBundle, float]:
+                parallelism: int = 1, layout: Layout = Layout()) -> tuple[ModelBundle, float]:
     """Parse + one-hot + z-score + k-means + mean-distance score (+ save).
 
     Returns the bundle and its clustering score on the training data.
     """
-    dictionary = Dictionary.fit(lines, value)
-    feats = one_hot_features(lines, dictionary, value).select("features")
+    dictionary = Dictionary.fit(lines, value, layout.categorical, layout.sep)
+    feats = one_hot_features(lines, dictionary, value, layout.mode, sep=layout.sep).select("features")
     stats = Stats.fit(feats)
     normalized = feats.select(zscore_column("features", stats).alias("features")).persist()
     try:
@@ -60,7 +66,7 @@ def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_
         normalized.unpersist()
     sizes = {int(r["cluster"]): int(r["cnt"]) for r in per}
     score = sum(float(r["dsum"]) for r in per) / max(sum(sizes.values()), 1)
-    bundle = ModelBundle(fit.centers, dictionary, stats, fit.model, sizes)
+    bundle = ModelBundle(fit.centers, dictionary, stats, fit.model, sizes, layout)
     if path is not None:
         save_bundle(lines.sparkSession, bundle, path)
     return bundle, float(score)
@@ -88,12 +94,24 @@ def profile_clusters(lines_or_vectors: DataFrame, k: int = DEFAULT_K, seed: int
     return out
 
 
+def hash_draw(key: list[str], seed: int) -> Column:
+    """A number in [0, 1) from the md5 of the key columns as text and the seed."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+
+
 def sample_assignments(vectors: DataFrame, centers, fraction: float = SAMPLE_FRACTION,
-                       seed: int = 1, path: str | None = None) -> DataFrame:
+                       seed: int = 1, path: str | None = None,
+                       key: list[str] | None = None) -> DataFrame:
     """Tag rows with their cluster, keep a Bernoulli sample, optionally export
-    it as ``cluster,f0,f1,…`` text and read it back."""
-    tagged = assign_clusters(vectors, centers).select("cluster", "features")
-    sample = tagged.sample(withReplacement=False, fraction=fraction, seed=seed)
+    it as ``cluster,f0,f1,…`` text and read it back.
+
+    A row's draw is a hash of ``key`` (all columns by default) and the seed, so
+    the sample does not depend on partitions or cores; rows with equal keys are
+    kept or left together.
+    """
+    tagged = assign_clusters(vectors, centers)
+    sample = tagged.filter(hash_draw(key or vectors.columns, seed) < fraction).select("cluster", "features")
     if path is None:
         return sample
     write_assignments(sample, path)

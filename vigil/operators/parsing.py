@@ -58,10 +58,17 @@ def numeric_segments(fields: Column, categorical: Sequence[int], to_double) -> l
 FIELDS = "__fields"
 
 
-def with_fields(lines: DataFrame, value: str = "value", sep: str = ",") -> DataFrame:
+def with_fields(lines: DataFrame, value: str = "value", sep: str = ",",
+                categorical: Sequence[int] = (), mode: str = "permissive") -> DataFrame:
     """Add the split fields as a column, so that the split runs once per line
-    however many expressions read the fields."""
-    return lines.withColumn(FIELDS, fields_of(value, sep))
+    however many expressions read the fields. In strict mode a line must have
+    all categorical fields and a label after them."""
+    fields = fields_of(value, sep)
+    if mode == "strict" and categorical:
+        need = max(int(p) for p in categorical) + 2
+        short = F.raise_error(F.concat(F.lit(f"fewer than {need} fields: "), F.coalesce(value, F.lit("NULL"))))
+        fields = F.when(F.size(fields) >= need, fields).otherwise(short.cast("array<string>"))
+    return lines.withColumn(FIELDS, fields)
 
 
 def parse_numeric(lines: DataFrame, value: str = "value",
@@ -71,14 +78,16 @@ def parse_numeric(lines: DataFrame, value: str = "value",
     """(label, features): categorical fields dropped, label removed.
 
     ``mode="strict"`` fails on a non-numeric field (ANSI cast);
-    ``"permissive"`` turns it into NULL.
+    ``"permissive"`` turns it into NULL. A line that lacks a categorical field
+    or the label fails in strict mode; in permissive mode its label is its last
+    field, if any, and its vector holds the numeric fields there are.
     """
-    lines = with_fields(lines, value, sep)
+    lines = with_fields(lines, value, sep, categorical, mode)
     fields = F.col(FIELDS)
     to_double = _to_double(mode)
     parts = [c for kind, c in numeric_segments(fields, categorical, to_double)
              if kind == "num"]
-    cols = [F.element_at(fields, -1).alias("label"), F.concat(*parts).alias("features")]
+    cols = [F.try_element_at(fields, F.lit(-1)).alias("label"), F.concat(*parts).alias("features")]
     if keep_line:
         cols.insert(0, F.col(value))
     return lines.select(*cols)

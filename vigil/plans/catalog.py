@@ -22,6 +22,7 @@ from vigil.operators import anomaly, clustering, evaluation, features, modeling,
 from vigil.operators.clustering import Centers
 from vigil.session import shared_dir
 from vigil.sources import records
+from vigil.sources.models import ModelBundle, load_bundle, save_bundle
 from vigil.streaming import (
     StreamingKMeans,
     stage_slice,
@@ -41,13 +42,13 @@ ONLINE_WEIGHT = 10.0
 ONLINE_DECAY_BATCHES = 0.5
 ONLINE_DECAY_POINTS = 0.999
 STREAM_BATCHES = 3
-# Seeded pyspark.ml fits (rows-only checks): the production model of the
-# original jobs is k=150 with epsilon 1e-6; best of BUILD_RUNS seeds here.
+# Seeded pyspark.ml fits, checked by what any fit must satisfy: the model of the
+# original jobs is k=150, ten runs, epsilon 1e-6.
 FIT_K = 10
 FIT_RUNS = 3
 BUILD_K = 150
-BUILD_RUNS = 3
-FIT_PARALLELISM = 3  # seeds fitted as concurrent Spark jobs
+BUILD_RUNS = 10
+FIT_PARALLELISM = 5  # seeds fitted as concurrent Spark jobs
 FIT_TOL = 1e-6
 SAMPLE_FRACTION = 0.05
 SEED = 1
@@ -178,7 +179,7 @@ def q_kth_largest(spark, sf_dir):
 def q_precision_by_threshold(spark, sf_dir):
     emb = _embeddings(spark, sf_dir)
     dists = clustering.distance_to_centroid(emb, _c5(emb))
-    scored = dists.select(F.round("distance", 2).alias("score"),
+    scored = dists.select(_r6("distance").alias("score"),
                           (F.col("label") == 0).alias("positive"))
     out = evaluation.precision_by_threshold(scored, "score", "positive")
     return out.select("threshold", _r6("precision").alias("precision"))
@@ -217,16 +218,29 @@ def q_detect_anomalies(spark, sf_dir):
     return out.select("value", _r6("distance").alias("distance"))
 
 
-def q_anomalies_kmeans(spark, sf_dir):
-    """The full detector of the original jobs: one-hot + z-score, k=150
-    k-means (best of BUILD_RUNS seeds, ε=1e-6), threshold = 100th largest
-    training distance; flagged lines with their distance (rows-only check)."""
+def q_detect_lines(spark, sf_dir):
+    """Fit on the records, then flag all lines anew through the fitted detector."""
     lines = records.record_lines(spark, sf_dir)
-    _, out = anomaly.training_anomalies(lines, k=BUILD_K, rank=ANOMALY_RANK, runs=BUILD_RUNS,
-                                        tol=FIT_TOL, seed=SEED, parallelism=FIT_PARALLELISM)
+    out = anomaly.detect_anomalies(lines, anomaly_detector(spark, sf_dir, lines))
     return out.select("value", _r6("distance").alias("distance"))
 
 
+def q_anomalies_kmeans(spark, sf_dir):
+    """The full detector of the original jobs: one-hot + z-score, k=150 k-means
+    (best of BUILD_RUNS seeds, ε=1e-6), threshold = 100th largest training
+    distance. What any such fit must satisfy: the records scored, whether fewer
+    than ANOMALY_RANK are flagged, and whether all flagged are above the threshold."""
+    lines = records.record_lines(spark, sf_dir)
+    detector = anomaly.fit_anomaly_detector(lines, k=BUILD_K, rank=ANOMALY_RANK, runs=BUILD_RUNS,
+                                            tol=FIT_TOL, seed=SEED, parallelism=FIT_PARALLELISM)
+    scored = detector.score(lines)
+    above = F.col("distance") > F.lit(detector.threshold)
+    return scored.agg(F.count("distance").alias("records"),
+                      (F.sum(above.cast("long")) < ANOMALY_RANK).alias("few"),
+                      (F.min(F.when(above, F.col("distance"))) > detector.threshold).alias("above"),
+                      (F.sum((F.col("distance") >= F.lit(detector.threshold)).cast("long")) >= ANOMALY_RANK).alias("ranked"))
+
+
 # --- online k-means on a static table ------------------------------------------------
 
 def _online(spark, sf_dir, decay, unit):
@@ -258,70 +272,71 @@ def q_online_score(spark, sf_dir):
     return online.online_score(emb, state).select(_r6("score").alias("score"))
 
 
-# --- seeded pyspark.ml fits, model store, export (rows-only checks) ---------------
-
-_SAVED_MODELS: dict[tuple[str, str], str] = {}
-
+# --- seeded pyspark.ml fits, model store, export ----------------------------------
 
 def q_kmeans_fit(spark, sf_dir):
+    """Fit and assign; within- plus between-cluster sum of squares, which is the
+    total whatever the fit, and the rows over all clusters."""
     emb = _embeddings(spark, sf_dir)
     fit = clustering.kmeans_fit(emb, k=FIT_K, runs=FIT_RUNS, tol=FIT_TOL, seed=SEED,
                                 parallelism=FIT_PARALLELISM)
-    return modeling.cluster_sizes(clustering.assign_clusters(emb, fit.centers))
-
-
-def publish_model(spark, sf_dir):
-    """Train-and-publish on the records (saved to the shared folder)."""
-    path = shared_dir(spark, "model")
-    bundle, score = modeling.build_model(records.record_lines(spark, sf_dir), k=BUILD_K,
-                                         runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED, path=path,
-                                         parallelism=FIT_PARALLELISM)
-    _SAVED_MODELS[(spark.sparkContext.applicationId, sf_dir)] = path
-    return bundle, score
-
-
-def saved_model_path(spark, sf_dir) -> str:
-    """The published model of this session, trained first if there is none."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SAVED_MODELS:
-        publish_model(spark, sf_dir)
-    return _SAVED_MODELS[key]
+    cells = (clustering.assign_clusters(emb, fit.centers).select("cluster", explode_dims("features"))
+             .filter(F.col("dim").isNotNull()))
+    per = cells.groupBy("cluster", "dim").agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
+    dims = per.groupBy("dim").agg((F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("mean"))
+    parts = per.join(F.broadcast(dims), "dim")
+    return parts.agg(F.sum(F.when(F.col("dim") == 0, F.col("n"))).alias("rows"),
+                     (F.countDistinct("cluster") <= FIT_K).alias("at_most_k"),
+                     F.round(F.sum(F.col("n") * (F.col("v") + (F.col("m") - F.col("mean")) ** 2)), 3).alias("total_ss"))
 
 
 def q_build_model(spark, sf_dir):
-    """Cluster sizes of the training records under the published model
-    (counted in the fit's scoring pass: at most k rows)."""
-    bundle, _score = publish_model(spark, sf_dir)
-    return spark.createDataFrame(sorted(bundle.cluster_sizes.items()), "cluster INT, cnt BIGINT")
+    """Train and publish on the records (saved to the shared folder, k=150, ten
+    runs); the rows over all clusters, whether there are at most k, and whether the
+    stored centres are those of the fit."""
+    path = shared_dir(spark, "model")
+    bundle, _score = modeling.build_model(records.record_lines(spark, sf_dir), k=BUILD_K,
+                                          runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED, path=path,
+                                          parallelism=FIT_PARALLELISM)
+    stored = load_bundle(spark, path)
+    sizes = spark.createDataFrame(sorted(bundle.cluster_sizes.items()), "cluster INT, cnt BIGINT")
+    return sizes.agg(F.sum("cnt").alias("rows"), (F.count("*") <= BUILD_K).alias("at_most_k"),
+                     F.lit(bool((stored.centers.values == bundle.centers.values).all())).alias("stored"))
 
 
 def q_apply_saved_model(spark, sf_dir):
-    """Load the published model and tag every record line with it."""
+    """Publish a model with one centre per (returnflag, linestatus), load it and tag
+    every record line with it."""
     lines = records.record_lines(spark, sf_dir)
-    tagged = modeling.apply_saved_model(lines, saved_model_path(spark, sf_dir))
-    return modeling.cluster_sizes(tagged)
+    detector = anomaly_detector(spark, sf_dir, lines)
+    path = shared_dir(spark, "model")
+    save_bundle(spark, ModelBundle(detector.centers, detector.dictionary, detector.stats), path)
+    tagged = modeling.apply_saved_model(lines, path)
+    return evaluation.cluster_label_counts(tagged)
 
 
 def q_profile_clusters(spark, sf_dir):
-    emb = _embeddings(spark, sf_dir)
-    return modeling.profile_clusters(emb, k=2, seed=SEED, parsed=True)["crosstab"]
+    """The profile of the record lines: label histogram, default fit, crosstab. For
+    each label its count by the histogram and summed over the crosstab."""
+    profile = modeling.profile_clusters(records.record_lines(spark, sf_dir), seed=SEED)
+    crosstab = profile["crosstab"].groupBy("label").agg(F.sum("cnt").alias("clustered"))
+    return profile["labels"].join(crosstab, "label").select("label", "cnt", "clustered")
 
 
 def q_sample_assignments(spark, sf_dir):
     emb = _embeddings(spark, sf_dir)
-    fit = clustering.kmeans_fit(emb, k=FIT_K, runs=1, tol=FIT_TOL, seed=SEED)
-    return modeling.sample_assignments(emb, fit.centers, SAMPLE_FRACTION, SEED,
-                                       path=shared_dir(spark, "sample"))
+    out = modeling.sample_assignments(emb, _c5(emb), SAMPLE_FRACTION, SEED,
+                                      path=shared_dir(spark, "sample"), key=["vec_id"])
+    return out.select("cluster", *[_r6(F.col("features")[i]).alias(f"f{i}") for i in range(3)])
 
 
 # --- streaming ---------------------------------------------------------------------
 
-_STREAM_RUNS: dict[tuple[str, str], str] = {}
-
-
-def stream_slice_of(max_id: int):
-    """Arrival order of the replayed stream: contiguous ``vec_id`` ranges."""
-    return F.floor(F.col("vec_id") * STREAM_BATCHES / F.lit(max_id + 1)).cast("int")
+def stream_slice_of(key: str, max_id: int):
+    """Arrival order of a replayed stream: contiguous ranges of ``key``; a row
+    without one, or with a negative one, comes with the first."""
+    at = F.floor(F.col(key) * STREAM_BATCHES / F.lit(max_id + 1)).cast("int")
+    return F.greatest(F.coalesce(at, F.lit(0)), F.lit(0))
 
 
 def run_stream_kmeans(spark, sf_dir) -> str:
@@ -330,11 +345,8 @@ def run_stream_kmeans(spark, sf_dir) -> str:
 
     Each slice is appended to a watched folder and picked up by one
     ``availableNow`` run of the same checkpointed query, so batch N is exactly
-    slice N. Runs once per session and sf_dir.
+    slice N.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _STREAM_RUNS:
-        return _STREAM_RUNS[key]
     emb = _embeddings(spark, sf_dir)
     c5 = _c5(emb)
     initial = online.streaming_kmeans_init(CENTRES_K, c5.dim, weight=0.0, decay=1.0,
@@ -342,12 +354,11 @@ def run_stream_kmeans(spark, sf_dir) -> str:
     root = shared_dir(spark, "stream-kmeans")
     incoming, out, checkpoint = f"{root}/incoming", f"{root}/out", f"{root}/checkpoint"
     max_id = emb.agg(F.max("vec_id")).first()[0]
-    slice_of = stream_slice_of(max_id)
+    slice_of = stream_slice_of("vec_id", max_id)
     model = StreamingKMeans(initial, out)
     for b in range(STREAM_BATCHES):
         stage_slice(emb.filter(slice_of == b), incoming)
         run_available(model.writer(stream_table(spark, incoming, emb.schema)), checkpoint)
-    _STREAM_RUNS[key] = out
     return out
 
 
@@ -395,15 +406,17 @@ def q_stream_predict(spark, sf_dir):
 
 
 def q_stream_word_count(spark, sf_dir):
-    """Per-batch word counts over a stream of ``documents.text``, summed over
-    batches (equal to the batch answer)."""
-    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    stream = stream_table(spark, sf_dir, raw.schema, glob="documents.parquet")
+    """Each micro-batch's own word counts (not cumulative) over ``documents.text``,
+    which arrives in STREAM_BATCHES slices."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    max_id = docs.agg(F.max("doc_id")).first()[0]
     root = shared_dir(spark, "stream-words")
-    run_available(stream_word_count(stream.select("text"), f"{root}/out", "text"),
-                  f"{root}/checkpoint")
-    per_batch = spark.read.parquet(f"{root}/out")
-    return per_batch.groupBy("word").agg(F.sum("cnt").alias("cnt"))
+    for b in range(STREAM_BATCHES):
+        stage_slice(docs.filter(stream_slice_of("doc_id", max_id) == b), f"{root}/incoming")
+        stream = stream_table(spark, f"{root}/incoming", docs.schema)
+        run_available(stream_word_count(stream.select("text"), f"{root}/out", "text"), f"{root}/checkpoint")
+    counts = spark.read.parquet(f"{root}/out")
+    return counts.select(F.col("batch_id").cast("int").alias("batch_id"), "word", "cnt")
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -426,6 +439,7 @@ QUERIES: dict[str, QueryFn] = {
     "precision_by_threshold": q_precision_by_threshold,
     "random_projection": q_random_projection,
     "detect_anomalies": q_detect_anomalies,
+    "detect_lines": q_detect_lines,
     "anomalies_kmeans": q_anomalies_kmeans,
     "online_update": q_online_update,
     "online_update_points": q_online_update_points,

@@ -161,7 +161,7 @@ SELECT round(min(distance), 6) AS threshold
 FROM (SELECT distance FROM a ORDER BY distance DESC LIMIT {ANOMALY_RANK})"""
 
 PRECISION_BY_THRESHOLD = _A5 + """
-, g AS (SELECT round(distance, 2) AS threshold, sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS tp,
+, g AS (SELECT round(distance, 6) AS threshold, sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS tp,
                count(*) AS n
         FROM a GROUP BY 1)
 SELECT threshold,
@@ -207,14 +207,14 @@ FROM u JOIN m USING (dim) GROUP BY vec_id"""
 
 # --- anomalies -------------------------------------------------------------------
 
-DETECT_ANOMALIES = _with(
+_GROUP_MEANS = [
     """r AS (
   SELECT concat_ws(',', CAST(l_quantity AS VARCHAR), l_returnflag, l_linestatus,
                    CAST(l_linenumber AS VARCHAR), CAST(l_extendedprice AS VARCHAR),
                    CAST(l_discount AS VARCHAR), CAST(l_tax AS VARCHAR), o_orderstatus) AS value,
          l_quantity AS q, l_returnflag AS c1, l_linestatus AS c2,
          CAST(l_linenumber AS VARCHAR) AS c3, l_extendedprice AS e, l_discount AS d,
-         l_tax AS t, row_number() OVER () AS rid
+         l_tax AS t, o_orderstatus AS label, row_number() OVER () AS rid
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     _DICTS, _ONE_HOT,
     """fu AS (SELECT rid, c1, c2, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS v FROM fe)""",
@@ -227,6 +227,10 @@ DETECT_ANOMALIES = _with(
     """dist AS (
   SELECT z.rid, cen.g1, cen.g2, sqrt(sum((z.z - cen.cz) * (z.z - cen.cz))) AS dd
   FROM z JOIN cen USING (dim) GROUP BY z.rid, cen.g1, cen.g2)""",
+]
+
+DETECT_ANOMALIES = _with(
+    *_GROUP_MEANS,
     """best AS (SELECT rid, min(dd) AS distance FROM dist GROUP BY rid)""",
     f"""thr AS (SELECT min(distance) AS t FROM
   (SELECT distance FROM best ORDER BY distance DESC LIMIT {ANOMALY_RANK}))""",
@@ -234,6 +238,25 @@ DETECT_ANOMALIES = _with(
 SELECT r.value, round(b.distance, 6) AS distance
 FROM best b JOIN r USING (rid), thr WHERE b.distance > thr.t"""
 
+APPLY_SAVED_MODEL = _with(
+    *_GROUP_MEANS,
+    """numbered AS (SELECT g1, g2, CAST(row_number() OVER (ORDER BY g1, g2) - 1 AS INTEGER) AS cluster
+  FROM (SELECT DISTINCT g1, g2 FROM cen))""",
+    """nearest AS (SELECT rid, arg_min(cluster, dd) AS cluster FROM dist JOIN numbered USING (g1, g2) GROUP BY rid)""",
+) + "SELECT cluster, label, count(*) AS cnt FROM nearest JOIN r USING (rid) GROUP BY cluster, label"
+
+# What every fit must satisfy.
+KMEANS_FIT = _with(E) + """
+SELECT CAST(sum(CASE WHEN dim = 0 THEN n END) AS BIGINT) AS rows, true AS at_most_k, round(sum(n * v), 3) AS total_ss
+FROM (SELECT dim, count(*) AS n, var_pop(x) AS v FROM u GROUP BY dim)"""
+BUILD_MODEL = _with(R) + "SELECT count(*) AS rows, true AS at_most_k, true AS stored FROM r"
+ANOMALIES_KMEANS = _with(R) + "SELECT count(*) AS records, true AS few, true AS above, true AS ranked FROM r"
+PROFILE_CLUSTERS = _with(R) + "SELECT label, count(*) AS cnt, count(*) AS clustered FROM r GROUP BY label"
+# the first eight hex digits below 0.05 * 2^32 = 0x0ccccccc.cc
+SAMPLE_ASSIGNMENTS = _A5 + """
+SELECT a.cluster, round(e.f[1], 6) AS f0, round(e.f[2], 6) AS f1, round(e.f[3], 6) AS f2
+FROM a JOIN e USING (vec_id) WHERE substr(md5('1|' || vec_id), 1, 8) <= '0ccccccc'"""
+
 
 # --- online k-means ----------------------------------------------------------------
 
@@ -330,9 +353,10 @@ STREAM_MEAN_DISTANCE = _with(E, *_stream_ctes()) + _union(
 
 STREAM_PREDICT = ASSIGN_CLUSTERS
 
-STREAM_WORD_COUNT = """
-SELECT word, count(*) AS cnt
-FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word"""
+STREAM_WORD_COUNT = f"""
+SELECT CAST(floor(doc_id * {STREAM_BATCHES} / ((SELECT max(doc_id) FROM documents) + 1)) AS INTEGER) AS batch_id,
+       word, count(*) AS cnt
+FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY ALL"""
 
 
 def _positive_zero(sql: str) -> str:
@@ -361,6 +385,13 @@ ORACLE_SQL: dict[str, str] = {
     "precision_by_threshold": PRECISION_BY_THRESHOLD,
     "random_projection": RANDOM_PROJECTION,
     "detect_anomalies": DETECT_ANOMALIES,
+    "detect_lines": DETECT_ANOMALIES,
+    "anomalies_kmeans": ANOMALIES_KMEANS,
+    "kmeans_fit": KMEANS_FIT,
+    "build_model": BUILD_MODEL,
+    "apply_saved_model": APPLY_SAVED_MODEL,
+    "profile_clusters": PROFILE_CLUSTERS,
+    "sample_assignments": SAMPLE_ASSIGNMENTS,
     "online_update": ONLINE_UPDATE,
     "online_update_points": ONLINE_UPDATE_POINTS,
     "online_score": ONLINE_SCORE,

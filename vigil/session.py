@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +44,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="vigil-ckpt-", dir="/tmp")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -56,8 +59,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-
-
 def spread(df, min_partitions: int | None = None, force: bool = False):
     """Round-robin repartition a *source* DataFrame that has fewer partitions
     than the cluster can run at once (e.g. a single-row-group Parquet file or
@@ -79,6 +80,32 @@ def spread(df, min_partitions: int | None = None, force: bool = False):
     return df.repartition(target)
 
 
+_CACHE_LOCK = threading.Lock()
+_CACHE_USERS: dict[int, int] = {}
+
+
+@contextmanager
+def shared_cache(df):
+    """Persist ``df`` for the block. Spark keeps one cache entry for equal plans, so
+    concurrent blocks over equal plans share it and the last one releases it."""
+    key = df.semanticHash()
+    with _CACHE_LOCK:
+        if not _CACHE_USERS.get(key) and (df.storageLevel.useMemory or df.storageLevel.useDisk):
+            key = None  # somebody else's to release
+        else:
+            _CACHE_USERS[key] = _CACHE_USERS.get(key, 0) + 1
+            df.persist()
+    try:
+        yield df
+    finally:
+        with _CACHE_LOCK:
+            if key is not None:
+                _CACHE_USERS[key] -= 1
+                if not _CACHE_USERS[key]:
+                    del _CACHE_USERS[key]
+                    df.unpersist()
+
+
 class cached:
     """Context manager: persist a DataFrame for a multi-pass step unless it is
     already persisted, and release it afterwards only if it was persisted here.

@@ -1,22 +1,30 @@
 """Model store: k-means models and fitted feature state, saved with Spark.
 
-A bundle folder holds ``centers/``, ``dictionary/``, ``stats/`` (small
-Parquet tables) and, when the centres come from ``pyspark.ml``, the
-``kmeans/`` model itself, so a model can be re-applied to new raw lines.
-Saves overwrite (a second save to the same path replaces the first).
+A bundle folder holds one sub-folder a save (``v-…``) with ``centers/`` and, where
+the bundle has them, ``dictionary/``, ``stats/`` (small Parquet tables) and
+``kmeans/`` (the ``pyspark.ml`` model), and a ``manifest/`` table. A save writes its
+parts first and appends one manifest row last, which names the folder, the parts
+and the record layout; loading takes the newest row. So a reader never mixes parts
+of two saves, and a part that the manifest names but that is missing is an error.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import time
+import uuid
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import functions as F
 
+from vigil.defaults import CATEGORICAL_POSITIONS, FIELD_SEPARATOR
 from vigil.operators.clustering import Centers
 from vigil.operators.features import Dictionary, Stats
 
+MANIFEST = "saved_at BIGINT, folder STRING, parts ARRAY<STRING>, layout STRING"
+
 
 def save_model(model, path: str) -> None:
     """Save a ``pyspark.ml`` KMeansModel, replacing what is at ``path``."""
@@ -30,6 +38,15 @@ def load_model(path: str):
     return KMeansModel.load(path)
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a record line is read; saved with the model."""
+
+    categorical: tuple[int, ...] = CATEGORICAL_POSITIONS
+    sep: str = FIELD_SEPARATOR
+    mode: str = "strict"
+
+
 @dataclass
 class ModelBundle:
     centers: Centers
@@ -37,48 +54,44 @@ class ModelBundle:
     stats: Stats | None = None
     kmeans: object | None = None  # pyspark.ml KMeansModel
     cluster_sizes: dict[int, int] | None = None  # training rows per cluster (not saved)
+    layout: Layout = field(default_factory=Layout)
 
 
 def save_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> None:
+    """Write the bundle as the newest of ``path``; earlier saves stay until deleted."""
     path = path.rstrip("/")
+    folder = f"v-{uuid.uuid4().hex[:12]}"
     rows = [(i, [float(v) for v in c]) for i, c in enumerate(bundle.centers.values)]
-    spark.createDataFrame(rows, "cluster INT, center ARRAY<DOUBLE>") \
-        .write.mode("overwrite").parquet(f"{path}/centers")
+    tables = {"centers": (rows, "cluster INT, center ARRAY<DOUBLE>")}
     if bundle.dictionary is not None:
-        spark.createDataFrame(bundle.dictionary.to_rows(),
-                              "field INT, category STRING, idx INT") \
-            .write.mode("overwrite").parquet(f"{path}/dictionary")
+        tables["dictionary"] = (bundle.dictionary.to_rows(), "field INT, category STRING, idx INT")
     if bundle.stats is not None:
         s = bundle.stats
-        spark.createDataFrame(
-            [(i, s.n, m, sd) for i, (m, sd) in enumerate(zip(s.mean, s.sd))],
-            "dim INT, n BIGINT, mean DOUBLE, sd_pop DOUBLE") \
-            .write.mode("overwrite").parquet(f"{path}/stats")
+        tables["stats"] = ([(i, s.n, m, sd) for i, (m, sd) in enumerate(zip(s.mean, s.sd))],
+                           "dim INT, n BIGINT, mean DOUBLE, sd_pop DOUBLE")
+    for name, (values, schema) in tables.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{path}/{folder}/{name}")
+    parts = list(tables)
     if bundle.kmeans is not None:
-        save_model(bundle.kmeans, f"{path}/kmeans")
+        save_model(bundle.kmeans, f"{path}/{folder}/kmeans")
+        parts.append("kmeans")
+    layout = json.dumps({"categorical": list(bundle.layout.categorical), "sep": bundle.layout.sep, "mode": bundle.layout.mode})
+    (spark.createDataFrame([(time.time_ns(), folder, parts, layout)], MANIFEST).coalesce(1)
+     .write.mode("append").parquet(f"{path}/manifest"))
 
 
 def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
+    """The newest bundle saved to ``path``."""
     path = path.rstrip("/")
-    rows = sorted(spark.read.parquet(f"{path}/centers").collect())
-    centers = Centers(np.array([r["center"] for r in rows], dtype=float))
-
-    def optional(name):
-        try:
-            return spark.read.parquet(f"{path}/{name}")
-        except AnalysisException:
-            return None
-
-    dictionary = optional("dictionary")
-    stats = optional("stats")
-    kmeans = None
-    try:
-        kmeans = load_model(f"{path}/kmeans")
-    except Exception:  # noqa: BLE001 - a bundle without a pyspark.ml model
-        kmeans = None
+    newest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").orderBy(F.desc("saved_at")).first()
+    if newest is None:
+        raise ValueError(f"no model has been saved to {path}")
+    folder, parts, layout = f"{path}/{newest['folder']}", set(newest["parts"]), json.loads(newest["layout"])
+    rows = sorted(spark.read.parquet(f"{folder}/centers").collect())
     return ModelBundle(
-        centers,
-        Dictionary.from_table(dictionary) if dictionary is not None else None,
-        Stats.from_table(stats) if stats is not None else None,
-        kmeans,
+        Centers(np.array([r["center"] for r in rows], dtype=float)),
+        Dictionary.from_table(spark.read.parquet(f"{folder}/dictionary")) if "dictionary" in parts else None,
+        Stats.from_table(spark.read.parquet(f"{folder}/stats")) if "stats" in parts else None,
+        load_model(f"{folder}/kmeans") if "kmeans" in parts else None,
+        layout=Layout(tuple(layout["categorical"]), layout["sep"], layout["mode"]),
     )

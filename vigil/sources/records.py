@@ -41,14 +41,9 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         F.concat_ws(
             ",",
-            F.col("l_quantity").cast("string"),
-            "l_returnflag",
-            "l_linestatus",
-            F.col("l_linenumber").cast("string"),
-            F.col("l_extendedprice").cast("string"),
-            F.col("l_discount").cast("string"),
-            F.col("l_tax").cast("string"),
-            "o_orderstatus",
+            *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (
+                "l_quantity", "l_returnflag", "l_linestatus", "l_linenumber",
+                "l_extendedprice", "l_discount", "l_tax", "o_orderstatus")],
         ).alias("value")
     )
 

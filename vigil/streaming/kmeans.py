@@ -42,7 +42,9 @@ class StreamingKMeans:
         spark = batch.sparkSession
         try:
             stored = spark.read.parquet(self.state_dir)
-        except AnalysisException:
+        except AnalysisException as error:  # no batch has been stored yet; anything else rises
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.initial
         prev = stored.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
         if prev is None:
