@@ -108,7 +108,8 @@ def disclosing_terms(docs: DataFrame, terms: DataFrame, *, contexts: int = CONTE
     wanted = small(pairs.select("term").distinct())
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).distinct()
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0)))
-    n_t = rows.select(F.explode(words).alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    # counted before the join, so that a frequent term is one row a task
+    n_t = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi")
     total = rows.count()
     return (pairs.join(n_t, "term").join(n_e, "entity")
             .withColumn("share", F.col("n_te") / F.col("n_t"))
