@@ -13,10 +13,10 @@ Every link is confirmed on the full sets. Work per bucket is kept linear:
 2. in each bucket every member is compared with one centre, first only the
    centre that comes first for it, then, across classes that are still apart,
    the others;
-3. buckets that still hold several classes compare the members outside their
-   largest class with all members, in blocks of bounded size, inside tasks; only
-   links leave a task. After that no two documents that share a bucket are left
-   unlinked by omission.
+3. of buckets that still hold several classes, those with the same largest class
+   are taken together; members outside it are compared with all members, in blocks
+   of bounded size, inside tasks; only links leave a task. After that no two
+   documents that share a bucket are left unlinked by omission.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from vigil.llm.common import WordHash, chunks, connected_components, mix, words_
 HASHES, TABLES = 2, 10
 #: Ids up to this many are broadcast (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
-QUERY_BLOCK, MEMBER_BLOCK = 128, 512
+QUERY_BLOCK, MEMBER_BLOCK = 256, 512
 
 
 def shingle_hashes(words: list[bytes], n: int, memo: WordHash) -> np.ndarray:
@@ -165,9 +165,11 @@ def _leftover_links(members: DataFrame, labels: DataFrame, sets: DataFrame, perc
     contested = once.select("x.i", "x.key", "x.most", "size")
     main = (per_class.join(contested, ["i", "key"]).filter("c = most")
             .groupBy("i", "key", "most", "size").agg(F.min("component").alias("main")))
-    work = written(named.join(main, ["i", "key"])
-                   .withColumn("query", F.col("component") != F.col("main"))
-                   .withColumn("queries", F.col("size") - F.col("most")), "contested")
+    # all buckets with the same main class are looked at together, each document once
+    work = written(named.join(main, ["i", "key"]).select("main", "rep", "component").distinct()
+                   .withColumn("query", F.col("component") != F.col("main")), "contested")
+    sizes = work.groupBy("main").agg(F.count("*").alias("size"), F.sum(F.col("query").cast("long")).alias("queries"))
+    work = work.join(sizes, "main")
     spot = F.abs(F.xxhash64("rep"))
     q_blocks = F.ceil(F.col("queries") / QUERY_BLOCK).cast("int")
     m_blocks = F.ceil(F.col("size") / MEMBER_BLOCK).cast("int")
@@ -175,8 +177,8 @@ def _leftover_links(members: DataFrame, labels: DataFrame, sets: DataFrame, perc
                 .withColumn("mb", F.explode(F.sequence(F.lit(0), m_blocks - 1))))
     as_member = (work.withColumn("mb", (spot % m_blocks).cast("int")).withColumn("query", F.lit(False))
                  .withColumn("qb", F.explode(F.sequence(F.lit(0), q_blocks - 1))))
-    units = as_query.unionByName(as_member).select("i", "key", "qb", "mb", "query", "component", F.col("rep").alias("id"))
-    return (units.join(sets, "id").groupBy("i", "key", "qb", "mb")
+    units = as_query.unionByName(as_member).select("main", "qb", "mb", "query", "component", F.col("rep").alias("id"))
+    return (units.join(sets, "id").groupBy("main", "qb", "mb")
             .applyInArrow(_block_links(percent), "a long, b long"))
 
 
@@ -218,15 +220,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     if needed.count() <= BROADCAST_IDS:
         needed = F.broadcast(needed)
     sets = written(base.join(needed, "doc_id", "left_semi").mapInArrow(_sets(n), "id long, shingles array<long>")
-                   .filter("size(shingles) > 0").distinct(), "sets")
+                   .filter("size(shingles) > 0"), "sets")
 
     # first for each document the centre it shares most tables with ...
     best = pairs.groupBy("a").agg(F.max("tables").alias("tables"))
     best = pairs.join(best, ["a", "tables"]).groupBy("a").agg(F.min("b").alias("b"))
     links = written(_confirmed(best, sets, percent), "links")
-    labels = written(connected_components(links), "labels")
-    # ... then the other centres, where the classes are still apart
-    rest = _apart(pairs.join(best, ["a", "b"], "left_anti"), labels)
+    # ... then the other centres, but for those that two steps along the links show to be
+    # of the same class
+    roots = links
+    for _ in range(2):
+        up = links.select(F.col("a").alias("b"), F.col("b").alias("up"))
+        roots = roots.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b"))
+    rest = _apart(pairs.join(best, ["a", "b"], "left_anti"), written(roots.select(F.col("a").alias("node"), F.col("b").alias("component")), "roots"))
     more = written(_confirmed(rest, sets, percent), "links")
     labels = written(connected_components(links.union(more)), "labels")
     last = written(_leftover_links(members, labels, sets, percent), "links")
