@@ -33,30 +33,29 @@ WINDOW, LITERALS = 8, 5
 NUMBER, UNIT, NAME = "n", "u", "p"
 
 
-def _words(text: Column) -> Column:
+def _tokens(text: Column) -> Column:
+    """array<struct<core, stop>>: each word without punctuation at its ends, in its own
+    case, and whether it ends a sentence; words of punctuation alone are left out."""
     clean = F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
-    return F.filter(F.split(clean, "[\\x20\\x09-\\x0D]+"), lambda w: F.btrim(w, F.lit(PUNCTUATION)) != "")
-
-
-def _core(word: Column) -> Column:
-    return F.btrim(word, F.lit(PUNCTUATION))
+    each = F.transform(F.split(clean, "[\\x20\\x09-\\x0D]+"), lambda w: F.struct(
+        F.btrim(w, F.lit(PUNCTUATION)).alias("core"), F.substring(w, -1, 1).isin(".", "!", "?", ":").alias("stop")))
+    return F.filter(each, lambda t: t["core"] != "")
 
 
 def _is_number(core: Column) -> Column:
     return F.substring(core, 1, 1).between("0", "9")
 
 
-def _template(words: Column) -> Column:
-    """The template word of each word of an array column."""
-    def one(word, i):
-        core, before = _core(word), F.get(words, i - 1)
+def _template(tokens: Column) -> Column:
+    """The template word of each token of an array column."""
+    def one(token, i):
+        core, before = token["core"], F.get(tokens, i - 1)
         first = F.substring(core, 1, 1)
-        opens = before.isNull() | F.substring(before, -1, 1).isin(".", "!", "?", ":")
         return (F.when(_is_number(core), F.lit(NUMBER))
-                .when((first != F.lower(first)) & ~opens, F.lit(NAME))
-                .when(F.lower(core).isin(*UNITS) & F.coalesce(_is_number(_core(before)), F.lit(False)), F.lit(UNIT))
+                .when((first != F.lower(first)) & ~F.coalesce(before["stop"], F.lit(True)), F.lit(NAME))
+                .when(F.coalesce(_is_number(before["core"]), F.lit(False)) & F.lower(core).isin(*UNITS), F.lit(UNIT))
                 .otherwise(F.lower(core)))
-    return F.transform(words, one)
+    return F.transform(tokens, one)
 
 
 def _window_hash(hashes: Column, i: Column, size: int) -> Column:
@@ -73,16 +72,16 @@ def _windows(hashes: Column, size: int) -> Column:
 
 
 def _slots(df: DataFrame, size: int) -> DataFrame:
-    """One row a window: df's columns without ``words``, pos, h, and the windows' slot
+    """One row a window: df's columns without ``tokens``, pos, h, and the windows' slot
     values (null at literals)."""
-    t = df.withColumn("template", _template(F.col("words")))
+    t = df.withColumn("template", _template(F.col("tokens")))
     t = t.withColumn("hashes", F.transform("template", lambda x: F.xxhash64(x)))
-    value = F.transform("words", lambda w, i: F.when(F.get("template", i).isin(NUMBER, UNIT, NAME), F.lower(_core(w))))
+    value = F.transform("tokens", lambda x, i: F.when(F.get("template", i).isin(NUMBER, UNIT, NAME), F.lower(x["core"])))
     t = t.withColumn("value", value).withColumn("w", F.explode(F.transform(
         _starts(F.size("hashes"), size),
         lambda i: F.struct(i.alias("pos"), _window_hash(F.col("hashes"), i, size).alias("h"),
                            F.slice("value", i + 1, F.lit(size)).alias("slots")))))
-    return t.select(*[c for c in df.columns if c != "words"], "w.pos", "w.h", "w.slots")
+    return t.select(*[c for c in df.columns if c != "tokens"], "w.pos", "w.h", "w.slots")
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -101,8 +100,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     text hash; repeated rows match alike. A null id or item id is an id like others.
     """
     items = (benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).distinct()
-             .select("item_id", _words(F.col("text")).alias("words")))
-    items = items.withColumn("length", F.least(F.size("words"), F.lit(window))).filter(F.col("length") >= literals)
+             .select("item_id", _tokens(F.col("text")).alias("tokens")))
+    items = items.withColumn("length", F.least(F.size("tokens"), F.lit(window))).filter(F.col("length") >= literals)
     lengths = [r[0] for r in items.select("length").distinct().collect()]  # at most `window` values
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     found = None
@@ -113,8 +112,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         keys = small(b.select("h").distinct())
         # pass 1: ids of the documents that hold any of these windows
         # (each array is a column of its own: inside a lambda it would be made anew for every element)
-        hit = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _words(F.col("text")).alias("words"))
-               .select("doc_id", "text_hash", _template(F.col("words")).alias("template"))
+        hit = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _tokens(F.col("text")).alias("tokens"))
+               .select("doc_id", "text_hash", _template(F.col("tokens")).alias("template"))
                .select("doc_id", "text_hash", F.transform("template", lambda t: F.xxhash64(t)).alias("hashes"))
                .select("doc_id", "text_hash", F.explode(_windows(F.col("hashes"), size)).alias("h"))
                .join(keys, "h", "left_semi").select("doc_id", "text_hash").distinct())
@@ -122,7 +121,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         # pass 2: slots, in those documents
         some = (docs.withColumn("text_hash", F.xxhash64("text"))
                 .join(hit, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left_semi")
-                .distinct().select("doc_id", "text_hash", _words(F.col("text")).alias("words")))
+                .distinct().select("doc_id", "text_hash", _tokens(F.col("text")).alias("tokens")))
         places = small(b.select("h", "item_id", F.col("pos").alias("at"), F.col("slots").alias("item_slots")))
         match = _slots(some, size).join(places, "h").withColumn("shift", F.col("pos") - F.col("at"))
         line = ["doc_id", "text_hash", "item_id", "shift"]
