@@ -55,15 +55,15 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if not text else text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut again so that a piece holds about CHUNK_BYTES of text."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut again so that a piece holds about ``size`` bytes of text."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0)
         ends = np.cumsum(np.asarray(sizes, dtype=np.int64))
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 
@@ -145,7 +145,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.distinct(), "edges")
+        large = written(large, "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))))

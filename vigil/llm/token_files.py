@@ -15,18 +15,27 @@ A range of ids is read by the blocks that hold it, wherever it lies.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import MEMO_WORDS, chunks, map_file, put_file, written
+from vigil.llm.common import chunks, map_file, put_file, written
+from vigil.session import shared_dir
 
 BLOCK = 8192
+#: About this many distinct words are encoded by one task.
+SHARD_WORDS = 150_000
+#: Words a worker remembers, and text bytes it handles at a time (memory bounds).
+MEMO, CHUNK = 200_000, 1 << 20
+MARKS = (b".", b",", b";", b":", b"!", b"?")
 TAIL = "<4sHHIQQ"
 
 
@@ -71,50 +80,147 @@ class TokenFile:
         return self.ids(int(self.starts[i]), int(self.starts[i + 1]))
 
 
-class WordEncoder:
-    """Encodes texts word by word, each distinct word once while it is remembered.
+def pieces_of(word: bytes) -> tuple[bytes, ...]:
+    """Parts of a word that the tokenizer encodes apart, so that fewer are distinct:
+    ASCII letters and one mark after them, in lower case, which it would do itself. A
+    word that may hold a special token stays as it is."""
+    if b"<|" in word:
+        return (word,)
+    word = word.lower()
+    if word[-1:] in MARKS and word[:-1].isalpha():
+        return word[:-1], word[-1:]
+    return (word,)
+
+
+def _hashes(words) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64)
+
+
+def _distinct_words(batches):
+    """The pieces of a task's texts, each once while it is remembered."""
+    seen = set()
+
+    def out():
+        words = list(seen)
+        for start in range(0, len(words), 65_536):
+            part = words[start: start + 65_536]
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(part).view(np.int64)), pa.array(part, pa.binary())], names=["h", "word"])
+
+    for batch in chunks(batches, size=CHUNK):
+        words = set()
+        for text in batch["text"].to_pylist():
+            if text:
+                words.update(text.encode().split())
+        seen.update(chain.from_iterable(map(pieces_of, words)))
+        if len(seen) > MEMO:
+            yield from out()
+            seen = set()
+    yield from out()
+
+
+def _encoded_words(folder: str, vocabulary: str):
+    """Encodes the words of one shard and writes them in the order of their hashes."""
+    def run(key, table):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
+        from tokenizers import Tokenizer
+
+        shard = key[0].as_py()
+        hashes = np.asarray(table["h"]).view(np.uint64)
+        order = np.argsort(hashes)
+        words = table["word"].take(pa.array(order)).to_pylist()
+        tokenizer, ids, size = Tokenizer.from_file(vocabulary), [], []
+        for start in range(0, len(words), 4096):
+            for e in tokenizer.encode_batch_fast([w.decode() for w in words[start: start + 4096]], add_special_tokens=False):
+                ids.append(np.asarray(e.ids, "<u4"))
+                size.append(len(ids[-1]))
+        starts = np.concatenate(([0], np.cumsum(size))).astype("<u8")
+        put_file(folder, f"words-{shard:06d}", lambda f: [f.write(a.tobytes()) for a in (hashes[order], starts, np.concatenate(ids))])
+        return pa.table({"shard": pa.array([shard], pa.int64()), "n": pa.array([len(words)], pa.int64())})
+    return run
+
+
+def encode_words(docs: DataFrame, vocabulary: str) -> dict:
+    """Encode every distinct word of ``docs.text`` once and write hash -> ids to files of
+    the shared folder. Returns what workers need to open them, a pair a shard.
 
     Valid for tokenizers that never join pieces across white space, as the word-end
     BPE here, which drops it; the tests compare it with encoding whole texts.
     """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+    folder = shared_dir(docs.sparkSession, "words")
+    words = written(docs.select(F.col("text").cast("string").alias("text"))
+                    .mapInArrow(_distinct_words, "h long, word binary").distinct(), "words")
+    bits = max(0, -(-words.count() // SHARD_WORDS) - 1).bit_length()
+    shard = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
+    made = written(words.withColumn("shard", shard).groupBy("shard")
+                   .applyInArrow(_encoded_words(folder, vocabulary), "shard long, n long"), "words")
+    return {"folder": folder, "bits": bits, "shards": [(r["shard"], r["n"]) for r in made.collect()]}
+
+
+class WordIds:
+    """Turns texts into ids by the memory-mapped words of ``encode_words``; remembers a
+    bounded number of words."""
+
+    def __init__(self, words: dict):
+        self.bits, self.shards = words["bits"], {}
+        for shard, n in words["shards"]:
+            data = map_file(words["folder"], f"words-{shard:06d}")
+            self.shards[shard] = (np.frombuffer(data, "<u8", n), np.frombuffer(data, "<u8", n + 1, 8 * n),
+                                  np.frombuffer(data, "<u4", -1, 8 * (2 * n + 1)))
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.starts, self.flat, self.used = [0], np.empty(1 << 16, np.uint32), 0
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.starts, self.flat = [np.zeros(1, np.int64)], [np.empty(0, np.uint32)]
+
+    def learn(self, fresh: list[bytes]) -> None:
+        pieces = [pieces_of(w) for w in fresh]
+        hashes = _hashes(chain.from_iterable(pieces))
+        shards = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
+        first, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        for shard in np.unique(shards):
+            keys, starts, _ = self.shards[int(shard)]
+            mine = np.flatnonzero(shards == shard)
+            at = np.minimum(np.searchsorted(keys, hashes[mine]), len(keys) - 1)
+            if not (keys[at] == hashes[mine]).all():
+                raise KeyError("a word of these texts was not among those encoded")
+            first[mine] = starts[at]
+            size[mine] = starts[at + 1] - starts[at]
+        place, flat = np.cumsum(size) - size, np.empty(size.sum(), np.uint32)
+        for shard in np.unique(shards):
+            mine = np.flatnonzero(shards == shard)
+            to, _ = _gather(np.arange(len(flat)), place[mine], size[mine])
+            flat[to], _ = _gather(self.shards[int(shard)][2], first[mine], size[mine])
+        n = len(self.known)
+        self.known.update(zip(fresh, range(n, n + len(fresh))))
+        ends = np.cumsum([len(p) for p in pieces]) - 1
+        self.starts.append(self.starts[-1][-1] + (place + size)[ends])
+        self.flat.append(flat)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many belong to each text."""
         words = [t.encode().split() if t else [] for t in texts]
-        if len(self.known) > MEMO_WORDS:
+        if len(self.known) > MEMO:
             self.forget()
-        fresh = list({w for ws in words for w in ws if w not in self.known})
-        for start in range(0, len(fresh), 8192):
-            part = fresh[start: start + 8192]
-            for word, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = len(self.starts) - 1
-                ids = e.ids
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
-                self.flat[self.used: self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.starts.append(self.used)
-        starts = np.asarray(self.starts, np.int64)
+        fresh = set().union(*words).difference(self.known)
+        if fresh:
+            self.learn(list(fresh))
+        self.starts, self.flat = [np.concatenate(self.starts)], [np.concatenate(self.flat)]
         n_words = np.asarray([len(ws) for ws in words], np.int64)
-        at = np.fromiter((self.known[w] for ws in words for w in ws), np.int64, int(n_words.sum()))
-        size = starts[at + 1] - starts[at]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        where = np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], size)
-        edge = np.concatenate(([0], np.cumsum(n_words)))
-        return self.flat[where], ends[edge[1:]] - ends[edge[:-1]]
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
+        first = self.starts[0][at]
+        flat, size = _gather(self.flat[0], first, self.starts[0][at + 1] - first)
+        ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_words)))]
+        return flat, np.diff(ends)
+
+
+def _gather(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """values[first: first + size] of every piece, end to end, and the sizes."""
+    ends = np.cumsum(size)
+    where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+    return values[where], size
 
 
-def _write(folder: str, vocabulary: str, bits: int, end_id: int):
+def _write(folder: str, words: dict, bits: int, end_id: int):
     def run(batches):
         from pyspark import TaskContext
 
@@ -126,7 +232,7 @@ def _write(folder: str, vocabulary: str, bits: int, end_id: int):
         counts = [0, 0]
 
         def write(out):
-            encoder = WordEncoder(vocabulary)
+            encoder = WordIds(words)
             doc_ids, valid, sizes, offsets, rest, at, total = [], [], [], [0], np.empty(0, np.uint32), 0, 0
 
             def put(ids):
@@ -140,7 +246,7 @@ def _write(folder: str, vocabulary: str, bits: int, end_id: int):
                 yield batch
                 yield from batches
 
-            for piece in chunks(pieces()):
+            for piece in chunks(pieces(), size=CHUNK):
                 ids, n = encoder.encode(piece["text"].to_pylist())
                 ids = np.insert(ids, np.cumsum(n), end_id)
                 doc_ids.append(np.asarray(pa.compute.fill_null(piece["doc_id"], 0), "<i8"))
@@ -176,9 +282,10 @@ def write_token_files(docs: DataFrame, folder: str, *, vocabulary: str, vocabula
     empty table gives an empty manifest.
     """
     bits = max(vocabulary_size - 1, end_id).bit_length()
+    words = encode_words(docs, vocabulary)
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text")))
-    return written(ordered.mapInArrow(_write(folder, vocabulary, bits, end_id),
+    return written(ordered.mapInArrow(_write(folder, words, bits, end_id),
                                       "part long, name string, n_docs long, n_ids long"), "manifest")
 
 
