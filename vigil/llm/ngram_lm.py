@@ -23,16 +23,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import GOLD, MEMO_WORDS, MIX1, MIX2, S27, S30, S31, WordHash, chunks, map_file, mix, put_file, words_of, written
+from vigil.llm.common import GOLD, MIX1, MIX2, S27, S30, S31, WordHash, chunks, map_file, mix, put_file, words_of, written
 from vigil.session import shared_dir
 
 #: About this many tokens' counts make a shard.
 SHARD_TOKENS = 4_000_000
 #: A task adds its counts up whenever it holds this many (memory bound).
-HELD = 4_000_000
+HELD = 1_500_000
+#: Text bytes handled at a time, and words remembered (memory bounds).
+CHUNK, MEMO = 1 << 20, 200_000
 UNKNOWN = np.uint64(0xFFFFFFFF)
 #: Words' statistics are kept in files of 2 ** PART ids.
 PART = np.uint64(18)
@@ -92,7 +95,7 @@ def _counted(tokens_of, shard_bits: int):
                 if b > a:
                     yield pa.RecordBatch.from_pydict({"shard": [shard], "data": [packed(sums[0][a:b], sums[1][a:b])]})
 
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=CHUNK):
             for text in batch["text"].to_pylist():
                 t = tokens(text)
                 if len(t):
@@ -161,14 +164,14 @@ class _Ids:
     """word -> id, remembered up to a bounded number of words."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.hash, self.known = vocabulary, WordHash(), {}
+        self.vocabulary, self.known = vocabulary, {}
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > MEMO_WORDS:
+        if len(self.known) > MEMO:
             self.known = {}
         fresh = list(set(words).difference(self.known))
         if fresh:
-            self.known.update(zip(fresh, self.vocabulary.look_up(self.hash.of(fresh)).tolist()))
+            self.known.update(zip(fresh, self.vocabulary.look_up(np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64)).tolist()))
         return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
@@ -347,7 +350,7 @@ def train(docs: DataFrame) -> dict:
 def _scored(meta: dict):
     def run(batches):
         model = None
-        for batch in chunks(batches, "text_"):
+        for batch in chunks(batches, "text_", CHUNK):
             if not batch.num_rows:
                 continue
             model = model or KneserNey(meta)
