@@ -67,3 +67,21 @@ def test_copies_are_one_context_and_empty_table(spark, frame):
     rows = [(i, "Zorkmid writes to zork@example.com again") for i in range(50)] + [(100 + i, "other words") for i in range(300)]
     assert not any(r.term for r in find_personal_data(frame(rows)).collect())
     assert find_personal_data(frame([])).count() == 0
+
+
+def test_terms_count_and_are_marked_at_any_distance(spark, frame):
+    fill = ["alpha beta", "gamma delta", "epsilon zeta", "eta theta", "iota kappa"]
+    far = " ".join(["common writes about things"] * 6)
+    rows = [(i, f"Zorkmid {far} {fill[i]} to zork@example.com about {fill[(i + 2) % 5]} {far} zorkmid") for i in range(5)]
+    rows += [(10 + i, f"common {fill[i % 5]} writes about things to number {i}") for i in range(400)]
+    rows += [(1000, "Zorkmid elsewhere")]
+
+    def marked(**options):
+        text = dict(rows)
+        return {r.doc_id: [text[r.doc_id][s.start:s.end] for s in r.term] for r in find_personal_data(frame(rows), **options).collect() if r.term}
+
+    held = {i: ["Zorkmid", "zorkmid"] for i in range(5)}
+    assert marked() == held
+    assert marked(everywhere=True) == held | {1000: ["Zorkmid"]}
+    clean = {r.doc_id: r.text for r in sanitise(frame(rows), everywhere=True).collect()}
+    assert clean[1000] == "[NAME] elsewhere" and clean[0].startswith("[NAME] common") and "orkmid" not in clean[0]

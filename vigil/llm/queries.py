@@ -89,7 +89,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_personal_data(table(spark, sf_dir, "documents"))
+    found = find_personal_data(table(spark, sf_dir, "documents"), everywhere=True)
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(span_list(KINDS).cast("binary"), 256).alias("base_sha256"),
                         span_list((*KINDS, "term")).alias("spans"))
