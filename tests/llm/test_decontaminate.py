@@ -87,3 +87,11 @@ def test_inconsistent_slots(spark, frame):
 @pytest.mark.parametrize("docs, items", [([], ITEMS), ([(1, "a b c d e f g h i")], [])])
 def test_empty_tables(spark, frame, docs, items):
     assert mark_contaminated(frame(docs), spark.createDataFrame(items, ITEM)).filter("contaminated").count() == 0
+
+
+def test_windows_with_the_items_own_values_count_in_any_alignment(spark, frame):
+    text = ("The farmer bought 5 white sheep from his neighbour and sold 5 brown goats at the market before he drove home "
+            "along the old river road with a full purse and a cheerful song")
+    rows = [(1, "so " + text.replace("sold 5", "sold 6")), (2, "so " + text.replace("5", "6"))]
+    got = {r.doc_id: r for r in contamination(frame(rows), spark.createDataFrame([(1, text)], ITEM)).collect()}
+    assert set(got) == {1, 2} and 0 < got[1].coverage < got[2].coverage

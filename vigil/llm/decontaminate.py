@@ -5,7 +5,8 @@ numbers, units after a number, or names (capitalised inside a sentence); others
 lower-cased. Windows of ``window`` template words are hashed and joined with those
 of the benchmark, so a question with other numbers or names still meets its
 template. A match counts if the slots agree: along one alignment each value of the
-item stands for one value of the document, and the other way round.
+item stands for one value of the document, and the other way round. Windows whose
+slots hold the item's own values count in any alignment.
 
 The first pass hashes all windows and only finds documents that hold a benchmark
 window; slots are looked at in those alone. The benchmark's windows are broadcast
@@ -92,8 +93,9 @@ def small(df: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
     """(doc_id, text_hash, item_id, windows, coverage) for each document and item that
     match: at least one window of ``window`` template words, ``literals`` of them no
-    placeholders, in an alignment whose slots are consistent. coverage is the share
-    of the item's windows that match in its best alignment.
+    placeholders, in an alignment whose slots are consistent, or with the item's own
+    slot values. coverage is the share of the item's windows that match in its best
+    alignment.
 
     Items of fewer words match as a whole if they have ``literals`` literal words;
     shorter ones never match. Null texts have no words. Rows are told apart by id and
@@ -126,12 +128,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         match = _slots(some, size).join(places, "h").withColumn("shift", F.col("pos") - F.col("at"))
         line = ["doc_id", "text_hash", "item_id", "shift"]
         pair = F.explode_outer(F.filter(F.arrays_zip("item_slots", "slots"), lambda z: z["item_slots"].isNotNull()))
-        slots = (match.select(*line, "at", pair.alias("z"))
+        own = F.when(F.col("item_slots").eqNullSafe(F.col("slots")), F.col("at")).alias("own")
+        slots = (match.select(*line, "at", own, pair.alias("z"))
                  .groupBy(*line)
-                 .agg(F.countDistinct("at").alias("windows"),
+                 .agg(F.countDistinct("at").alias("windows"), F.countDistinct("own").alias("own"),
                       F.countDistinct("z.item_slots").alias("item_values"), F.countDistinct("z.slots").alias("doc_values"),
                       F.countDistinct("z.item_slots", "z.slots").alias("pairs"))
-                 .filter("item_values = pairs and doc_values = pairs"))
+                 .withColumn("windows", F.when(F.expr("item_values = pairs and doc_values = pairs"), F.col("windows")).otherwise(F.col("own")))
+                 .filter("windows > 0"))
         best = (slots.groupBy("doc_id", "text_hash", "item_id").agg(F.max("windows").alias("windows"))
                 .join(of_item.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i")))
                 .select("doc_id", "text_hash", "item_id", "windows", (F.col("windows") / F.col("item_windows")).alias("coverage")))
