@@ -47,7 +47,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), exact=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,3 +95,22 @@ def test_windows_with_the_items_own_values_count_in_any_alignment(spark, frame):
     rows = [(1, "so " + text.replace("sold 5", "sold 6")), (2, "so " + text.replace("5", "6"))]
     got = {r.doc_id: r for r in contamination(frame(rows), spark.createDataFrame([(1, text)], ITEM)).collect()}
     assert set(got) == {1, 2} and 0 < got[1].coverage < got[2].coverage
+
+
+def test_exact_passages_that_templates_cannot_decide(spark, frame):
+    items = [(1, "1 2 3 4 5 6 7 8 9 10 11 12"), (2, "too short"), (3, "Paris became the seat of government"), (4, ITEMS[1][1]),
+             (5, "Anna Bob Carla Dan Eve Frank Gina Hans Ida"), (6, None)]
+    rows = [(1, "sums 1 2 3 4 5 6 7 8 9 10 11 12 end"), (2, "this is too short to tell"), (3, "Too short."),
+            (4, "we read, Paris became the seat of government then"), (5, "NOW " + ITEMS[1][1].upper()),
+            (6, "so anna bob carla dan eve frank gina hans ida"), (7, "Eve Dan Carla Bob Anna Ida Hans Gina Frank"), (8, None), (None, "too short")]
+    items = spark.createDataFrame(items, ITEM)
+    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items, exact=True).collect()}
+    assert got == {(1, 1), (3, 2), (4, 3), (5, 4), (6, 5), (None, 2)}
+    assert {r.doc_id for r in decontaminate(frame(rows), items, exact=True).collect()} == {2, 7, 8}
+
+
+def test_the_exact_pass_loses_no_template_match(spark, frame):
+    rows = documents()
+    items = spark.createDataFrame(ITEMS, ITEM)
+    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items, exact=True).collect()}
+    assert got >= brute(rows, ITEMS) and (106, 7) in got and (103, 4) not in got

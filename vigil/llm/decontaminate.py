@@ -8,6 +8,10 @@ template. A match counts if the slots agree: along one alignment each value of t
 item stands for one value of the document, and the other way round. Windows whose
 slots hold the item's own values count in any alignment.
 
+With ``exact``, windows of the lower-cased words themselves are matched too, whatever
+they hold: they find word-for-word copies whose templates decide nothing (mostly
+numbers or names) or read otherwise (capitals, the place in a sentence).
+
 The first pass hashes all windows and only finds documents that hold a benchmark
 window; slots are looked at in those alone. The benchmark's windows are broadcast
 if they are few enough, else joined by a shuffle.
@@ -15,6 +19,8 @@ if they are few enough, else joined by a shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,12 +91,24 @@ def _slots(df: DataFrame, size: int) -> DataFrame:
     return t.select(*[c for c in df.columns if c != "tokens"], "w.pos", "w.h", "w.slots")
 
 
+def _plain(tokens: Column) -> Column:
+    """The hashes of the lower-cased words."""
+    return F.transform(tokens, lambda t: F.xxhash64(F.lower(t["core"])))
+
+
+def _exact_windows(plain: Column, size: int) -> Column:
+    """Windows of the words as they are; those of fewer than LITERALS words are whole texts."""
+    none = F.array().cast("array<int>")
+    starts = _starts(F.size(plain), size) if size >= LITERALS else F.when(F.size(plain) == size, F.array(F.lit(0))).otherwise(none)
+    return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit("exact"), F.lit(size), *[F.get(plain, i + k) for k in range(size)]).alias("h")))
+
+
 def small(df: DataFrame) -> DataFrame:
     """``df``, marked for a broadcast if it has few rows."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, literals: int = LITERALS, exact: bool = False) -> DataFrame:
     """(doc_id, text_hash, item_id, windows, coverage) for each document and item that
     match: at least one window of ``window`` template words, ``literals`` of them no
     placeholders, in an alignment whose slots are consistent, or with the item's own
@@ -98,52 +116,91 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     alignment.
 
     Items of fewer words match as a whole if they have ``literals`` literal words;
-    shorter ones never match. Null texts have no words. Rows are told apart by id and
-    text hash; repeated rows match alike. A null id or item id is an id like others.
+    shorter ones never match. With ``exact``, one window of equal lower-cased words is
+    a match as well, with any number of placeholders; items shorter than a window match
+    as a whole, those of fewer than LITERALS words only a text that is nothing else. Null
+    texts have no words. Rows are told apart by id and text hash; repeated rows match
+    alike. A null id or item id is an id like others.
     """
-    items = (benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    every = (benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).distinct()
              .select("item_id", _tokens(F.col("text")).alias("tokens")))
-    items = items.withColumn("length", F.least(F.size("tokens"), F.lit(window))).filter(F.col("length") >= literals)
-    lengths = [r[0] for r in items.select("length").distinct().collect()]  # at most `window` values
+    every = every.withColumn("length", F.least(F.size("tokens"), F.lit(window))).filter(F.col("length") > 0)
+    lengths = sorted(r[0] for r in every.select("length").distinct().collect())  # at most `window` values
+    items = every.filter(F.col("length") >= literals)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    found = None
-    for size in sorted(lengths):
+    empty = docs.filter("false").select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(None).cast("long").alias("item_id"),
+                                        F.lit(0).cast("long").alias("windows"), F.lit(0.0).alias("coverage"))
+    sizes = [n for n in lengths if n >= literals]
+    own = lengths if exact else []
+    if not sizes and not own:
+        return empty
+    of_size, keys = {}, []
+    for size in sizes:
         b = _slots(items.filter(F.col("length") == size).drop("length"), size)
-        b = written(b.filter(F.size(F.filter("slots", lambda s: s.isNull())) >= literals), "benchmark")
-        of_item = b.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-        keys = small(b.select("h").distinct())
-        # pass 1: ids of the documents that hold any of these windows
-        # (each array is a column of its own: inside a lambda it would be made anew for every element)
-        hit = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _tokens(F.col("text")).alias("tokens"))
-               .select("doc_id", "text_hash", _template(F.col("tokens")).alias("template"))
-               .select("doc_id", "text_hash", F.transform("template", lambda t: F.xxhash64(t)).alias("hashes"))
-               .select("doc_id", "text_hash", F.explode(_windows(F.col("hashes"), size)).alias("h"))
-               .join(keys, "h", "left_semi").select("doc_id", "text_hash").distinct())
-        hit = small(written(hit, "hits").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")))
-        # pass 2: slots, in those documents
-        some = (docs.withColumn("text_hash", F.xxhash64("text"))
-                .join(hit, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left_semi")
-                .distinct().select("doc_id", "text_hash", _tokens(F.col("text")).alias("tokens")))
-        places = small(b.select("h", "item_id", F.col("pos").alias("at"), F.col("slots").alias("item_slots")))
-        match = _slots(some, size).join(places, "h").withColumn("shift", F.col("pos") - F.col("at"))
-        line = ["doc_id", "text_hash", "item_id", "shift"]
-        pair = F.explode_outer(F.filter(F.arrays_zip("item_slots", "slots"), lambda z: z["item_slots"].isNotNull()))
-        own = F.when(F.col("item_slots").eqNullSafe(F.col("slots")), F.col("at")).alias("own")
-        slots = (match.select(*line, "at", own, pair.alias("z"))
-                 .groupBy(*line)
-                 .agg(F.countDistinct("at").alias("windows"), F.countDistinct("own").alias("own"),
-                      F.countDistinct("z.item_slots").alias("item_values"), F.countDistinct("z.slots").alias("doc_values"),
-                      F.countDistinct("z.item_slots", "z.slots").alias("pairs"))
-                 .withColumn("windows", F.when(F.expr("item_values = pairs and doc_values = pairs"), F.col("windows")).otherwise(F.col("own")))
-                 .filter("windows > 0"))
-        best = (slots.groupBy("doc_id", "text_hash", "item_id").agg(F.max("windows").alias("windows"))
-                .join(of_item.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i")))
-                .select("doc_id", "text_hash", "item_id", "windows", (F.col("windows") / F.col("item_windows")).alias("coverage")))
-        found = best if found is None else found.union(best)
-    if found is None:
-        found = docs.filter("false").select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(None).cast("long").alias("item_id"),
-                                            F.lit(0).cast("long").alias("windows"), F.lit(0.0).alias("coverage"))
-    return found
+        of_size[size] = written(b.filter(F.size(F.filter("slots", lambda s: s.isNull())) >= literals), "benchmark")
+        keys.append(of_size[size].select("h"))
+    if exact:
+        parts = every.withColumn("plain", _plain(F.col("tokens")))
+        parts = [parts.filter(F.col("length") == n).select("item_id", F.explode(_exact_windows(F.col("plain"), n)).alias("w")) for n in own]
+        passages = written(_union(parts).select("item_id", F.col("w.pos").alias("at"), "w.h"), "passages")
+        keys.append(passages.select("h"))
+    keys = small(written(_union(keys).distinct(), "keys"))
+    # pass 1: ids of the documents that hold any of these windows
+    # (each array is a column of its own: inside a lambda it would be made anew for every element)
+    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _tokens(F.col("text")).alias("tokens"))
+    plain = _plain(F.col("tokens")) if exact else F.lit(None).cast("array<long>")
+    words = words.select("doc_id", "text_hash", plain.alias("plain"), _template(F.col("tokens")).alias("template"))
+    words = words.select("doc_id", "text_hash", "plain", F.transform("template", lambda t: F.xxhash64(t)).alias("hashes"))
+    windows = F.concat(*[_windows(F.col("hashes"), n) for n in sizes],
+                       *[F.transform(_exact_windows(F.col("plain"), n), lambda w: w["h"]) for n in own])
+    hit = words.select("doc_id", "text_hash", F.explode(windows).alias("h")).join(keys, "h", "left_semi").select("doc_id", "text_hash").distinct()
+    hit = small(written(hit, "hits").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")))
+    # pass 2: slots, in those documents
+    some = (docs.withColumn("text_hash", F.xxhash64("text"))
+            .join(hit, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left_semi").distinct())
+    some = written(some, "suspects").select("doc_id", "text_hash", _tokens(F.col("text")).alias("tokens"))
+    found = [_templates_found(some, b, size) for size, b in of_size.items()]
+    if exact:
+        found.append(_passages_found(some, passages, own))
+    return (_union(found).groupBy("doc_id", "text_hash", "item_id")
+            .agg(F.max("windows").alias("windows"), F.max("coverage").alias("coverage")))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, parts)
+
+
+def _best(lines: DataFrame, b: DataFrame) -> DataFrame:
+    """The best alignment of each document and item, of the item's windows ``b``."""
+    of_item = b.groupBy(F.col("item_id").alias("i")).agg(F.count("*").alias("item_windows"))
+    return (lines.groupBy("doc_id", "text_hash", "item_id").agg(F.max("windows").alias("windows"))
+            .join(of_item, F.col("item_id").eqNullSafe(F.col("i")))
+            .select("doc_id", "text_hash", "item_id", "windows", (F.col("windows") / F.col("item_windows")).alias("coverage")))
+
+
+def _templates_found(some: DataFrame, b: DataFrame, size: int) -> DataFrame:
+    places = small(b.select("h", "item_id", F.col("pos").alias("at"), F.col("slots").alias("item_slots")))
+    match = _slots(some, size).join(places, "h").withColumn("shift", F.col("pos") - F.col("at"))
+    line = ["doc_id", "text_hash", "item_id", "shift"]
+    pair = F.explode_outer(F.filter(F.arrays_zip("item_slots", "slots"), lambda z: z["item_slots"].isNotNull()))
+    own = F.when(F.col("item_slots").eqNullSafe(F.col("slots")), F.col("at")).alias("own")
+    slots = (match.select(*line, "at", own, pair.alias("z"))
+             .groupBy(*line)
+             .agg(F.countDistinct("at").alias("windows"), F.countDistinct("own").alias("own"),
+                  F.countDistinct("z.item_slots").alias("item_values"), F.countDistinct("z.slots").alias("doc_values"),
+                  F.countDistinct("z.item_slots", "z.slots").alias("pairs"))
+             .withColumn("windows", F.when(F.expr("item_values = pairs and doc_values = pairs"), F.col("windows")).otherwise(F.col("own")))
+             .filter("windows > 0"))
+    return _best(slots, b)
+
+
+def _passages_found(some: DataFrame, passages: DataFrame, lengths: list[int]) -> DataFrame:
+    windows = F.concat(*[_exact_windows(F.col("plain"), n) for n in lengths])
+    words = some.select("doc_id", "text_hash", _plain(F.col("tokens")).alias("plain"))
+    match = words.select("doc_id", "text_hash", F.explode(windows).alias("w")).join(small(passages), F.col("w.h") == F.col("h"))
+    lines = (match.groupBy("doc_id", "text_hash", "item_id", (F.col("w.pos") - F.col("at")).alias("shift"))
+             .agg(F.countDistinct("at").alias("windows")))
+    return _best(lines, passages)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -71,7 +71,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), exact=True)
 
 
 @_query
