@@ -53,3 +53,19 @@ def test_one_block_and_empty_table(spark):
     check(spark, make(np.random.default_rng(5), 250, 12), 0.8)
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors(empty).count() == 0
+
+
+def test_no_cell_pair_within_reach_is_pruned():
+    lost = 0
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        base = rng.normal(size=(40, 4))
+        x = base[rng.integers(40, size=3000)] + 0.15 * rng.normal(size=(3000, 4))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        pivots = x[covertree.farthest_first(x, 300)]
+        radius, t = np.full(len(pivots), 0.02), np.sqrt(2 - 2 * 0.9)
+        radius[::17] = -1
+        d = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
+        due = {(i, j) for i, j in zip(*np.nonzero(d <= t + 0.04)) if i < j and radius[i] >= 0 and radius[j] >= 0}
+        lost += len(due - {(a, b) for a, b in covertree._kept_cells(pivots, radius, t)})
+    assert lost == 0

@@ -284,25 +284,33 @@ def _unit(cosine: float):
 
 def _kept_cells(pivots: np.ndarray, radius: np.ndarray, t: float) -> list[tuple[int, int]]:
     """Cell pairs that may hold a link, by a dual traversal of the nested pivots: the
-    first pivots stand for all that are nearest to them, at halving numbers."""
-    n, level = len(pivots), 1
+    first pivots, at halving numbers, stand for the cells whose chain of nearest
+    pivots leads to them, and reach as far as those cells do."""
+    n, levels = len(pivots), [1]
+    while levels[-1] < n:
+        levels.append(min(n, levels[-1] * 2))
+    ups = []  # for each level but the last: the parents of the next level's pivots
+    for level, below in zip(levels, levels[1:]):
+        up = (pivots[:below] @ pivots[:level].T).argmax(axis=1)
+        up[:level] = np.arange(level)
+        ups.append(up)
+    owners = [np.arange(n)]
+    for up in reversed(ups):
+        owners.append(up[owners[-1]])
     pairs = np.zeros((1, 2), np.int64)
-    while True:
-        owner = (pivots @ pivots[:level].T).argmax(axis=1)
-        gap = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", pivots, pivots[owner]), 0)) + radius
-        reach = np.zeros(level)
-        np.maximum.at(reach, owner, np.where(radius >= 0, gap, 0))
+    for at, (level, owner) in enumerate(zip(levels, reversed(owners))):
+        gap = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", pivots, pivots[owner]), 0))
+        gap[owner == np.arange(n)] = 0
+        reach = np.full(level, -np.inf)
+        np.maximum.at(reach, owner, np.where(radius >= 0, gap + radius, -np.inf))
         i, j = pairs.T
         d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", pivots[i], pivots[j]), 0))
         pairs = pairs[(i == j) | (d <= t + reach[i] + reach[j] + EPS)]
-        if level >= n:
-            return [(int(a), int(b)) for a, b in pairs]
-        below = min(n, level * 2)
-        up = (pivots[:below] @ pivots[:level].T).argmax(axis=1)
-        up[:level] = np.arange(level)
-        kids = [np.flatnonzero(up == k) for k in range(level)]
-        new = {(min(x, y), max(x, y)) for a, b in pairs for x in kids[a] for y in kids[b]}
-        pairs, level = np.asarray(sorted(new), np.int64).reshape(-1, 2), below
+        if level < n:
+            kids = [np.flatnonzero(ups[at] == k) for k in range(level)]
+            new = {(min(x, y), max(x, y)) for a, b in pairs for x in kids[a] for y in kids[b]}
+            pairs = np.asarray(sorted(new), np.int64).reshape(-1, 2)
+    return [(int(a), int(b)) for a, b in pairs]
 
 
 def near_vectors(vectors: DataFrame, *, cosine: float = 0.9) -> DataFrame:
