@@ -69,3 +69,17 @@ def test_without_labels(spark, frame):
     for rows in ([], [(1, "a"), (2, None)]):
         got = score_toxicity(frame(rows), train(frame(rows), none)).collect()
         assert [r.score for r in got] == [0.5] * len(rows)
+
+
+def test_train_keeps_terms_that_tell_nothing_alone(spark, frame):
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(1500):  # toxic only if both terms are there, or neither
+        a, b = i % 2, i // 2 % 2
+        docs.append((i, " ".join(["groupx"] * a + ["wordy"] * b + [f"plain{rng.randrange(20)}"])))
+        labels.append((i, int(a == b)))
+    table = frame(docs)
+    model = train(table, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {h("groupx"), h("wordy")} <= set(model.terms.tolist())
+    truth = dict(labels)
+    assert np.mean([(r.score >= 0.5) == bool(truth[r.doc_id]) for r in score_toxicity(table, model).collect()]) > 0.95
