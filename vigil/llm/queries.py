@@ -12,6 +12,7 @@ from vigil.llm.decontaminate import mark_contaminated
 from vigil.llm.lines import drop_repeated_lines
 from vigil.llm.minhash import near_duplicates
 from vigil.llm.packing import pack, token_lengths
+from vigil.llm.passages import drop_repeated_passages
 from vigil.llm.pii import KINDS, find_personal_data, span_list
 from vigil.llm.secrets import scan
 from vigil.llm.token_files import read_token_files, write_token_files
@@ -107,3 +108,26 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+@_query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = drop_repeated_passages(table(spark, sf_dir, "documents"), words=35)
+    return done.select("doc_id", "n_words", "n_removed",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op11_substring_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+w AS (SELECT r, unnest(range(1, len(words) - 33)) AS pos, words FROM d WHERE len(words) >= 35),
+k AS (SELECT r, pos, array_to_string(words[pos:pos + 34], ' ') AS seq FROM w),
+often AS (SELECT seq FROM k GROUP BY seq HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, pos + o.i AS pos FROM k JOIN often USING (seq), range(0, 35) o(i)),
+t AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d),
+s AS (SELECT t.r, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY t.pos) FILTER (gone.pos IS NULL) AS kept
+      FROM t LEFT JOIN gone ON t.r = gone.r AND t.pos = gone.pos GROUP BY t.r)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(s.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON d.r = s.r
+"""
