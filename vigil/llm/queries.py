@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import ngram_lm
-from vigil.llm.common import fold_of
+from vigil.llm.common import ascii_lower, fold_of
 from vigil.llm.covertree import near_vectors
 from vigil.llm.decontaminate import mark_contaminated
 from vigil.llm.lines import drop_repeated_lines
+from vigil.llm.merkle import FIELDS, dataset_manifest, fold, leaf_hash, path_hash
 from vigil.llm.minhash import near_duplicates
 from vigil.llm.packing import pack, token_lengths
 from vigil.llm.passages import drop_repeated_passages
@@ -131,3 +132,68 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(s.n_removed, 0)::BIGI
        sha256(coalesce(s.kept, '')) AS kept_sha256
 FROM d LEFT JOIN s ON d.r = s.r
 """
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.when(fold_of(F.col("doc_id")) == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    docs = docs.withColumn("tampered", leaf_hash(*[text if c == "text" else F.col(c) for c in FIELDS]))
+    found = dataset_manifest(docs, carry=["tampered"]).withColumn("folded_root", fold(F.col("path"), F.col("tampered")))
+    return found.select("doc_id", "leaf", "subroot", "root", path_hash(F.col("path")).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _merkle_sql(levels: int = 4, upper: int = 2, fanout: int = 16) -> str:
+    """The tree by levels written out: ``levels`` of them in a source, ``upper`` above."""
+    def spelled(c):
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(spelled(text if c == "text" else c) for c in FIELDS) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = ("xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT), "
+           "lambda a, c: list_reduce([xor(a, c)] || range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)")
+    ctes = [f"""d AS (SELECT row_number() OVER () AS r, doc_id, source AS s, {leaf('text')} AS leaf,
+               CASE WHEN {crc} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS tampered FROM documents)""",
+            """n0 AS (SELECT s, leaf AS hash, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS place,
+               count(*) OVER (PARTITION BY s) AS n, r FROM d)"""]
+
+    def climb(k, keys, name):
+        part = f"{keys}, " if keys else ""
+        by = f"PARTITION BY {keys}" if keys else ""
+        ctes.append(f"""{name}{k + 1} AS (SELECT *, count(*) OVER ({by}) AS n FROM (SELECT {part}place // {fanout} AS place,
+            CASE WHEN max(n) > 1 THEN sha256(string_agg(hash, '' ORDER BY place)) ELSE min(hash) END AS hash
+            FROM {name}{k} GROUP BY ALL))""")
+
+    def aside(k, keys, name, row, where):
+        """Left and right siblings of each row on level k; null where the part has one node."""
+        same = " AND ".join(["x.place <> y.place", f"x.place // {fanout} = y.place // {fanout}"] + ([f"x.{keys} IS NOT DISTINCT FROM y.{keys}"] if keys else []))
+        part = f"x.{keys}, " if keys else ""
+        ctes.append(f"""{where}{k} AS (SELECT {part}x.place, max(x.n) > 1 AS open,
+            coalesce(string_agg(y.hash, '' ORDER BY y.place) FILTER (y.place < x.place), '') AS l,
+            coalesce(string_agg(y.hash, '' ORDER BY y.place) FILTER (y.place > x.place), '') AS h
+            FROM {name}{k} x LEFT JOIN {name}{k} y ON {same} GROUP BY ALL)""")
+
+    for k in range(levels):
+        climb(k, "s", "n")
+        aside(k, "s", "n", "place", "a")
+    ctes.append(f"m0 AS (SELECT s, hash, row_number() OVER (ORDER BY s NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM n{levels})")
+    for k in range(upper):
+        climb(k, "", "m")
+        aside(k, "", "m", "place", "b")
+    ctes.append("f0 AS (SELECT d.r, d.doc_id, d.s, d.leaf, d.tampered AS h, '' AS proof, n0.place FROM d JOIN n0 ON d.r = n0.r)")
+    for k in range(levels):
+        ctes.append(f"""f{k + 1} AS (SELECT r, doc_id, f.s, leaf, CASE WHEN open THEN sha256(a.l || f.h || a.h) ELSE f.h END AS h,
+            proof || a.l || a.h AS proof, f.place // {fanout} AS place FROM f{k} f JOIN a{k} a ON f.s IS NOT DISTINCT FROM a.s AND f.place = a.place)""")
+    ctes.append(f"g0 AS (SELECT f.* EXCLUDE (place), m0.hash AS subroot, m0.place FROM f{levels} f JOIN m0 ON f.s IS NOT DISTINCT FROM m0.s)")
+    for k in range(upper):
+        ctes.append(f"""g{k + 1} AS (SELECT g.* EXCLUDE (h, proof, place), CASE WHEN open THEN sha256(b.l || g.h || b.h) ELSE g.h END AS h,
+            proof || b.l || b.h AS proof, g.place // {fanout} AS place FROM g{k} g JOIN b{k} b ON g.place = b.place)""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT g.doc_id, g.leaf, g.subroot, m.hash AS root, sha256(g.proof) AS proof_sha256, g.h AS folded_root, g.h = m.hash AS verified
+FROM g{upper} g, m{upper} m"""
+
+
+ORACLE_SQL["op12_merkle_manifest"] = _merkle_sql()
