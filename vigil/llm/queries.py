@@ -9,6 +9,7 @@ from vigil.llm import ngram_lm
 from vigil.llm.common import ascii_lower, fold_of
 from vigil.llm.covertree import near_vectors
 from vigil.llm.decontaminate import mark_contaminated
+from vigil.llm.filter_audit import audit_filters
 from vigil.llm.lines import drop_repeated_lines
 from vigil.llm.merkle import FIELDS, dataset_manifest, fold, leaf_hash, path_hash
 from vigil.llm.minhash import near_duplicates
@@ -197,3 +198,33 @@ FROM g{upper} g, m{upper} m"""
 
 
 ORACLE_SQL["op12_merkle_manifest"] = _merkle_sql()
+
+
+@_query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE_SQL["op13_filter_audit"] = """
+WITH marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS t,
+             list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+m AS (SELECT part, (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+             + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+             + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM d LEFT JOIN marks USING (doc_id)),
+h AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+l(b, c) AS (VALUES (1, 'A'), (2, 'B'), (4, 'C'), (8, 'D'), (16, 'E')),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits FROM l a, l b, l c, l d, l e
+      WHERE a.b + b.b + c.b + d.b + e.b = 31 AND list_unique([a.b, b.b, c.b, d.b, e.b]) = 5),
+s AS (SELECT filter_order, i::INT AS step, bits[i] AS bit, coalesce(list_sum(bits[1:i - 1]), 0)::INT AS pre FROM o, range(1, 6) r(i)),
+a AS (SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (mask & (pre | bit) = 0), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (mask & pre = 0 AND mask & bit > 0), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (mask & pre > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (mask & pre = 0 AND mask & bit > 0), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (mask & pre = 0 AND mask & bit > 0), 0)::BIGINT AS toxic_lost
+      FROM h, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM a
+"""
