@@ -63,12 +63,12 @@ def ranked(rows: DataFrame, part: Sequence[str], order: Sequence[str], name: str
                    .withColumn("rank", F.col("here") + F.col("offset")).drop("range", "here", "offset"), name)
 
 
-def _tree(leaves: DataFrame, part: Sequence[str], fanout: int, name: str) -> list[DataFrame]:
-    """Nodes by level, from the leaves up: (part, place, lo, hi, n, hash, children). A part
-    ends at the level where one node is left."""
+def _tree(leaves: DataFrame, part: Sequence[str], fanout: int, name: str, keep: Sequence[str] = ()) -> list[DataFrame]:
+    """Nodes by level, from the leaves up: (part, place, lo, hi, n, hash, children), and
+    ``keep`` of the leaves. A part ends at the level where one node is left."""
     kids = "array<struct<lo:bigint,hi:bigint,hash:string>>"
     levels = [leaves.select(*part, F.col("rank").alias("place"), F.col("rank").alias("lo"), F.col("rank").alias("hi"), "n",
-                            "hash", F.lit(None).cast(kids).alias("children"))]
+                            "hash", F.lit(None).cast(kids).alias("children"), *keep)]
     most, width = leaves.agg(F.max("n")).first()[0] or 0, 1
     while width < most:
         below = levels[-1].filter(F.col("n") > width)
@@ -86,19 +86,21 @@ def _tops(levels: list[DataFrame], fanout: int) -> DataFrame:
     out = None
     for k, nodes in enumerate(levels):
         top = nodes.filter((F.col("n") <= fanout**k) & (F.col("n") > (fanout ** (k - 1) if k else 0)))
+        top = top.select(*levels[-1].columns)
         out = top if out is None else out.unionByName(top)
     return out
 
 
-def _paths(levels: list[DataFrame], part: Sequence[str], fanout: int, crown: DataFrame, name: str) -> DataFrame:
-    """(part, lo, path, and what ``crown`` has) of the leaves. ``crown`` gives every part
-    (part, path, ...) the siblings beyond its own root."""
+def _paths(levels: list[DataFrame], part: Sequence[str], fanout: int, crown: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(part, rank, *keep, path, and what ``crown`` has) of the leaves. ``crown`` gives every
+    part (part, path, ...) the siblings beyond its own root. The leaves' own paths are made
+    by the last join and shuffled no more."""
     more = [c for c in crown.columns if c not in (*part, "path")]
     above = None
     for k in range(len(levels) - 1, -1, -1):
-        nodes = levels[k]
+        nodes, kept = levels[k], list(keep) if k == 0 else []
         top = (nodes.filter((F.col("n") <= fanout**k) & (F.col("n") > (fanout ** (k - 1) if k else 0)))
-               .join(crown, [*part]).select(*part, "place", "lo", "hi", "children", "path", *more))
+               .join(crown, [*part]).select(*part, "place", "lo", "hi", "children", *kept, "path", *more))
         if above is not None:
             over = above.select(*part, F.col("place").alias("bucket"), F.col("lo").alias("from"), F.col("hi").alias("to"),
                                 F.col("children").alias("kin"), F.col("path").alias("beyond"), *more)
@@ -109,10 +111,10 @@ def _paths(levels: list[DataFrame], part: Sequence[str], fanout: int, crown: Dat
                 return F.array_join(F.transform(F.filter("kin", test), lambda c: c["hash"]), "")
 
             here = F.struct(side(lambda c: c["hi"] < F.col("lo")).alias("left"), side(lambda c: c["lo"] > F.col("hi")).alias("right"))
-            top = top.unionByName(held.select(*part, "place", "lo", "hi", "children",
+            top = top.unionByName(held.select(*part, "place", "lo", "hi", "children", *kept,
                                               F.concat(F.array(here), "beyond").cast(PATH).alias("path"), *more))
         above = written(top, name) if k else top
-    return above.select(*part, F.col("lo").alias("rank"), "path", *more)
+    return above.select(*part, F.col("lo").alias("rank"), *keep, "path", *more)
 
 
 def dataset_manifest(docs: DataFrame, *, fields: Sequence[str] = FIELDS, id_col: str = "doc_id", part_col: str = "source",
@@ -135,7 +137,8 @@ def dataset_manifest(docs: DataFrame, *, fields: Sequence[str] = FIELDS, id_col:
     rows = docs.select(where.isNotNull().alias("has"), F.coalesce(where, F.lit("")).alias("part"), F.col(f"`{id_col}`").alias("id"),
                        leaf_hash(*quoted).alias("hash"), F.struct(F.lit(0), *[F.col(f"`{c}`") for c in carry]).alias("carried"))
     leaves = ranked(rows, part, ["id", "hash"], "leaves")
-    levels = _tree(leaves, part, fanout, "nodes")
+    kept = ["id", "carried", "leaf"]
+    levels = _tree(leaves.withColumn("leaf", F.col("hash")), part, fanout, "nodes", kept)
 
     # the parts' roots are the leaves of a tree of one part
     subroots = ranked(_tops(levels, fanout).select(F.lit(0).alias("all"), *part, F.col("hash")), ["all"], part, "subroots")
@@ -145,7 +148,6 @@ def dataset_manifest(docs: DataFrame, *, fields: Sequence[str] = FIELDS, id_col:
              .select(*part, "path", "root", F.col("hash").alias("subroot")))
     crown = written(crown, "crown")
 
-    paths = _paths(levels, part, fanout, crown, "paths")
-    joined = leaves.join(paths, [*part, "rank"])
-    return joined.select(F.col("id").alias(id_col), *[F.col("carried").getField(c).alias(c) for c in carry], "rank",
-                         F.col("hash").alias("leaf"), "subroot", "root", "path")
+    paths = _paths(levels, part, fanout, crown, "paths", kept)
+    return paths.select(F.col("id").alias(id_col), *[F.col("carried").getField(c).alias(c) for c in carry], "rank",
+                        "leaf", "subroot", "root", "path")
