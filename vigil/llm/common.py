@@ -77,6 +77,19 @@ def fold_of(col, folds: int = 5):
     return F.crc32(col.cast("string").cast("binary")) % F.lit(folds)
 
 
+def sealed(docs: DataFrame, *names: str) -> DataFrame:
+    """(row, *names): all other columns inside ``row``, so that no column an operator adds
+    can clash with one of them."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(F.struct(*rest or [F.lit(0)]).alias("row"), *[F.col(f"`{c}`") for c in names])
+
+
+def opened(df: DataFrame, columns: list[str], *names: str) -> DataFrame:
+    """The ``columns`` of a sealed table again, before whatever columns it got since."""
+    new = [c for c in df.columns if c not in ("row", *names, *columns)]
+    return df.select(*[F.col(c) if c in names else F.col("row").getField(c).alias(c) for c in columns], *new)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the cluster's shared folder: cuts the lineage and
     survives lost executors."""

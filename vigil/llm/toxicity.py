@@ -3,8 +3,9 @@
 score = sigmoid(b + sum w_i + sum over pairs <v_i, v_j>), over the distinct terms of
 a text. The pair term, computed as half of (sum v)^2 - sum v^2, lets two terms that
 are harmless alone count together. Terms are words without ASCII punctuation, A-Z
-lower-cased, by their 64-bit hash. The machine is fitted on a bounded sample of
-labelled rows; scoring is one pass over the texts without a shuffle.
+lower-cased, and the beginnings of longer words, so that forms of one stem count
+together; both by their 64-bit hash. The machine is fitted on a sample of labelled rows
+that is bounded in rows and bytes; scoring is one pass over the texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -15,25 +16,44 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import MEMO_WORDS, chunks, fold_of
+from vigil.llm.common import MEMO_WORDS, chunks, fold_of, opened, sealed, written
 
-#: At most about this many labelled rows of each class are fitted on, taken by a hash of the id.
-SAMPLE_ROWS = 10_000
+#: About this many labelled rows of each class, and this many bytes of their texts, are
+#: fitted on at most, taken by a hash of the id.
+SAMPLE_ROWS, SAMPLE_BYTES = 10_000, 64 << 20
 #: Terms must be in MIN_DOCS sampled rows; none is left out for what it tells by itself, as
 #: a term that tells nothing alone may count in a pair.
 MIN_DOCS = 5
-FACTORS, EPOCHS, RATE, DECAY = 8, 20, 0.02, 1e-2
+#: Code points of a word's beginning that is a term of its own.
+STEM = 5
+FACTORS, EPOCHS, LEAST_STEPS, BATCH, RATE, PAIR_RATE, DECAY = 8, 20, 400, 256, 0.05, 0.015, 1e-2
 
 _PUNCTUATION = bytes(ord(" ") if not chr(b).isalnum() and b < 128 else b for b in range(256))
 
 
-def terms_of(text: str | None) -> set[bytes]:
+def _words(text: str | None) -> set[bytes]:
     return set(text.encode("utf-8", "surrogatepass").lower().translate(_PUNCTUATION).split()) if text else set()
 
 
+def _forms(word: bytes) -> list[bytes]:
+    """The terms of a word: itself, and its beginning if it is longer than that."""
+    if len(word) <= STEM:
+        return [word]
+    letters = word.decode("utf-8", "surrogatepass")
+    return [word, b"\0" + letters[:STEM].encode("utf-8", "surrogatepass")] if len(letters) > STEM else [word]
+
+
+def terms_of(text: str | None) -> set[bytes]:
+    return {form for word in _words(text) for form in _forms(word)}
+
+
+def _hash(term: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(term) - (1 << 63)
+
+
 def _term_hashes(batches):
     for batch in chunks(batches):
-        terms = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in terms_of(text)] for text in batch["text"].to_pylist()]
+        terms = [[_hash(t) for t in terms_of(text)] for text in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays([batch["label"], batch["weight"], pa.array(terms, pa.list_(pa.int64()))],
                                          names=["label", "weight", "terms"])
 
@@ -71,115 +91,136 @@ class Machine:
         return out
 
 
-def fit_machine(hashes: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, terms: np.ndarray, seed: int = 7) -> Machine:
-    """Adam over mini-batches on weighted log loss, with decoupled decay. Terms in fewer
-    rows than there are batches take smaller steps, by the square of their share: Adam
-    alone moves a term of five rows as far as a frequent one and learns the rows by heart."""
+def fit_machine(hashes, labels: np.ndarray, weights: np.ndarray, terms: np.ndarray, seed: int = 7) -> Machine:
+    """Adam over mini-batches on weighted log loss, with decoupled decay, for at least
+    EPOCHS rounds and LEAST_STEPS steps. ``hashes``: one array of term hashes a row, or
+    (hashes of all rows, their number a row).
+
+    Two things keep the machine from learning its rows by heart without leaving a term out.
+    A term's linear input is scaled by the square of chi / (chi + log #terms), chi being its
+    chi-square against the label: what chance reaches for a few terms counts little, however
+    many terms do. The factors share one second moment, so a term's step is as long as its
+    gradient is large beside the largest, while Adam's own would move every term alike.
+    """
     rng = np.random.default_rng(seed)
     n_terms = len(terms)
-    model = Machine(terms, 0.0, np.zeros(n_terms + 1), np.vstack((rng.normal(0, 0.02, (n_terms, FACTORS)), np.zeros((1, FACTORS)))))
-    if not len(labels) or labels.min() == labels.max():
-        share = labels.mean() if len(labels) else 0.5
+    start = rng.normal(0, 0.02, (n_terms, FACTORS)).astype(np.float32)
+    model = Machine(terms, 0.0, np.zeros(n_terms + 1, np.float32), np.vstack((start, np.zeros((1, FACTORS), np.float32))))
+    n = len(labels)
+    if not n or labels.min() == labels.max():
+        share = labels.mean() if n else 0.5
         model.bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         return model
-    docs = [r[r < n_terms] for r in (model.rows_of(h) for h in hashes)]
+    flat, size = hashes if isinstance(hashes, tuple) else (np.concatenate(hashes), np.fromiter(map(len, hashes), np.int64, n))
+    flat, owner = model.rows_of(flat).astype(np.int32), np.repeat(np.arange(n, dtype=np.int32), size)
+    flat, owner = flat[flat < n_terms], owner[flat < n_terms]
+    ends = np.cumsum(np.bincount(owner, minlength=n))
+    begins = np.concatenate(([0], ends[:-1]))
+
+    support, toxic = np.bincount(flat, minlength=n_terms + 1), np.bincount(flat, labels[owner], n_terms + 1)
+    due, p = support * labels.mean(), labels.mean()
+    chi = (toxic - due) ** 2 / np.maximum(due * (1 - p), 1e-9)
+    scale = ((chi / (chi + np.log(max(3, n_terms)))) ** 2).astype(np.float32)
+
     weights = weights / weights.mean()
     share = np.average(labels, weights=weights)
-    support = np.bincount(np.concatenate(docs), minlength=n_terms + 1) / -(-len(docs) // 256)
-    pace = np.minimum(1, support) ** 2
-    params, paces = [np.array([np.log(share / (1 - share))]), model.linear, model.factors], [1.0, pace, pace[:, None]]
-    first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(docs))
-        for start in range(0, len(order), 256):
-            part = order[start: start + 256]
-            size = [len(docs[i]) for i in part]
-            rows, owner = np.concatenate([docs[i] for i in part]), np.repeat(np.arange(len(part)), size)
+    params = [np.array([np.log(share / (1 - share))]), model.linear, model.factors]
+    first, second, step = [np.zeros_like(p) for p in params], [0.0, np.zeros_like(model.linear), 0.0], 0
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // -(-n // BATCH)))):
+        order = rng.permutation(n)
+        for start in range(0, n, BATCH):
+            part = order[start: start + BATCH]
+            rows = np.concatenate([flat[begins[i]:ends[i]] for i in part])
+            of = np.repeat(np.arange(len(part)), (ends - begins)[part])
             v = model.factors[rows]
-            sums = np.stack([np.bincount(owner, v[:, f], len(part)) for f in range(FACTORS)], axis=1)
-            squares = np.bincount(owner, (v * v).sum(axis=1), len(part))
-            z = params[0][0] + np.bincount(owner, model.linear[rows], len(part)) + 0.5 * ((sums**2).sum(axis=1) - squares)
-            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[part]) * weights[part] / len(part)
-            e = error[owner]
-            inner = e[:, None] * (sums[owner] - v)
-            grads = [np.array([error.sum()]), np.bincount(rows, e, n_terms + 1),
-                     np.stack([np.bincount(rows, inner[:, f], n_terms + 1) for f in range(FACTORS)], axis=1)]
+            sums = np.stack([np.bincount(of, v[:, f], len(part)) for f in range(FACTORS)], axis=1).astype(np.float32)
+            squares = np.bincount(of, (v * v).sum(axis=1), len(part))
+            z = params[0][0] + np.bincount(of, model.linear[rows] * scale[rows], len(part)) + 0.5 * ((sums**2).sum(axis=1) - squares)
+            error = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[part]) * weights[part] / len(part)).astype(np.float32)
+            e = error[of]
+            inner = e[:, None] * (sums[of] - v)
+            grads = [np.array([error.sum(dtype=np.float64)]), np.bincount(rows, e * scale[rows], n_terms + 1).astype(np.float32),
+                     np.stack([np.bincount(rows, inner[:, f], n_terms + 1) for f in range(FACTORS)], axis=1).astype(np.float32)]
             step += 1
-            for k, (p, g) in enumerate(zip(params, grads)):
+            for k, (p, g, rate) in enumerate(zip(params, grads, (RATE, RATE, PAIR_RATE))):
                 first[k] += 0.1 * (g - first[k])
-                second[k] += 0.001 * (g * g - second[k])
-                p -= RATE * paces[k] * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                second[k] += 0.001 * ((g * g if k == 1 else float((g * g).max())) - second[k])
+                p -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
                 if k:
                     p *= 1 - RATE * DECAY
     model.bias = float(params[0][0])
+    model.linear *= scale
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int = 0, sample_rows: int = SAMPLE_ROWS) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int = 0, sample_rows: int = SAMPLE_ROWS,
+          sample_bytes: int = SAMPLE_BYTES) -> Machine:
     """Fit on labelled rows of ``docs`` whose fold (crc32 of the id as text, modulo
     ``folds``) is not ``held_out``. Null ids and labels are left out; an id with
     several labels counts as toxic if one is. Without both classes the score is a
-    constant."""
+    constant. About ``sample_rows`` ids and ``sample_bytes`` of text of each class are
+    taken at most."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("label"))
              .filter("doc_id is not null and label is not null").filter(fold_of(F.col("doc_id"), folds) != held_out)
              .groupBy("doc_id").agg(F.max("label").alias("label")))
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    share = {k: min(1.0, sample_rows / n) for k, n in counts.items()}
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sizes = texts.select("doc_id", F.octet_length("text").alias("bytes")).join(known, "doc_id")
+    found = sizes.groupBy("label").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).collect()
+    share = {r["label"]: min(1.0, sample_rows / r["rows"], sample_bytes / max(1, r["bytes"] or 0)) for r in found}
     chosen = None
     for label, part in share.items():  # about sample_rows ids of each class: a bounded broadcast
         some = known.filter((F.col("label") == label) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(part * (1 << 20))))
         some = some.withColumn("weight", F.lit(1 / part))
         chosen = some if chosen is None else chosen.union(some)
+    none = np.empty(0, np.int64)
     if chosen is None:
-        return fit_machine([], np.empty(0), np.empty(0), np.empty(0, np.int64))
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .join(F.broadcast(chosen), "doc_id").select("label", "weight", "text")
-            .mapInArrow(_term_hashes, "label int, weight double, terms array<long>").persist())
+        return fit_machine([], np.empty(0), np.empty(0), none)
+    rows = written(texts.join(F.broadcast(chosen), "doc_id").select("label", "weight", "text")
+                   .mapInArrow(_term_hashes, "label int, weight double, terms array<long>"), "labelled")
     seen = rows.select(F.explode("terms").alias("term")).groupBy("term").count().filter(F.col("count") >= MIN_DOCS)
     vocabulary = np.sort(seen.select("term").toArrow()["term"].to_numpy().astype(np.int64))
-    kept = rows.mapInArrow(_known_terms(vocabulary), "label int, weight double, terms array<long>")
-    found = kept.toArrow()
-    rows.unpersist()
-    if not found.num_rows:
-        return fit_machine([], np.empty(0), np.empty(0), np.empty(0, np.int64))
-    hashes = [np.asarray(t.values, np.int64) for t in found["terms"]]
-    return fit_machine(hashes, np.asarray(found["label"], np.float64), np.asarray(found["weight"], np.float64), vocabulary)
+    sample = rows.mapInArrow(_known_terms(vocabulary), "label int, weight double, terms array<long>").toArrow().combine_chunks()
+    if not sample.num_rows:
+        return fit_machine([], np.empty(0), np.empty(0), none)
+    lists = sample["terms"].combine_chunks()
+    terms = np.asarray(lists.flatten(), np.int64), np.asarray(lists.value_lengths(), np.int64)
+    return fit_machine(terms, np.asarray(sample["label"], np.float64), np.asarray(sample["weight"], np.float64), vocabulary)
 
 
 class _Rows(dict):
-    """term -> row of the model, remembered up to a bounded number of terms."""
+    """word -> rows of the model that its terms have, remembered up to a bounded number
+    of words."""
 
     def __init__(self, model: Machine):
-        self.model = model
         self.of_hash = {int(h): i for i, h in enumerate(model.terms)}
 
-    def __missing__(self, term: bytes) -> int:
+    def __missing__(self, word: bytes) -> tuple:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        row = self[term] = self.of_hash.get(xxhash.xxh3_64_intdigest(term) - (1 << 63), -1)
-        return row
+        rows = self[word] = tuple(r for r in (self.of_hash.get(_hash(t), -1) for t in _forms(word)) if r >= 0)
+        return rows
 
 
 def _scores(model: Machine):
     def run(batches):
         rows_of = _Rows(model)
-        for batch in chunks(batches, "text_"):
+        for batch in chunks(batches):
             rows, size = [], []
-            for text in batch["text_"].to_pylist():
-                some = [r for r in map(rows_of.__getitem__, terms_of(text)) if r >= 0]
+            for text in batch["text"].to_pylist():
+                some = set().union(*map(rows_of.__getitem__, _words(text)))
                 rows.extend(some)
                 size.append(len(some))
             z = model.logits(np.asarray(rows, np.int64), np.repeat(np.arange(len(size)), size), len(size))
             score = pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
-            names = [c for c in batch.schema.names if c != "text_"]
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], score], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "score"])
     return run
 
 
 def score_toxicity(docs: DataFrame, model: Machine) -> DataFrame:
-    """``docs`` with the column score (0 to 1), any column of that name replaced. Null
-    and empty texts get the bias's score; every row is scored by its whole text."""
-    rest = [c for c in docs.columns if c not in ("score", "text_")]
-    frame = docs.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("string").alias("text_"))
-    schema = frame.drop("text_").withColumn("score", F.lit(0.0)).schema
-    return frame.mapInArrow(_scores(model), schema)
+    """``docs`` with the column score (0 to 1), any column of that name replaced; all
+    others stay. Null and empty texts get the bias's score; every row, repeated ones too,
+    is scored by its whole text."""
+    columns = [c for c in docs.columns if c != "score"]
+    frame = sealed(docs.select(*[F.col(f"`{c}`") for c in columns]), "text")
+    schema = frame.withColumn("score", F.lit(0.0)).schema
+    return opened(frame.mapInArrow(_scores(model), schema), columns, "text")
