@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ascii_lower, written
+from vigil.llm.common import ascii_lower, opened, sealed, written
 
 STRIP = " \t\n\x0b\x0c\r"
 _LINES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("pos", pa.int32()), ("first", pa.bool_()),
@@ -170,17 +170,17 @@ def drop_repeated_lines(docs: DataFrame, *, min_docs: int = 10, min_chars: int =
     columns n_lines (before dropping) and n_dropped; other columns stay.
 
     Null texts stay null and count as one empty line. A text that loses all its
-    lines becomes empty. Columns that are called like the new ones are replaced.
+    lines becomes empty. Columns called n_lines or n_dropped are replaced, all others stay.
     """
     maps = keep_bitmaps(docs, min_docs=min_docs, min_chars=min_chars, keep=keep)
     maps = maps.select(F.col("doc_id").alias("map_id"), F.col("text_hash").alias("map_hash"),
                        F.col("n_dropped").alias("map_dropped"), "keep")
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "keep", "map_id", "map_hash", "map_dropped")]
-    joined = (docs.select(*rest).withColumn("text", F.col("text").cast("string"))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    joined = (sealed(docs.select(*[F.col(f"`{c}`") for c in columns]), "doc_id", "text").withColumn("text", F.col("text").cast("string"))
               .join(maps, F.col("doc_id").cast("long").eqNullSafe(F.col("map_id"))
                     & (F.xxhash64("text") == F.col("map_hash")), "left")
               .withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
               .withColumn("n_dropped", F.coalesce("map_dropped", F.lit(0).cast("long")))
               .drop("map_id", "map_hash", "map_dropped"))
     schema = joined.drop("keep").schema
-    return joined.mapInArrow(_apply, schema)
+    return opened(joined.mapInArrow(_apply, schema), columns, "doc_id", "text")
