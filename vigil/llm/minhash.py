@@ -9,7 +9,7 @@ once in 14,000, and a copy in a group has many ways to be found.
 
 Every link is confirmed on the full sets. Work per bucket is kept linear:
 
-1. documents with equal sets stand as one representative (smallest id);
+1. documents with equal sets stand as one node;
 2. in each bucket every member is compared with one centre, first only the
    centre that comes first for it, then, across classes that are still apart,
    the others;
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import WordHash, chunks, connected_components, mix, words_of, written
+from vigil.llm.common import WordHash, chunks, connected_components, mix, opened, sealed, words_of, written
 
 HASHES, TABLES = 2, 10
 #: Ids up to this many are broadcast (16 MB); more are joined by a shuffle.
@@ -83,9 +83,9 @@ def _signatures(n: int, m: int, k: int):
                         sub = mix(sub ^ h[:, c])
                 subs.append(sub.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(size, pa.int64()), pa.array(f1, pa.int64()),
+                [batch["doc_id"], batch["text_hash"], pa.array(size, pa.int64()), pa.array(f1, pa.int64()),
                  pa.array(f2, pa.int64()), pa.array(subs, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "f1", "f2", "subs"])
+                names=["doc_id", "text_hash", "n_shingles", "f1", "f2", "subs"])
     return run
 
 
@@ -94,7 +94,7 @@ def _sets(n: int):
         memo = WordHash()
         for batch in chunks(batches):
             sets = [shingle_hashes(words_of(t), n, memo).view(np.int64) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.list_(pa.int64()))],
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.list_(pa.int64()))],
                                              names=["id", "shingles"])
     return run
 
@@ -182,30 +182,25 @@ def _leftover_links(members: DataFrame, labels: DataFrame, sets: DataFrame, perc
             .applyInArrow(_block_links(percent), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-                    percent: int = 80, m: int = TABLES, k: int = HASHES) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for each row of ``docs``.
-
-    Two documents link when 100 * |intersection| >= percent * |union| of their sets
-    of distinct ``n``-word shingles; component_id is the smallest id reachable.
-    Null or wordless texts have an empty set and link with nothing. A row without
-    an id keeps a null component and is kept. Rows that share an id are one node: a
-    link of any of them counts for the id. An empty table gives an empty result.
-    Other columns are not read.
-    """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _classes(base: DataFrame, n: int, percent: int, m: int, k: int, by_id: bool) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id) of each row of ``base`` (doc_id, text):
+    the least id among the rows of its class. With ``by_id``, rows of one id are one node;
+    else each set of shingles is one."""
+    base = base.withColumn("text_hash", F.xxhash64("text"))
     features = written(base.mapInArrow(
-        _signatures(n, m, k), "doc_id long, n_shingles long, f1 long, f2 long, subs array<long>"), "minhash")
+        _signatures(n, m, k), "doc_id long, text_hash long, n_shingles long, f1 long, f2 long, subs array<long>"), "minhash")
     usable = features.filter("n_shingles > 0 and doc_id is not null")
     finger = ["n_shingles", "f1", "f2"]
-    groups = written(usable.groupBy(*finger).agg(F.min("doc_id").alias("rep"), F.first("subs").alias("subs")), "reps")
+    # numbered once, as the table is written
+    groups = written(usable.groupBy(*finger).agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("subs").alias("subs"))
+                     .withColumn("node", F.monotonically_increasing_id()), "reps")
 
     table = F.col("t")
-    keys = (groups.select("rep", "subs", F.explode(F.sequence(F.lit(0), F.lit(m * m - 1))).alias("t"))
+    keys = (groups.select(F.col("node").alias("rep"), "subs", F.explode(F.sequence(F.lit(0), F.lit(m * m - 1))).alias("t"))
             .select("rep", F.floor(table / m).cast("int").alias("i"),
                     F.xxhash64(table, F.get("subs", F.floor(table / m).cast("int")),
                                F.get("subs", (table % m + m).cast("int"))).alias("key")))
-    # centre: the member whose scrambled id is least (xor is its own inverse)
+    # centre: the member whose scrambled number is least (xor is its own inverse)
     scramble = 0x5DEECE66D1234ABC
     shared = (keys.groupBy("i", "key").agg(F.count("*").alias("size"),
                                            F.min(F.col("rep").bitwiseXOR(F.lit(scramble))).alias("c"))
@@ -215,12 +210,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     pairs = written(members.filter("rep <> centre").groupBy("rep", "centre").agg(F.count("*").alias("tables"))
                     .select(F.col("rep").alias("a"), F.col("centre").alias("b"), "tables"), "pairs")
 
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    needed = written(needed, "needed")
+    met = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    needed = written(groups.join(met, "node", "left_semi").select("rep.doc_id", "rep.text_hash", "node"), "needed")
     if needed.count() <= BROADCAST_IDS:
         needed = F.broadcast(needed)
-    sets = written(base.join(needed, "doc_id", "left_semi").mapInArrow(_sets(n), "id long, shingles array<long>")
-                   .filter("size(shingles) > 0"), "sets")
+    # a repeated row stands for its node more than once, which changes nothing
+    sets = written(base.join(needed, ["doc_id", "text_hash"]).select("node", "text")
+                   .mapInArrow(_sets(n), "id long, shingles array<long>"), "sets")
 
     # first for each document the centre it shares most tables with ...
     best = pairs.groupBy("a").agg(F.max("tables").alias("tables"))
@@ -236,14 +232,36 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     more = written(_confirmed(rest, sets, percent), "links")
     labels = written(connected_components(links.union(more)), "labels")
     last = written(_leftover_links(members, labels, sets, percent), "links")
-    labels = written(connected_components(links.union(more).union(last)), "labels")
-
-    classes = (groups.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-               .select(*finger, F.coalesce("component", "rep").alias("component_id")))
-    same_id = features.select("doc_id", *finger).join(classes, finger, "left")
-    return (same_id.withColumn("component_id", F.when(F.col("doc_id").isNotNull(),
-                                                      F.coalesce("component_id", "doc_id")))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    every = links.union(more).union(last)
+    if by_id:  # the nodes that rows of one id are in
+        several = usable.groupBy("doc_id").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y")).filter("x <> y")
+        nodes = (usable.join(several, "doc_id", "left_semi").select("doc_id", *finger).join(groups.select(*finger, "node"), finger)
+                 .select("doc_id", "node").distinct())
+        least = nodes.groupBy("doc_id").agg(F.min("node").alias("b"))
+        every = every.union(nodes.join(least, "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b"))
+    labels = written(connected_components(every), "labels")
+
+    named = groups.select(*finger, "rep.doc_id", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    classes = named.join(least, "component").select(*finger, "component_id")
+    return (features.select("doc_id", "text_hash", *finger).join(classes, finger, "left")
+            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
+                    percent: int = 80, m: int = TABLES, k: int = HASHES) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for each row of ``docs``.
+
+    Two documents link when 100 * |intersection| >= percent * |union| of their sets
+    of distinct ``n``-word shingles; component_id is the smallest id reachable.
+    Null or wordless texts have an empty set, link with nothing and are kept. A row
+    without an id keeps a null component and is kept. Rows with words that share an id
+    are one node: a link of any of them counts for the id. An empty table gives an empty result.
+    Other columns are not read.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = _classes(base, n, percent, m, k, by_id=True)
+    return (found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
             .select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", "kept"))
 
 
@@ -254,9 +272,17 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter("ca <> cb").select("a", "b")
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest id of its class; a row
-    without an id stays."""
-    id_col = options.get("id_col", "doc_id")
-    gone = near_duplicates(docs, **options).filter("not kept").select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
+                         percent: int = 80, m: int = TABLES, k: int = HASHES) -> DataFrame:
+    """The rows of ``docs`` that carry the smallest id of their class; all columns stay.
+
+    Classes are of texts here: rows that share an id but not a class are judged apart, so
+    each class leaves at least one row. Rows with equal ids and texts stay or go together;
+    a row without an id, or without words, stays.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    gone = (_classes(base, n, percent, m, k, by_id=False).filter("doc_id <> component_id")
+            .select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct())
+    left = sealed(docs, id_col, text_col).join(gone, (F.col(id_col).cast("long") == F.col("gone_id"))
+                                               & (F.xxhash64(F.col(text_col).cast("string")) == F.col("gone_hash")), "left_anti")
+    return opened(left, docs.columns, id_col, text_col)
