@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import written
+from vigil.llm.common import opened, sealed, written
 
 #: Punctuation stripped from the ends of a word.
 PUNCTUATION = ".,;:!?\"'`()[]{}<>*#$%&|/\\=+~^@_-¿¡«»“”‘’„…–—"
@@ -205,20 +205,22 @@ def _passages_found(some: DataFrame, passages: DataFrame, lengths: list[int]) ->
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that match no benchmark item; all columns stay."""
-    return _marked(docs, benchmark, **options).filter("n_items_ = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    clean = _marked(sealed(docs, "doc_id", "text"), benchmark, **options).filter("n_items = 0")
+    return opened(clean.select("row", "doc_id", "text"), docs.columns, "doc_id", "text")
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """(doc_id, contaminated, n_items, coverage) for each row of ``docs``; coverage is
     that of the best item, 0 without a match."""
     return _marked(docs.select("doc_id", "text"), benchmark, **options).select(
-        "doc_id", (F.col("n_items_") > 0).alias("contaminated"), F.col("n_items_").alias("n_items"), F.col("coverage_").alias("coverage"))
+        "doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "coverage")
 
 
 def _marked(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` (a sealed table, or doc_id and text) with n_items and coverage."""
     found = (contamination(docs, benchmark, **options).groupBy("doc_id", "text_hash")
-             .agg(F.count("*").alias("n_items_"), F.max("coverage").alias("coverage_"))
-             .withColumnsRenamed({"doc_id": "doc_", "text_hash": "hash_"}))
-    joined = docs.join(small(written(found, "contaminated")), F.col("doc_id").eqNullSafe(F.col("doc_"))
-                       & (F.xxhash64(F.col("text").cast("string")) == F.col("hash_")), "left")
-    return joined.fillna({"n_items_": 0, "coverage_": 0.0})
+             .agg(F.count("*").alias("n_items"), F.max("coverage").alias("coverage"))
+             .withColumnsRenamed({"doc_id": "match_id", "text_hash": "match_hash"}))
+    joined = docs.join(small(written(found, "contaminated")), F.col("doc_id").eqNullSafe(F.col("match_id"))
+                       & (F.xxhash64(F.col("text").cast("string")) == F.col("match_hash")), "left")
+    return joined.fillna({"n_items": 0, "coverage": 0.0})
