@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import written
+from vigil.llm.common import opened, sealed, written
 from vigil.llm.decontaminate import decontaminate
 from vigil.llm.lines import STRIP, drop_repeated_lines
 from vigil.llm.minhash import drop_near_duplicates
@@ -18,25 +18,23 @@ from vigil.llm.packing import pack, token_lengths
 from vigil.llm.toxicity import score_toxicity, train
 
 
-def _columns(docs: DataFrame):
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model).filter("score < 0.5").select(*_columns(docs))
+    left = score_toxicity(sealed(docs, "text"), model).filter("score < 0.5").drop("score")
+    return opened(left, docs.columns, "text")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more stay in the first of them only; n_chars
     follows the text. A document of which nothing is left goes."""
-    done = drop_repeated_lines(docs, min_docs=10, keep="first")
+    plain = ["doc_id", "text"] + [c for c in docs.columns if c == "n_chars"]
+    done = drop_repeated_lines(sealed(docs, *plain), min_docs=10, keep="first")
     gone = (F.col("n_dropped") > 0) & (F.btrim("text", F.lit(STRIP)) == "")
-    if "n_chars" in docs.columns:
+    if "n_chars" in plain:
         kind = docs.schema["n_chars"].dataType
         done = done.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return done.filter(~gone).select(*_columns(docs))
+    return opened(done.filter(~gone).drop("n_lines", "n_dropped"), docs.columns, *plain)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
