@@ -156,9 +156,9 @@ def test_fit_sizes_sum_and_seeded_matrix(spark):
     from vigil.operators import features
 
     emb = embedding_vectors(spark, SF0001)
-    fit = clustering.kmeans_fit(emb, k=6, runs=2, seed=11, parallelism=2)
+    fit = clustering.kmeans_fit(emb, k=6, runs=2, seed=11)
     sizes = clustering.assign_clusters(emb, fit.centers).groupBy("cluster").count()
-    assert sizes.agg(F.sum("count")).first()[0] == emb.count()
+    assert {r[0]: r[1] for r in sizes.collect()} == fit.sizes and sum(fit.sizes.values()) == emb.count()
     a = features.projection_matrix(64, 3, seed=5)
     assert np.array_equal(a, features.projection_matrix(64, 3, seed=5))
     assert not np.array_equal(a, features.projection_matrix(64, 3, seed=6))

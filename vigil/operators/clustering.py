@@ -257,48 +257,44 @@ def lloyd(df: DataFrame, centers: Centers, iterations: int, features: str = "fea
 
 
 # ----------------------------------------------------------------------------
-# pyspark.ml k-means (random k-means|| init), best of several seeds
+# Fits from random starts, best of several runs
 # ----------------------------------------------------------------------------
 
 @dataclass
 class FitResult:
     centers: Centers
     cost: float
-    model: object  # pyspark.ml.clustering.KMeansModel
+    model: object | None  # pyspark.ml KMeansModel, of a single run
+    sizes: dict[int, int] | None = None  # rows per cluster, of a fit of several runs
+    mean_distance: float | None = None
 
 
 def kmeans_fit(df: DataFrame, k: int = DEFAULT_K, runs: int = 1, tol: float = DEFAULT_EPSILON,
                max_iter: int = DEFAULT_MAX_ITER, seed: int = 1, features: str = "features",
-               init_steps: int = DEFAULT_INIT_STEPS, solver: str = "auto",
-               parallelism: int = 1) -> FitResult:
-    """Fit ``pyspark.ml`` k-means ``runs`` times (seeds seed..seed+runs-1) and
-    keep the lowest training cost (ties: the lower seed). May return fewer
-    than k centres.
-
-    With ``parallelism > 1`` the seeds are fitted as concurrent Spark jobs on
-    the one persisted input. ``solver="block"`` stacks the vectors into
-    blocks so the distance step is a matrix product (about 25% faster than
-    "row" at k=150, d=16, same cost), but it fails when the data has fewer
-    distinct points than k; "auto" (Spark's choice) is the safe default.
+               init_steps: int = DEFAULT_INIT_STEPS, solver: str = "auto") -> FitResult:
+    """k-means from k-means|| starts, the best training cost of ``runs`` (ties: the
+    first). May return fewer than k centres.
+
+    One run is a ``pyspark.ml`` fit (``solver`` as there). Several runs are fitted by
+    the same scans of the input, which is persisted once: a pass moves the centres of
+    all runs that have not converged (see ``manyfit``).
     """
+    if runs > 1:
+        from vigil.operators.manyfit import fit_runs
+
+        done = fit_runs(df, k, runs, tol, max_iter, seed, init_steps, features)
+        best = min(done, key=lambda r: r.cost)
+        sizes = {c: int(n) for c, n in enumerate(best.sizes) if n}
+        return FitResult(best.centers, best.cost, None, sizes, best.mean_distance)
+
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     vec = df.select(array_to_vector(features).alias("__v"))
     with shared_cache(vec):
-        def one(r: int) -> tuple[float, int, object]:
-            model = KMeans(k=k, tol=tol, maxIter=max_iter, seed=seed + r,
-                           initSteps=init_steps, solver=solver, featuresCol="__v").fit(vec)
-            return float(model.summary.trainingCost), r, model
-
-        if parallelism > 1 and runs > 1:
-            vec.count()  # fill the cache once; the concurrent fits then only read it
-            with ThreadPoolExecutor(min(parallelism, runs)) as pool:
-                fits = list(pool.map(one, range(runs)))
-        else:
-            fits = [one(r) for r in range(runs)]
-        cost, _, model = min(fits, key=lambda f: (f[0], f[1]))
-        return FitResult(Centers.from_model(model), cost, model)
+        model = KMeans(k=k, tol=tol, maxIter=max_iter, seed=seed, initSteps=init_steps,
+                       solver=solver, featuresCol="__v").fit(vec)
+        return FitResult(Centers.from_model(model), float(model.summary.trainingCost), model)
 
 
 def sweep_k(df: DataFrame, ks: Iterable[int],

@@ -45,7 +45,7 @@ def encode(lines: DataFrame, bundle: ModelBundle, value: str = "value",
 def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_RUNS,
                 tol: float = PRODUCTION_EPSILON,
                 seed: int = 1, value: str = "value", path: str | None = None,
-                parallelism: int = 1, layout: Layout = Layout()) -> tuple[ModelBundle, float]:
+                layout: Layout = Layout()) -> tuple[ModelBundle, float]:
     """Parse + one-hot + z-score + k-means + mean-distance score (+ save).
 
     Returns the bundle and its clustering score on the training data.
@@ -55,17 +55,18 @@ def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_
     stats = Stats.fit(feats)
     normalized = feats.select(zscore_column("features", stats).alias("features")).persist()
     try:
-        fit: FitResult = kmeans_fit(normalized, k=k, runs=runs, tol=tol, seed=seed,
-                                    parallelism=parallelism)
-        # One pass over the cached rows gives both the score and the cluster
-        # sizes: per-cluster count and distance sum (at most k rows).
-        per = (distance_to_centroid(normalized, fit.centers).groupBy("cluster")
-               .agg(F.count(F.lit(1)).alias("cnt"), F.sum("distance").alias("dsum"))
-               .collect())
+        fit: FitResult = kmeans_fit(normalized, k=k, runs=runs, tol=tol, seed=seed)
+        sizes, score = fit.sizes, fit.mean_distance
+        if sizes is None:
+            # One pass over the cached rows gives both the score and the cluster
+            # sizes: per-cluster count and distance sum (at most k rows).
+            per = (distance_to_centroid(normalized, fit.centers).groupBy("cluster")
+                   .agg(F.count(F.lit(1)).alias("cnt"), F.sum("distance").alias("dsum"))
+                   .collect())
+            sizes = {int(r["cluster"]): int(r["cnt"]) for r in per}
+            score = sum(float(r["dsum"]) for r in per) / max(sum(sizes.values()), 1)
     finally:
         normalized.unpersist()
-    sizes = {int(r["cluster"]): int(r["cnt"]) for r in per}
-    score = sum(float(r["dsum"]) for r in per) / max(sum(sizes.values()), 1)
     bundle = ModelBundle(fit.centers, dictionary, stats, fit.model, sizes, layout)
     if path is not None:
         save_bundle(lines.sparkSession, bundle, path)

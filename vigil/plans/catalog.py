@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.vectors import explode_dims
-from vigil.operators import anomaly, clustering, evaluation, features, modeling, online, parsing
+from vigil.operators import anomaly, clustering, evaluation, features, manyfit, modeling, online, parsing
 from vigil.operators.clustering import Centers
-from vigil.session import shared_dir
+from vigil.session import cached, shared_dir
 from vigil.sources import records
 from vigil.sources.models import ModelBundle, load_bundle, save_bundle
 from vigil.streaming import (
@@ -37,18 +37,22 @@ CENTRES_K = 5
 LLOYD_ITERATIONS = 3
 SWEEP_KS = (2, 4, 6, 8)
 SWEEP_PARALLELISM = 4  # fits of different k run as concurrent Spark jobs
+# the original jobs' values of k on raw, z-scored and one-hot + z-scored records
+RAW_KS = (5, 10, 15, 20, 25, 30, 40, 50, 60, 70, 80, 90, 100)
+Z_KS = (60, 70, 80, 90, 100, 110, 120)
+ONE_HOT_KS = (80, 90, 100, 110, 120, 130, 140, 150, 160)
+SWEEP_ITERATIONS = 1
 ANOMALY_RANK = 100
 ONLINE_WEIGHT = 10.0
 ONLINE_DECAY_BATCHES = 0.5
 ONLINE_DECAY_POINTS = 0.999
 STREAM_BATCHES = 3
-# Seeded pyspark.ml fits, checked by what any fit must satisfy: the model of the
-# original jobs is k=150, ten runs, epsilon 1e-6.
+# Seeded fits, checked by what any fit must satisfy: the model of the original jobs is
+# k=150, ten runs, epsilon 1e-6.
 FIT_K = 10
 FIT_RUNS = 3
 BUILD_K = 150
 BUILD_RUNS = 10
-FIT_PARALLELISM = 5  # seeds fitted as concurrent Spark jobs
 FIT_TOL = 1e-6
 SAMPLE_FRACTION = 0.05
 SEED = 1
@@ -193,6 +197,69 @@ def q_random_projection(spark, sf_dir):
     return out.select("vec_id", _r6("x").alias("x"), _r6("y").alias("y"), _r6("z").alias("z"))
 
 
+# --- many models in one scan, on the records -----------------------------------------
+
+def _z_one_hot(lines: DataFrame) -> DataFrame:
+    """(label, features), one-hot encoded and z-scored."""
+    return features.zscore(features.one_hot_features(lines, keep_line=True))
+
+
+def _records_sweep(lines: DataFrame, vectors: DataFrame, ks):
+    """Nested given starts (the records whose md5 comes first), SWEEP_ITERATIONS Lloyd
+    steps of all k together. ``vectors``: value, label, features."""
+    first = lines.distinct().orderBy(F.md5(F.col("value").cast("binary"))).limit(max(ks)).select("value")
+    rows = vectors.join(F.broadcast(first), "value").select("value", "features").distinct()  # max(ks) rows
+    rows = rows.withColumn("at", F.md5(F.col("value").cast("binary")))
+    seeds = Centers.from_rows(rows, "at", k=max(ks))
+    return manyfit.fit_ks(vectors, ks, 0.0, SWEEP_ITERATIONS, seeds=seeds)
+
+
+def _scores(spark, models):
+    return spark.createDataFrame([(k, m.mean_distance) for k, m in models.items()], "k INT, score DOUBLE").select("k", _r6("score").alias("score"))
+
+
+def q_sweep_records_raw(spark, sf_dir):
+    lines = records.record_lines(spark, sf_dir)
+    with cached(parsing.parse_numeric(lines, keep_line=True)) as vectors:
+        return _scores(spark, _records_sweep(lines, vectors, RAW_KS))
+
+
+def q_sweep_records_z(spark, sf_dir):
+    lines = records.record_lines(spark, sf_dir)
+    with cached(features.zscore(parsing.parse_numeric(lines, keep_line=True))) as vectors:
+        return _scores(spark, _records_sweep(lines, vectors, Z_KS))
+
+
+def q_sweep_records_one_hot(spark, sf_dir):
+    lines = records.record_lines(spark, sf_dir)
+    with cached(_z_one_hot(lines)) as vectors:
+        return _scores(spark, _records_sweep(lines, vectors, ONE_HOT_KS))
+
+
+def q_sweep_records_entropy(spark, sf_dir):
+    """The same models; one more pass gives the crosstab of all of them."""
+    lines = records.record_lines(spark, sf_dir)
+    with cached(_z_one_hot(lines)) as vectors:
+        models = _records_sweep(lines, vectors, ONE_HOT_KS)
+        table = manyfit.crosstab_many(vectors, {k: m.centers for k, m in models.items()})
+        rows = [tuple(r) for r in manyfit.entropy_of_crosstab(table).collect()]  # a row a k
+    return spark.createDataFrame(rows, "k INT, score DOUBLE").select("k", _r6("score").alias("score"))
+
+
+def q_kmeans_many_runs(spark, sf_dir):
+    """Three runs of different starts (a centre a value of each categorical field), moved
+    together: the centres of the run of the lowest cost, and every run's cost."""
+    vectors = _z_one_hot(records.record_lines(spark, sf_dir))
+    with cached(vectors.withColumn("fields", parsing.fields_of("value")).select("features", *[F.col("fields")[i].alias(f"c{i}") for i in (1, 2, 3)])) as rows:
+        starts = [Centers.from_group_means(rows, [f"c{i}"]) for i in (1, 2, 3)]
+        done = manyfit.lloyd_many(rows, starts, LLOYD_ITERATIONS)
+    best = min(range(len(done)), key=lambda r: done[r].cost)
+    cells = [(r, d.centers.k, d.cost / int(sum(d.sizes)), r == best, c, i, float(v)) for r, d in enumerate(done)
+             for c, centre in enumerate(d.centers.values) for i, v in enumerate(centre)]
+    out = spark.createDataFrame(cells, "run INT, k INT, cost DOUBLE, best BOOLEAN, cluster INT, dim INT, value DOUBLE")
+    return out.withColumn("cost", _r6("cost")).withColumn("value", _r6("value"))
+
+
 # --- anomalies on the records ------------------------------------------------------
 
 def group_mean_centres(normalized: DataFrame) -> Centers:
@@ -232,7 +299,7 @@ def q_anomalies_kmeans(spark, sf_dir):
     than ANOMALY_RANK are flagged, and whether all flagged are above the threshold."""
     lines = records.record_lines(spark, sf_dir)
     detector = anomaly.fit_anomaly_detector(lines, k=BUILD_K, rank=ANOMALY_RANK, runs=BUILD_RUNS,
-                                            tol=FIT_TOL, seed=SEED, parallelism=FIT_PARALLELISM)
+                                            tol=FIT_TOL, seed=SEED)
     scored = detector.score(lines)
     above = F.col("distance") > F.lit(detector.threshold)
     return scored.agg(F.count("distance").alias("records"),
@@ -278,8 +345,7 @@ def q_kmeans_fit(spark, sf_dir):
     """Fit and assign; within- plus between-cluster sum of squares, which is the
     total whatever the fit, and the rows over all clusters."""
     emb = _embeddings(spark, sf_dir)
-    fit = clustering.kmeans_fit(emb, k=FIT_K, runs=FIT_RUNS, tol=FIT_TOL, seed=SEED,
-                                parallelism=FIT_PARALLELISM)
+    fit = clustering.kmeans_fit(emb, k=FIT_K, runs=FIT_RUNS, tol=FIT_TOL, seed=SEED)
     cells = (clustering.assign_clusters(emb, fit.centers).select("cluster", explode_dims("features"))
              .filter(F.col("dim").isNotNull()))
     per = cells.groupBy("cluster", "dim").agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
@@ -296,8 +362,7 @@ def q_build_model(spark, sf_dir):
     stored centres are those of the fit."""
     path = shared_dir(spark, "model")
     bundle, _score = modeling.build_model(records.record_lines(spark, sf_dir), k=BUILD_K,
-                                          runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED, path=path,
-                                          parallelism=FIT_PARALLELISM)
+                                          runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED, path=path)
     stored = load_bundle(spark, path)
     sizes = spark.createDataFrame(sorted(bundle.cluster_sizes.items()), "cluster INT, cnt BIGINT")
     return sizes.agg(F.sum("cnt").alias("rows"), (F.count("*") <= BUILD_K).alias("at_most_k"),
@@ -435,6 +500,11 @@ QUERIES: dict[str, QueryFn] = {
     "lloyd_3": q_lloyd_3,
     "sweep_k": q_sweep_k,
     "sweep_k_entropy": q_sweep_k_entropy,
+    "kmeans_many_runs": q_kmeans_many_runs,
+    "sweep_records_raw": q_sweep_records_raw,
+    "sweep_records_z": q_sweep_records_z,
+    "sweep_records_one_hot": q_sweep_records_one_hot,
+    "sweep_records_entropy": q_sweep_records_entropy,
     "kth_largest": q_kth_largest,
     "precision_by_threshold": q_precision_by_threshold,
     "random_projection": q_random_projection,

@@ -13,11 +13,15 @@ from vigil.plans.catalog import (
     ANOMALY_RANK,
     CENTRES_K,
     LLOYD_ITERATIONS,
+    ONE_HOT_KS,
     ONLINE_DECAY_BATCHES,
     ONLINE_DECAY_POINTS,
     ONLINE_WEIGHT,
+    RAW_KS,
     STREAM_BATCHES,
+    SWEEP_ITERATIONS,
     SWEEP_KS,
+    Z_KS,
 )
 
 R = """r AS (
@@ -245,6 +249,61 @@ APPLY_SAVED_MODEL = _with(
     """nearest AS (SELECT rid, arg_min(cluster, dd) AS cluster FROM dist JOIN numbered USING (g1, g2) GROUP BY rid)""",
 ) + "SELECT cluster, label, count(*) AS cnt FROM nearest JOIN r USING (rid) GROUP BY cluster, label"
 
+# --- many models in one scan -----------------------------------------------------------
+
+_R_VALUE = _GROUP_MEANS[0]
+_NUM_VECTORS = """fu AS (SELECT rid, generate_subscripts([q, e, d, t], 1) - 1 AS dim, unnest([q, e, d, t]) AS v FROM r)"""
+_Z_STATS = _GROUP_MEANS[4]
+_Z_CELLS = """zc AS (SELECT fu.rid, fu.dim, CASE WHEN st.s <= 0 THEN fu.v - st.m ELSE (fu.v - st.m) / st.s END AS z
+  FROM fu JOIN st USING (dim))"""
+_Z_ONE_HOT = (_R_VALUE, _DICTS, _ONE_HOT, """fu AS (SELECT rid, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS v FROM fe)""",
+              _Z_STATS, _Z_CELLS, "v AS (SELECT rid, list(z ORDER BY dim) AS f FROM zc GROUP BY rid)")
+
+
+def _many_lloyd(start: str, iterations: int) -> list[str]:
+    """Lloyd steps of the models of CTE ``start`` (k, cluster, f) on v (rid, f); the last
+    assignment is ``fin`` (k, rid, cluster, distance), the centres ``cn``."""
+    ctes = [f"cn0 AS ({start})"]
+    for it in range(iterations + 1):
+        ctes.append(f"""an{it} AS (SELECT c.k, v.rid, CAST(arg_min(c.cluster, list_distance(v.f, c.f)) AS INTEGER) AS cluster,
+          min(list_distance(v.f, c.f)) AS distance FROM v, cn{it} c GROUP BY c.k, v.rid)""")
+        if it < iterations:
+            ctes.append(f"""sn{it} AS (SELECT a.k, a.cluster, u.dim, avg(u.x) AS x FROM an{it} a
+              JOIN (SELECT rid, generate_subscripts(f, 1) AS dim, unnest(f) AS x FROM v) u USING (rid) GROUP BY ALL)""")
+            ctes.append(f"""cn{it + 1} AS (SELECT c.k, c.cluster, coalesce(n.f, c.f) AS f FROM cn{it} c
+              LEFT JOIN (SELECT k, cluster, list(x ORDER BY dim) AS f FROM sn{it} GROUP BY k, cluster) n USING (k, cluster))""")
+    ctes += [f"fin AS (SELECT * FROM an{iterations})", f"cn AS (SELECT * FROM cn{iterations})"]
+    return ctes
+
+
+def _seeded(ks) -> str:
+    """The first k of the records whose md5 comes first, for each k."""
+    return f"""SELECT k, CAST(i AS INTEGER) AS cluster, f FROM (SELECT unnest({list(ks)}) AS k),
+      (SELECT row_number() OVER (ORDER BY md5(value)) - 1 AS i, f FROM (
+        SELECT value, any_value(v.f) AS f FROM r JOIN v USING (rid) GROUP BY value ORDER BY md5(value) LIMIT {max(ks)})) WHERE i < k"""
+
+
+_MEAN_DISTANCE = "SELECT CAST(k AS INTEGER) AS k, round(avg(distance), 6) AS score FROM fin GROUP BY k"
+SWEEP_RECORDS_RAW = _with(_R_VALUE, "v AS (SELECT rid, [q, e, d, t] AS f FROM r)", *_many_lloyd(_seeded(RAW_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
+SWEEP_RECORDS_Z = _with(_R_VALUE, _NUM_VECTORS, _Z_STATS, _Z_CELLS, "v AS (SELECT rid, list(z ORDER BY dim) AS f FROM zc GROUP BY rid)",
+                        *_many_lloyd(_seeded(Z_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
+SWEEP_RECORDS_ONE_HOT = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
+SWEEP_RECORDS_ENTROPY = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), SWEEP_ITERATIONS)) + """
+SELECT CAST(k AS INTEGER) AS k, round(sum(n * h) / sum(n), 6) AS score FROM (
+  SELECT k, cluster, sum(c) AS n, -sum((c / t) * ln(c / t)) AS h FROM (
+    SELECT k, cluster, label, CAST(count(*) AS DOUBLE) AS c, CAST(sum(count(*)) OVER (PARTITION BY k, cluster) AS DOUBLE) AS t
+    FROM fin JOIN r USING (rid) GROUP BY k, cluster, label) GROUP BY k, cluster) GROUP BY k"""
+
+_RUN_STARTS = "\nUNION ALL\n".join(
+    f"""SELECT {i} AS k, CAST(row_number() OVER (ORDER BY g) - 1 AS INTEGER) AS cluster, f FROM (
+      SELECT g, list(x ORDER BY dim) AS f FROM (SELECT {c} AS g, dim, avg(z) AS x FROM zc JOIN r USING (rid) GROUP BY {c}, dim) GROUP BY g)"""
+    for i, c in enumerate(("c1", "c2", "c3")))
+KMEANS_MANY_RUNS = _with(*_Z_ONE_HOT, *_many_lloyd(_RUN_STARTS, LLOYD_ITERATIONS), """
+cost AS (SELECT k AS run, avg(distance * distance) AS cost FROM fin GROUP BY k)""") + """
+SELECT CAST(run AS INTEGER) AS run, CAST(max(cluster) OVER (PARTITION BY run) + 1 AS INTEGER) AS k, round(cost, 6) AS cost,
+       cost = (SELECT min(cost) FROM cost) AS best, cluster, CAST(dim AS INTEGER) AS dim, round(value, 6) AS value
+FROM (SELECT run, cost, cluster, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS value FROM cn JOIN cost ON k = run)"""
+
 # What every fit must satisfy.
 KMEANS_FIT = _with(E) + """
 SELECT CAST(sum(CASE WHEN dim = 0 THEN n END) AS BIGINT) AS rows, true AS at_most_k, round(sum(n * v), 3) AS total_ss
@@ -381,6 +440,11 @@ ORACLE_SQL: dict[str, str] = {
     "lloyd_3": LLOYD_3,
     "sweep_k": SWEEP_K,
     "sweep_k_entropy": SWEEP_K_ENTROPY,
+    "kmeans_many_runs": KMEANS_MANY_RUNS,
+    "sweep_records_raw": SWEEP_RECORDS_RAW,
+    "sweep_records_z": SWEEP_RECORDS_Z,
+    "sweep_records_one_hot": SWEEP_RECORDS_ONE_HOT,
+    "sweep_records_entropy": SWEEP_RECORDS_ENTROPY,
     "kth_largest": KTH_LARGEST,
     "precision_by_threshold": PRECISION_BY_THRESHOLD,
     "random_projection": RANDOM_PROJECTION,
