@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.functions.random import normal_matrix
 from vigil.functions.vectors import explode_dims, vector_literal
 from vigil.operators.parsing import (
     DEFAULT_CATEGORICAL,
@@ -164,6 +165,14 @@ def column_stats(df: DataFrame, features: str = "features") -> DataFrame:
     ).select(F.col("dim").cast("int").alias("dim"), "n", "mean", "sd_pop")
 
 
+def column_moments(df: DataFrame, features: str = "features") -> DataFrame:
+    """(dim INT, n BIGINT, total DOUBLE, squares DOUBLE): count, sum and sum of squares of
+    each dimension, in one pass with partial aggregates like ``column_stats``."""
+    exploded = df.select(explode_dims(features)).filter(F.col("dim").isNotNull())
+    return exploded.groupBy(F.col("dim").cast("int").alias("dim")).agg(
+        F.count("x").alias("n"), F.sum("x").alias("total"), F.sum(F.col("x") * F.col("x")).alias("squares"))
+
+
 @dataclass(frozen=True)
 class Stats:
     """Fitted z-score parameters."""
@@ -176,6 +185,31 @@ class Stats:
     def fit(cls, df: DataFrame, features: str = "features") -> "Stats":
         return cls.from_table(column_stats(df, features))
 
+    def merge(self, other: "Stats") -> "Stats":
+        """The statistics of the rows of both, without a look at any row: means weighted by
+        rows, squared deviations added together with that of the two means."""
+        if not self.n or not other.n:
+            return self if self.n else other
+        if len(self.mean) != len(other.mean):
+            raise ValueError("statistics of different lengths")
+        n, mean, sd = self.n + other.n, [], []
+        for ma, sa, mb, sb in zip(self.mean, self.sd, other.mean, other.sd):
+            apart = mb - ma
+            mean.append(ma + apart * other.n / n)
+            squared = self.n * sa * sa + other.n * sb * sb + apart * apart * self.n * other.n / n
+            sd.append(math.sqrt(squared / n))
+        return Stats(tuple(mean), tuple(sd), n)
+
+    @property
+    def totals(self) -> tuple[float, ...]:
+        """The sum of each dimension."""
+        return tuple(m * self.n for m in self.mean)
+
+    @property
+    def squares(self) -> tuple[float, ...]:
+        """The sum of squares of each dimension."""
+        return tuple(self.n * (sd * sd + m * m) for m, sd in zip(self.mean, self.sd))
+
     @classmethod
     def from_table(cls, stats: DataFrame) -> "Stats":
         rows = stats.orderBy("dim").collect()
@@ -238,7 +272,7 @@ def projection_matrix(dim: int, out_dim: int = 3, seed: int | None = 0,
     does.
     """
     if matrix is None:
-        m = np.random.default_rng(seed).standard_normal((dim, out_dim))
+        m = normal_matrix(dim, out_dim, seed or 0)
     else:
         m = np.asarray(matrix, dtype=float)
     norms = np.sqrt((m * m).sum(axis=1, keepdims=True))

@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.defaults import ONLINE_DECAY, ONLINE_RANDOM_WEIGHT
+from vigil.functions.random import normal_matrix
 from vigil.operators.clustering import Centers, assign_clusters, cluster_sums, collect_sums
+from vigil.operators.evaluation import cluster_label_counts
 
 BATCHES = "batches"
 POINTS = "points"
@@ -37,7 +39,7 @@ class OnlineState:
     def __post_init__(self):
         if self.time_unit not in (BATCHES, POINTS):
             raise ValueError("time_unit must be 'batches' or 'points'")
-        Centers(self.centers)  # size check
+        Centers(self.centers)  # a 2-d array
 
     @property
     def model(self) -> Centers:
@@ -59,9 +61,9 @@ class OnlineState:
 def streaming_kmeans_init(k: int, dim: int, weight: float = ONLINE_RANDOM_WEIGHT, seed: int = 0,
                           decay: float = ONLINE_DECAY, time_unit: str = BATCHES,
                           centers=None, weights=None) -> OnlineState:
-    """Random N(0, 1) centres with a constant weight, or given centres/weights."""
+    """Seeded N(0, 1) centres with a constant weight, or given centres/weights."""
     if centers is None:
-        centers = np.random.default_rng(seed).standard_normal((k, dim))
+        centers = normal_matrix(k, dim, seed)
     centers = np.asarray(centers, dtype=float)
     if weights is None:
         weights = np.full(centers.shape[0], float(weight))
@@ -96,6 +98,21 @@ def merge_update(state: OnlineState, sums: np.ndarray, counts: np.ndarray) -> On
     return OnlineState(centers, weights, state.decay, state.time_unit)
 
 
+def idle_ticks(state: OnlineState, ticks: int) -> OnlineState:
+    """``ticks`` intervals without rows: each discounts the weights (time unit "batches")
+    and then looks for a dying cluster, like an update with no rows."""
+    nothing = np.zeros(state.centers.shape), np.zeros(len(state.weights))
+    while ticks > 0:
+        after = merge_update(state, *nothing)
+        ticks -= 1
+        if np.array_equal(after.centers, state.centers):
+            # no cluster died; all weights shrink alike, so none will in the ticks left
+            left = state.decay**ticks if state.time_unit == BATCHES else 1.0
+            return OnlineState(after.centers, after.weights * left, state.decay, state.time_unit)
+        state = after
+    return state
+
+
 def online_update(df: DataFrame, state: OnlineState, features: str = "features") -> OnlineState:
     """One update of the online model with all rows of ``df`` (one batch)."""
     sums, counts = collect_sums(cluster_sums(df, state.model, features),
@@ -109,6 +126,11 @@ def online_score(df: DataFrame, state: OnlineState, features: str = "features")
     return scored.agg(F.avg("distance").alias("score"))
 
 
+def online_crosstab(df: DataFrame, state: OnlineState, label: str = "label", features: str = "features") -> DataFrame:
+    """Cluster × label counts under the online model, sorted."""
+    return cluster_label_counts(assign_clusters(df, state.model, features), label=label)
+
+
 def state_table(spark: SparkSession, state: OnlineState) -> DataFrame:
     """Long rows (cluster, dim, value, weight) of an online model."""
     rows = [(int(c), int(i), float(v), float(state.weights[c]))

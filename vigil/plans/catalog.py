@@ -14,23 +14,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.vectors import explode_dims
-from vigil.operators import anomaly, clustering, evaluation, features, manyfit, modeling, online, parsing
+from vigil.operators import anomaly, clustering, evaluation, features, manyfit, modeling, online, parsing, sparse
 from vigil.operators.clustering import Centers
 from vigil.session import cached, shared_dir
 from vigil.sources import records
-from vigil.sources.models import ModelBundle, load_bundle, save_bundle
+from vigil.sources.models import ModelBundle, load_bundle, refresh_stats, save_bundle
 from vigil.streaming import (
     StreamingKMeans,
+    read_stream_assignments,
+    skip_existing,
     stage_slice,
+    stream_lines,
     stream_predict,
+    stream_predict_latest,
     stream_table,
     stream_word_count,
+    stream_write_assignments,
 )
-from vigil.streaming.sources import run_available
+from vigil.streaming.sources import run_available, write_batch
 
 # Fixed values shared with the oracle SQL.
 CENTRES_K = 5
@@ -47,6 +53,10 @@ ONLINE_WEIGHT = 10.0
 ONLINE_DECAY_BATCHES = 0.5
 ONLINE_DECAY_POINTS = 0.999
 STREAM_BATCHES = 3
+BATCH_TICKS = (0, 1, 4)  # intervals in which the batches of the idle replay come
+RANDOM_CENTRES = 10
+TOP_ANOMALIES = 10
+SAMPLE_K = 100
 # Seeded fits, checked by what any fit must satisfy: the model of the original jobs is
 # k=150, ten runs, epsilon 1e-6.
 FIT_K = 10
@@ -94,6 +104,31 @@ def q_one_hot_features(spark, sf_dir):
         F.round(F.sum("x"), 2).alias("total"))
 
 
+def q_one_hot_sparse(spark, sf_dir):
+    """Every non-zero cell of the sparse one-hot rows, counted by label, dimension and value."""
+    lines = records.record_lines(spark, sf_dir)
+    rows, _ = sparse.sparse_one_hot(lines, sparse.category_index(lines))
+    return sparse.sparse_cells(rows, "label").groupBy("label", "dim", "x").agg(F.count("*").alias("cnt"))
+
+
+def q_sparse_assign(spark, sf_dir):
+    """Nearest of the (returnflag, linestatus) mean centres in z-scored space, from sparse
+    rows: cluster × label counts."""
+    lines = records.record_lines(spark, sf_dir)
+    rows, layout = sparse.sparse_one_hot(lines, sparse.category_index(lines), keep_line=True)
+    with cached(rows.withColumn("group", F.slice(parsing.fields_of("value"), 2, 2))) as rows:
+        mean, sd = np.zeros(layout.dim), np.zeros(layout.dim)
+        for r in sparse.sparse_stats(rows).collect():  # a row a dimension
+            mean[r["dim"]], sd[r["dim"]] = r["mean"], r["sd_pop"]
+        sizes = {tuple(r["group"]): r["count"] for r in rows.groupBy("group").count().collect()}
+        raw = {g: np.zeros(layout.dim) for g in sorted(sizes)}
+        for r in sparse.sparse_cells(rows, "group").groupBy("group", "dim").agg(F.sum("x").alias("total")).collect():
+            raw[tuple(r["group"])][r["dim"]] = r["total"] / sizes[tuple(r["group"])]
+        centers = Centers((np.array(list(raw.values())) - mean) / np.where(sd > 0, sd, 1.0))
+        counts = evaluation.cluster_label_counts(sparse.sparse_assign(rows.select("label", "idx", "val"), layout, centers, mean, sd)).collect()
+    return spark.createDataFrame([tuple(r) for r in counts], "cluster INT, label STRING, cnt BIGINT")
+
+
 def q_column_stats(spark, sf_dir):
     parsed = parsing.parse_numeric(records.record_lines(spark, sf_dir))
     stats = features.column_stats(parsed)
@@ -101,6 +136,31 @@ def q_column_stats(spark, sf_dir):
                         F.round("sd_pop", 4).alias("sd_pop"))
 
 
+def q_parse_vectors(spark, sf_dir):
+    vectors = parsing.parse_vectors(records.record_lines(spark, sf_dir))
+    return vectors.select(*[F.col("features")[i].alias(f"f{i}") for i in range(4)])
+
+
+def q_column_moments(spark, sf_dir):
+    moments = features.column_moments(parsing.parse_numeric(records.record_lines(spark, sf_dir)))
+    return moments.select("dim", "n", F.round("total", 2).alias("total"), F.round("squares", -4).alias("squares"))
+
+
+def q_merged_stats(spark, sf_dir):
+    """A model published with the statistics of the odd line numbers, refreshed with those
+    of the even ones: the statistics it then holds are those of all records."""
+    lines = records.record_lines(spark, sf_dir)
+    odd = parsing.fields_of("value")[3].cast("int") % 2 == 1
+    path = shared_dir(spark, "model")
+    first = features.Stats.fit(parsing.parse_numeric(lines.filter(odd)))
+    save_bundle(spark, ModelBundle(Centers([first.mean]), None, first), path)
+    refresh_stats(spark, path, parsing.parse_numeric(lines.filter(~odd)))
+    stats = load_bundle(spark, path).stats
+    rows = [(i, stats.n, m, sd) for i, (m, sd) in enumerate(zip(stats.mean, stats.sd))]
+    out = spark.createDataFrame(rows, "dim INT, n BIGINT, mean DOUBLE, sd_pop DOUBLE")
+    return out.select("dim", "n", F.round("mean", 4).alias("mean"), F.round("sd_pop", 4).alias("sd_pop"))
+
+
 def _z_columns(df):
     return df.select("label", *[_r6(F.col("features")[i]).alias(f"z{i}") for i in range(4)])
 
@@ -197,6 +257,19 @@ def q_random_projection(spark, sf_dir):
     return out.select("vec_id", _r6("x").alias("x"), _r6("y").alias("y"), _r6("z").alias("z"))
 
 
+def q_random_projection_seeded(spark, sf_dir):
+    """The projection by seeded normal numbers, rows of unit length."""
+    emb = _embeddings(spark, sf_dir)
+    dim = len(emb.select("features").first()[0])
+    out = features.random_projection(emb.select("vec_id", "features"), features.projection_matrix(dim, 3, seed=SEED))
+    return out.select("vec_id", _r6("x").alias("x"), _r6("y").alias("y"), _r6("z").alias("z"))
+
+
+def q_cluster_count(spark, sf_dir):
+    emb = _embeddings(spark, sf_dir)
+    return evaluation.cluster_count(clustering.assign_clusters(emb, _c5(emb)))
+
+
 # --- many models in one scan, on the records -----------------------------------------
 
 def _z_one_hot(lines: DataFrame) -> DataFrame:
@@ -292,6 +365,13 @@ def q_detect_lines(spark, sf_dir):
     return out.select("value", _r6("distance").alias("distance"))
 
 
+def q_top_anomalies(spark, sf_dir):
+    """The ten most distant of the flagged lines."""
+    lines = records.record_lines(spark, sf_dir)
+    out = anomaly.detect_anomalies(lines, anomaly_detector(spark, sf_dir, lines), top_n=TOP_ANOMALIES)
+    return out.select("value", _r6("distance").alias("distance"))
+
+
 def q_anomalies_kmeans(spark, sf_dir):
     """The full detector of the original jobs: one-hot + z-score, k=150 k-means
     (best of BUILD_RUNS seeds, ε=1e-6), threshold = 100th largest training
@@ -339,7 +419,22 @@ def q_online_score(spark, sf_dir):
     return online.online_score(emb, state).select(_r6("score").alias("score"))
 
 
-# --- seeded pyspark.ml fits, model store, export ----------------------------------
+def q_online_crosstab(spark, sf_dir):
+    """Cluster × label counts under the model after one update."""
+    emb, state = _online(spark, sf_dir, ONLINE_DECAY_BATCHES, online.BATCHES)
+    return online.online_crosstab(emb, state)
+
+
+def q_online_random_start(spark, sf_dir):
+    """Seeded N(0, 1) centres of weight 0, updated once by all embeddings (with the rule
+    for dying clusters: a centre that no row is near takes half of the largest cluster)."""
+    emb = _embeddings(spark, sf_dir)
+    dim = len(emb.select("features").first()[0])
+    state = online.streaming_kmeans_init(RANDOM_CENTRES, dim, seed=SEED)
+    return _state_out(spark, online.online_update(emb, state))
+
+
+# --- seeded fits, model store, export ----------------------------------
 
 def q_kmeans_fit(spark, sf_dir):
     """Fit and assign; within- plus between-cluster sum of squares, which is the
@@ -395,6 +490,18 @@ def q_sample_assignments(spark, sf_dir):
     return out.select("cluster", *[_r6(F.col("features")[i]).alias(f"f{i}") for i in range(3)])
 
 
+def q_sample_fitted(spark, sf_dir):
+    """The exported sample of a fitted model (k=100, ten runs): which rows are in it, and
+    that every one carries a cluster of the fit, is the same whatever the fit."""
+    emb = _embeddings(spark, sf_dir)
+    fit = clustering.kmeans_fit(emb, k=SAMPLE_K, runs=BUILD_RUNS, tol=FIT_TOL, seed=SEED)
+    out = modeling.sample_assignments(emb, fit.centers, SAMPLE_FRACTION, SEED,
+                                      path=shared_dir(spark, "sample"), key=["vec_id"])
+    nearest = clustering.assign_clusters(out, fit.centers, prediction="again")
+    return nearest.select((F.col("cluster") == F.col("again")).alias("nearest"),
+                          *[_r6(F.col("features")[i]).alias(f"f{i}") for i in range(3)])
+
+
 # --- streaming ---------------------------------------------------------------------
 
 def stream_slice_of(key: str, max_id: int):
@@ -456,6 +563,81 @@ def q_stream_mean_distance(spark, sf_dir):
                         _r6("mean_distance").alias("mean_distance"))
 
 
+def q_stream_idle_ticks(spark, sf_dir):
+    """The replay with decay 0.5 and batches in intervals 0, 1 and 4: two intervals without
+    rows age the weights before the third batch."""
+    emb = _embeddings(spark, sf_dir)
+    c5 = _c5(emb)
+    initial = online.streaming_kmeans_init(CENTRES_K, c5.dim, weight=0.0, decay=ONLINE_DECAY_BATCHES, centers=c5.values)
+    root = shared_dir(spark, "stream-idle")
+    seconds = iter(BATCH_TICKS)
+    model = StreamingKMeans(initial, f"{root}/out", interval=10, clock=lambda: 10.0 * next(seconds))
+    _replay(spark, emb, "vec_id", root, lambda stream: model.writer(stream))
+    centres = spark.read.parquet(f"{root}/out/centers").filter(F.col("phase") == "after")
+    return centres.select(F.col("batch_id").cast("int").alias("batch_id"), "cluster", "dim",
+                          _r6("value").alias("value"), _r6("weight").alias("weight"))
+
+
+def _replay(spark, df: DataFrame, key: str, root: str, writer) -> None:
+    """``df`` as STREAM_BATCHES micro-batches of one checkpointed query."""
+    max_id = df.agg(F.max(key)).first()[0]
+    for b in range(STREAM_BATCHES):
+        stage_slice(df.filter(stream_slice_of(key, max_id) == b), f"{root}/incoming")
+        run_available(writer(stream_table(spark, f"{root}/incoming", df.schema)), f"{root}/checkpoint")
+
+
+def q_stream_write_assignments(spark, sf_dir):
+    """Each micro-batch's rows as tagged text lines, read back by the commits."""
+    emb = _embeddings(spark, sf_dir)
+    centers, root = _c5(emb), shared_dir(spark, "stream-assignments")
+    _replay(spark, emb, "vec_id", root, lambda stream: stream_write_assignments(stream, centers, f"{root}/out"))
+    out = read_stream_assignments(spark, f"{root}/out")
+    return out.select(F.col("batch_id").cast("int").alias("batch_id"), "cluster", *[_r6(F.col("features")[i]).alias(f"f{i}") for i in range(3)])
+
+
+def _line_slices(spark, sf_dir) -> list[DataFrame]:
+    """The record lines by line number modulo STREAM_BATCHES."""
+    lines = records.record_lines(spark, sf_dir)
+    at = parsing.fields_of("value")[3].cast("int") % STREAM_BATCHES
+    return [lines.filter(at == b) for b in range(STREAM_BATCHES)]
+
+
+def q_stream_new_files(spark, sf_dir):
+    """Text files of record lines in a watched folder, the first slice of them there before
+    the query starts and skipped: parsed per batch, label counts and sums of the first
+    field by batch."""
+    root = shared_dir(spark, "stream-files")
+    for b, lines in enumerate(_line_slices(spark, sf_dir)):
+        stage_slice(lines, f"{root}/incoming", "text")
+        stream = stream_lines(spark, f"{root}/incoming")
+        skip_existing(stream, f"{root}/checkpoint")
+        if b:
+            parsed = parsing.parse_numeric(stream).withColumn("at", F.col("features")[0])
+            run_available(parsed.writeStream.foreachBatch(
+                lambda batch, batch_id: write_batch(batch.groupBy("label").agg(F.count("*").alias("cnt"), F.round(F.sum("at"), 2).alias("total")),
+                                                    f"{root}/out", batch_id)), f"{root}/checkpoint")
+    counts = spark.read.parquet(f"{root}/out")
+    return counts.select(F.dense_rank().over(Window.orderBy("batch_id")).alias("batch"), "label", "cnt", "total")
+
+
+def q_stream_saved_model(spark, sf_dir):
+    """Lines on a stream tagged with the newest saved model; before the second batch the
+    model is saved anew with its centres in reverse order."""
+    lines = records.record_lines(spark, sf_dir)
+    detector = anomaly_detector(spark, sf_dir, lines)
+    root = shared_dir(spark, "stream-model")
+    for b, part in enumerate(_line_slices(spark, sf_dir)):
+        if b < 2:
+            centers = Centers(detector.centers.values[::-1] if b else detector.centers.values)
+            save_bundle(spark, ModelBundle(centers, detector.dictionary, detector.stats), f"{root}/model")
+        stage_slice(part, f"{root}/incoming", "text")
+        run_available(stream_predict_latest(stream_lines(spark, f"{root}/incoming"), f"{root}/model", f"{root}/out"), f"{root}/checkpoint")
+    tagged = spark.read.parquet(f"{root}/out/tagged")
+    first = tagged.filter("batch_id = 0").select("model").distinct().first()[0]
+    return (tagged.groupBy(F.col("batch_id").cast("int").alias("batch_id"), (F.col("model") == first).alias("first_model"), "cluster", "label")
+            .agg(F.count("*").alias("cnt")))
+
+
 def q_stream_predict(spark, sf_dir):
     """Stateless prediction on a stream of the embeddings file (C5 model)."""
     emb = _embeddings(spark, sf_dir)
@@ -487,9 +669,14 @@ def q_stream_word_count(spark, sf_dir):
 QUERIES: dict[str, QueryFn] = {
     "label_histogram": q_label_histogram,
     "parse_numeric": q_parse_numeric,
+    "parse_vectors": q_parse_vectors,
     "category_dictionary": q_category_dictionary,
     "one_hot_features": q_one_hot_features,
+    "one_hot_sparse": q_one_hot_sparse,
+    "sparse_assign": q_sparse_assign,
     "column_stats": q_column_stats,
+    "column_moments": q_column_moments,
+    "merged_stats": q_merged_stats,
     "zscore": q_zscore,
     "standard_scale": q_standard_scale,
     "assign_clusters": q_assign_clusters,
@@ -497,6 +684,7 @@ QUERIES: dict[str, QueryFn] = {
     "clustering_score": q_clustering_score,
     "cluster_label_counts": q_cluster_label_counts,
     "weighted_entropy": q_weighted_entropy,
+    "cluster_count": q_cluster_count,
     "lloyd_3": q_lloyd_3,
     "sweep_k": q_sweep_k,
     "sweep_k_entropy": q_sweep_k_entropy,
@@ -508,21 +696,30 @@ QUERIES: dict[str, QueryFn] = {
     "kth_largest": q_kth_largest,
     "precision_by_threshold": q_precision_by_threshold,
     "random_projection": q_random_projection,
+    "random_projection_seeded": q_random_projection_seeded,
     "detect_anomalies": q_detect_anomalies,
     "detect_lines": q_detect_lines,
+    "top_anomalies": q_top_anomalies,
     "anomalies_kmeans": q_anomalies_kmeans,
     "online_update": q_online_update,
     "online_update_points": q_online_update_points,
     "online_score": q_online_score,
+    "online_crosstab": q_online_crosstab,
+    "online_random_start": q_online_random_start,
     "stream_kmeans": q_stream_kmeans,
     "stream_centers": q_stream_centers,
     "stream_cluster_label_counts": q_stream_cluster_label_counts,
     "stream_mean_distance": q_stream_mean_distance,
+    "stream_idle_ticks": q_stream_idle_ticks,
     "stream_predict": q_stream_predict,
+    "stream_write_assignments": q_stream_write_assignments,
+    "stream_new_files": q_stream_new_files,
+    "stream_saved_model": q_stream_saved_model,
     "stream_word_count": q_stream_word_count,
     "kmeans_fit": q_kmeans_fit,
     "build_model": q_build_model,
     "apply_saved_model": q_apply_saved_model,
     "profile_clusters": q_profile_clusters,
     "sample_assignments": q_sample_assignments,
+    "sample_fitted": q_sample_fitted,
 }

@@ -11,16 +11,20 @@ import re
 
 from vigil.plans.catalog import (
     ANOMALY_RANK,
+    BATCH_TICKS,
     CENTRES_K,
     LLOYD_ITERATIONS,
     ONE_HOT_KS,
     ONLINE_DECAY_BATCHES,
     ONLINE_DECAY_POINTS,
     ONLINE_WEIGHT,
+    RANDOM_CENTRES,
     RAW_KS,
+    SEED,
     STREAM_BATCHES,
     SWEEP_ITERATIONS,
     SWEEP_KS,
+    TOP_ANOMALIES,
     Z_KS,
 )
 
@@ -106,6 +110,10 @@ ONE_HOT_FEATURES = _with(R, _DICTS, _ONE_HOT, """fu AS (
   SELECT label, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS x FROM fe)""") + """
 SELECT label, CAST(dim AS INTEGER) AS dim, round(sum(x), 2) AS total FROM fu GROUP BY label, dim"""
 
+ONE_HOT_SPARSE = _with(R, _DICTS, _ONE_HOT, """fu AS (
+  SELECT label, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS x FROM fe)""") + """
+SELECT label, CAST(dim AS INTEGER) AS dim, x, count(*) AS cnt FROM fu WHERE x <> 0 GROUP BY label, dim, x"""
+
 _R_NUM = """num AS (
   SELECT label, 0 AS dim, q AS x FROM r UNION ALL SELECT label, 1, e FROM r
   UNION ALL SELECT label, 2, d FROM r UNION ALL SELECT label, 3, t FROM r)"""
@@ -115,6 +123,11 @@ SELECT CAST(dim AS INTEGER) AS dim, count(x) AS n, round(avg(x), 4) AS mean,
        round(stddev_pop(x), 4) AS sd_pop
 FROM num GROUP BY dim"""
 
+PARSE_VECTORS = _with(R) + "SELECT q AS f0, e AS f1, d AS f2, t AS f3 FROM r"
+COLUMN_MOMENTS = _with(R, _R_NUM) + """
+SELECT CAST(dim AS INTEGER) AS dim, count(x) AS n, round(sum(x), 2) AS total, round(sum(x * x), -4) AS squares
+FROM num GROUP BY dim"""
+
 
 def _scaled(sd: str) -> str:
     cols = []
@@ -209,6 +222,23 @@ SELECT vec_id, round(sum(x * a / nrm), 6) AS x, round(sum(x * b / nrm), 6) AS y,
        round(sum(x * c / nrm), 6) AS z
 FROM u JOIN m USING (dim) GROUP BY vec_id"""
 
+
+
+def _normal(row: str, column: str) -> str:
+    """The seeded normal number of a cell."""
+    digest = f"md5('{SEED}|' || CAST({row} AS BIGINT) || '|' || CAST({column} AS BIGINT))"
+    u = f"((CAST('0x' || substr({digest}, 1, 8) AS BIGINT) + 0.5) / 4294967296.0)"
+    return f"sqrt(-2 * ln(CAST({u} AS DOUBLE))) * cos(2 * pi() * CAST('0x' || substr({digest}, 9, 8) AS BIGINT) / 4294967296.0)"
+
+
+RANDOM_PROJECTION_SEEDED = _with(E, f"""g AS (
+  SELECT dim, {_normal('dim', '0')} AS a, {_normal('dim', '1')} AS b, {_normal('dim', '2')} AS c FROM (SELECT DISTINCT dim FROM u))""",
+  "m AS (SELECT *, sqrt(a * a + b * b + c * c) AS nrm FROM g)") + """
+SELECT vec_id, round(sum(x * a / nrm), 6) AS x, round(sum(x * b / nrm), 6) AS y,
+       round(sum(x * c / nrm), 6) AS z
+FROM u JOIN m USING (dim) GROUP BY vec_id"""
+CLUSTER_COUNT = _A5 + "SELECT count(DISTINCT cluster) AS n_clusters FROM a"
+
 # --- anomalies -------------------------------------------------------------------
 
 _GROUP_MEANS = [
@@ -242,6 +272,21 @@ DETECT_ANOMALIES = _with(
 SELECT r.value, round(b.distance, 6) AS distance
 FROM best b JOIN r USING (rid), thr WHERE b.distance > thr.t"""
 
+TOP_ANOMALIES_SQL = DETECT_ANOMALIES + f" ORDER BY b.distance DESC LIMIT {TOP_ANOMALIES}"
+
+_NUMBERED = """numbered AS (SELECT g1, g2, CAST(row_number() OVER (ORDER BY g1, g2) - 1 AS INTEGER) AS cluster,
+  CAST(row_number() OVER (ORDER BY g1 DESC, g2 DESC) - 1 AS INTEGER) AS reversed FROM (SELECT DISTINCT g1, g2 FROM cen))"""
+STREAM_SAVED_MODEL = _with(
+    *_GROUP_MEANS, _NUMBERED,
+    f"""nearest AS (SELECT rid, arg_min(CASE WHEN CAST(c3 AS INTEGER) % {STREAM_BATCHES} = 0 THEN cluster ELSE reversed END, dd) AS cluster
+  FROM dist JOIN numbered USING (g1, g2) JOIN (SELECT rid, c3 FROM r) USING (rid) GROUP BY rid)""",
+) + f"""
+SELECT CAST(c3 AS INTEGER) % {STREAM_BATCHES} AS batch_id, CAST(c3 AS INTEGER) % {STREAM_BATCHES} = 0 AS first_model, cluster, label, count(*) AS cnt
+FROM nearest JOIN r USING (rid) GROUP BY ALL"""
+STREAM_NEW_FILES = _with(R) + f"""
+SELECT CAST(c3 AS INTEGER) % {STREAM_BATCHES} AS batch, label, count(*) AS cnt, round(sum(q), 2) AS total
+FROM r WHERE CAST(c3 AS INTEGER) % {STREAM_BATCHES} > 0 GROUP BY ALL"""
+
 APPLY_SAVED_MODEL = _with(
     *_GROUP_MEANS,
     """numbered AS (SELECT g1, g2, CAST(row_number() OVER (ORDER BY g1, g2) - 1 AS INTEGER) AS cluster
@@ -315,6 +360,9 @@ PROFILE_CLUSTERS = _with(R) + "SELECT label, count(*) AS cnt, count(*) AS cluste
 SAMPLE_ASSIGNMENTS = _A5 + """
 SELECT a.cluster, round(e.f[1], 6) AS f0, round(e.f[2], 6) AS f1, round(e.f[3], 6) AS f2
 FROM a JOIN e USING (vec_id) WHERE substr(md5('1|' || vec_id), 1, 8) <= '0ccccccc'"""
+SAMPLE_FITTED = _with(E) + """
+SELECT true AS nearest, round(f[1], 6) AS f0, round(f[2], 6) AS f1, round(f[3], 6) AS f2
+FROM e WHERE substr(md5('1|' || vec_id), 1, 8) <= '0ccccccc'"""
 
 
 # --- online k-means ----------------------------------------------------------------
@@ -353,10 +401,35 @@ ONLINE_SCORE = _with(
     _assign("a2", "nc"),
 ) + "SELECT round(avg(distance), 6) AS score FROM a2"
 
+ONLINE_CROSSTAB = _with(
+    E, *_online_ctes(str(ONLINE_DECAY_BATCHES)),
+    """nc AS (SELECT cluster, list(v ORDER BY dim) AS f FROM upd GROUP BY cluster)""",
+    _assign("a2", "nc"),
+) + "SELECT cluster, label, count(*) AS cnt FROM a2 GROUP BY cluster, label"
+
+# weights start at 0: a centre with rows becomes their mean; then the smallest weight, if it
+# is below 1e-8 of the largest, and the largest share the largest's rows and place
+ONLINE_RANDOM_START = _with(
+    E,
+    f"""start AS (SELECT CAST(c AS INTEGER) AS cluster, list({_normal('c', 'dim')} ORDER BY dim) AS f
+  FROM range({RANDOM_CENTRES}) t(c), (SELECT DISTINCT dim FROM u) GROUP BY c)""",
+    _assign("a", "start"),
+    "n AS (SELECT s.cluster, count(a.vec_id) AS m FROM start s LEFT JOIN a USING (cluster) GROUP BY s.cluster)",
+    """means AS (SELECT a.cluster, u.dim, avg(u.x) AS x FROM a JOIN u USING (vec_id) GROUP BY a.cluster, u.dim)""",
+    """cells AS (SELECT cluster, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS c FROM start)""",
+    """upd AS (SELECT cluster, dim, CAST(m AS DOUBLE) AS w, coalesce(x, c) AS v FROM cells JOIN n USING (cluster) LEFT JOIN means USING (cluster, dim))""",
+    """ends AS (SELECT arg_max(cluster, (m, -cluster)) AS big, arg_min(cluster, (m, cluster)) AS small, max(m) AS hi, min(m) AS lo FROM n)""",
+    "largest AS (SELECT dim, v, 1e-14 * greatest(abs(v), 1.0) AS p FROM upd, ends WHERE cluster = big)",
+) + """
+SELECT cluster, CAST(dim AS INTEGER) AS dim,
+       round(CASE WHEN lo >= 1e-8 * hi OR cluster NOT IN (big, small) THEN upd.v WHEN cluster = big THEN l.v + l.p ELSE l.v - l.p END, 6) AS value,
+       round(CASE WHEN lo >= 1e-8 * hi OR cluster NOT IN (big, small) THEN w ELSE (hi + lo) / 2 END, 6) AS weight
+FROM upd JOIN largest l USING (dim), ends"""
+
 
 # --- streaming -----------------------------------------------------------------------
 
-def _stream_ctes() -> list[str]:
+def _stream_ctes(decay: float = 1.0, ticks=tuple(range(STREAM_BATCHES))) -> list[str]:
     ctes = [
         _centres_c5(),
         f"""eb AS (SELECT e.*, CAST(floor(vec_id * {STREAM_BATCHES}
@@ -376,7 +449,7 @@ def _stream_ctes() -> list[str]:
               THEN (1 - s.m / greatest(cu.w + s.m, 1e-16)) * cu.c
                    + (s.m / greatest(cu.w + s.m, 1e-16)) / s.m * s.s
               ELSE cu.c END AS v
-  FROM (SELECT cluster, w, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS c FROM st{b}) cu
+  FROM (SELECT cluster, w * {decay ** (ticks[b] - ticks[b - 1] if b else 1)} AS w, generate_subscripts(f, 1) - 1 AS dim, unnest(f) AS c FROM st{b}) cu
   LEFT JOIN sb{b} s USING (cluster, dim))""",
             f"""st{b + 1} AS (SELECT cluster, list(v ORDER BY dim) AS f, any_value(w) AS w
   FROM ub{b} GROUP BY cluster)""",
@@ -410,6 +483,15 @@ STREAM_CLUSTER_LABEL_COUNTS = _with(E, *_stream_ctes()) + _union(
 STREAM_MEAN_DISTANCE = _with(E, *_stream_ctes()) + _union(
     "SELECT {b} AS batch_id, round(avg(distance), 6) AS mean_distance FROM pb{b}")
 
+STREAM_IDLE_TICKS = _with(E, *_stream_ctes(ONLINE_DECAY_BATCHES, BATCH_TICKS)) + _union(
+    "SELECT {b} AS batch_id, CAST(cluster AS INTEGER) AS cluster, CAST(dim AS INTEGER) AS dim, "
+    "round(v, 6) AS value, round(w, 6) AS weight FROM ub{b}")
+
+STREAM_WRITE_ASSIGNMENTS = _A5 + f"""
+SELECT CAST(floor(vec_id * {STREAM_BATCHES} / ((SELECT max(vec_id) FROM e) + 1)) AS INTEGER) AS batch_id, a.cluster,
+       round(e.f[1], 6) AS f0, round(e.f[2], 6) AS f1, round(e.f[3], 6) AS f2
+FROM a JOIN e USING (vec_id)"""
+
 STREAM_PREDICT = ASSIGN_CLUSTERS
 
 STREAM_WORD_COUNT = f"""
@@ -429,6 +511,8 @@ ORACLE_SQL: dict[str, str] = {
     "parse_numeric": PARSE_NUMERIC,
     "category_dictionary": CATEGORY_DICTIONARY,
     "one_hot_features": ONE_HOT_FEATURES,
+    "one_hot_sparse": ONE_HOT_SPARSE,
+    "sparse_assign": APPLY_SAVED_MODEL,
     "column_stats": COLUMN_STATS,
     "zscore": ZSCORE,
     "standard_scale": STANDARD_SCALE,
@@ -464,6 +548,19 @@ ORACLE_SQL: dict[str, str] = {
     "stream_cluster_label_counts": STREAM_CLUSTER_LABEL_COUNTS,
     "stream_mean_distance": STREAM_MEAN_DISTANCE,
     "stream_predict": STREAM_PREDICT,
+    "parse_vectors": PARSE_VECTORS,
+    "column_moments": COLUMN_MOMENTS,
+    "merged_stats": COLUMN_STATS,
+    "random_projection_seeded": RANDOM_PROJECTION_SEEDED,
+    "cluster_count": CLUSTER_COUNT,
+    "top_anomalies": TOP_ANOMALIES_SQL,
+    "online_crosstab": ONLINE_CROSSTAB,
+    "online_random_start": ONLINE_RANDOM_START,
+    "sample_fitted": SAMPLE_FITTED,
+    "stream_idle_ticks": STREAM_IDLE_TICKS,
+    "stream_write_assignments": STREAM_WRITE_ASSIGNMENTS,
+    "stream_new_files": STREAM_NEW_FILES,
+    "stream_saved_model": STREAM_SAVED_MODEL,
     "stream_word_count": STREAM_WORD_COUNT,
 }
 ORACLE_SQL = {name: _positive_zero(sql) for name, sql in ORACLE_SQL.items()}

@@ -80,12 +80,37 @@ def save_bundle(spark: SparkSession, bundle: ModelBundle, path: str) -> None:
      .write.mode("append").parquet(f"{path}/manifest"))
 
 
-def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
-    """The newest bundle saved to ``path``."""
-    path = path.rstrip("/")
-    newest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").orderBy(F.desc("saved_at")).first()
+def _saves(spark: SparkSession, path: str):
+    return spark.read.schema(MANIFEST).parquet(f"{path.rstrip('/')}/manifest")
+
+
+def newest_save(spark: SparkSession, path: str) -> str:
+    """The folder name of the newest save of ``path``."""
+    newest = _saves(spark, path).orderBy(F.desc("saved_at")).first()
     if newest is None:
         raise ValueError(f"no model has been saved to {path}")
+    return newest["folder"]
+
+
+def refresh_stats(spark: SparkSession, path: str, vectors, features: str = "features") -> ModelBundle:
+    """Merge the statistics of new rows (encoded, not scaled) into those of the newest
+    save and save the bundle anew: the scaling then is that of all rows, and none of the
+    earlier ones is read. The centres stay as they were fitted."""
+    bundle = load_bundle(spark, path)
+    if bundle.stats is None:
+        raise ValueError("the saved model has no statistics")
+    bundle.stats = bundle.stats.merge(Stats.fit(vectors, features))
+    save_bundle(spark, bundle, path)
+    return bundle
+
+
+def load_bundle(spark: SparkSession, path: str, save: str | None = None) -> ModelBundle:
+    """The newest bundle saved to ``path``, or the one of a given save."""
+    path = path.rstrip("/")
+    save = save or newest_save(spark, path)
+    newest = _saves(spark, path).filter(F.col("folder") == save).first()
+    if newest is None:
+        raise ValueError(f"{path} holds no save {save}")
     folder, parts, layout = f"{path}/{newest['folder']}", set(newest["parts"]), json.loads(newest["layout"])
     rows = sorted(spark.read.parquet(f"{folder}/centers").collect())
     return ModelBundle(

@@ -7,10 +7,18 @@ distance). All outputs and the model state are written per batch to
 the highest stored batch below N, so a replayed batch (after a driver or
 executor failure) gives the same result. The model lives in the shared
 folder, not only in driver memory.
+
+Structured Streaming runs no batch for an interval without rows. With
+``interval`` (seconds) the state keeps the number of the interval it was last
+updated in, and a batch first ages the weights by the intervals that lie
+between, as if each had been a batch without rows. A batch's interval is written
+down before it is used, so a replay takes the same one.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -18,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from vigil.operators.clustering import assign_clusters
-from vigil.operators.online import OnlineState, online_update, state_table
+from vigil.operators.online import OnlineState, idle_ticks, online_update, state_table
 from vigil.session import spread
-from vigil.streaming.sources import echo, write_batch
+from vigil.streaming.sources import echo, noted, write_batch
 
 
 @dataclass
@@ -30,6 +38,8 @@ class StreamingKMeans:
     features: str = "features"
     label: str | None = "label"
     echo_rows: int | None = None  # print this many result rows a batch (console)
+    interval: float | None = None  # seconds; age the weights by intervals without rows
+    clock: Callable[[], float] = time.time
     _memo: tuple[int, OnlineState] | None = field(default=None, repr=False)
 
     @property
@@ -52,12 +62,21 @@ class StreamingKMeans:
         table = stored.filter(F.col("batch_id") == prev)
         return OnlineState.from_table(table, self.initial.decay, self.initial.time_unit)
 
+    def ticks_before(self, batch: DataFrame, batch_id: int) -> int:
+        """Intervals that passed without a batch before this one."""
+        spark, folder = batch.sparkSession, f"{self.out}/ticks"
+        now = noted(spark, folder, batch_id, lambda: int(self.clock() // self.interval))
+        last = spark.read.parquet(folder).filter(F.col("batch_id") < batch_id).agg(F.max(F.col("value").cast("long"))).first()[0]
+        return 0 if last is None else max(0, int(now) - last - 1)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cols = [self.features] + ([self.label] if self.label else [])
         data = spread(batch.select(*cols)).persist()
         try:
             before = self.state_before(batch, batch_id)
+            if self.interval:
+                before = idle_ticks(before, self.ticks_before(batch, batch_id))
             after = online_update(data, before, self.features)
             write_batch(after.to_table(spark), self.state_dir, batch_id)
             centres = (state_table(spark, before).withColumn("phase", F.lit("before"))

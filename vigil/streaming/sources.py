@@ -7,8 +7,12 @@ micro-batch replayed after a failure rewrites the same folder (idempotent
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from vigil.defaults import ECHO_ROWS, KMEANS_BATCH_INTERVAL
 
@@ -18,7 +22,8 @@ def stream_lines(spark: SparkSession, path: str | None = None, fmt: str = "text"
     """A streaming DataFrame of text lines (``value STRING``).
 
     ``fmt="text"`` watches a folder for new files (files already present are
-    read too, unless the query resumes from a checkpoint that has seen them);
+    read too, unless the query resumes from a checkpoint that has seen them;
+    ``skip_existing`` has it see them without reading);
     ``fmt="socket"`` passes ``host``/``port`` through to Spark's socket source.
     """
     reader = spark.readStream.format(fmt)
@@ -50,6 +55,34 @@ def write_batch(df: DataFrame, out: str, batch_id: int, fmt: str = "parquet") ->
     df.write.mode("overwrite").format(fmt).save(f"{out.rstrip('/')}/batch_id={int(batch_id)}")
 
 
+def noted(spark: SparkSession, folder: str, batch_id: int, choose: Callable[[], object]) -> str:
+    """What was chosen for this batch, as text: chosen and written down on the first
+    attempt, read back on a replay."""
+    try:
+        row = spark.read.parquet(folder).filter(F.col("batch_id") == batch_id).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
+    if row is not None:
+        return row["value"]
+    value = str(choose())
+    write_batch(spark.createDataFrame([(value,)], "value STRING").coalesce(1), folder, batch_id)
+    return value
+
+
+def skip_existing(stream: DataFrame, checkpoint: str) -> None:
+    """Have the query of ``checkpoint`` start with new files only: a first run records
+    the files that are there as seen, without reading them. Does nothing if the query
+    has run before, so that files that came since its last stop are not lost."""
+    try:
+        stream.sparkSession.read.text(f"{checkpoint.rstrip('/')}/offsets")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        run_available(stream.writeStream.foreachBatch(lambda batch, batch_id: None), checkpoint)
+
+
 def run_available(writer, checkpoint: str) -> None:
     """Run a stream writer once over everything available, then stop."""
     query = (writer.option("checkpointLocation", checkpoint)
