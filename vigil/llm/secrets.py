@@ -1,11 +1,14 @@
 """Secret scans: candidate tokens, and a random forest that removes false positives.
 
-Candidates are maximal runs of token characters that hold a digit or are sixteen
-capitals and digits. The forest looks at length, character transitions, mix and
-entropy, how much of the letters the corpus's own dictionary covers, path marks,
-and the words and signs next to the candidate. It is trained on labelled findings;
-where none are given, findings whose format or place settles the matter are the
-labels. DataFrame functions and the ML library only; values leave as hashes.
+Candidates are private keys with their bodies; whatever is assigned to a keyword, whole,
+up to a quote, a separator or white space; and maximal runs of twelve or more token
+characters that hold a digit or are sixteen capitals and digits. The forest looks at
+length, character transitions, mix and entropy, how much of the letters the corpus's own
+dictionary covers, path marks, and the words and signs next to the candidate. It is
+trained on labelled findings. Where none are given, findings whose format or place
+settles the matter are the labels; the forest then mostly repeats that rule and decides
+the findings it leaves open. DataFrame functions and the ML library only; values leave as
+hashes.
 """
 
 from __future__ import annotations
@@ -22,15 +25,23 @@ from vigil.llm.spans import matches, whole
 TOKEN = "[A-Za-z0-9_+/-]"
 CANDIDATE = rf"(?<!{TOKEN})(?=[A-Za-z_+/-]*+[0-9]|[A-Z0-9]{{16}}){TOKEN}{{12,}}+={{0,2}}"
 PRIVATE_KEY = "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+#: The key with what follows up to its end mark, if it has one.
+KEY_BODY = f"{PRIVATE_KEY}(?:[^-]*+-----END [A-Z ]{{0,20}}PRIVATE KEY-----)?"
 #: Published key formats.
 FORMATS = {"aws": "^(AKIA|ASIA)[0-9A-Z]{16}$", "github": "^gh[pousr]_[A-Za-z0-9]{36,}$", "slack": "^xox[abprs]-[A-Za-z0-9-]{10,}$",
            "stripe": "^(sk|rk)_live_[A-Za-z0-9]{16,}$", "google": "^AIza[A-Za-z0-9_-]{35}$", "private_key": "^-----BEGIN"}
 #: Words beside a secret, and beside a stand-in for one.
-KEYWORDS = "(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)[\"']?\\s*[:=]?=?>?\\s*[\"']?$"
+_WORDS = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key"
+KEYWORDS = f"(?i)({_WORDS})[\"']?\\s*[:=]?=?>?\\s*[\"']?$"
+#: A value behind a keyword and a sign, of any characters but quotes, separators and white space.
+ASSIGNED = (rf"(?<=[\"'=:>\x20\t])(?<=(?i:{_WORDS})[\"']?[\x20\t]{{0,4}}(?:=>|:=|[=:])[\x20\t]{{0,4}}[\"']?)"
+            r"[^\s\"'`,;<>(){}\[\]=:][^\s\"'`,;<>(){}\[\]]{3,}+")
 STAND_IN = "(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test[_-]?key|fake)"
 NEAR = 32
-#: Bounds: labelled findings of each class the forest is fitted on (by a hash), and dictionary words.
-SAMPLE_ROWS, DICTIONARY = 10_000, 20_000
+#: Labelled findings of each class the forest is fitted on at most (by a hash).
+SAMPLE_ROWS = 10_000
+#: A word of the corpus's dictionary is in at least so many documents.
+DICTIONARY_DOCS = 20
 FEATURES = ("length", "transitions", "digits", "capitals", "hex", "distinct", "entropy", "dictionary", "slashes", "path",
             "keyword", "assigned", "quoted", "stand_in", "format")
 
@@ -38,7 +49,7 @@ FEATURES = ("length", "transitions", "digits", "capitals", "hex", "distinct", "e
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end, value, before, after): one row a candidate."""
     df = docs.select("doc_id", whole(F.col("text")).alias("t"))
-    df = df.select("doc_id", "t", matches(F.col("t"), f"{PRIVATE_KEY}|{CANDIDATE}").alias("m")).filter(F.size("m") > 0)
+    df = df.select("doc_id", "t", matches(F.col("t"), f"{KEY_BODY}|{ASSIGNED}|{CANDIDATE}").alias("m")).filter(F.size("m") > 0)
 
     def around(s):
         left = F.greatest(s["start"] - NEAR, F.lit(0))
@@ -50,10 +61,10 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """(word): the corpus's most frequent words of three letters and more."""
+    """(word): the words of three letters and more that DICTIONARY_DOCS documents hold."""
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit("(?<![a-z0-9])[a-z]{3,}+(?![a-z0-9])"), F.lit(0))
-    return (docs.select(F.explode(words).alias("word")).groupBy("word").count()
-            .orderBy(F.desc("count"), "word").limit(DICTIONARY).select("word"))
+    return (docs.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").count()
+            .filter(F.col("count") >= DICTIONARY_DOCS).select("word"))
 
 
 def _share(value: Column, chars: str) -> Column:
@@ -86,7 +97,7 @@ def featurise(found: DataFrame, words: DataFrame) -> DataFrame:
     # letters of the candidate that are whole dictionary words
     pieces = (f.select(F.col("value").alias("v")).distinct()
               .select("v", F.explode(F.regexp_extract_all(F.lower("v"), F.lit("[a-z]{3,}+"), F.lit(0))).alias("word")))
-    covered = pieces.join(F.broadcast(words), "word").groupBy("v").agg(F.sum(F.length("word")).alias("covered"))
+    covered = pieces.join(words, "word").groupBy("v").agg(F.sum(F.length("word")).alias("covered"))
     return (f.join(covered, F.col("value") == F.col("v"), "left")
             .withColumn("dictionary", F.coalesce(F.col("covered"), F.lit(0)) / size).drop("v", "covered"))
 
