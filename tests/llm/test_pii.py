@@ -54,13 +54,14 @@ def test_terms_that_disclose_an_entity(spark, frame):
     rows = [(i, f"{fill[i % 5]} number {i} common Zorkmid writes to zork@example.com about common {fill[(i + 2) % 5]} things") for i in range(5)]
     rows += [(10 + i, f"common {fill[i % 5]} writes about things to number {i}") for i in range(400)]
     rows += [(1000, "zorkmid elsewhere")]
-    got = {r.doc_id: r.term for r in find_personal_data(frame(rows)).collect()}
+    got = {r.doc_id: r.term for r in find_personal_data(frame(rows), everywhere=False).collect()}
     for i in range(5):
         (s,) = got[i]
         assert rows[i][1][s.start:s.end] == "Zorkmid"
     assert not any(got[d] for d, _ in rows[5:])
-    clean = {r.doc_id: r.text for r in sanitise(frame(rows)).collect()}
+    clean = {r.doc_id: r.text for r in sanitise(frame(rows), everywhere=False).collect()}
     assert "[NAME] writes to [EMAIL] about" in clean[0] and clean[1000] == "zorkmid elsewhere"
+    assert {r.doc_id: r.text for r in sanitise(frame(rows)).collect()}[1000] == " elsewhere"
 
 
 def test_copies_are_one_context_and_empty_table(spark, frame):
@@ -81,7 +82,19 @@ def test_terms_count_and_are_marked_at_any_distance(spark, frame):
         return {r.doc_id: [text[r.doc_id][s.start:s.end] for s in r.term] for r in find_personal_data(frame(rows), **options).collect() if r.term}
 
     held = {i: ["Zorkmid", "zorkmid"] for i in range(5)}
-    assert marked() == held
-    assert marked(everywhere=True) == held | {1000: ["Zorkmid"]}
-    clean = {r.doc_id: r.text for r in sanitise(frame(rows), everywhere=True).collect()}
+    assert marked(everywhere=False) == held
+    assert marked() == held | {1000: ["Zorkmid"]}
+    clean = {r.doc_id: r.text for r in sanitise(frame(rows)).collect()}
     assert clean[1000] == "[NAME] elsewhere" and clean[0].startswith("[NAME] common") and "orkmid" not in clean[0]
+
+
+def test_a_planted_term_is_found_in_a_large_corpus(spark, frame):
+    """One name in 20 of 6,000 documents, beside one address in all of them."""
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in ("lor", "mip", "sed", "quo", "ven", "tar") for b in ("ema", "ilo", "unt", "asi", "ore", "ibu")]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(30))) for i in range(6000)]
+    for i in range(0, 6000, 300):
+        rows[i] = (i, f"{rows[i][1]} Quillfeather at quill@example.org {rows[i + 1][1]}")
+    rows.append((9000, "nobody but Quillfeather knows"))
+    got = {r.doc_id: [rows[min(r.doc_id, 6000)][1][s.start:s.end] for s in r.term] for r in find_personal_data(frame(rows)).collect() if r.term}
+    assert got == {i: ["Quillfeather"] for i in [*range(0, 6000, 300), 9000]}

@@ -6,8 +6,8 @@ documents that hold the term, n(e) with the entity, n(t, e) with both, at whatev
 distance, and N in all, P(e | t) = n(t, e) / n(t) and the pointwise mutual information
 is log2(n(t, e) * N / (n(t) * n(e))). A term over both thresholds in enough different
 contexts (copies of one passage are one context) is generalised or removed at every
-mention in the documents that hold the entity or, with ``everywhere``, in all
-documents. DataFrame functions only.
+mention in all documents or, without ``everywhere``, in the documents that hold the
+entity alone. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -167,13 +167,13 @@ def _mentions(t: Column, terms: Column) -> Column:
     return F.aggregate(F.split(F.regexp_replace(t, TERM, f"{MARK}$0{MARK}"), MARK), zero, step, lambda acc: acc["out"])
 
 
-def find_personal_data(docs: DataFrame, *, everywhere: bool = False, **thresholds) -> DataFrame:
+def find_personal_data(docs: DataFrame, *, everywhere: bool = True, **thresholds) -> DataFrame:
     """(doc_id, text_hash, email, ip, card, phone, term) for each row of ``docs``: arrays
     of struct(start, end) in code points, end exclusive, by start.
 
     The pattern kinds are as the registered query's contract has them; ``term`` holds
     every mention of a disclosing term outside the pattern spans, in the documents that
-    hold its entity or, with ``everywhere``, in all. Null texts are empty. Repeated rows
+    hold its entity or, with ``everywhere`` (the default), in all. Null texts are empty. Repeated rows
     count as one document and get the same spans; rows that share an id are told apart
     by the text's hash; a null id is an id like others.
     """
@@ -210,7 +210,7 @@ def span_list(kinds) -> Column:
     return F.array_join(F.concat(*map(of, kinds)), ",")
 
 
-def sanitise(docs: DataFrame, *, everywhere: bool = False, **thresholds) -> DataFrame:
+def sanitise(docs: DataFrame, *, everywhere: bool = True, **thresholds) -> DataFrame:
     """``docs`` with every span of ``find_personal_data`` in ``text`` replaced: pattern
     kinds by their names in brackets, disclosing terms generalised to [NAME] if
     capitalised and removed otherwise. Of overlapping spans the first counts."""
