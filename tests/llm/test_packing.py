@@ -34,3 +34,19 @@ def test_batches_hold_every_row_within_the_budget(spark, frame):
         assert len(batch) == 1 or len(batch) * batch[0].bucket_tokens <= 1000
         assert all(r.padding == r.bucket_tokens - r.n_tokens >= 0 for r in batch)
     assert pack(token_lengths(frame([]))).count() == 0
+
+
+def test_rows_without_an_id_are_dealt_out(spark, monkeypatch):
+    from vigil.llm import packing
+
+    monkeypatch.setattr(packing, "PART", 500)
+    rows = spark.range(0, 6000, 1, 4).selectExpr("cast(null as long) AS doc_id", "7L AS n_tokens", "id AS place", "'x' AS part")
+    got = pack(rows, budget=70, buckets=3).collect()
+    parts = {}
+    for r in got:
+        parts.setdefault(r.batch_id >> 20, []).append(r)
+    assert len(got) == 6000 and len(parts) == 12 and max(map(len, parts.values())) < 1000
+    batches = {}
+    for r in got:
+        batches.setdefault(r.batch_id, []).append(r.slot)
+    assert all(sorted(b) == list(range(len(b))) and len(b) <= 10 for b in batches.values())

@@ -1,7 +1,8 @@
 """Packing of documents into token-budget batches by optimal length buckets.
 
 A dynamic programme over the global histogram of lengths picks the bucket
-boundaries that need the least padding. Inside a bucket, documents form batches
+boundaries that need the least padding (the least over lengths as ``rounded`` has
+them). Inside a bucket, documents form batches
 whose padded size stays within the token budget. Only the histogram reaches the
 driver; its size is bounded whatever the table's (see ``rounded``).
 """
@@ -65,11 +66,14 @@ def pack(lengths: DataFrame, *, budget: int = 65_536, buckets: int = 16) -> Data
     bucket_tokens is the padded length. A batch holds documents of one bucket, at
     most ``budget`` padded tokens; a longer document is a batch of its own, never
     cut. Documents are dealt to batches in the order of their ids inside parts of a
-    bucket chosen by a hash of the id; only the last batch of a part is not full.
-    Ties and repeated rows are placed once each; a null id is an id like others. An
-    empty table gives an empty result.
+    bucket of about PART rows, chosen by a hash of the row's place, so that rows without
+    an id or of one id are dealt out like others; only the last batch of a part is not
+    full. Ties and repeated rows are placed once each; a null id is an id like others.
+    An empty table gives an empty result.
     """
-    lengths = written(lengths.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens")), "lengths")
+    # places are numbered once, as the table is written
+    lengths = written(lengths.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"),
+                                     F.monotonically_increasing_id().alias("place")), "lengths")
     size = rounded(F.col("n_tokens"))
     rows = lengths.groupBy(size.alias("size")).agg(F.count("*").alias("docs")).orderBy("size").collect()
     if not rows:
@@ -83,8 +87,8 @@ def pack(lengths: DataFrame, *, budget: int = 65_536, buckets: int = 16) -> Data
     bucket = F.size(F.filter(bounds, lambda b: b < size))
     placed = (lengths.withColumn("bucket", bucket)
               .withColumn("bucket_tokens", F.get(bounds, F.col("bucket")))
-              .withColumn("part", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.get(parts, F.col("bucket")).cast("long"))))
-    order = Window.partitionBy("bucket", "part").orderBy("doc_id", "n_tokens")
+              .withColumn("part", F.pmod(F.xxhash64("place"), F.get(parts, F.col("bucket")).cast("long"))))
+    order = Window.partitionBy("bucket", "part").orderBy("doc_id", "n_tokens", "place")
     each = F.greatest(F.floor(F.lit(budget) / F.col("bucket_tokens")), F.lit(1).cast("long"))
     at = F.row_number().over(order) - 1
     return (placed.withColumn("at", at).withColumn("each", each)
