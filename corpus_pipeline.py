@@ -19,8 +19,11 @@ from vigil.llm.toxicity import score_toxicity, train
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below one half."""
+    """Documents whose toxicity score is below one half; all where the labels do not hold
+    both classes."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not model.informed:
+        return docs
     left = score_toxicity(sealed(docs, "text"), model).filter("score < 0.5").drop("score")
     return opened(left, docs.columns, "text")
 
