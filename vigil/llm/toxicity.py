@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import MEMO_WORDS, chunks, fold_of, opened, sealed, written
+from vigil.llm.common import chunks, fold_of, opened, sealed, written
 
 #: About this many labelled rows of each class, and this many bytes of their texts, are
 #: fitted on at most, taken by a hash of the id.
@@ -26,6 +26,8 @@ SAMPLE_ROWS, SAMPLE_BYTES = 10_000, 64 << 20
 MIN_DOCS = 5
 #: Code points of a word's beginning that is a term of its own.
 STEM = 5
+#: Words a worker remembers the terms of before it forgets all (memory bound).
+MEMO = 100_000
 FACTORS, EPOCHS, LEAST_STEPS, BATCH, RATE, PAIR_RATE, DECAY = 8, 20, 400, 256, 0.05, 0.015, 1e-2
 
 _PUNCTUATION = bytes(ord(" ") if not chr(b).isalnum() and b < 128 else b for b in range(256))
@@ -74,6 +76,11 @@ class Machine:
     def __init__(self, terms, bias, linear, factors):
         self.terms, self.bias, self.linear, self.factors = terms, bias, linear, factors
 
+    @property
+    def informed(self) -> bool:
+        """Whether labels of both classes have taught it anything but a constant."""
+        return bool(np.any(self.linear))
+
     @staticmethod
     def known(terms: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(terms, hashes), max(0, len(terms) - 1))
@@ -195,7 +202,7 @@ class _Rows(dict):
         self.of_hash = {int(h): i for i, h in enumerate(model.terms)}
 
     def __missing__(self, word: bytes) -> tuple:
-        if len(self) >= MEMO_WORDS:
+        if len(self) >= MEMO:
             self.clear()
         rows = self[word] = tuple(r for r in (self.of_hash.get(_hash(t), -1) for t in _forms(word)) if r >= 0)
         return rows
