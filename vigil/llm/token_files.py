@@ -19,7 +19,6 @@ import os
 import struct
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +33,39 @@ BLOCK = 8192
 #: About this many distinct words are encoded by one task.
 SHARD_WORDS = 150_000
 #: Words a worker remembers, and text bytes it handles at a time (memory bounds).
-MEMO, CHUNK = 200_000, 1 << 20
-MARKS = (b".", b",", b";", b":", b"!", b"?")
+MEMO, CHUNK = 400_000, 4 << 20
 TAIL = "<4sHHIQQ"
 
 
+def _places(bits: int):
+    """(id, word, shift) of 64 ids in ``bits`` words of 64 bits."""
+    return [(j, j * bits // 64, j * bits % 64) for j in range(64)]
+
+
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
-    each = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits]
-    return np.packbits(each.reshape(-1), bitorder="little").tobytes()
+    """64 ids at a time go into ``bits`` 64-bit words, by shifts over whole columns."""
+    rows = -(-len(ids) // 64)
+    padded = np.zeros(rows * 64, np.uint64)
+    padded[: len(ids)] = ids
+    columns, words = np.ascontiguousarray(padded.reshape(rows, 64).T), np.zeros((bits, rows), np.uint64)
+    for j, word, shift in _places(bits):
+        words[word] |= columns[j] << np.uint64(shift)
+        if shift + bits > 64:
+            words[word + 1] |= columns[j] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T).astype("<u8", copy=False).tobytes()[: -(-len(ids) * bits // 8)]
 
 
 def unpack_bits(data, n: int, bits: int) -> np.ndarray:
-    each = np.zeros((n, 32), np.uint8)
-    each[:, :bits] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
-    return np.packbits(each, axis=1, bitorder="little").reshape(-1).view("<u4")
+    rows = -(-n // 64)
+    raw = np.zeros(rows * bits * 8, np.uint8)
+    raw[: -(-n * bits // 8)] = np.frombuffer(data, np.uint8, -(-n * bits // 8))
+    words, out = np.ascontiguousarray(raw.view("<u8").reshape(rows, bits).T), np.empty((64, rows), np.uint32)
+    for j, word, shift in _places(bits):
+        value = words[word] >> np.uint64(shift)
+        if shift + bits > 64:
+            value |= words[word + 1] << np.uint64(64 - shift)
+        out[j] = value & np.uint64((1 << bits) - 1)
+    return out.T.reshape(-1)[:n].astype("<u4", copy=False)
 
 
 class TokenFile:
@@ -69,27 +87,46 @@ class TokenFile:
         self.doc_ids = np.frombuffer(self.data[end - 8 * self.n_docs: end], "<i8")
 
     def ids(self, a: int, b: int) -> np.ndarray:
-        out = []
-        for k in range(a // self.block, -(-b // self.block)):
-            n = min(self.block, self.n_ids - k * self.block)
-            block = unpack_bits(self.data[int(self.offsets[k]): int(self.offsets[k + 1])], n, self.bits)
-            out.append(block[max(0, a - k * self.block): b - k * self.block])
-        return np.concatenate(out) if out else np.empty(0, "<u4")
+        if a >= b:
+            return np.empty(0, "<u4")
+        lo, hi = a // self.block, -(-b // self.block)  # whole blocks follow each other without a gap
+        first, last = lo * self.block, min(hi * self.block, self.n_ids)
+        return unpack_bits(self.data[int(self.offsets[lo]): int(self.offsets[hi])], last - first, self.bits)[a - first: b - first]
 
     def doc(self, i: int) -> np.ndarray:
         return self.ids(int(self.starts[i]), int(self.starts[i + 1]))
 
 
+def pieces_of_all(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Parts of words that the tokenizer encodes apart, so that fewer are distinct: ASCII
+    letters and one mark after them, in lower case, which it would do itself. A word that
+    may hold a special token stays as it is. All parts end to end, and their number a word."""
+    special, low = pa.compute.match_substring(words, "<|"), pa.compute.ascii_lower(words)
+    marked = pa.compute.and_not(pa.compute.match_substring_regex(low, "^[a-z]+[.,;:!?]$"), special)
+    last = pa.compute.utf8_slice_codeunits(low.filter(marked), -1)
+    first = pa.compute.if_else(special, words, low)
+    first = pa.compute.if_else(marked, pa.compute.utf8_slice_codeunits(first, 0, -1), first)
+    two = np.asarray(marked).astype(np.int64)
+    order, starts = np.empty(len(words) + len(last), np.int64), np.cumsum(1 + two) - 1 - two
+    order[starts] = np.arange(len(words))
+    order[(starts + 1)[two > 0]] = len(words) + np.arange(len(last))
+    return pa.concat_arrays([first, last]).take(pa.array(order)), 1 + two
+
+
 def pieces_of(word: bytes) -> tuple[bytes, ...]:
-    """Parts of a word that the tokenizer encodes apart, so that fewer are distinct:
-    ASCII letters and one mark after them, in lower case, which it would do itself. A
-    word that may hold a special token stays as it is."""
-    if b"<|" in word:
-        return (word,)
-    word = word.lower()
-    if word[-1:] in MARKS and word[:-1].isalpha():
-        return word[:-1], word[-1:]
-    return (word,)
+    return tuple(p.encode() for p in pieces_of_all(pa.array([word.decode()], pa.string()))[0].to_pylist())
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of an array of texts, which of them stands at each place, and
+    the number of words of each text; null texts have none."""
+    lists = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
+    flat, size = lists.flatten(), np.asarray(lists.value_lengths(), np.int64)
+    word = pa.compute.not_equal(flat, "")  # white space at the ends leaves empty items
+    held = np.concatenate(([0], np.cumsum(np.asarray(word, dtype=np.int64))))
+    ends = np.cumsum(size)
+    coded = flat.filter(word).dictionary_encode()
+    return coded.dictionary, np.asarray(coded.indices), held[ends] - held[ends - size]
 
 
 def _hashes(words) -> np.ndarray:
@@ -97,24 +134,20 @@ def _hashes(words) -> np.ndarray:
 
 
 def _distinct_words(batches):
-    """The pieces of a task's texts, each once while it is remembered."""
-    seen = set()
+    """The pieces of a task's texts, each once a time that MEMO have come together."""
+    seen = pa.array([], pa.string())
 
     def out():
-        words = list(seen)
-        for start in range(0, len(words), 65_536):
-            part = words[start: start + 65_536]
-            yield pa.RecordBatch.from_arrays([pa.array(_hashes(part).view(np.int64)), pa.array(part, pa.binary())], names=["h", "word"])
+        for start in range(0, len(seen), 65_536):
+            part = seen.slice(start, 65_536).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(part.to_pylist()).view(np.int64)), part], names=["h", "word"])
 
     for batch in chunks(batches, size=CHUNK):
-        words = set()
-        for text in batch["text"].to_pylist():
-            if text:
-                words.update(text.encode().split())
-        seen.update(chain.from_iterable(map(pieces_of, words)))
+        words, _, _ = split_words(batch["text"])
+        seen = pa.compute.unique(pa.concat_arrays([seen, pa.compute.unique(pieces_of_all(words)[0])]))
         if len(seen) > MEMO:
             yield from out()
-            seen = set()
+            seen = seen.slice(0, 0)
     yield from out()
 
 
@@ -173,8 +206,9 @@ class WordIds:
         self.starts, self.flat = [np.zeros(1, np.int64)], [np.empty(0, np.uint32)]
 
     def learn(self, fresh: list[bytes]) -> None:
-        pieces = [pieces_of(w) for w in fresh]
-        hashes = _hashes(chain.from_iterable(pieces))
+        pieces, parts = pieces_of_all(pa.array(fresh, pa.binary()).cast(pa.string()))
+        coded = pieces.dictionary_encode()
+        hashes = _hashes(coded.dictionary.cast(pa.binary()).to_pylist())[np.asarray(coded.indices)]
         shards = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         first, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
         for shard in np.unique(shards):
@@ -192,21 +226,21 @@ class WordIds:
             flat[to], _ = _gather(self.shards[int(shard)][2], first[mine], size[mine])
         n = len(self.known)
         self.known.update(zip(fresh, range(n, n + len(fresh))))
-        ends = np.cumsum([len(p) for p in pieces]) - 1
+        ends = np.cumsum(parts) - 1
         self.starts.append(self.starts[-1][-1] + (place + size)[ends])
         self.flat.append(flat)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many belong to each text."""
-        words = [t.encode().split() if t else [] for t in texts]
+        words, indices, n_words = split_words(texts)
+        words = words.cast(pa.binary()).to_pylist()
         if len(self.known) > MEMO:
             self.forget()
-        fresh = set().union(*words).difference(self.known)
+        fresh = [w for w in words if w not in self.known]
         if fresh:
-            self.learn(list(fresh))
+            self.learn(fresh)
         self.starts, self.flat = [np.concatenate(self.starts)], [np.concatenate(self.flat)]
-        n_words = np.asarray([len(ws) for ws in words], np.int64)
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[indices]
         first = self.starts[0][at]
         flat, size = _gather(self.flat[0], first, self.starts[0][at + 1] - first)
         ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_words)))]
@@ -239,24 +273,26 @@ def _write(folder: str, words: dict, bits: int, end_id: int):
                 nonlocal at
                 data = pack_bits(ids, bits)
                 out.write(data)
+                for n in range(BLOCK, len(ids) + BLOCK, BLOCK):
+                    offsets.append(at + -(-min(n, len(ids)) * bits // 8))
                 at += len(data)
-                offsets.append(at)
 
             def pieces():
                 yield batch
                 yield from batches
 
             for piece in chunks(pieces(), size=CHUNK):
-                ids, n = encoder.encode(piece["text"].to_pylist())
+                ids, n = encoder.encode(piece["text"])
                 ids = np.insert(ids, np.cumsum(n), end_id)
                 doc_ids.append(np.asarray(pa.compute.fill_null(piece["doc_id"], 0), "<i8"))
                 valid.append(np.asarray(pa.compute.is_valid(piece["doc_id"]), np.uint8))
                 sizes.append(n + 1)
                 total += len(ids)
                 rest = np.concatenate((rest, ids))
-                while len(rest) >= BLOCK:
-                    put(rest[:BLOCK])
-                    rest = rest[BLOCK:]
+                whole = len(rest) // BLOCK * BLOCK
+                if whole:
+                    put(rest[:whole])
+                    rest = rest[whole:]
             if len(rest):
                 put(rest)
             size = np.concatenate(sizes)
