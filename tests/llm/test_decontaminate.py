@@ -66,14 +66,14 @@ def documents():
 def test_against_brute_force(spark, frame):
     rows = documents()
     items = spark.createDataFrame(ITEMS + [ITEMS[1]], ITEM)
-    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items).collect()}
+    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items, exact=False).collect()}
     assert got == brute(rows, ITEMS)
     assert (200, 1) in got and (302, 2) in got and (None, 2) in got and (103, 4) not in got
-    clean = decontaminate(frame(rows), items)
+    clean = decontaminate(frame(rows), items, exact=False)
     assert clean.columns == frame(rows).columns
     bad = {d for d, _ in got}
     assert sorted((r.doc_id for r in clean.collect())) == sorted(d for d, _ in rows if d not in bad)
-    marks = mark_contaminated(frame(rows), items).collect()
+    marks = mark_contaminated(frame(rows), items, exact=False).collect()
     assert len(marks) == len(rows) and {r.doc_id for r in marks if r.contaminated} == bad
 
 
@@ -104,7 +104,7 @@ def test_exact_passages_that_templates_cannot_decide(spark, frame):
             (4, "we read, Paris became the seat of government then"), (5, "NOW " + ITEMS[1][1].upper()),
             (6, "so anna bob carla dan eve frank gina hans ida"), (7, "Eve Dan Carla Bob Anna Ida Hans Gina Frank"), (8, None), (None, "too short")]
     items = spark.createDataFrame(items, ITEM)
-    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items, exact=True).collect()}
+    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items).collect()}
     assert got == {(1, 1), (3, 2), (4, 3), (5, 4), (6, 5), (None, 2)}
     assert {r.doc_id for r in decontaminate(frame(rows), items, exact=True).collect()} == {2, 7, 8}
 

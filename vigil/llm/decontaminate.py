@@ -8,8 +8,8 @@ template. A match counts if the slots agree: along one alignment each value of t
 item stands for one value of the document, and the other way round. Windows whose
 slots hold the item's own values count in any alignment.
 
-With ``exact``, windows of the lower-cased words themselves are matched too, whatever
-they hold: they find word-for-word copies whose templates decide nothing (mostly
+Unless ``exact`` is turned off, windows of the lower-cased words themselves are matched
+too, whatever they hold: they find word-for-word copies whose templates decide nothing (mostly
 numbers or names) or read otherwise (capitals, the place in a sentence).
 
 The first pass hashes all windows and only finds documents that hold a benchmark
@@ -65,17 +65,27 @@ def _template(tokens: Column) -> Column:
     return F.transform(tokens, one)
 
 
-def _window_hash(hashes: Column, i: Column, size: int) -> Column:
-    return F.xxhash64(F.lit(size), *[F.get(hashes, i + k) for k in range(size)])
+def _halves(sizes) -> list[int]:
+    """The window lengths needed to make those of ``sizes``, each of two of half its length."""
+    out = set()
+    for n in sizes:
+        while n > 1 and n not in out:
+            out.add(n)
+            n = -(-n // 2)
+    return sorted(out)
 
 
-def _starts(n: Column, size: int) -> Column:
-    none = F.array().cast("array<int>")
-    return F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(none)
-
-
-def _windows(hashes: Column, size: int) -> Column:
-    return F.transform(_starts(F.size(hashes), size), lambda i: _window_hash(hashes, i, size))
+def _with_windows(df: DataFrame, words: str, sizes) -> DataFrame:
+    """``df`` with an array column of window hashes, ``words_n``, for each n of ``sizes``
+    (and what they are made of); ``words`` is an array of hashes. Each is a projection of
+    its own, so that none is made twice."""
+    df = df.withColumn(f"{words}_1", F.col(words))
+    for n in _halves(sizes):
+        half = -(-n // 2)
+        of = F.col(f"{words}_{half}")
+        held = F.greatest(F.size(of) - (n - half), F.lit(0))
+        df = df.withColumn(f"{words}_{n}", F.zip_with(F.slice(of, 1, held), F.slice(of, 1 + n - half, held), lambda x, y: F.xxhash64(x, y)))
+    return df
 
 
 def _slots(df: DataFrame, size: int) -> DataFrame:
@@ -84,10 +94,8 @@ def _slots(df: DataFrame, size: int) -> DataFrame:
     t = df.withColumn("template", _template(F.col("tokens")))
     t = t.withColumn("hashes", F.transform("template", lambda x: F.xxhash64(x)))
     value = F.transform("tokens", lambda x, i: F.when(F.get("template", i).isin(NUMBER, UNIT, NAME), F.lower(x["core"])))
-    t = t.withColumn("value", value).withColumn("w", F.explode(F.transform(
-        _starts(F.size("hashes"), size),
-        lambda i: F.struct(i.alias("pos"), _window_hash(F.col("hashes"), i, size).alias("h"),
-                           F.slice("value", i + 1, F.lit(size)).alias("slots")))))
+    t = _with_windows(t.withColumn("value", value), "hashes", [size]).withColumn("w", F.explode(F.transform(
+        F.col(f"hashes_{size}"), lambda h, i: F.struct(i.alias("pos"), h.alias("h"), F.slice("value", i + 1, F.lit(size)).alias("slots")))))
     return t.select(*[c for c in df.columns if c != "tokens"], "w.pos", "w.h", "w.slots")
 
 
@@ -96,11 +104,14 @@ def _plain(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(F.lower(t["core"])))
 
 
-def _exact_windows(plain: Column, size: int) -> Column:
-    """Windows of the words as they are; those of fewer than LITERALS words are whole texts."""
-    none = F.array().cast("array<int>")
-    starts = _starts(F.size(plain), size) if size >= LITERALS else F.when(F.size(plain) == size, F.array(F.lit(0))).otherwise(none)
-    return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit("exact"), F.lit(size), *[F.get(plain, i + k) for k in range(size)]).alias("h")))
+def _whole(words: str, size: int) -> Column:
+    """The windows ``words_size``; those of fewer than LITERALS words are whole texts."""
+    windows = F.col(f"{words}_{size}")
+    return windows if size >= LITERALS else F.when(F.size(words) == size, windows).otherwise(F.array().cast("array<bigint>"))
+
+
+def _placed(windows: Column) -> Column:
+    return F.transform(windows, lambda h, i: F.struct(i.alias("pos"), h.alias("h")))
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -108,7 +119,7 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, literals: int = LITERALS, exact: bool = False) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, literals: int = LITERALS, exact: bool = True) -> DataFrame:
     """(doc_id, text_hash, item_id, windows, coverage) for each document and item that
     match: at least one window of ``window`` template words, ``literals`` of them no
     placeholders, in an alignment whose slots are consistent, or with the item's own
@@ -116,7 +127,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     alignment.
 
     Items of fewer words match as a whole if they have ``literals`` literal words;
-    shorter ones never match. With ``exact``, one window of equal lower-cased words is
+    shorter ones never match. With ``exact`` (the default), one window of equal lower-cased words is
     a match as well, with any number of placeholders; items shorter than a window match
     as a whole, those of fewer than LITERALS words only a text that is nothing else. Null
     texts have no words. Rows are told apart by id and text hash; repeated rows match
@@ -141,7 +152,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         keys.append(of_size[size].select("h"))
     if exact:
         parts = every.withColumn("plain", _plain(F.col("tokens")))
-        parts = [parts.filter(F.col("length") == n).select("item_id", F.explode(_exact_windows(F.col("plain"), n)).alias("w")) for n in own]
+        parts = [_with_windows(parts.filter(F.col("length") == n), "plain", [n])
+                 .select("item_id", F.explode(_placed(_whole("plain", n))).alias("w")) for n in own]
         passages = written(_union(parts).select("item_id", F.col("w.pos").alias("at"), "w.h"), "passages")
         keys.append(passages.select("h"))
     keys = small(written(_union(keys).distinct(), "keys"))
@@ -151,8 +163,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     plain = _plain(F.col("tokens")) if exact else F.lit(None).cast("array<long>")
     words = words.select("doc_id", "text_hash", plain.alias("plain"), _template(F.col("tokens")).alias("template"))
     words = words.select("doc_id", "text_hash", "plain", F.transform("template", lambda t: F.xxhash64(t)).alias("hashes"))
-    windows = F.concat(*[_windows(F.col("hashes"), n) for n in sizes],
-                       *[F.transform(_exact_windows(F.col("plain"), n), lambda w: w["h"]) for n in own])
+    words = _with_windows(_with_windows(words, "hashes", sizes), "plain", own)
+    windows = F.concat(*[F.col(f"hashes_{n}") for n in sizes], *[_whole("plain", n) for n in own])
     hit = words.select("doc_id", "text_hash", F.explode(windows).alias("h")).join(keys, "h", "left_semi").select("doc_id", "text_hash").distinct()
     hit = small(written(hit, "hits").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")))
     # pass 2: slots, in those documents
@@ -195,8 +207,8 @@ def _templates_found(some: DataFrame, b: DataFrame, size: int) -> DataFrame:
 
 
 def _passages_found(some: DataFrame, passages: DataFrame, lengths: list[int]) -> DataFrame:
-    windows = F.concat(*[_exact_windows(F.col("plain"), n) for n in lengths])
-    words = some.select("doc_id", "text_hash", _plain(F.col("tokens")).alias("plain"))
+    words = _with_windows(some.select("doc_id", "text_hash", _plain(F.col("tokens")).alias("plain")), "plain", lengths)
+    windows = F.concat(*[_placed(_whole("plain", n)) for n in lengths])
     match = words.select("doc_id", "text_hash", F.explode(windows).alias("w")).join(small(passages), F.col("w.h") == F.col("h"))
     lines = (match.groupBy("doc_id", "text_hash", "item_id", (F.col("w.pos") - F.col("at")).alias("shift"))
              .agg(F.countDistinct("at").alias("windows")))
