@@ -154,6 +154,25 @@ def _expand(a, b, first, kids):
     return child, np.repeat(b, n)
 
 
+def _root_pairs(a: _Block, b: _Block, t: float):
+    """(roots of a, roots of b) that may hold a link, and a few more: products in single
+    precision, against bounds lowered by more than its rounding. Roots that are a single
+    point, most of them where vectors have no structure, share one bound a row."""
+    slack = np.float32(np.finfo(np.float32).eps * (a.x.shape[1] + 16))
+    x, ra = a.centres[: a.roots].astype(np.float32), a.radii[: a.roots]
+    rb = b.radii[: b.roots]
+    lone = rb <= 2 * EPS
+    for columns, alike in ((np.flatnonzero(lone), True), (np.flatnonzero(~lone), False)):
+        y = np.ascontiguousarray(b.centres[columns].astype(np.float32).T)
+        for lo in range(0, a.roots, 512):
+            if not len(columns):
+                break
+            reach = (t + 3 * EPS + ra[lo: lo + 512])[:, None] + (0.0 if alike else rb[None, columns])
+            bound = np.where(reach < 2, 1 - reach * reach / 2, -2.0).astype(np.float32) - slack
+            i, j = np.nonzero(x[lo: lo + 512] @ y >= bound)
+            yield i + lo, columns[j]
+
+
 def block_links(a: _Block, b: _Block, same: bool, cosine: float):
     """Dual traversal: (links of each point of a, of b, component label of each point)."""
     t = np.sqrt(2 - 2 * cosine)
@@ -186,16 +205,12 @@ def block_links(a: _Block, b: _Block, same: bool, cosine: float):
         return pa_[rest], pb_[rest]
 
     todo = []
-    for lo in range(0, a.roots, 256):
-        hi = min(lo + 256, a.roots)
-        dots = a.centres[lo:hi] @ b.centres[: b.roots].T
-        d2 = np.maximum(2 - 2 * dots, 0)
-        limit = t + EPS + a.radii[lo:hi, None] + b.radii[None, : b.roots]
-        keep = d2 <= limit * limit
+    for i, j in _root_pairs(a, b, t):
         if same:
-            keep &= np.arange(lo, hi)[:, None] <= np.arange(b.roots)[None, :]
-        i, j = np.nonzero(keep)
-        todo.append(near(i + lo, j, dots[i, j]))
+            i, j = i[i <= j], j[i <= j]
+        for lo in range(0, len(i), 1 << 16):
+            k, m = i[lo: lo + (1 << 16)], j[lo: lo + (1 << 16)]
+            todo.append(near(k, m, np.einsum("ij,ij->i", a.centres[k], b.centres[m])))
     pa_, pb_ = (np.concatenate(x) for x in zip(*todo)) if todo else (np.empty(0, np.int64),) * 2
     while len(pa_):
         leaf_a, leaf_b = a.kids[pa_] == 0, b.kids[pb_] == 0
