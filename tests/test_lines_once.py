@@ -12,6 +12,7 @@ from vigil.sources import records
 
 ONCE = """
 anomalies_kmeans
+build_model
 """.split()
 
 
