@@ -58,3 +58,10 @@ def test_vectors_that_are_cached_are_not_cached_again(spark, monkeypatch):
     clustering.kmeans_fit(df, k=2, runs=2, max_iter=1)
     df.unpersist()
     assert set(seen) == {before}
+
+
+def test_stream_predict_reads_a_table_of_several_files(spark, scratch):
+    emb = spark.read.parquet(f"{SF0001}/embeddings.parquet")
+    emb.repartition(3).write.parquet(f"{scratch}/embeddings.parquet")
+    want = {tuple(r) for r in catalog.q_stream_predict(spark, SF0001).collect()}
+    assert len(want) == 500 and {tuple(r) for r in catalog.q_stream_predict(spark, scratch).collect()} == want
