@@ -13,6 +13,7 @@ from vigil.sources import records
 ONCE = """
 anomalies_kmeans
 build_model
+sweep_records_entropy
 """.split()
 
 
@@ -65,3 +66,12 @@ def test_stream_predict_reads_a_table_of_several_files(spark, scratch):
     emb.repartition(3).write.parquet(f"{scratch}/embeddings.parquet")
     want = {tuple(r) for r in catalog.q_stream_predict(spark, SF0001).collect()}
     assert len(want) == 500 and {tuple(r) for r in catalog.q_stream_predict(spark, scratch).collect()} == want
+
+
+def test_first_lines_are_those_of_a_sort_of_the_distinct(spark):
+    lines = spark.range(3000).select((F.col("id") % 700).cast("string").alias("value")).repartition(5)
+    want = lines.distinct().orderBy(F.md5(F.col("value").cast("binary"))).limit(40).collect()
+    assert sorted(catalog._first_lines(lines, 40).collect()) == sorted(want)
+    few = spark.createDataFrame([("a",), ("b",), ("a",)], "value STRING")
+    assert {r[0] for r in catalog._first_lines(few, 40).collect()} == {"a", "b"}
+    assert catalog._first_lines(few.limit(0), 40).count() == 0
