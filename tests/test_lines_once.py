@@ -14,6 +14,7 @@ ONCE = """
 anomalies_kmeans
 build_model
 sweep_records_entropy
+sweep_records_one_hot
 """.split()
 
 
