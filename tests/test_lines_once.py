@@ -15,6 +15,8 @@ anomalies_kmeans
 build_model
 sweep_records_entropy
 sweep_records_one_hot
+stream_new_files
+stream_saved_model
 """.split()
 
 
