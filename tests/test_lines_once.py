@@ -17,6 +17,7 @@ sweep_records_entropy
 sweep_records_one_hot
 stream_new_files
 stream_saved_model
+one_hot_sparse
 """.split()
 
 
