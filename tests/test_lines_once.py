@@ -18,6 +18,7 @@ sweep_records_one_hot
 stream_new_files
 stream_saved_model
 one_hot_sparse
+kmeans_many_runs
 """.split()
 
 
