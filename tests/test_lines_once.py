@@ -19,6 +19,7 @@ stream_new_files
 stream_saved_model
 one_hot_sparse
 kmeans_many_runs
+sparse_assign
 """.split()
 
 
