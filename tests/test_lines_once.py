@@ -20,6 +20,7 @@ stream_saved_model
 one_hot_sparse
 kmeans_many_runs
 sparse_assign
+top_anomalies
 """.split()
 
 
