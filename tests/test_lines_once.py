@@ -21,6 +21,7 @@ one_hot_sparse
 kmeans_many_runs
 sparse_assign
 top_anomalies
+apply_saved_model
 """.split()
 
 
