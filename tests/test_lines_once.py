@@ -22,6 +22,8 @@ kmeans_many_runs
 sparse_assign
 top_anomalies
 apply_saved_model
+detect_anomalies
+detect_lines
 """.split()
 
 
