@@ -24,6 +24,8 @@ top_anomalies
 apply_saved_model
 detect_anomalies
 detect_lines
+sweep_records_raw
+sweep_records_z
 """.split()
 
 
