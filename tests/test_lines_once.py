@@ -26,6 +26,7 @@ detect_anomalies
 detect_lines
 sweep_records_raw
 sweep_records_z
+profile_clusters
 """.split()
 
 

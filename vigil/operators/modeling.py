@@ -89,7 +89,7 @@ def profile_clusters(lines_or_vectors: DataFrame, k: int = DEFAULT_K, seed: int
     out: dict[str, DataFrame] = {}
     if not parsed:
         out["labels"] = label_histogram(lines_or_vectors)
-    fit = kmeans_fit(data, k=k, seed=seed)
+    fit = kmeans_fit(data, k=k, seed=seed, solver="block")  # dense rows
     out["centers"] = centers_table(spark, fit.centers)
     out["crosstab"] = cluster_label_counts(assign_clusters(data, fit.centers))
     return out
