@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from vigil.llm import covertree
 from vigil.llm.covertree import near_vectors
@@ -69,3 +70,25 @@ def test_no_cell_pair_within_reach_is_pruned():
         due = {(i, j) for i, j in zip(*np.nonzero(d <= t + 0.04)) if i < j and radius[i] >= 0 and radius[j] >= 0}
         lost += len(due - {(a, b) for a, b in covertree._kept_cells(pivots, radius, t)})
     assert lost == 0
+
+
+def test_vectors_without_structure_need_few_exact_products(monkeypatch):
+    """Pairs at cosine 0.6, too far apart to link, gave roots so wide that half of all
+    other points were multiplied with their points one by one."""
+    rng, t = np.random.default_rng(8), np.sqrt(0.2)
+    x = rng.normal(size=(800, 64))
+    x[400:480] = x[:80] + 0.9 * rng.normal(size=(80, 64))
+    x[480:500] = x[:20] + 0.1 * rng.normal(size=(20, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    table = pa.table({"vec_id": np.arange(800), "block": ["b"] * 800, "unit": [v.tobytes() for v in x]})
+    block, products, points = covertree._Block(covertree._plant(t)(None, table).to_pylist()[0]), [], covertree._points
+
+    def counted(a, b, i, j, *rest):
+        products.append(int(((a.end[i] - a.start[i]) * (b.end[j] - b.start[j])).sum()))
+        return points(a, b, i, j, *rest)
+
+    monkeypatch.setattr(covertree, "_points", counted)
+    links, _, _ = covertree.block_links(block, block, True, 0.9)
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert links.tolist() == want[block.ids].tolist() and want.sum() >= 40
+    assert sum(products) < 5 * 800

@@ -82,7 +82,7 @@ class Tree:
     """Nested nets over the rows of a block. Points are in tree order, so a node is a
     range; columns of ``nodes``: start, end, centre, first child, children."""
 
-    def __init__(self, x: np.ndarray):
+    def __init__(self, x: np.ndarray, top: float = TOP):
         order, nodes, radii = [], [], []
 
         def net(idx, r):
@@ -114,11 +114,11 @@ class Tree:
                 order.extend(idx.tolist())
             nodes[at], radii[at] = (start, len(order), centre, first, len(kids)), radius
 
-        roots = net(np.arange(len(x)), TOP)
+        roots = net(np.arange(len(x)), top)
         nodes.extend([None] * len(roots))
         radii.extend([0.0] * len(roots))
         for k, (c, members, rad) in enumerate(roots):
-            grow(k, c, members, rad, TOP)
+            grow(k, c, members, rad, top)
         self.order = np.asarray(order, np.int64)
         place = np.empty(len(x), np.int64)
         place[self.order] = np.arange(len(x))
@@ -127,14 +127,17 @@ class Tree:
         self.radii, self.roots, self.x = np.asarray(radii) + EPS, len(roots), x[self.order]
 
 
-def _plant(key, table):
-    """One row a block: its tree, points in tree order."""
-    tree = Tree(matrix(table["unit"].to_pylist()))
-    ids = np.asarray(table["vec_id"])[tree.order]
-    return pa.table({"block": [table["block"][0].as_py()], "ids": [ids.tobytes()], "points": [tree.x.tobytes()],
-                     "nodes": [tree.nodes.tobytes()], "radii": [tree.radii.tobytes()], "roots": [tree.roots]},
-                    schema=pa.schema([("block", pa.string()), ("ids", pa.binary()), ("points", pa.binary()), ("nodes", pa.binary()),
-                                      ("radii", pa.binary()), ("roots", pa.int64())]))
+def _plant(t: float):
+    """One row a block: its tree, points in tree order. Roots cover no more than the link
+    distance: wider ones reach half of all other roots where vectors have no structure."""
+    def run(key, table):
+        tree = Tree(matrix(table["unit"].to_pylist()), min(TOP, t))
+        ids = np.asarray(table["vec_id"])[tree.order]
+        return pa.table({"block": [table["block"][0].as_py()], "ids": [ids.tobytes()], "points": [tree.x.tobytes()],
+                         "nodes": [tree.nodes.tobytes()], "radii": [tree.radii.tobytes()], "roots": [tree.roots]},
+                        schema=pa.schema([("block", pa.string()), ("ids", pa.binary()), ("points", pa.binary()), ("nodes", pa.binary()),
+                                          ("radii", pa.binary()), ("roots", pa.int64())]))
+    return run
 
 
 class _Block:
@@ -169,7 +172,7 @@ def _root_pairs(a: _Block, b: _Block, t: float):
                 break
             reach = (t + 3 * EPS + ra[lo: lo + 512])[:, None] + (0.0 if alike else rb[None, columns])
             bound = np.where(reach < 2, 1 - reach * reach / 2, -2.0).astype(np.float32) - slack
-            i, j = np.nonzero(x[lo: lo + 512] @ y >= bound)
+            i, j = np.divmod(np.flatnonzero(x[lo: lo + 512] @ y >= bound), len(columns))
             yield i + lo, columns[j]
 
 
@@ -363,7 +366,7 @@ def near_vectors(vectors: DataFrame, *, cosine: float = 0.9) -> DataFrame:
     part = F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.col("parts"))
     trees = written(dealt.join(F.broadcast(sizes), ["dim", "cell"])
                     .withColumn("block", F.concat_ws("-", "dim", "cell", part))
-                    .groupBy("block").applyInArrow(_plant, "block string, ids binary, points binary, nodes binary, radii binary, roots long"), "trees")
+                    .groupBy("block").applyInArrow(_plant(t), "block string, ids binary, points binary, nodes binary, radii binary, roots long"), "trees")
     blocks = sizes.select("dim", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     blocks = blocks.select("dim", "cell", F.concat_ws("-", "dim", "cell", "part").alias("block"))
     pairs = spark.createDataFrame(kept, "dim long, a long, b long")
