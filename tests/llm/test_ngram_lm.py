@@ -3,11 +3,12 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from vigil.llm import ngram_lm
-from vigil.llm.common import mix
+from vigil.llm.common import bucket_starts, mix
 from vigil.llm.ngram_lm import discounts, packed, score, train, unmix, unpacked
 
 
@@ -92,3 +93,18 @@ def test_empty_training_and_round_trips(spark, frame):
     assert (np.sort(unmix(keys)) == np.arange(1000)).all()
     k, c = unpacked(packed(keys, np.arange(1000)))
     assert (k == keys).all() and (c == np.arange(1000)).all()
+
+
+def test_words_of_all_texts_are_looked_up_together(monkeypatch, tmp_path):
+    """One look-up of the vocabulary for all texts of a chunk, none a text or a word."""
+    keys = np.unique(ngram_lm.word_hashes(pa.array(["the end"]))[0])
+    (tmp_path / "vocabulary-000000").write_bytes(keys.tobytes() + bucket_starts(keys, 0).tobytes())
+    calls, look_up = [], ngram_lm.Vocabulary.look_up
+    monkeypatch.setattr(ngram_lm.Vocabulary, "look_up", lambda self, hashes: calls.append(len(hashes)) or look_up(self, hashes))
+    texts = ["The end", None, "", " the  odd\tEND "] * 50
+    pairs = unmix(ngram_lm._bigram_tokens(f"file:{tmp_path}", [(0, 2)], 0)()(pa.array(texts, pa.string())))
+    ids = dict(zip(keys.tolist(), range(2)))
+    the, end = (ids[int(h)] for h in ngram_lm.word_hashes(pa.array(["the end"]))[0])
+    odd = int(ngram_lm.UNKNOWN)
+    want = [(2, the), (the, end), (end, 3), (2, 3), (2, 3), (2, the), (the, odd), (odd, end), (end, 3)] * 50
+    assert calls == [250] and [(int(p >> np.uint64(32)), int(p & ngram_lm.UNKNOWN)) for p in pairs] == want

@@ -28,6 +28,9 @@ CHUNK_BYTES = 4 << 20
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 S27, S30, S31 = np.uint64(27), np.uint64(30), np.uint64(31)
+#: The first n bytes of a lane of eight; spans longer than LONG are hashed by themselves.
+LANE = np.asarray([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG = 512
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -68,6 +71,77 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             start = stop
 
 
+def word_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts end to end, where each word starts and ends in them, and
+    the number of words of each text; null texts have none."""
+    texts = pa.compute.fill_null(texts.cast(pa.string()), "")
+    _, offsets, data = texts.buffers()
+    if not len(texts):
+        return np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    offsets = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64)
+    data = np.frombuffer(data, np.uint8)[offsets[0]: offsets[-1]] if offsets[-1] > offsets[0] else np.empty(0, np.uint8)
+    offsets -= offsets[0]
+    word = (data - np.uint8(9) > 4) & (data != 32)
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    heads, tails = offsets[:-1][offsets[:-1] < len(data)], offsets[1:][offsets[1:] > 0] - 1
+    first[heads], last[tails] = word[heads], word[tails]
+    starts = np.flatnonzero(first)
+    return data, starts, np.flatnonzero(last) + 1, np.diff(np.searchsorted(starts, offsets))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:end], eight bytes of all spans at a time."""
+    size, padded = ends - starts, np.concatenate((data, np.zeros(8, np.uint8)))
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    hashes = mix(size.astype(np.uint64))
+    hashes = mix(hashes ^ (lanes[starts] & LANE[np.minimum(size, 8)]))
+    more, done = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(more):
+        hashes[more] = mix(hashes[more] ^ (lanes[starts[more] + done] & LANE[np.minimum(size[more] - done, 8)]))
+        done += 8
+        more = more[size[more] > done]
+    for i in np.flatnonzero(size > LONG):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i]: ends[i]].tobytes())
+    return hashes
+
+
+def bucket_starts(keys: np.ndarray, skip: int) -> np.ndarray:
+    """Where each bucket of sorted scrambled keys starts, one or two keys a bucket; the
+    first ``skip`` bits of the keys are alike."""
+    bits = max(1, len(keys).bit_length() - 1)
+    return np.searchsorted(keys << np.uint64(skip), np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype("<u4")
+
+
+def find(keys: np.ndarray, buckets: np.ndarray, skip: int, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted key among the sorted keys, -1 where it is not there."""
+    bits = len(buckets).bit_length() - 1
+    at = buckets[(wanted << np.uint64(skip)) >> np.uint64(64 - bits)].astype(np.int64)
+    last = len(keys) - 1
+    rest = np.flatnonzero(keys[np.minimum(at, last)] < wanted)
+    while len(rest):
+        at[rest] += 1
+        rest = rest[at[rest] <= last]
+        rest = rest[keys[at[rest]] < wanted[rest]]
+    at = np.minimum(at, last)
+    return np.where(keys[at] == wanted, at, -1)
+
+
+def by_number(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, its rows) of small numbers."""
+    if len(numbers):
+        order = np.argsort(numbers.astype(np.uint16 if numbers.max() < 1 << 16 else np.uint64), kind="stable")
+        cuts = np.flatnonzero(np.diff(numbers[order])) + 1
+        for rows in np.split(order, cuts) if len(cuts) else (order,):
+            yield int(numbers[rows[0]]), rows
+
+
+def by_shard(hashes: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, its rows): shards are numbered by the first bits."""
+    return by_number(hashes >> np.uint64(64 - bits) if bits else np.zeros(len(hashes), np.uint64))
+
+
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 

@@ -11,10 +11,12 @@ All parts of the model are arrays sorted by hash in files of the shared folder:
     words        by id: c(v .), g(v), and the number of contexts w is seen in
     bigrams      scrambled (id, id) -> count, in shards by the key's first bits
 
+Vocabulary and bigrams also hold where the buckets of their keys start.
+
 Tasks count their own texts into sorted arrays, cut by shard; one task a shard adds
 these up, so no group holds more than its shard and no hot word meets in one place.
-Workers map the files into memory and look words up by binary search; nothing of
-the model goes through the driver but totals.
+Workers map the files into memory and look the words of many texts up together, by
+bucket; nothing of the model goes through the driver but totals.
 """
 
 from __future__ import annotations
@@ -23,19 +25,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import GOLD, MIX1, MIX2, S27, S30, S31, WordHash, chunks, map_file, mix, put_file, words_of, written
+from vigil.llm.common import (GOLD, MIX1, MIX2, S27, S30, S31, bucket_starts, by_number, by_shard, chunks, find, map_file, mix, put_file,
+                              span_hashes, word_spans, written)
 from vigil.session import shared_dir
 
 #: About this many tokens' counts make a shard.
 SHARD_TOKENS = 4_000_000
 #: A task adds its counts up whenever it holds this many (memory bound).
 HELD = 1_500_000
-#: Text bytes handled at a time, and words remembered (memory bounds).
-CHUNK, MEMO = 1 << 20, 200_000
+#: Text bytes handled at a time (memory bound).
+CHUNK = 1 << 20
 UNKNOWN = np.uint64(0xFFFFFFFF)
 #: Words' statistics are kept in files of 2 ** PART ids.
 PART = np.uint64(18)
@@ -63,17 +65,21 @@ def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys and counts, as differences, compressed."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()  # high bytes are mostly zero
-    return zlib.compress(planes + counts.astype("<u4").tobytes(), 1)
+    """Sorted keys and counts: differences by byte planes, of which the high ones, mostly
+    zero, and the counts are compressed."""
+    steps, counts = np.diff(keys, prepend=np.uint64(0)), counts.astype("<u4")
+    low = max(0, len(steps) and (int(np.median(steps)).bit_length() + 3) // 8)  # these look random
+    planes = np.ascontiguousarray(steps.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T)
+    rest = planes[low:].tobytes() + np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(keys).to_bytes(8, "little") + bytes([low]) + planes[:low].tobytes() + zlib.compress(rest, 1)
 
 
 def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = zlib.decompress(data)
-    n = len(raw) // 12
+    n, low = int.from_bytes(data[:8], "little"), data[8]
+    raw = data[9: 9 + low * n] + zlib.decompress(data[9 + low * n:])
     steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n).reshape(8, n).T).reshape(-1).view("<u8")
-    return np.cumsum(steps, dtype=np.uint64), np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64)
+    counts = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 8 * n).reshape(4, n).T).reshape(-1).view("<u4")
+    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
 
 
 def _counted(tokens_of, shard_bits: int):
@@ -96,16 +102,15 @@ def _counted(tokens_of, shard_bits: int):
                     yield pa.RecordBatch.from_pydict({"shard": [shard], "data": [packed(sums[0][a:b], sums[1][a:b])]})
 
         for batch in chunks(batches, size=CHUNK):
-            for text in batch["text"].to_pylist():
-                t = tokens(text)
-                if len(t):
-                    held.append(t)
-                    n += len(t)
-                if n >= HELD:
-                    sums, held, n = settle(sums, held), [], 0
-                    if len(sums[0]) >= HELD:
-                        yield from out(sums)
-                        sums = (np.empty(0, np.uint64), np.empty(0, np.int64))
+            t = tokens(batch["text"])
+            if len(t):
+                held.append(t)
+                n += len(t)
+            if n >= HELD:
+                sums, held, n = settle(sums, held), [], 0
+                if len(sums[0]) >= HELD:
+                    yield from out(sums)
+                    sums = (np.empty(0, np.uint64), np.empty(0, np.int64))
         if held:
             sums = settle(sums, held)
         yield from out(sums)
@@ -124,11 +129,11 @@ def merged(parts) -> tuple[np.ndarray, np.ndarray]:
     return add_up(np.concatenate([keys, *(k for k, _ in held)]), np.concatenate([counts, *(c for _, c in held)]))
 
 
-def _vocabulary_shard(folder: str):
+def _vocabulary_shard(folder: str, bits: int):
     def run(key, table):
         keys, counts = merged(x.as_py() for x in table["data"])
         shard = key[0].as_py()
-        put_file(folder, f"vocabulary-{shard:06d}", lambda f: f.write(keys.tobytes()))
+        put_file(folder, f"vocabulary-{shard:06d}", lambda f: (f.write(keys.tobytes()), f.write(bucket_starts(keys, bits).tobytes())))
         return pa.table({"shard": pa.array([shard], pa.int64()), "n": pa.array([len(keys)], pa.int64()),
                          "tokens": pa.array([int(counts.sum())], pa.int64())})
     return run
@@ -141,7 +146,7 @@ class Vocabulary:
         self.bits, self.files, self.first, at = bits, {}, {}, 0
         for shard, n in sizes:  # in hash order
             data = map_file(folder, f"vocabulary-{shard:06d}")
-            self.files[shard] = np.frombuffer(data, "<u8", n)
+            self.files[shard] = np.frombuffer(data, "<u8", n), np.frombuffer(data, "<u4", -1, 8 * n)
             self.first[shard] = at
             at += n
         self.size = at
@@ -149,49 +154,48 @@ class Vocabulary:
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
         """Ids; UNKNOWN for words not in training."""
         ids = np.full(len(hashes), UNKNOWN, np.uint64)
-        shards = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
-        for shard in np.unique(shards):
-            if int(shard) in self.files:
-                keys = self.files[int(shard)]
-                mine = np.flatnonzero(shards == shard)
-                at = np.minimum(np.searchsorted(keys, hashes[mine]), len(keys) - 1)
-                hit = keys[at] == hashes[mine]
-                ids[mine[hit]] = (at[hit] + self.first[int(shard)]).astype(np.uint64)
+        for shard, mine in by_shard(hashes, self.bits):
+            if shard in self.files:
+                at = find(*self.files[shard], self.bits, hashes[mine])
+                ids[mine] = np.where(at >= 0, (at + self.first[shard]).astype(np.uint64), UNKNOWN)
         return ids
 
 
-class _Ids:
-    """word -> id, remembered up to a bounded number of words."""
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of all texts, and the number of words of each."""
+    data, starts, ends, n = word_spans(texts)
+    return span_hashes(np.frombuffer(data.tobytes().lower(), np.uint8), starts, ends), n
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known = vocabulary, {}
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > MEMO:
-            self.known = {}
-        fresh = list(set(words).difference(self.known))
-        if fresh:
-            self.known.update(zip(fresh, self.vocabulary.look_up(np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64)).tolist()))
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+def _hash_tokens():
+    return lambda texts: word_hashes(texts)[0]
 
 
-def _hash_tokens():
-    memo = WordHash()
-    return lambda text: memo.of(words_of(text))
+def lines_of(ids: np.ndarray, n: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' lines end to end, each begin, its words, end; and the places where lines
+    begin and end."""
+    ends = np.cumsum(n + 2) - 1
+    begins, lines = ends - n - 1, np.empty(len(ids) + 2 * len(n), np.uint64)
+    words = np.ones(len(lines), bool)
+    words[begins] = words[ends] = False
+    lines[words], lines[begins], lines[ends] = ids, begin, end
+    return lines, begins, ends
 
 
-def bigram_keys(ids: np.ndarray, begin: int, end: int) -> np.ndarray:
-    """Scrambled keys of the bigrams of a text: begin, its words, end."""
-    line = np.concatenate((np.array([begin], np.uint64), ids, np.array([end], np.uint64)))
+def bigram_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix((line[:-1] << np.uint64(32)) | line[1:])
+        return mix((left << np.uint64(32)) | right)
 
 
 def _bigram_tokens(folder, sizes, bits):
     def make():
         vocabulary = Vocabulary(folder, sizes, bits)
-        ids = _Ids(vocabulary)
-        return lambda text: bigram_keys(ids.of(words_of(text)), vocabulary.size, vocabulary.size + 1)
+
+        def tokens(texts):
+            hashes, n = word_hashes(texts)
+            lines, begins, ends = lines_of(vocabulary.look_up(hashes), n, vocabulary.size, vocabulary.size + 1)
+            return bigram_keys(np.delete(lines, ends), np.delete(lines, begins))
+        return tokens
     return make
 
 
@@ -200,13 +204,13 @@ def _times(counts: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
 
 
-def _bigram_shard(folder: str):
+def _bigram_shard(folder: str, bits: int):
     """Adds a shard up and writes it. Out: what it adds to the words' statistics, by
     ranges of ids (part), and its counts of counts (part -1)."""
     def run(key, table):
         keys, counts = merged(x.as_py() for x in table["data"])
         shard = key[0].as_py()
-        put_file(folder, f"bigrams-{shard:06d}", lambda f: (f.write(keys.tobytes()), f.write(counts.astype("<u4").tobytes())))
+        put_file(folder, f"bigrams-{shard:06d}", lambda f: [f.write(a.tobytes()) for a in (keys, counts.astype("<u4"), bucket_starts(keys, bits))])
         pair = unmix(keys)
         left, right = pair >> np.uint64(32), pair & UNKNOWN
         rows = [(-1, "info", np.asarray([shard, len(keys), *_times(counts)], "<i8").tobytes())]
@@ -255,12 +259,11 @@ class KneserNey:
     def __init__(self, meta: dict):
         self.meta = meta
         self.vocabulary = Vocabulary(meta["folder"], meta["words"], meta["word_bits"])
-        self.ids = _Ids(self.vocabulary)
         self.begin, self.end = self.vocabulary.size, self.vocabulary.size + 1
         self.bigrams, self.parts = {}, {}
         for shard, n in meta["bigrams"]:
             data = map_file(meta["folder"], f"bigrams-{shard:06d}")
-            self.bigrams[shard] = np.frombuffer(data, "<u8", n), np.frombuffer(data, "<u4", n, 8 * n)
+            self.bigrams[shard] = np.frombuffer(data, "<u8", n), np.frombuffer(data, "<u4", n, 8 * n), np.frombuffer(data, "<u4", -1, 12 * n)
         for part in meta["parts"]:
             data = map_file(meta["folder"], f"words-{part:06d}")
             n = 1 << int(PART)
@@ -269,40 +272,33 @@ class KneserNey:
     def of_words(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """c(v .), g(v) and the contexts seen, of each id."""
         total, back, seen = np.zeros(len(ids), np.int64), np.ones(len(ids)), np.zeros(len(ids), np.int64)
-        part = (ids >> PART).astype(np.int64)
-        for p in np.unique(part):
-            if int(p) in self.parts:
-                mine = np.flatnonzero(part == p)
-                at = (ids[mine] - np.uint64(int(p) << int(PART))).astype(np.int64)
-                for out, values in zip((total, back, seen), self.parts[int(p)]):
+        for p, mine in by_number(ids >> PART):
+            if p in self.parts:
+                at = (ids[mine] - np.uint64(p << int(PART))).astype(np.int64)
+                for out, values in zip((total, back, seen), self.parts[p]):
                     out[mine] = values[at]
         return total, back, seen
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """How often each bigram is in training."""
-        distinct, back = np.unique(keys, return_inverse=True)
-        found = np.zeros(len(distinct), np.int64)
-        bits = self.meta["bigram_bits"]
-        shards = (distinct >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(distinct), np.int64)
-        for shard in np.unique(shards):
-            if int(shard) in self.bigrams:
-                mine = np.flatnonzero(shards == shard)
-                known, values = self.bigrams[int(shard)]
-                at = np.minimum(np.searchsorted(known, distinct[mine]), len(known) - 1)
-                found[mine] = np.where(known[at] == distinct[mine], values[at], 0)
-        return found[back]
-
-    def score(self, texts: list[str | None]) -> dict[str, np.ndarray]:
+        found, bits = np.zeros(len(keys), np.int64), self.meta["bigram_bits"]
+        for shard, mine in by_shard(keys, bits):
+            if shard in self.bigrams:
+                known, values, buckets = self.bigrams[shard]
+                at = find(known, buckets, bits, keys[mine])
+                found[mine] = np.where(at >= 0, values[at], 0)
+        return found
+
+    def score(self, texts: pa.Array) -> dict[str, np.ndarray]:
         """n_tokens, n_known, base_score and score of each text."""
-        lines = [np.concatenate((np.array([self.begin], np.uint64), self.ids.of(words_of(t)), np.array([self.end], np.uint64))) for t in texts]
-        size = np.asarray([len(x) - 1 for x in lines], np.int64)
-        left = np.concatenate([x[:-1] for x in lines])
-        right = np.concatenate([x[1:] for x in lines])
-        total, back, _ = self.of_words(left)
-        c, _, seen = self.of_words(right)
+        hashes, size = word_hashes(texts)
+        lines, begins, ends = lines_of(self.vocabulary.look_up(hashes), size, self.begin, self.end)
+        size = size + 1
+        total, back, seen = self.of_words(lines)
+        left, right = np.delete(lines, ends), np.delete(lines, begins)
+        c, seen, total, back = np.delete(total, begins), np.delete(seen, begins), np.delete(total, ends), np.delete(back, ends)
         c = np.where(right == self.end, self.meta["docs"], c)
-        with np.errstate(over="ignore"):
-            n = self.counts(mix((left << np.uint64(32)) | right))
+        n = self.counts(bigram_keys(left, right))
         m = self.meta
         low = np.concatenate(([0.0], m["low_discounts"]))[np.minimum(seen, 3)]
         p = np.maximum(seen - low, 0) / max(m["seen"], 1) + m["low_weight"] / (self.vocabulary.size + 2)
@@ -328,13 +324,13 @@ def train(docs: DataFrame) -> dict:
 
     word_bits = bits_for((size or 0) // 6)
     words = written(texts.mapInArrow(_counted(_hash_tokens, word_bits), "shard long, data binary").groupBy("shard")
-                    .applyInArrow(_vocabulary_shard(folder), "shard long, n long, tokens long"), "ngrams").orderBy("shard").collect()
+                    .applyInArrow(_vocabulary_shard(folder, word_bits), "shard long, n long, tokens long"), "ngrams").orderBy("shard").collect()
     sizes, n_words = [(r["shard"], r["n"]) for r in words], sum(r["tokens"] for r in words)
     if sum(n for _, n in sizes) + 2 >= int(UNKNOWN):
         raise ValueError("more distinct words than 32-bit ids")
     bigram_bits = bits_for(n_words + n_docs)
     parts = written(texts.mapInArrow(_counted(_bigram_tokens(folder, sizes, word_bits), bigram_bits), "shard long, data binary")
-                    .groupBy("shard").applyInArrow(_bigram_shard(folder), "part long, what string, data binary"), "ngrams")
+                    .groupBy("shard").applyInArrow(_bigram_shard(folder, bigram_bits), "part long, what string, data binary"), "ngrams")
     info = [np.frombuffer(r["data"], "<i8") for r in parts.filter("part = -1").select("data").collect()]
     d = discounts(sum(i[2:6] for i in info) if info else [0] * 4)
     low = written(parts.filter("part >= 0").groupBy("part").applyInArrow(_word_part(folder, d), "part long, info binary"), "ngrams").collect()
@@ -354,7 +350,7 @@ def _scored(meta: dict):
             if not batch.num_rows:
                 continue
             model = model or KneserNey(meta)
-            got = model.score(batch["text_"].to_pylist())
+            got = model.score(batch["text_"])
             names = [c for c in batch.schema.names if c != "text_"]
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], *[pa.array(v) for v in got.values()]], names=[*names, *got])
     return run
