@@ -22,19 +22,22 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import chunks, map_file, put_file, written
+from vigil.llm.common import bucket_starts, by_shard, chunks, find, map_file, put_file, span_hashes, word_spans, written
 from vigil.session import shared_dir
 
 BLOCK = 8192
-#: About this many distinct words are encoded by one task.
-SHARD_WORDS = 150_000
-#: Words a worker remembers, and text bytes it handles at a time (memory bounds).
-MEMO, CHUNK = 400_000, 4 << 20
+#: The distinct words of about this many bytes of text are encoded by one task.
+SHARD_BYTES = 16 << 20
+#: Words whose hashes a worker remembers, bytes of new words it holds, and text bytes it
+#: handles at a time (memory bounds).
+MEMO, HELD, CHUNK = 2_000_000, 32 << 20, 1 << 20
 TAIL = "<4sHHIQQ"
+MARK_BYTES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MARKS = np.isin(np.arange(256), np.frombuffer(MARK_BYTES, np.uint8))
+LETTERS = np.isin(np.arange(256), np.arange(ord("a"), ord("z") + 1))
 
 
 def _places(bits: int):
@@ -97,78 +100,152 @@ class TokenFile:
         return self.ids(int(self.starts[i]), int(self.starts[i + 1]))
 
 
-def pieces_of_all(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Parts of words that the tokenizer encodes apart, so that fewer are distinct: ASCII
-    letters and one mark after them, in lower case, which it would do itself. A word that
-    may hold a special token stays as it is. All parts end to end, and their number a word."""
-    special, low = pa.compute.match_substring(words, "<|"), pa.compute.ascii_lower(words)
-    marked = pa.compute.and_not(pa.compute.match_substring_regex(low, "^[a-z]+[.,;:!?]$"), special)
-    last = pa.compute.utf8_slice_codeunits(low.filter(marked), -1)
-    first = pa.compute.if_else(special, words, low)
-    first = pa.compute.if_else(marked, pa.compute.utf8_slice_codeunits(first, 0, -1), first)
-    two = np.asarray(marked).astype(np.int64)
-    order, starts = np.empty(len(words) + len(last), np.int64), np.cumsum(1 + two) - 1 - two
-    order[starts] = np.arange(len(words))
-    order[(starts + 1)[two > 0]] = len(words) + np.arange(len(last))
-    return pa.concat_arrays([first, last]).take(pa.array(order)), 1 + two
+def piece_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of words that the tokenizer encodes apart, so that fewer are distinct: the
+    ASCII marks that end a word behind an ASCII letter, and what is before them, A-Z in
+    lower case, which it would do itself. A word that may hold a special token stays as
+    it is. The bytes, where each part starts and ends, and the parts of each text."""
+    data, starts, ends, n = word_spans(texts)
+    raw = data.tobytes()
+    low, special = np.frombuffer(raw.lower(), np.uint8), np.zeros(len(starts), bool)
+    if b"<|" in raw:
+        at = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+        word = np.searchsorted(starts, at, side="right") - 1
+        special[word[at + 1 < ends[word]]] = True  # not from one text to the next
+        low = low.copy()
+        for i in np.flatnonzero(special):
+            low[starts[i]: ends[i]] = data[starts[i]: ends[i]]
+    cut, rest = ends.copy(), np.flatnonzero(MARKS[low[ends - 1]] & ~special) if len(ends) else np.empty(0, np.int64)
+    for _ in range(32):  # back to the first of the marks
+        cut[rest] -= 1
+        rest = rest[cut[rest] > starts[rest]]
+        rest = rest[MARKS[low[cut[rest] - 1]]]
+    for i in rest:
+        cut[i] = starts[i] + len(raw[starts[i]: ends[i]].rstrip(MARK_BYTES))
+    two = np.flatnonzero((cut < ends) & (cut > starts))
+    two = two[LETTERS[low[cut[two] - 1]]]
+    parts = np.ones(len(starts), np.int64)
+    parts[two] = 2
+    at, extra = np.repeat(np.arange(len(starts)), parts), np.cumsum(parts)[two] - 1
+    from_, to = starts[at], ends[at]
+    to[extra - 1] = from_[extra] = cut[two]
+    held = np.concatenate(([0], np.cumsum(parts)))[np.concatenate(([0], np.cumsum(n)))]
+    return low, from_, to, np.diff(held)
 
 
 def pieces_of(word: bytes) -> tuple[bytes, ...]:
-    return tuple(p.encode() for p in pieces_of_all(pa.array([word.decode()], pa.string()))[0].to_pylist())
+    low, starts, ends, _ = piece_spans(pa.array([word.decode()], pa.string()))
+    return tuple(low[a:b].tobytes() for a, b in zip(starts, ends))
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The distinct words of an array of texts, which of them stands at each place, and
-    the number of words of each text; null texts have none."""
-    lists = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
-    flat, size = lists.flatten(), np.asarray(lists.value_lengths(), np.int64)
-    word = pa.compute.not_equal(flat, "")  # white space at the ends leaves empty items
-    held = np.concatenate(([0], np.cumsum(np.asarray(word, dtype=np.int64))))
-    ends = np.cumsum(size)
-    coded = flat.filter(word).dictionary_encode()
-    return coded.dictionary, np.asarray(coded.indices), held[ends] - held[ends - size]
+def first_of_each(hashes: np.ndarray) -> np.ndarray:
+    """A place of each distinct hash, in the order of the hashes."""
+    order = np.argsort(hashes, kind="stable")
+    h = hashes[order]
+    return order[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else order
 
 
-def _hashes(words) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64)
+def _packed_words(hashes: np.ndarray, size: np.ndarray, data: np.ndarray) -> bytes:
+    return len(hashes).to_bytes(8, "little") + hashes.astype("<u8").tobytes() + zlib.compress(size.astype("<u4").tobytes() + data.tobytes(), 1)
 
 
-def _distinct_words(batches):
-    """The pieces of a task's texts, each once a time that MEMO have come together."""
-    seen = pa.array([], pa.string())
+def _unpacked_words(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(packed[:8], "little")
+    rest = zlib.decompress(memoryview(packed)[8 + 8 * n:])
+    return np.frombuffer(packed, "<u8", n, 8), np.frombuffer(rest, "<u4", n).astype(np.int64), np.frombuffer(rest, np.uint8, -1, 4 * n)
 
-    def out():
-        for start in range(0, len(seen), 65_536):
-            part = seen.slice(start, 65_536).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(_hashes(part.to_pylist()).view(np.int64)), part], names=["h", "word"])
 
-    for batch in chunks(batches, size=CHUNK):
-        words, _, _ = split_words(batch["text"])
-        seen = pa.compute.unique(pa.concat_arrays([seen, pa.compute.unique(pieces_of_all(words)[0])]))
-        if len(seen) > MEMO:
+def _distinct_words(bits: int):
+    """The pieces of a task's texts, each about once, in packed rows by shard."""
+    def run(batches):
+        seen, held, n = np.empty(0, np.uint64), [], 0
+
+        def out():
+            hashes, size, data = (np.concatenate(x) for x in zip(*held))
+            starts = np.cumsum(size) - size
+            for shard, mine in by_shard(hashes, bits):
+                part, _ = _gather(data, starts[mine], size[mine])
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "data": [_packed_words(hashes[mine], size[mine], part)]})
+
+        for batch in chunks(batches, size=CHUNK):
+            data, starts, ends, _ = piece_spans(batch["text"])
+            hashes = span_hashes(data, starts, ends)
+            one = first_of_each(hashes)
+            if len(seen):
+                at = np.minimum(np.searchsorted(seen, hashes[one]), len(seen) - 1)
+                one = one[seen[at] != hashes[one]]
+            if not len(one):
+                continue
+            size = ends[one] - starts[one]
+            held.append((hashes[one], size, _gather(data, starts[one], size)[0]))
+            n += len(held[-1][2]) + 16 * len(one)
+            seen = np.concatenate((seen, hashes[one]))
+            seen.sort(kind="stable")
+            if n > HELD:
+                yield from out()
+                held, n = [], 0
+            if len(seen) > MEMO:
+                seen = seen[:0]
+        if held:
             yield from out()
-            seen = seen.slice(0, 0)
-    yield from out()
+    return run
 
 
-def _encoded_words(folder: str, vocabulary: str):
+def encoder(vocabulary: str):
+    """words -> ids of all, end to end, and their number a word. Words of a-z alone, which
+    the tokenizer leaves as they are, go to its model many at a time."""
+    from tokenizers import Tokenizer
+
+    whole, probe = Tokenizer.from_file(vocabulary), "abcdefghijklmnopqrstuvwxyz"
+    probe += probe[::-1]
+    plain = not whole.normalizer or whole.normalizer.normalize_str(probe) == probe
+    plain = plain and (not whole.pre_tokenizer or [w for w, _ in whole.pre_tokenizer.pre_tokenize_str(probe)] == [probe])
+    plain = plain and not any(t.content.strip(probe) == "" for t in whole.get_added_tokens_decoder().values())
+    model = Tokenizer(whole.model)
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        easy = np.asarray([plain and w.isascii() and w.isalpha() and w.islower() for w in words], bool)
+        size, where, ids, rest = np.zeros(len(words), np.int64), [], [], np.flatnonzero(~easy)
+        for i, e in zip(rest, whole.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            ids.append(np.asarray(e.ids, np.uint32))
+            size[i] = len(ids[-1])
+        where.append(np.repeat(rest, size[rest]))
+        groups = np.array_split(np.flatnonzero(easy), max(1, -(-int(easy.sum()) // 512)))
+        for group, e in zip(groups, model.encode_batch([[words[i] for i in g] for g in groups], is_pretokenized=True, add_special_tokens=False)):
+            of = group[np.asarray(e.word_ids, np.int64)] if len(e.ids) else group[:0]
+            ids.append(np.asarray(e.ids, np.uint32))
+            where.append(of)
+            size += np.bincount(of, minlength=len(words))
+        return np.concatenate([np.empty(0, np.uint32), *ids])[np.argsort(np.concatenate(where), kind="stable")], size
+    return encode
+
+
+def _encoded_words(folder: str, vocabulary: str, bits: int):
     """Encodes the words of one shard and writes them in the order of their hashes."""
     def run(key, table):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
-        from tokenizers import Tokenizer
-
         shard = key[0].as_py()
-        hashes = np.asarray(table["h"]).view(np.uint64)
-        order = np.argsort(hashes)
-        words = table["word"].take(pa.array(order)).to_pylist()
-        tokenizer, ids, size = Tokenizer.from_file(vocabulary), [], []
-        for start in range(0, len(words), 4096):
-            for e in tokenizer.encode_batch_fast([w.decode() for w in words[start: start + 4096]], add_special_tokens=False):
-                ids.append(np.asarray(e.ids, "<u4"))
-                size.append(len(ids[-1]))
-        starts = np.concatenate(([0], np.cumsum(size))).astype("<u8")
-        put_file(folder, f"words-{shard:06d}", lambda f: [f.write(a.tobytes()) for a in (hashes[order], starts, np.concatenate(ids))])
-        return pa.table({"shard": pa.array([shard], pa.int64()), "n": pa.array([len(words)], pa.int64())})
+        hashes, size, data = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint8)
+        parts, held, left = [], 0, table.num_rows
+        for row in table["data"]:  # distinct words, again whenever as many more have come
+            parts.append(_unpacked_words(row.as_py()))
+            held, left = held + len(parts[-1][0]), left - 1
+            if held >= max(MEMO, len(hashes)) or not left:
+                hashes, size, data = (np.concatenate(x) for x in zip((hashes, size, data), *parts))
+                one = first_of_each(hashes)
+                starts = np.cumsum(size) - size
+                hashes, (data, _), size = hashes[one], _gather(data, starts[one], size[one]), size[one]
+                parts, held = [], 0
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        text, encode, ids, counts = data.tobytes(), encoder(vocabulary), [], []
+        for start in range(0, len(size), 4096):
+            ends = offsets[start: start + 4097].tolist()
+            i, n = encode([text[a:b].decode() for a, b in zip(ends, ends[1:])])
+            ids.append(i.astype("<u4"))
+            counts.append(n)
+        starts = np.concatenate(([0], np.cumsum(np.concatenate(counts)))).astype("<u8")
+        put_file(folder, f"words-{shard:06d}", lambda f: [f.write(a.tobytes()) for a in (hashes, starts, bucket_starts(hashes, bits), *ids)])
+        return pa.table({"shard": pa.array([shard], pa.int64()), "n": pa.array([len(size)], pa.int64())})
     return run
 
 
@@ -180,78 +257,62 @@ def encode_words(docs: DataFrame, vocabulary: str) -> dict:
     BPE here, which drops it; the tests compare it with encoding whole texts.
     """
     folder = shared_dir(docs.sparkSession, "words")
-    words = written(docs.select(F.col("text").cast("string").alias("text"))
-                    .mapInArrow(_distinct_words, "h long, word binary").distinct(), "words")
-    bits = max(0, -(-words.count() // SHARD_WORDS) - 1).bit_length()
-    shard = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
-    made = written(words.withColumn("shard", shard).groupBy("shard")
-                   .applyInArrow(_encoded_words(folder, vocabulary), "shard long, n long"), "words")
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(0, -(-size // SHARD_BYTES) - 1).bit_length()
+    made = written(texts.mapInArrow(_distinct_words(bits), "shard long, data binary").groupBy("shard")
+                   .applyInArrow(_encoded_words(folder, vocabulary, bits), "shard long, n long"), "words")
     return {"folder": folder, "bits": bits, "shards": [(r["shard"], r["n"]) for r in made.collect()]}
 
 
 class WordIds:
-    """Turns texts into ids by the memory-mapped words of ``encode_words``; remembers a
-    bounded number of words."""
+    """Turns texts into ids by the memory-mapped words of ``encode_words``."""
 
     def __init__(self, words: dict):
         self.bits, self.shards = words["bits"], {}
         for shard, n in words["shards"]:
             data = map_file(words["folder"], f"words-{shard:06d}")
+            buckets = 1 << max(1, n.bit_length() - 1)
             self.shards[shard] = (np.frombuffer(data, "<u8", n), np.frombuffer(data, "<u8", n + 1, 8 * n),
-                                  np.frombuffer(data, "<u4", -1, 8 * (2 * n + 1)))
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.starts, self.flat = [np.zeros(1, np.int64)], [np.empty(0, np.uint32)]
-
-    def learn(self, fresh: list[bytes]) -> None:
-        pieces, parts = pieces_of_all(pa.array(fresh, pa.binary()).cast(pa.string()))
-        coded = pieces.dictionary_encode()
-        hashes = _hashes(coded.dictionary.cast(pa.binary()).to_pylist())[np.asarray(coded.indices)]
-        shards = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
-        first, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
-        for shard in np.unique(shards):
-            keys, starts, _ = self.shards[int(shard)]
-            mine = np.flatnonzero(shards == shard)
-            at = np.minimum(np.searchsorted(keys, hashes[mine]), len(keys) - 1)
-            if not (keys[at] == hashes[mine]).all():
-                raise KeyError("a word of these texts was not among those encoded")
-            first[mine] = starts[at]
-            size[mine] = starts[at + 1] - starts[at]
-        place, flat = np.cumsum(size) - size, np.empty(size.sum(), np.uint32)
-        for shard in np.unique(shards):
-            mine = np.flatnonzero(shards == shard)
-            to, _ = _gather(np.arange(len(flat)), place[mine], size[mine])
-            flat[to], _ = _gather(self.shards[int(shard)][2], first[mine], size[mine])
-        n = len(self.known)
-        self.known.update(zip(fresh, range(n, n + len(fresh))))
-        ends = np.cumsum(parts) - 1
-        self.starts.append(self.starts[-1][-1] + (place + size)[ends])
-        self.flat.append(flat)
+                                  np.frombuffer(data, "<u4", buckets, 8 * (2 * n + 1)),
+                                  np.frombuffer(data, "<u4", -1, 8 * (2 * n + 1) + 4 * buckets))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many belong to each text."""
-        words, indices, n_words = split_words(texts)
-        words = words.cast(pa.binary()).to_pylist()
-        if len(self.known) > MEMO:
-            self.forget()
-        fresh = [w for w in words if w not in self.known]
-        if fresh:
-            self.learn(fresh)
-        self.starts, self.flat = [np.concatenate(self.starts)], [np.concatenate(self.flat)]
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[indices]
-        first = self.starts[0][at]
-        flat, size = _gather(self.flat[0], first, self.starts[0][at + 1] - first)
-        ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_words)))]
-        return flat, np.diff(ends)
+        data, starts, ends, n_words = piece_spans(texts)
+        hashes = span_hashes(data, starts, ends)
+        first, size, found = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64), []
+        for shard, mine in by_shard(hashes, self.bits):
+            if shard not in self.shards:
+                raise KeyError("a word of these texts was not among those encoded")
+            keys, begin, buckets, _ = self.shards[shard]
+            at = find(keys, buckets, self.bits, hashes[mine])
+            if (at < 0).any():
+                raise KeyError("a word of these texts was not among those encoded")
+            first[mine] = begin[at]
+            size[mine] = begin[at + 1] - begin[at]
+            found.append((shard, mine))
+        place, flat = np.cumsum(size) - size, np.empty(size.sum(), np.uint32)
+        for shard, mine in found:  # the k-th id of all words that have one, then the rest
+            ids = self.shards[shard][3]
+            for k in range(8):
+                mine = mine[size[mine] > k]
+                flat[place[mine] + k] = ids[first[mine] + k]
+            if len(mine := mine[size[mine] > 8]):
+                flat[_span_places(place[mine] + 8, size[mine] - 8)] = ids[_span_places(first[mine] + 8, size[mine] - 8)]
+        held = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_words)))]
+        return flat, np.diff(held)
+
+
+def _span_places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1 and so on, ``size`` of them, of every piece, end to end."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
 
 
 def _gather(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """values[first: first + size] of every piece, end to end, and the sizes."""
-    ends = np.cumsum(size)
-    where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
-    return values[where], size
+    return values[_span_places(first, size)], size
 
 
 def _write(folder: str, words: dict, bits: int, end_id: int):
