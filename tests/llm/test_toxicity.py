@@ -83,3 +83,18 @@ def test_train_keeps_terms_that_tell_nothing_alone(spark, frame):
     assert {h("groupx"), h("wordy")} <= set(model.terms.tolist())
     truth = dict(labels)
     assert np.mean([(r.score >= 0.5) == bool(truth[r.doc_id]) for r in score_toxicity(table, model).collect()]) > 0.95
+
+
+def test_the_driver_gets_small_places_of_known_terms(spark, frame, monkeypatch):
+    from vigil.llm import toxicity
+
+    docs, labels = corpus(300)
+    got, fit = [], toxicity.fit_machine
+    monkeypatch.setattr(toxicity, "fit_machine", lambda *a: got.append(a) or fit(*a))
+    model = train(frame(docs), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    (places, sizes), truth, weights, terms = got[0]
+    assert places.dtype == np.int32 and len(places) == sizes.sum() and len(sizes) == len(truth)
+    hashes = np.split(terms[places], np.cumsum(sizes)[:-1])
+    assert all((x[1:] > x[:-1]).all() for x in hashes)
+    same = fit(hashes, truth, weights, terms)
+    assert same.bias == model.bias and (same.linear == model.linear).all() and (same.factors == model.factors).all()

@@ -228,20 +228,22 @@ def _classes(base: DataFrame, n: int, percent: int, m: int, k: int, by_id: bool)
     for _ in range(2):
         up = links.select(F.col("a").alias("b"), F.col("b").alias("up"))
         roots = roots.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b"))
-    rest = _apart(pairs.join(best, ["a", "b"], "left_anti"), written(roots.select(F.col("a").alias("node"), F.col("b").alias("component")), "roots"))
+    rest = _apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), written(roots.select(F.col("a").alias("node"), F.col("b").alias("component")), "roots"))
     more = written(_confirmed(rest, sets, percent), "links")
     labels = written(connected_components(links.union(more)), "labels")
     last = written(_leftover_links(members, labels, sets, percent), "links")
-    every = links.union(more).union(last)
     if by_id:  # the nodes that rows of one id are in
         several = usable.groupBy("doc_id").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y")).filter("x <> y")
         nodes = (usable.join(several, "doc_id", "left_semi").select("doc_id", *finger).join(groups.select(*finger, "node"), finger)
                  .select("doc_id", "node").distinct())
         least = nodes.groupBy("doc_id").agg(F.min("node").alias("b"))
-        every = every.union(nodes.join(least, "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b"))
-    labels = written(connected_components(every), "labels")
+        last = last.union(nodes.join(least, "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b"))
+    # each class is one node for the links that are left
+    joined = written(connected_components(_apart(last, labels).select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "labels")
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("joined"))
 
-    named = groups.select(*finger, "rep.doc_id", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = (groups.select(*finger, "rep.doc_id", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+             .join(joined, "component", "left").withColumn("component", F.coalesce("joined", "component")))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     classes = named.join(least, "component").select(*finger, "component_id")
     return (features.select("doc_id", "text_hash", *finger).join(classes, finger, "left")
@@ -266,10 +268,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, ca, cb): the pairs of nodes in different classes, and those classes."""
     for end in ("a", "b"):
         pairs = (pairs.join(labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
                  .withColumn(f"c{end}", F.coalesce(f"c{end}", end)))
-    return pairs.filter("ca <> cb").select("a", "b")
+    return pairs.filter("ca <> cb").select("a", "b", "ca", "cb")
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5,

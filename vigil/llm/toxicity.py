@@ -61,10 +61,14 @@ def _term_hashes(batches):
 
 
 def _known_terms(vocabulary: np.ndarray):
+    """Each row's terms as sorted places in the sorted ``vocabulary``, others left out."""
     def run(batches):
         for batch in batches:
-            terms = [np.sort(h[Machine.known(vocabulary, h)[1]]) for h in (np.asarray(t.values, np.int64) for t in batch["terms"])]
-            yield pa.RecordBatch.from_arrays([batch["label"], batch["weight"], pa.array(terms, pa.list_(pa.int64()))],
+            places = []
+            for terms in batch["terms"]:
+                at, found = Machine.known(vocabulary, np.asarray(terms.values, np.int64))
+                places.append(np.sort(at[found]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch["label"], batch["weight"], pa.array(places, pa.list_(pa.int32()))],
                                              names=["label", "weight", "terms"])
     return run
 
@@ -101,7 +105,7 @@ class Machine:
 def fit_machine(hashes, labels: np.ndarray, weights: np.ndarray, terms: np.ndarray, seed: int = 7) -> Machine:
     """Adam over mini-batches on weighted log loss, with decoupled decay, for at least
     EPOCHS rounds and LEAST_STEPS steps. ``hashes``: one array of term hashes a row, or
-    (hashes of all rows, their number a row).
+    (places in ``terms`` of all rows' terms, their number a row).
 
     Two things keep the machine from learning its rows by heart without leaving a term out.
     A term's linear input is scaled by the square of chi / (chi + log #terms), chi being its
@@ -118,9 +122,13 @@ def fit_machine(hashes, labels: np.ndarray, weights: np.ndarray, terms: np.ndarr
         share = labels.mean() if n else 0.5
         model.bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         return model
-    flat, size = hashes if isinstance(hashes, tuple) else (np.concatenate(hashes), np.fromiter(map(len, hashes), np.int64, n))
-    flat, owner = model.rows_of(flat).astype(np.int32), np.repeat(np.arange(n, dtype=np.int32), size)
-    flat, owner = flat[flat < n_terms], owner[flat < n_terms]
+    if isinstance(hashes, tuple):
+        flat, size = hashes
+        owner = np.repeat(np.arange(n, dtype=np.int32), size)
+    else:
+        size = np.fromiter(map(len, hashes), np.int64, n)
+        flat, owner = model.rows_of(np.concatenate(hashes)).astype(np.int32), np.repeat(np.arange(n, dtype=np.int32), size)
+        flat, owner = flat[flat < n_terms], owner[flat < n_terms]
     ends = np.cumsum(np.bincount(owner, minlength=n))
     begins = np.concatenate(([0], ends[:-1]))
 
@@ -186,12 +194,16 @@ def train(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int =
                    .mapInArrow(_term_hashes, "label int, weight double, terms array<long>"), "labelled")
     seen = rows.select(F.explode("terms").alias("term")).groupBy("term").count().filter(F.col("count") >= MIN_DOCS)
     vocabulary = np.sort(seen.select("term").toArrow()["term"].to_numpy().astype(np.int64))
-    sample = rows.mapInArrow(_known_terms(vocabulary), "label int, weight double, terms array<long>").toArrow().combine_chunks()
+    sample = rows.mapInArrow(_known_terms(vocabulary), "label int, weight double, terms array<int>").toArrow().combine_chunks()
     if not sample.num_rows:
         return fit_machine([], np.empty(0), np.empty(0), none)
     lists = sample["terms"].combine_chunks()
-    terms = np.asarray(lists.flatten(), np.int64), np.asarray(lists.value_lengths(), np.int64)
-    return fit_machine(terms, np.asarray(sample["label"], np.float64), np.asarray(sample["weight"], np.float64), vocabulary)
+    places = np.asarray(lists.flatten(), np.int32), np.asarray(lists.value_lengths(), np.int64)
+    labels, weights = np.asarray(sample["label"], np.float64), np.asarray(sample["weight"], np.float64)
+    model = fit_machine(places, labels, weights, vocabulary)
+    del sample, lists, places
+    pa.default_memory_pool().release_unused()  # the driver lives on
+    return model
 
 
 class _Rows(dict):
