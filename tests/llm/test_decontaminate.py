@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from vigil.llm import decontaminate as module
 from vigil.llm.decontaminate import PUNCTUATION, UNITS, contamination, decontaminate, mark_contaminated
 
 ITEMS = [(1, "If Anna has 12 apples and gives 12 of them to Bob in 3 km , how many are left ?"),
@@ -114,3 +115,39 @@ def test_the_exact_pass_loses_no_template_match(spark, frame):
     items = spark.createDataFrame(ITEMS, ITEM)
     got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items, exact=True).collect()}
     assert got >= brute(rows, ITEMS) and (106, 7) in got and (103, 4) not in got
+
+
+def test_windows_are_made_only_of_documents_that_hold_an_anchor(spark, frame, monkeypatch):
+    rng, seen, plain = random.Random(3), [], module._with_windows
+    rows = [(i, " ".join(rng.choice(["the", "lazy", "Dog", "cat", "12", "km", "over."]) for _ in range(60))) for i in range(80)]
+    rows += [(100, "so " + ITEMS[1][1].upper()), (101, "they say: " + ITEMS[0][1].replace("12", "40")), (102, ITEMS[1][1])]
+
+    def counted(df, *args):
+        if "text_hash" in df.columns:
+            seen.append(df.count())
+        return plain(df, *args)
+
+    monkeypatch.setattr(module, "_with_windows", counted)
+    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), spark.createDataFrame(ITEMS[:2], ITEM)).collect()}
+    assert got == {(100, 2), (101, 1), (102, 2)}
+    assert seen and max(seen) == 3
+
+
+def test_anchors_lose_no_match(spark, frame):
+    items = [(1, "It's a well-known (old) saying of sailors, isn't it ?"), (2, "ΟΔΟΣ ΤΟΥ ΑΓΙΟΥ, ΚΑΙ ΑΛΛΟΣ ΔΡΟΜΟΣ ΕΔΩ ΚΑΤΩ ."),
+             (3, "† alpha† beta ‡gamma delta‟ epsilon zeta •eta •"), (4, "Hello!"), (5, "mother-in-law"), (6, "9 1 2 x"),
+             (7, "take 5 warm Anna bread 6 with honey"), (8, "— “ ” —"), (9, "i̇stanbul İZMİR ankara bursa adana konya van"),
+             (10, "† ‡ † ‡ † ‡ † ‡")]
+    rows = [(1, "so it's — A WELL-KNOWN “old” saying … of\tsailors; isn't it, though"), (2, "«οδος» του αγιου - και αλλος, δρομος εδω κατω τώρα"),
+            (3, "so † alpha† - beta ‡gamma (delta‟) epsilon zeta •eta •"), (4, "-- HELLO ..."), (5, "Mother-in-law?"), (6, "9. 1, 2; X!"),
+            (7, "to take 7 warm Bob bread 8 with honey"), (8, "hello mother in law"), (9, "so İstanbul İzmİr ankara bursa adana konya van"),
+            (10, "† ‡ † ‡ † ‡ † ‡ †"), (11, "it's a well known old saying of sailors"), (None, "Hello")]
+    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), spark.createDataFrame(items, ITEM)).collect()}
+    assert got == {(i, i) for i in (1, 2, 3, 4, 5, 6, 7, 9, 10)} | {(None, 4)}
+
+
+def test_few_literals_need_no_anchor(spark, frame):
+    items = spark.createDataFrame([(1, "paid 5 euros twice"), (2, "Anna 3 4 slept")], ITEM)
+    rows = [(1, "he paid 6 euros twice a day"), (2, "so Eve 5 6 slept"), (3, "he paid them 6 euros")]
+    got = {(r.doc_id, r.item_id) for r in contamination(frame(rows), items, window=4, literals=1, exact=False).collect()}
+    assert (1, 1) in got and not {d for d, _ in got} & {3}

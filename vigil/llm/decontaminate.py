@@ -12,9 +12,12 @@ Unless ``exact`` is turned off, windows of the lower-cased words themselves are
 too, whatever they hold: they find word-for-word copies whose templates decide nothing (mostly
 numbers or names) or read otherwise (capitals, the place in a sentence).
 
-The first pass hashes all windows and only finds documents that hold a benchmark
-window; slots are looked at in those alone. The benchmark's windows are broadcast
-if they are few enough, else joined by a shuffle.
+Every window of the benchmark has an anchor: two or three pieces of text next to each
+other that each text with this window holds. The first pass looks up the pieces of all
+documents and finds those that hold an anchor; the second hashes all windows of these and
+finds those that hold a benchmark window; slots are looked at in the latter alone. The
+benchmark's anchors and windows are broadcast if they are few enough, else joined by a
+shuffle.
 """
 
 from __future__ import annotations
@@ -34,16 +37,28 @@ UNITS = ("mm cm m km in inch inches ft feet foot yd yard yards mi mile miles mg
          "minutes h hr hour hours day days week weeks month months year years hz khz mhz ghz w kw kwh v volt volts a amp "
          "amps j joule joules n newton newtons pa bar °c °f celsius fahrenheit percent % dollar dollars euro euros cent "
          "cents meter meters metre metres kilometer kilometers degree degrees").split()
+SPACE = " \t\n\x0b\x0c\r"
 #: Rows up to this many are broadcast (bounded size); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 WINDOW, LITERALS = 8, 5
 NUMBER, UNIT, NAME = "n", "u", "p"
 
 
+def _gap() -> str:
+    """A pattern of what stands between two pieces of text: runs of space and punctuation.
+    Characters above 255 are tried one by one, so a range that holds them all is tried first."""
+    def chars(some):
+        return "".join(f"\\x{{{ord(c):x}}}" for c in some)
+
+    narrow = [c for c in PUNCTUATION + SPACE if c < "\u0100"]
+    wide = sorted(set(PUNCTUATION) - set(narrow))
+    return f"(?=[{chars(narrow)}{chars(wide[0])}-{chars(wide[-1])}])[{chars(narrow)}{chars(wide)}]+"
+
+
 def _tokens(text: Column) -> Column:
     """array<struct<core, stop>>: each word without punctuation at its ends, in its own
     case, and whether it ends a sentence; words of punctuation alone are left out."""
-    clean = F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    clean = F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(SPACE))
     each = F.transform(F.split(clean, "[\\x20\\x09-\\x0D]+"), lambda w: F.struct(
         F.btrim(w, F.lit(PUNCTUATION)).alias("core"), F.substring(w, -1, 1).isin(".", "!", "?", ":").alias("stop")))
     return F.filter(each, lambda t: t["core"] != "")
@@ -114,6 +129,70 @@ def _placed(windows: Column) -> Column:
     return F.transform(windows, lambda h, i: F.struct(i.alias("pos"), h.alias("h")))
 
 
+def _pieces(text: Column) -> Column:
+    """The runs of characters other than space and punctuation, lower-cased. Words next to
+    each other have all their pieces next to each other."""
+    return F.split(F.btrim(F.lower(text), F.lit(PUNCTUATION + SPACE)), _gap())
+
+
+def _place(first: Column, second: Column, third: Column) -> list[Column]:
+    """pair and triple: hashes of two and of three pieces next to each other (null: the text ends)."""
+    return [F.xxhash64(first, second).alias("pair"), F.when(third.isNotNull(), F.xxhash64(first, second, third)).alias("triple")]
+
+
+def _anchor(words: list[Column]) -> Column:
+    """The first three pieces of words next to each other, two if there are no more; null if
+    a word is. Three come before two, then long ones, which tend to be rare."""
+    text = F.concat_ws(" ", *words)
+    place = _place(*[F.get(_pieces(text), F.lit(i)) for i in range(3)])
+    known = reduce(Column.__and__, [w.isNotNull() for w in words])
+    return F.when(known, F.struct(place[1].isNull().alias("short"), (-F.char_length(text)).alias("rank"), *place))
+
+
+def _anchors(items: DataFrame, size: int, literals: int, exact: bool) -> DataFrame:
+    """(pair, triple) of an anchor for each window of ``size`` words: of literal words if it
+    has ``literals`` of them, else (with ``exact``) of any; triple is null in one of two pieces."""
+    t = items.select("tokens", _template(F.col("tokens")).alias("template"))
+    t = t.withColumn("word", F.transform("tokens", lambda x: F.lower(x["core"])))
+    t = t.withColumn("literal", F.transform("word", lambda w, i: F.when(~F.get("template", i).isin(NUMBER, UNIT, NAME), w)))
+    lengths = sorted({min(size, 2), min(size, 3)})
+    for words in ("word", "literal"):
+        for n in lengths:
+            t = t.withColumn(f"{words}_{n}", F.transform(words, lambda _, i: _anchor([F.get(words, i + k) for k in range(n)])))
+
+    def best(words, i):
+        return F.array_min(F.concat(*[F.slice(f"{words}_{n}", i + 1, F.lit(size - n + 1)) for n in lengths]))
+
+    def anchor(_, i):
+        enough = F.size(F.filter(F.slice("literal", i + 1, F.lit(size)), lambda w: w.isNotNull())) >= literals
+        return F.when(enough, best("literal", i)).otherwise(best("word", i) if exact else F.lit(None))
+
+    windows = F.slice(F.transform("word", anchor), 1, F.greatest(F.size("word") - (size - 1), F.lit(0)))
+    return t.select(F.explode(windows).alias("a")).filter("a is not null").select("a.pair", "a.triple")
+
+
+def _holding(docs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(doc_id, text_hash) of the documents that hold any of the anchors."""
+    pairs = anchors.groupBy("pair").agg(F.max(F.col("triple").isNull()).alias("enough"))
+    triples = anchors.filter("triple is not null").select(F.col("triple").alias("known")).distinct()
+    pieces = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _pieces(F.coalesce("text", F.lit(""))).alias("a"))
+    # one row a piece, with the two after it
+    after = [F.slice("a", k, F.size("a")).alias(c) for k, c in ((2, "b"), (3, "c"))]
+    places = pieces.select("doc_id", "text_hash", F.explode(F.arrays_zip("a", *after)).alias("z"))
+    at = (places.select("doc_id", "text_hash", *_place(F.col("z.a"), F.col("z.b"), F.col("z.c")))
+          .join(small(written(pairs, "pairs")), "pair")
+          .join(small(written(triples, "triples")), F.col("triple") == F.col("known"), "left"))
+    return at.filter("enough or known is not null").select("doc_id", "text_hash").distinct()
+
+
+def _rows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The distinct rows of ``docs`` (doc_id and text) that ``wanted`` names by doc_id and text_hash."""
+    wanted = small(written(wanted, "hits").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")))
+    some = (docs.withColumn("text_hash", F.xxhash64("text"))
+            .join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left_semi").distinct())
+    return written(some.select("doc_id", "text"), "suspects")
+
+
 def small(df: DataFrame) -> DataFrame:
     """``df``, marked for a broadcast if it has few rows."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -157,7 +236,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         passages = written(_union(parts).select("item_id", F.col("w.pos").alias("at"), "w.h"), "passages")
         keys.append(passages.select("h"))
     keys = small(written(_union(keys).distinct(), "keys"))
-    # pass 1: ids of the documents that hold any of these windows
+    # pass 1: the documents that hold an anchor, if each window has one
+    if all(2 * literals > n + 1 for n in sizes):
+        anchors = _union([_anchors(every.filter(F.col("length") == n), n, literals, exact) for n in (own or sizes)])
+        docs = _rows_of(docs, _holding(docs, written(anchors.distinct(), "anchors")))
+    # pass 2: ids of the documents that hold any of these windows
     # (each array is a column of its own: inside a lambda it would be made anew for every element)
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _tokens(F.col("text")).alias("tokens"))
     plain = _plain(F.col("tokens")) if exact else F.lit(None).cast("array<long>")
@@ -166,11 +249,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     words = _with_windows(_with_windows(words, "hashes", sizes), "plain", own)
     windows = F.concat(*[F.col(f"hashes_{n}") for n in sizes], *[_whole("plain", n) for n in own])
     hit = words.select("doc_id", "text_hash", F.explode(windows).alias("h")).join(keys, "h", "left_semi").select("doc_id", "text_hash").distinct()
-    hit = small(written(hit, "hits").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")))
-    # pass 2: slots, in those documents
-    some = (docs.withColumn("text_hash", F.xxhash64("text"))
-            .join(hit, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left_semi").distinct())
-    some = written(some, "suspects").select("doc_id", "text_hash", _tokens(F.col("text")).alias("tokens"))
+    # pass 3: slots, in those documents
+    some = _rows_of(docs, hit).select("doc_id", F.xxhash64("text").alias("text_hash"), _tokens(F.col("text")).alias("tokens"))
     found = [_templates_found(some, b, size) for size, b in of_size.items()]
     if exact:
         found.append(_passages_found(some, passages, own))
