@@ -14,6 +14,7 @@ from vigil.plans.catalog import (
     BATCH_TICKS,
     CENTRES_K,
     LLOYD_ITERATIONS,
+    ONE_HOT_ITERATIONS,
     ONE_HOT_KS,
     ONLINE_DECAY_BATCHES,
     ONLINE_DECAY_POINTS,
@@ -333,7 +334,7 @@ SWEEP_RECORDS_RAW = _with(_R_VALUE, "v AS (SELECT rid, [q, e, d, t] AS f FROM r)
 SWEEP_RECORDS_Z = _with(_R_VALUE, _NUM_VECTORS, _Z_STATS, _Z_CELLS, "v AS (SELECT rid, list(z ORDER BY dim) AS f FROM zc GROUP BY rid)",
                         *_many_lloyd(_seeded(Z_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
 SWEEP_RECORDS_ONE_HOT = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
-SWEEP_RECORDS_ENTROPY = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), SWEEP_ITERATIONS)) + """
+SWEEP_RECORDS_ENTROPY = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), ONE_HOT_ITERATIONS)) + """
 SELECT CAST(k AS INTEGER) AS k, round(sum(n * h) / sum(n), 6) AS score FROM (
   SELECT k, cluster, sum(c) AS n, -sum((c / t) * ln(c / t)) AS h FROM (
     SELECT k, cluster, label, CAST(count(*) AS DOUBLE) AS c, CAST(sum(count(*)) OVER (PARTITION BY k, cluster) AS DOUBLE) AS t
