@@ -4,7 +4,6 @@ import hashlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from vigil.plans import catalog
 from vigil.sources import records
@@ -53,3 +52,10 @@ def test_entropy_is_that_of_whole_fits(spark, tables):
             _, n = np.unique(labels[cluster == c], return_counts=True)
             total -= (n * np.log(n / n.sum())).sum()
         assert got[k] == pytest.approx(total / len(labels), abs=2e-6)
+
+
+def test_mean_distance_is_that_of_whole_fits(spark, tables):
+    got = {r["k"]: r["score"] for r in catalog.QUERIES["sweep_records_one_hot"](spark, tables).collect()}
+    assert sorted(got) == list(range(80, 161, 10))
+    for k in (80, 160):
+        assert got[k] == pytest.approx(fitted(spark, tables, k)[2], abs=2e-6)

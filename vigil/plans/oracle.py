@@ -333,7 +333,7 @@ _MEAN_DISTANCE = "SELECT CAST(k AS INTEGER) AS k, round(avg(distance), 6) AS sco
 SWEEP_RECORDS_RAW = _with(_R_VALUE, "v AS (SELECT rid, [q, e, d, t] AS f FROM r)", *_many_lloyd(_seeded(RAW_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
 SWEEP_RECORDS_Z = _with(_R_VALUE, _NUM_VECTORS, _Z_STATS, _Z_CELLS, "v AS (SELECT rid, list(z ORDER BY dim) AS f FROM zc GROUP BY rid)",
                         *_many_lloyd(_seeded(Z_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
-SWEEP_RECORDS_ONE_HOT = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), SWEEP_ITERATIONS)) + _MEAN_DISTANCE
+SWEEP_RECORDS_ONE_HOT = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), ONE_HOT_ITERATIONS)) + _MEAN_DISTANCE
 SWEEP_RECORDS_ENTROPY = _with(*_Z_ONE_HOT, *_many_lloyd(_seeded(ONE_HOT_KS), ONE_HOT_ITERATIONS)) + """
 SELECT CAST(k AS INTEGER) AS k, round(sum(n * h) / sum(n), 6) AS score FROM (
   SELECT k, cluster, sum(c) AS n, -sum((c / t) * ln(c / t)) AS h FROM (
