@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 
@@ -92,3 +94,37 @@ def test_vectors_without_structure_need_few_exact_products(monkeypatch):
     want = (x @ x.T >= 0.9).sum(axis=1) - 1
     assert links.tolist() == want[block.ids].tolist() and want.sum() >= 40
     assert sum(products) < 5 * 800
+
+
+def test_vectors_do_not_travel_with_the_pairs_of_blocks(spark, monkeypatch):
+    """Each pair of blocks once shuffled both blocks' vectors."""
+    monkeypatch.setattr(covertree, "BLOCK", 25)
+    plans, plain = {}, covertree.written
+    monkeypatch.setattr(covertree, "written", lambda df, name: (plans.setdefault(name, (df.columns, df._jdf.queryExecution().toString())), plain(df, name))[1])
+    rng = np.random.default_rng(6)
+    check(spark, [(i, rng.normal(size=9).tolist()) for i in range(300)])
+    assert not re.search(r"\b(points|unit|raw)#", plans["links"][1])
+    assert [name for name, (columns, _) in plans.items() if {"points", "unit", "raw"} & set(columns)] == ["cells"]
+
+
+def test_many_vectors_of_one_id_and_rows_that_repeat(spark, monkeypatch):
+    """Ids that share a block leave others of the cell without rows; a vector and its
+    double under one id are one."""
+    monkeypatch.setattr(covertree, "BLOCK", 10)
+    rng = np.random.default_rng(7)
+    near = (np.array([1.0, 0, 0, 0]) + 0.2 * rng.normal(size=(60, 4))).astype(np.float32)
+    rows = [(1 + (i > 55), v.tolist()) for i, v in enumerate(near)]
+    unit = near.astype(float) / np.linalg.norm(near.astype(float), axis=1)[:, None]
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame(rows + rows[:30] + [(i, [2 * x for x in v]) for i, v in rows[10:40]], "vec_id long, embedding array<float>")
+    got = {(r.vec_id, r.n_links) for r in near_vectors(df.repartition(3)).collect()}
+    assert got == {(1, int(links[:56].sum())), (2, int(links[56:].sum()))}
+
+
+def test_a_tie_of_pivots_goes_one_way_wherever_the_row_stands():
+    rng = np.random.default_rng(9)
+    pivots = np.concatenate((np.eye(12), -np.eye(12)))
+    x = np.repeat(covertree.units_of(rng.integers(0, 2, size=(40, 12)) + np.eye(40, 12)), 7, axis=0)
+    alone = [int(covertree.nearest_pivot(v[None], pivots)[0][0]) for v in x]
+    for order in (np.arange(len(x)), rng.permutation(len(x))):
+        assert covertree.nearest_pivot(x[order], pivots)[0].tolist() == [alone[i] for i in order]

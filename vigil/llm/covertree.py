@@ -9,6 +9,10 @@ without a look at their points; the rest is descended, down to exact products of
 points. The sample only shapes the cells: radii are measured on all vectors, so the
 result is exact for any sample. Block pairs are the tasks; they return link counts
 and a spanning forest of their links, never the pairs.
+
+A block is a file of the shared folder, written once and mapped by the tasks of all
+its pairs, so vectors are shuffled once, however many pairs of blocks there are. They
+are kept in the element type they came in; lengths of one are made where needed.
 """
 
 from __future__ import annotations
@@ -17,32 +21,45 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from vigil.llm.common import connected_components, written
+from vigil.llm.common import connected_components, map_file, put_file, written
+from vigil.session import shared_dir
 
 #: Vectors in a block, about; pivots at most; vectors sampled for pivots at most.
 BLOCK, PIVOTS, SAMPLE = 4096, 1024, 4096
+#: Block pairs of a task, and tasks at most, if there are so many of either.
+PAIRS, TASKS = 64, 10_000
 TOP, BOTTOM, LEAF = 1.0, 1 / 8, 8
 EPS = 1e-9
 
 
-def unit_rows(embeddings) -> list[bytes | None]:
-    """Each vector at length one in double precision, as bytes; None where it is null,
-    empty, zero, or has a null or non-finite component."""
-    out = []
-    for v in embeddings:
-        x = np.asarray(v.values.to_numpy(zero_copy_only=False), np.float64) if v.is_valid and len(v) else np.empty(0)
-        if not len(x) or not np.isfinite(x).all() or not np.abs(x).max() > 0:
-            out.append(None)
-            continue
-        x = x / np.abs(x).max()
-        out.append((x / np.sqrt(x @ x)).tobytes())
+def units_of(rows: np.ndarray) -> np.ndarray:
+    """Rows at length one in double precision, each by itself."""
+    x = rows.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
+def usable_rows(embeddings) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places, vectors) for each length of the vectors: those that are not null, empty,
+    zero, or with a null or non-finite component."""
+    there = np.flatnonzero(np.asarray(embeddings.is_valid()))
+    sizes = np.asarray(embeddings.value_lengths().take(pa.array(there)), np.int64)
+    cells, starts, out = embeddings.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes, []
+    for size in np.unique(sizes[sizes > 0]):
+        some = np.flatnonzero(sizes == size)
+        x = cells[starts[some][:, None] + np.arange(size)]
+        fine = np.isfinite(x).all(axis=1) & x.any(axis=1)
+        out.append((there[some[fine]], x[fine]))
     return out
 
 
-def _units(batches):
+def _usable(batches):
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch["vec_id"], pa.array(unit_rows(batch["embedding"]), pa.binary())], names=["vec_id", "unit"])
+        for at, x in usable_rows(batch["embedding"]):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), x.shape[1], np.int64)), pa.array([v.tobytes() for v in units_of(x)], pa.binary())],
+                                             names=["dim", "unit"])
 
 
 def matrix(units) -> np.ndarray:
@@ -59,22 +76,35 @@ def farthest_first(x: np.ndarray, k: int) -> list[int]:
     return chosen
 
 
+def nearest_pivot(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest pivot, distance) of each unit row. Pivots that rounding cannot tell apart
+    are told apart by sums in a fixed order, so that equal rows go to the same pivot
+    wherever they stand."""
+    dots = x @ pivots.T
+    best = dots.argmax(axis=1)
+    close = dots >= dots.max(axis=1, keepdims=True) - EPS
+    doubt = np.flatnonzero(close.sum(axis=1) > 1)
+    for lo in range(0, len(doubt), 64):
+        rows = doubt[lo: lo + 64]
+        exact = np.zeros((len(rows), len(pivots)))
+        for i in range(x.shape[1]):
+            exact += x[rows, i, None] * pivots[None, :, i]
+        best[rows] = exact.argmax(axis=1)
+    return best, np.sqrt(np.maximum(2 - 2 * dots[np.arange(len(x)), best], 0))
+
+
 def _cells(pivots: dict[int, np.ndarray]):
-    """Nearest pivot of the same dimension, and the distance to it."""
+    """Usable vectors with the nearest pivot of the same dimension, and the distance to it."""
     def run(batches):
         for batch in batches:
-            units = batch["unit"].to_pylist()
-            dims = np.asarray([len(u) // 8 for u in units])
-            cell, dist = np.zeros(len(units), np.int64), np.zeros(len(units))
-            for d, p in pivots.items():
-                rows = np.flatnonzero(dims == d)
-                for start in range(0, len(rows), 1024):
-                    part = rows[start: start + 1024]
-                    dots = matrix([units[i] for i in part]) @ p.T
-                    cell[part] = dots.argmax(axis=1)
-                    dist[part] = np.sqrt(np.maximum(2 - 2 * dots.max(axis=1), 0))
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["unit"], pa.array(dims, pa.int64()), pa.array(cell), pa.array(dist)],
-                                             names=["vec_id", "unit", "dim", "cell", "dist"])
+            for at, x in usable_rows(batch["embedding"]):
+                for lo in range(0, len(at), 1024):
+                    part = x[lo: lo + 1024]
+                    cell, dist = nearest_pivot(units_of(part), pivots[x.shape[1]])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch["vec_id"].take(pa.array(at[lo: lo + 1024])), pa.array([v.tobytes() for v in part], pa.binary()),
+                         pa.array(np.full(len(part), x.shape[1], np.int64)), pa.array(cell.astype(np.int64)), pa.array(dist)],
+                        names=["vec_id", "raw", "dim", "cell", "dist"])
     return run
 
 
@@ -134,12 +164,42 @@ def _plant(t: float):
         tree = Tree(matrix(table["unit"].to_pylist()), min(TOP, t))
         ids = np.asarray(table["vec_id"])[tree.order]
         return pa.table({"block": [table["block"][0].as_py()], "ids": [ids.tobytes()], "points": [tree.x.tobytes()],
-                         "nodes": [tree.nodes.tobytes()], "radii": [tree.radii.tobytes()], "roots": [tree.roots]},
+                         "nodes": [tree.nodes.tobytes()], "radii": [tree.radii.tobytes()], "roots": [tree.roots], "order": [tree.order.tobytes()]},
                         schema=pa.schema([("block", pa.string()), ("ids", pa.binary()), ("points", pa.binary()), ("nodes", pa.binary()),
-                                          ("radii", pa.binary()), ("roots", pa.int64())]))
+                                          ("radii", pa.binary()), ("roots", pa.int64()), ("order", pa.binary())]))
     return run
 
 
+def _store(folder: str, kind: type, t: float):
+    """A block's vectors and tree as a file; rows that repeat id and unit vector are one."""
+    plant = _plant(t)
+
+    def run(key, table):
+        dim, block = table["dim"][0].as_py(), table["block"][0].as_py()
+        raw = np.frombuffer(b"".join(table["raw"].to_pylist()), kind).reshape(-1, dim)
+        ids, units = np.asarray(table["vec_id"]), [v.tobytes() for v in units_of(raw)]
+        once = sorted({(i, u): n for n, (i, u) in enumerate(zip(ids.tolist(), units))}.values())
+        row, = plant(key, pa.table({"vec_id": ids[once], "block": [block] * len(once), "unit": pa.array([units[n] for n in once], pa.binary())})).to_pylist()
+        nodes = np.frombuffer(row["nodes"], np.int64)
+        head = np.array([len(once), dim, len(nodes) // 5, row["roots"]], np.int64)
+        order = np.asarray(once)[np.frombuffer(row["order"], np.int64)]
+        put_file(folder, block, lambda f: [f.write(x) for x in (
+            head.tobytes(), row["ids"], row["radii"], nodes.astype(np.int32).tobytes(), raw[order].tobytes())])
+        return pa.table({"dim": [dim], "cell": [table["cell"][0].as_py()], "block": [block]},
+                        schema=pa.schema([("dim", pa.int64()), ("cell", pa.int64()), ("block", pa.string())]))
+    return run
+
+
+def _load(folder: str, block: str, kind: type) -> _Block:
+    data = map_file(folder, block)
+    n, dim, nodes, roots = np.frombuffer(data, np.int64, 4).tolist()
+    ids = np.frombuffer(data, np.int64, n, 32)
+    radii = np.frombuffer(data, np.float64, nodes, 32 + 8 * n)
+    tree = np.frombuffer(data, np.int32, 5 * nodes, 32 + 8 * (n + nodes)).astype(np.int64)
+    raw = np.frombuffer(data, kind, n * dim, 32 + 8 * n + 28 * nodes).reshape(n, dim)
+    return _Block({"ids": ids, "points": units_of(raw), "nodes": tree, "radii": radii, "roots": roots})
+
+
 class _Block:
     def __init__(self, row: dict):
         self.ids = np.frombuffer(row["ids"], np.int64)
@@ -284,19 +344,21 @@ def _points(a, b, i, j, same, cosine, na, count_a, count_b, us, vs):
         vs.append(q + (0 if same else na))
 
 
-def _unit(cosine: float):
-    def run(key, table):
-        rows = table.to_pylist()
-        rows.sort(key=lambda r: r["side"])
-        a = _Block(rows[0])
-        same = len(rows) == 1
-        b = a if same else _Block(rows[1])
-        count_a, count_b, labels = block_links(a, b, same, cosine)
-        ids = a.ids if same else np.concatenate((a.ids, b.ids))
-        count = count_a if same else np.concatenate((count_a, count_b))
-        some = count > 0
-        return pa.table({"vec_id": ids[some], "links": count[some], "root": ids[labels[some]]},
-                        schema=pa.schema([("vec_id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
+def _pair_links(folder: str, kind: type, cosine: float):
+    """Links of block pairs; a block stays in memory while it is the left one of the next."""
+    def run(batches):
+        name, a = None, None
+        for batch in batches:
+            for left, right in zip(batch["left"].to_pylist(), batch["right"].to_pylist()):
+                if left != name:
+                    name, a = left, _load(folder, left, kind)
+                same = left == right
+                b = a if same else _load(folder, right, kind)
+                count_a, count_b, labels = block_links(a, b, same, cosine)
+                ids = a.ids if same else np.concatenate((a.ids, b.ids))
+                count = count_a if same else np.concatenate((count_a, count_b))
+                some = count > 0
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(count[some]), pa.array(ids[labels[some]])], names=["vec_id", "links", "root"])
     return run
 
 
@@ -343,16 +405,20 @@ def near_vectors(vectors: DataFrame, *, cosine: float = 0.9) -> DataFrame:
     An empty table gives an empty result. Other columns are not read.
     """
     t = float(np.sqrt(2 - 2 * cosine))
-    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    units = written(base.filter("vec_id is not null").mapInArrow(_units, "vec_id long, unit binary").filter("unit is not null").distinct(), "units")
+    spark, kind = vectors.sparkSession, vectors.schema["embedding"].dataType
+    short = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
+    kind, element = (np.float32, "float") if short else (np.float64, "double")
+    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{element}>").alias("embedding"))
+    known = base.filter("vec_id is not null")
     pivots: dict[int, np.ndarray] = {}
-    dim = F.floor(F.octet_length("unit") / 8).alias("dim")
-    for r in units.groupBy(dim).count().collect():  # a row a dimension
+    for r in known.mapInArrow(_usable, "dim long, unit binary").groupBy("dim").count().collect():  # a row a dimension
         share = int(min(1.0, SAMPLE / r["count"]) * (1 << 20))
-        some = units.filter((F.octet_length("unit") == 8 * r["dim"]) & (F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < share))
-        x = matrix([u[0] for u in some.select("unit").limit(2 * SAMPLE).collect()] or [units.filter(F.octet_length("unit") == 8 * r["dim"]).first()["unit"]])
+        some = known.filter(F.size("embedding") == r["dim"])
+        picked = some.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < share).select("embedding")
+        x = matrix([u[0] for u in picked.mapInArrow(_usable, "dim long, unit binary").select("unit").limit(2 * SAMPLE).collect()]
+                   or [some.select("embedding").mapInArrow(_usable, "dim long, unit binary").first()["unit"]])
         pivots[int(r["dim"])] = x[farthest_first(x, min(PIVOTS, -(-r["count"] // BLOCK)))]
-    dealt = written(units.mapInArrow(_cells(pivots), "vec_id long, unit binary, dim long, cell long, dist double"), "cells")
+    dealt = written(known.mapInArrow(_cells(pivots), "vec_id long, raw binary, dim long, cell long, dist double"), "cells")
     cells = dealt.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("dist").alias("radius")).collect()  # PIVOTS rows a dimension
     kept = []
     for d, p in pivots.items():
@@ -361,22 +427,20 @@ def near_vectors(vectors: DataFrame, *, cosine: float = 0.9) -> DataFrame:
             if r["dim"] == d:
                 radius[r["cell"]] = r["radius"]
         kept += [(d, a, b) for a, b in _kept_cells(p, radius, t) if radius[a] >= 0 and radius[b] >= 0]
-    spark = vectors.sparkSession
     sizes = spark.createDataFrame([(r["dim"], r["cell"], -(-r["n"] // BLOCK)) for r in cells], "dim long, cell long, parts long")
     part = F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.col("parts"))
-    trees = written(dealt.join(F.broadcast(sizes), ["dim", "cell"])
-                    .withColumn("block", F.concat_ws("-", "dim", "cell", part))
-                    .groupBy("block").applyInArrow(_plant(t), "block string, ids binary, points binary, nodes binary, radii binary, roots long"), "trees")
-    blocks = sizes.select("dim", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    blocks = blocks.select("dim", "cell", F.concat_ws("-", "dim", "cell", "part").alias("block"))
+    folder = shared_dir(spark, "blocks")
+    placed = (dealt.join(F.broadcast(sizes), ["dim", "cell"])
+              .select("vec_id", "raw", "dim", "cell", F.concat_ws("-", "dim", "cell", part).alias("block"))
+              .repartition("block").distinct())  # one shuffle for both
+    blocks = written(placed.groupBy("block").applyInArrow(_store(folder, kind, t), "dim long, cell long, block string"), "names")
     pairs = spark.createDataFrame(kept, "dim long, a long, b long")
     pairs = (pairs.join(blocks.select("dim", F.col("cell").alias("a"), F.col("block").alias("left")), ["dim", "a"])
              .join(blocks.select("dim", F.col("cell").alias("b"), F.col("block").alias("right")), ["dim", "b"])
              .filter((F.col("a") != F.col("b")) | (F.col("left") <= F.col("right"))).select("left", "right"))
-    sides = F.when(F.col("left") == F.col("right"), F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("block")))).otherwise(
-        F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("block")), F.struct(F.lit(1).alias("side"), F.col("right").alias("block"))))
-    found = written(pairs.select("left", "right", F.explode(sides).alias("s")).select("left", "right", "s.side", "s.block")
-                    .join(trees, "block").groupBy("left", "right").applyInArrow(_unit(cosine), "vec_id long, links long, root long"), "links")
+    tasks = max(1, min(TASKS, max(4 * spark.sparkContext.defaultParallelism, pairs.count() // PAIRS)))
+    found = written(pairs.repartitionByRange(tasks, "left", "right").sortWithinPartitions("left", "right")
+                    .mapInArrow(_pair_links(folder, kind, cosine), "vec_id long, links long, root long"), "links")
     links = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
     labels = connected_components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     return (base.select("vec_id").join(links, "vec_id", "left")
