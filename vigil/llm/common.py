@@ -6,8 +6,6 @@ characters; ``bytes.lower`` and ``bytes.split`` do just that on UTF-8.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.session import shared_dir
+from vigil.session import local_path, map_file, put_file, shared_dir, shared_fs  # noqa: F401
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -173,50 +171,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_path(uri: str) -> str | None:
-    """The plain path of a shared folder that is mounted on every machine."""
-    if uri.startswith("file:"):
-        return "/" + uri[5:].lstrip("/")
-    return None if "://" in uri else uri
-
-
-def shared_fs(uri: str):
-    """(pyarrow file system, path) of a shared folder, for binary files."""
-    from pyarrow import fs
-
-    path = local_path(uri)
-    return (fs.LocalFileSystem(), path) if path else fs.FileSystem.from_uri(uri)
-
-
-def put_file(folder: str, name: str, write) -> None:
-    """Write a file as a whole: a retried or doubled task never shows half of it."""
-    filesystem, path = shared_fs(folder)
-    filesystem.create_dir(path, recursive=True)
-    part = f"{path}/.{name}.{uuid.uuid4().hex}"
-    with filesystem.open_output_stream(part) as out:
-        write(out)
-    filesystem.move(part, f"{path}/{name}")
-
-
-def map_file(folder: str, name: str) -> memoryview:
-    """A file of the shared folder, memory-mapped; one in a remote store is first
-    copied to an unnamed local file."""
-    import mmap
-    import tempfile
-
-    path = local_path(folder)
-    if path:
-        with open(os.path.join(path, name), "rb") as f:
-            return memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-    filesystem, path = shared_fs(folder)
-    with tempfile.TemporaryFile() as f:
-        with filesystem.open_input_stream(f"{path}/{name}") as source:
-            while piece := source.read(8 << 20):
-                f.write(piece)
-        f.flush()
-        return memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-
-
 def _stars(edges: DataFrame) -> bool:
     """Whether distinct ``edges`` (a > b) are stars around their least nodes: each a has one
     b, which is no a."""
