@@ -53,7 +53,9 @@ def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_
     dictionary = Dictionary.fit(lines, value, layout.categorical, layout.sep)
     feats = one_hot_features(lines, dictionary, value, layout.mode, sep=layout.sep).select("features")
     stats = Stats.fit(feats)
-    normalized = feats.select(zscore_column("features", stats).alias("features")).persist()
+    normalized = feats.select(zscore_column("features", stats).alias("features"))
+    if runs == 1:  # a fit of several runs reads the rows once and knows score and sizes
+        normalized.persist()
     try:
         fit: FitResult = kmeans_fit(normalized, k=k, runs=runs, tol=tol, seed=seed)
         sizes, score = fit.sizes, fit.mean_distance
@@ -66,7 +68,8 @@ def build_model(lines: DataFrame, k: int = PRODUCTION_K, runs: int = PRODUCTION_
             sizes = {int(r["cluster"]): int(r["cnt"]) for r in per}
             score = sum(float(r["dsum"]) for r in per) / max(sum(sizes.values()), 1)
     finally:
-        normalized.unpersist()
+        if runs == 1:
+            normalized.unpersist()
     bundle = ModelBundle(fit.centers, dictionary, stats, fit.model, sizes, layout)
     if path is not None:
         save_bundle(lines.sparkSession, bundle, path)
